@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkpanel.functions.geodesy import geodesic_km, haversine_km
+from sparkpanel.session import cut_lineage
 
-LEAF = 48
+LEAF = 12
 BITS = 20
 STEP = 2
-# Rows of the cube table that are broadcast; above it Spark chooses the join.
-BROADCAST_ROWS = 200_000
+# Rows of the cube and point tables that are broadcast; above it Spark chooses the join.
+BROADCAST_ROWS = 500_000
 # Ellipsoid and sphere distances differ by less than 0.6 % either way.
 ELLIPSOID_SLACK = 1.0125
 _EPS = 1e-9
@@ -37,6 +38,30 @@ def _cell(level: Column) -> list[Column]:
     return [F.call_function("shiftright", F.col(f"_c{a}"), F.lit(BITS) - level).alias(f"_n{a}") for a in _AXES]
 
 
+def _prune(state: DataFrame, point: list[str], cell: list[str], origin: dict, extent: float, want: int, slack: float) -> DataFrame:
+    """Drop the cubes that lie beyond the reach within which ``want`` points are certain."""
+    side = F.lit(extent) / F.pow(F.lit(2.0), F.col("_level"))
+    here = dict(zip(_AXES, _sphere("_la", "_lo").values()))
+    gaps, far = [], []
+    for a in _AXES:
+        lo = F.lit(origin[a]) + F.col(f"_n{a}") * side
+        hi = lo + side
+        gap = F.greatest(F.lit(0.0), lo - here[a], here[a] - hi)
+        edge = F.greatest(F.abs(here[a] - lo), F.abs(here[a] - hi))
+        gaps.append(gap * gap)
+        far.append(edge * edge)
+    sized = state.select(
+        *point, *cell, "_cnt", F.sqrt(gaps[0] + gaps[1] + gaps[2]).alias("_near"), F.sqrt(far[0] + far[1] + far[2]).alias("_far")
+    )
+    # One cube with enough points bounds the search; else all cubes together do.
+    everyone = Window.partitionBy(*point)
+    single = F.min(F.when(F.col("_cnt") >= want, F.col("_far"))).over(everyone)
+    joint = F.when(F.sum("_cnt").over(everyone) >= want, F.max("_far").over(everyone))
+    return sized.withColumn("_reach", F.coalesce(single, joint)).filter(
+        F.col("_reach").isNull() | (F.col("_near") <= F.col("_reach") * slack + _EPS)
+    ).select(*point, *cell, "_cnt")
+
+
 def nearest_join(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, k: int = 1, by: list[str] | None = None,
     left_xy: tuple[str, str] = ("lat", "lon"), right_xy: tuple[str, str] = ("lat", "lon"),
@@ -55,6 +80,8 @@ def nearest_join(
     rp = right.select(
         *by, F.col(right_id).alias("_rid"), F.col(right_xy[0]).alias("_rla"), F.col(right_xy[1]).alias("_rlo")
     ).dropna(subset=["_rla", "_rlo"])
+    # The points and the cube table are read once per level, so they are written out first.
+    rp = cut_lineage(rp)
     same_spot = Window.partitionBy(*by, "_rla", "_rlo").orderBy("_rid")
     ids = rp.withColumn("_n", F.row_number().over(same_spot)).filter(F.col("_n") <= want).drop("_n")
     spots = rp.select(*by, "_rla", "_rlo").distinct().withColumns(_sphere("_rla", "_rlo"))
@@ -70,67 +97,74 @@ def nearest_join(
         f"_c{a}": F.least(F.lit(2**BITS - 1), F.floor((F.col(f"_{a}") - origin[a]) * scale)).cast("int") for a in _AXES
     })
 
-    levels = list(range(0, BITS + 1, STEP))
-    per_level = spots.withColumn("_level", F.explode(F.lit(levels))).select(
-        *by, "_rla", "_rlo", "_level", *_cell(F.col("_level"))
-    )
+    def cells(levels: list[int]) -> DataFrame:
+        return spots.withColumn("_level", F.explode(F.lit(levels))).select(
+            *by, "_rla", "_rlo", "_level", *_cell(F.col("_level"))
+        )
+
     cell = ["_level", "_nx", "_ny", "_nz"]
-    nodes = per_level.groupBy(*by, *cell).agg(F.count(F.lit(1)).alias("_cnt"))
+    all_levels = list(range(0, BITS + 1, STEP))
+    nodes = cut_lineage(cells(all_levels).groupBy(*by, *cell).agg(F.count(F.lit(1)).alias("_cnt")))
     deepest = nodes.filter((F.col("_cnt") > LEAF) & (F.col("_level") < BITS)).agg(F.max("_level")).first()[0]
-    small = box["n"] * len(levels) <= BROADCAST_ROWS
+    steps = list(range(0, deepest + 1, STEP)) if deepest is not None else []
+    small = box["n"] * (len(steps) + 1) <= BROADCAST_ROWS
 
-    lp = left.select(*by, F.col(left_xy[0]).alias("_la"), F.col(left_xy[1]).alias("_lo")).dropna(subset=["_la", "_lo"]).distinct()
-    state = lp.withColumns(_sphere("_la", "_lo")).withColumns({
-        "_level": F.lit(0), "_nx": F.lit(0), "_ny": F.lit(0), "_nz": F.lit(0),
-    })
+    # Distinct left points, spread over all shuffle partitions (the rows multiply below, so
+    # adaptive coalescing by their small size would be wrong) and sorted once: broadcast
+    # joins and the windows below keep that order and need no further shuffle or sort.
     point = [*by, "_la", "_lo"]
-    for level in range(0, (deepest if deepest is not None else -STEP) + STEP, STEP):
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lp = left.select(*by, F.col(left_xy[0]).alias("_la"), F.col(left_xy[1]).alias("_lo")).dropna(
+        subset=["_la", "_lo"]).distinct().repartition(width, *point)
+    once = Window.partitionBy(*point).orderBy(*point)
+    state = lp.withColumn("_once", F.row_number().over(once)).filter("_once = 1").select(*point)
+    if steps and not by:
+        # The first step of an ungrouped tree has at most 64 cubes.
+        top = nodes.filter(F.col("_level") == STEP).collect()
+        listed = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in (*cell, "_cnt")]) for r in top])
+        state = state.select(*point, F.explode(listed).alias("_top")).select(*point, "_top.*")
+        state = _prune(state, point, cell, origin, extent, want, slack)
+        rest = steps[1:]
+    else:
+        state = state.select(*point, *[F.lit(0).alias(c) for c in cell], F.lit(1).cast("bigint").alias("_cnt"))
+        rest = steps
+    for level in rest:
         parents = nodes.filter((F.col("_level") == level) & (F.col("_cnt") > LEAF)).select(*by, *cell)
         kids = nodes.filter(F.col("_level") == level + STEP).select(
             *by, F.lit(level).alias("_level"),
             *[F.shiftright(f"_n{a}", STEP).alias(f"_n{a}") for a in _AXES],
             F.struct(F.col("_level").alias("l"), *[F.col(f"_n{a}").alias(a) for a in _AXES], F.col("_cnt").alias("c")).alias("_kid"),
         ).join(parents, [*by, *cell], "left_semi")
-        # The first levels of an ungrouped tree have at most 64 and 4096 cubes.
+        # The second step of an ungrouped tree has at most 4096 cubes.
         if small or (not by and level <= STEP):
             kids = F.broadcast(kids)
-        old = F.struct(F.col("_level").alias("l"), *[F.col(f"_n{a}").alias(a) for a in _AXES],
-                       (F.col("_cnt") if level else F.lit(1)).cast("bigint").alias("c"))
+        old = F.struct(F.col("_level").alias("l"), *[F.col(f"_n{a}").alias(a) for a in _AXES], F.col("_cnt").alias("c"))
         state = state.join(kids, [*by, *cell], "left").withColumn("_kid", F.coalesce("_kid", old))
-        side = [F.lit(extent) / F.pow(F.lit(2.0), F.col("_kid.l")) for _ in _AXES]
-        gaps, far = [], []
-        for a, s in zip(_AXES, side):
-            lo = F.lit(origin[a]) + F.col(f"_kid.{a}") * s
-            p = F.col(f"_{a}")
-            gaps.append(F.pow(F.greatest(F.lit(0.0), lo - p, p - (lo + s)), F.lit(2.0)))
-            far.append(F.pow(F.greatest(F.abs(p - lo), F.abs(p - (lo + s))), F.lit(2.0)))
         state = state.select(
-            *point, "_x", "_y", "_z",
-            F.col("_kid.l").alias("_level"), *[F.col(f"_kid.{a}").alias(f"_n{a}") for a in _AXES],
+            *point, F.col("_kid.l").alias("_level"), *[F.col(f"_kid.{a}").alias(f"_n{a}") for a in _AXES],
             F.col("_kid.c").alias("_cnt"),
-            F.sqrt(sum(gaps[1:], gaps[0])).alias("_near"), F.sqrt(sum(far[1:], far[0])).alias("_far"),
         )
-        ranked = Window.partitionBy(*point).orderBy("_far")
-        upto = ranked.rowsBetween(Window.unboundedPreceding, 0)
-        state = state.withColumn("_have", F.sum("_cnt").over(upto)).withColumn(
-            "_reach", F.min(F.when(F.col("_have") >= want, F.col("_far"))).over(
-                ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        ).filter(F.col("_reach").isNull() | (F.col("_near") <= F.col("_reach") * slack + _EPS)).drop("_have", "_reach", "_near", "_far")
-
-    leaves = per_level
+        state = _prune(state, point, cell, origin, extent, want, slack)
+
+    leaves = cells([*steps, steps[-1] + STEP] if steps else [0])
     if small:
-        leaves = F.broadcast(leaves)
+        leaves, ids = F.broadcast(leaves), F.broadcast(ids)
     pairs = state.select(*point, *cell).join(leaves, [*by, *cell])
-    pairs = pairs.withColumn("_dist", F.round(haversine_km("_la", "_lo", "_rla", "_rlo"), 6))
-    by_dist = Window.partitionBy(*point).orderBy("_dist")
-    pairs = pairs.withColumn("_r", F.rank().over(by_dist))
+    pairs = pairs.select(
+        *point, "_rla", "_rlo", F.round(haversine_km("_la", "_lo", "_rla", "_rlo"), 6).alias("_dist")
+    )
+    if metric == "geodesic" or want > 1:
+        by_dist = Window.partitionBy(*point).orderBy("_dist")
+        pairs = pairs.withColumn("_r", F.rank().over(by_dist))
     if metric == "geodesic":
         kth = F.max(F.when(F.col("_r") <= want, F.col("_dist"))).over(
             by_dist.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         pairs = pairs.withColumn("_kth", kth).filter(F.col("_dist") <= F.col("_kth") * slack + 1e-6)
         pairs = pairs.withColumn("_dist", F.round(geodesic_km("_la", "_lo", "_rla", "_rlo"), 6))
-    else:
+    elif want > 1:
         pairs = pairs.filter(F.col("_r") <= want)
+    else:
+        pairs = pairs.withColumn("_least", F.min("_dist").over(Window.partitionBy(*point))).filter(F.col("_dist") == F.col("_least"))
     hits = pairs.select(*point, "_rla", "_rlo", "_dist").join(ids, [*by, "_rla", "_rlo"])
     best = Window.partitionBy(*point).orderBy("_dist", "_rid")
     hits = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= want).select(

@@ -38,7 +38,7 @@ def point_in_polygon(
     box touches, a point in one. The cell is the mean box side unless given, so a
     polygon of usual size covers a handful of cells.
     """
-    xs, ys = (F.transform(ring, lambda p, f=f: p[f]) for f in ("x", "y"))
+    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     boxed = polys.withColumns({
         "_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys),
     })

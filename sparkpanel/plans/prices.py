@@ -46,19 +46,13 @@ def spatial_fill(
 ) -> DataFrame:
     """Missing cells from the nearest market with a price in the same month.
 
-    ``nearest_observed`` looks as far as needed. ``cascade`` walks the ranked
+    ``nearest_observed`` looks as far as needed; ``k_max`` only sizes the shortlist
+    tried first. ``cascade`` walks the ranked
     neighbours 1..k_max; in each round a missing cell copies what that neighbour held
     before the round, so filled cells can donate in later rounds.
     """
     if mode == "nearest_observed":
-        cells = dense.join(coords, "market")
-        gaps, seen = cells.filter(F.col("price").isNull()), cells.filter(F.col("price").isNotNull())
-        donor = nearest_join(gaps, seen, "market", "market", by=["commodity", "month"], right_name="donor")
-        given = donor.join(
-            seen.select(F.col("market").alias("donor"), "commodity", "month", F.col("price").alias("_given")),
-            ["donor", "commodity", "month"],
-        ).select(*CELL, "_given", "donor", "dist_km")
-        return dense.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
+        return _fill_nearest(dense, coords, k_max)
     ranks = neighbours(coords, "market", k_max)
     out = dense
     for k in range(1, k_max + 1):
@@ -76,6 +70,29 @@ def spatial_fill(
     return out
 
 
+def _fill_nearest(dense: DataFrame, coords: DataFrame, shortlist: int) -> DataFrame:
+    """Adds donor and dist_km. Most gaps are closed by the ranked shortlist of their market;
+    the cells it leaves open search all markets observed in their month."""
+    # Read by each of the joins below.
+    dense = cut_lineage(dense)
+    seen = dense.filter(F.col("price").isNotNull())
+    gaps = dense.filter(F.col("price").isNull()).select(*CELL)
+    held = seen.select(F.col("market").alias("neighbour"), "commodity", "month", F.col("price").alias("_given"))
+    near = gaps.join(neighbours(coords, "market", shortlist), "market").join(held, ["neighbour", "commodity", "month"])
+    given = cut_lineage(near.groupBy(*CELL).agg(
+        F.min_by("_given", "rank").alias("_given"), F.min_by("neighbour", "rank").alias("donor"),
+        F.min_by("dist_km", "rank").alias("dist_km"),
+    ))
+    rest = gaps.join(given, CELL, "left_anti")
+    if not rest.isEmpty():
+        far = nearest_join(
+            rest.join(coords, "market"), seen.join(rest.select("commodity", "month").distinct(), ["commodity", "month"], "left_semi")
+            .join(coords, "market"), "market", "market", by=["commodity", "month"], right_name="neighbour",
+        ).join(held, ["neighbour", "commodity", "month"])
+        given = given.unionByName(far.select(*CELL, "_given", F.col("neighbour").alias("donor"), "dist_km"))
+    return dense.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
+
+
 def spatial_fill_median(dense: DataFrame, coords: DataFrame, k: int) -> DataFrame:
     """Missing cells from the median of the known prices among the k nearest markets."""
     ranks = neighbours(coords, "market", k)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -124,9 +124,13 @@ def dry_spell_legacy(
     return counts.groupBy(*by, "cropyr").agg(F.max("_days").alias("maxdaysnorain"))
 
 
+def celsius_mean(tmax: Column, tmin: Column) -> Column:
+    return (tmax + tmin) / 2 - KELVIN
+
+
 def mean_temp(tmax: DataFrame, tmin: DataFrame, on: list[str]) -> DataFrame:
     """Daily mean in Celsius from kelvin extremes, paired by key."""
-    return tmax.join(tmin, on).withColumn("tmean", (F.col("tmax") + F.col("tmin")) / 2 - KELVIN)
+    return tmax.join(tmin, on).withColumn("tmean", celsius_mean(F.col("tmax"), F.col("tmin")))
 
 
 def temp_stats(tagged: DataFrame, by: list[str], temp: str = "tmean") -> DataFrame:

@@ -97,14 +97,14 @@ SEASON_RAIN_SQL = RAIN_SQL + ", " + SEASON_SQL + """,
 tagged AS (SELECT r.*, cropyear FROM rain r JOIN seasons ON day BETWEEN s AND e)"""
 
 
-# Price stand-in: mean unit price per supplier, part type and month.
+# Price stand-in: mean log unit price per supplier, part type and month.
 def price_obs(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem").select(
         "l_partkey", F.col("l_suppkey").alias("market"), month_start("l_shipdate").alias("month"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit"),
     )
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("commodity"))
-    return items.join(parts, "l_partkey").groupBy("market", "commodity", "month").agg(F.round(F.avg("unit"), 6).alias("price"))
+    return items.join(parts, "l_partkey").groupBy("market", "commodity", "month").agg(F.avg(F.log("unit")).alias("price"))
 
 
 def prices_dense(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +113,7 @@ def prices_dense(spark: SparkSession, sf: str) -> DataFrame:
 
 PRICE_SQL = """pobs AS (
   SELECT l_suppkey AS market, p_type AS commodity, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
-         round(avg(l_extendedprice / l_quantity), 6) AS price
+         avg(ln(l_extendedprice / l_quantity)) AS price
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"""
 
 DENSE_SQL = PRICE_SQL + """,

@@ -180,14 +180,14 @@ def join_inner(spark, sf):
         "l_orderkey", "l_linenumber", "l_quantity", "p_brand")
 
 
-@query("merge_flag", """WITH a AS (SELECT o_orderkey, o_custkey AS k FROM orders WHERE o_custkey % 5 <> 0),
-  b AS (SELECT c_custkey AS k, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0)
+@query("merge_flag", """WITH a AS (SELECT o_orderkey, o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'),
+  b AS (SELECT c_custkey AS k, c_mktsegment FROM customer WHERE c_acctbal >= 0)
   SELECT coalesce(a.k, b.k) AS k, o_orderkey, c_mktsegment,
     CAST(CASE WHEN b.k IS NULL THEN 1 WHEN a.k IS NULL THEN 2 ELSE 3 END AS INTEGER) AS merge_mark
   FROM a FULL JOIN b ON a.k = b.k""")
 def merge_flag(spark, sf):
-    a = table(spark, sf, "orders").filter("o_custkey % 5 <> 0").select("o_orderkey", F.col("o_custkey").alias("k"))
-    b = table(spark, sf, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), "c_mktsegment")
+    a = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select("o_orderkey", F.col("o_custkey").alias("k"))
+    b = table(spark, sf, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("k"), "c_mktsegment")
     return joins.merge_flag(a, b, ["k"], "merge_mark")
 
 

@@ -1 +1,282 @@
+"""Distances, nearest joins, polygons, price imputation and price panels."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkpanel.functions.geodesy import albers_xy, geodesic_km, haversine_km as haversine
+from sparkpanel.operators import nearest
+from sparkpanel.operators.aggregates import share, weighted_agg
+from sparkpanel.operators.polygons import area_mean, point_in_polygon, ring_area as area_of
+from sparkpanel.plans import prices as pr
+from sparkpanel.queries.base import (
+    COORD_SQL, DENSE_SQL, PRICE_SQL, hav_sql, lat, lat_sql, lon, lon_sql, market_coords, price_obs, prices_dense, query,
+    rounded, table,
+)
+
+# ---- distances
+
+_CUST_SUPP = f"""cs AS (SELECT DISTINCT o_custkey, l_suppkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+pair AS (SELECT *, {lat_sql('o_custkey')} AS a, {lon_sql('o_custkey')} AS b, {lat_sql('l_suppkey')} AS c, {lon_sql('l_suppkey')} AS d FROM cs)"""
+
+
+def _trade_pairs(spark, sf):
+    o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    keys = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_suppkey").distinct()
+    return keys.withColumns({"a": lat("o_custkey"), "b": lon("o_custkey"), "c": lat("l_suppkey"), "d": lon("l_suppkey")})
+
+
+@query("haversine", f"WITH {_CUST_SUPP} SELECT o_custkey, l_suppkey, round({hav_sql('a', 'b', 'c', 'd')}, 6) AS km FROM pair")
+def haversine_q(spark, sf):
+    return _trade_pairs(spark, sf).select("o_custkey", "l_suppkey", F.round(haversine("a", "b", "c", "d"), 6).alias("km"))
+
+
+@query("geodesic")
+def geodesic(spark, sf):
+    return _trade_pairs(spark, sf).select("o_custkey", "l_suppkey", F.round(geodesic_km("a", "b", "c", "d"), 6).alias("km"))
+
+
+@query("albers")
+def albers(spark, sf):
+    x, y = albers_xy("lat", "lon")
+    return market_coords(spark, sf).select("market", F.round(x, 3).alias("x_m"), F.round(y, 3).alias("y_m"))
+
+
+# ---- nearest joins
+
+_NEAR = f"""{COORD_SQL}, cust AS (SELECT c_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer),
+near AS (SELECT c_custkey, market, round({hav_sql('u.lat', 'u.lon', 'm.lat', 'm.lon')}, 6) AS dist_km FROM cust u CROSS JOIN coords m
+  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY dist_km, market) = 1)"""
+
+
+def cust_points(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", lat("c_custkey").alias("lat"), lon("c_custkey").alias("lon"))
+
+
+@query("nearest_market", f"WITH {_NEAR} SELECT * FROM near")
+def nearest_market(spark, sf):
+    return nearest.nearest_join(cust_points(spark, sf), market_coords(spark, sf), "c_custkey", "market", right_name="market").drop("rank")
+
+
+def _ranked_sql(k: int) -> str:
+    return f"""{COORD_SQL}, ranks AS (SELECT a.market, b.market AS neighbour, round({hav_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS dist_km,
+    row_number() OVER (PARTITION BY a.market ORDER BY dist_km, b.market) AS rank FROM coords a JOIN coords b ON a.market <> b.market
+    QUALIFY rank <= {k})"""
+
+
+@query("neighbour_ranks", f"WITH {_ranked_sql(10)} SELECT market, neighbour, dist_km, CAST(rank AS INTEGER) AS rank FROM ranks")
+def neighbour_ranks(spark, sf):
+    return nearest.neighbours(market_coords(spark, sf), "market", 10)
+
+
+@query("topk_neighbours", f"""WITH {COORD_SQL}, cust AS (SELECT c_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer)
+  SELECT c_custkey, market, round({hav_sql('u.lat', 'u.lon', 'm.lat', 'm.lon')}, 6) AS dist_km,
+    CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY dist_km, market) AS INTEGER) AS rank FROM cust u CROSS JOIN coords m QUALIFY rank <= 3""")
+def topk_neighbours(spark, sf):
+    return nearest.nearest_join(cust_points(spark, sf), market_coords(spark, sf), "c_custkey", "market", k=3, right_name="market")
+
+
+@query("nearest_geodesic")
+def nearest_geodesic(spark, sf):
+    return nearest.nearest_join(
+        cust_points(spark, sf), market_coords(spark, sf), "c_custkey", "market", metric="geodesic", right_name="market").drop("rank")
+
+
+# ---- polygons: one concave five-cornered ring per nation on a 5 x 5 layout
+
+_W, _H = 0.6, 1.6
+_SHAPE = ((0.02, 0.03), (0.97, 0.05), (0.93, 0.96), (0.51, 0.47), (0.06, 0.94))
+
+
+def zone_rings(spark, sf):
+    x0 = F.lit(33.0) + (F.col("n_nationkey") % 5) * F.lit(_W)
+    y0 = F.lit(-17.0) + F.floor(F.col("n_nationkey") / 5) * F.lit(_H)
+    corners = [F.struct((x0 + dx * _W + 0.00137).alias("x"), (y0 + dy * _H + 0.00211).alias("y")) for dx, dy in _SHAPE]
+    return table(spark, sf, "nation").select(F.col("n_nationkey").alias("zone"), F.array(*corners).alias("ring"))
+
+
+_EDGES = ", ".join(
+    f"({i}, {_SHAPE[i][0]}::DOUBLE, {_SHAPE[i][1]}::DOUBLE, {_SHAPE[(i + 1) % 5][0]}::DOUBLE, {_SHAPE[(i + 1) % 5][1]}::DOUBLE)" for i in range(5))
+RING_SQL = f"""edges AS (SELECT n_nationkey AS zone,
+    33.0::DOUBLE + (n_nationkey % 5) * {_W}::DOUBLE + ax * {_W}::DOUBLE + 0.00137::DOUBLE AS ax, -17.0::DOUBLE + (n_nationkey // 5) * {_H}::DOUBLE + ay * {_H}::DOUBLE + 0.00211::DOUBLE AS ay,
+    33.0::DOUBLE + (n_nationkey % 5) * {_W}::DOUBLE + bx * {_W}::DOUBLE + 0.00137::DOUBLE AS bx, -17.0::DOUBLE + (n_nationkey // 5) * {_H}::DOUBLE + by_ * {_H}::DOUBLE + 0.00211::DOUBLE AS by_
+  FROM nation CROSS JOIN (VALUES {_EDGES}) v(i, ax, ay, bx, by_))"""
+
+
+def _inside_sql(points: str, key: str) -> str:
+    return f"""(SELECT {key}, zone FROM {points} CROSS JOIN edges
+      GROUP BY ALL HAVING sum(CASE WHEN (ay > lat) <> (by_ > lat) AND lon < ax + (lat - ay) * (bx - ax) / (by_ - ay) THEN 1 ELSE 0 END) % 2 = 1)"""
+
+
+@query("pip_zone", f"WITH {RING_SQL}, cust AS (SELECT c_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer) SELECT c_custkey, zone FROM {_inside_sql('cust', 'c_custkey')}")
+def pip_zone(spark, sf):
+    return point_in_polygon(cust_points(spark, sf), zone_rings(spark, sf)).select("c_custkey", "zone")
+
+
+@query("ring_area", f"WITH {RING_SQL} SELECT zone, round(abs(sum(ax * by_ - bx * ay)) / 2, 6) AS area FROM edges GROUP BY zone")
+def ring_area(spark, sf):
+    return zone_rings(spark, sf).select("zone", F.round(area_of("ring"), 6).alias("area"))
+
+
+# Gridded daily values: shipments at the position of their part, valued by quantity.
+@query("zonal_mean", f"""WITH {RING_SQL}, px AS (SELECT l_partkey, CAST(date_trunc('month', l_shipdate)::DATE AS VARCHAR) AS month, l_quantity, {lat_sql('l_partkey')} AS lat, {lon_sql('l_partkey')} AS lon FROM lineitem),
+  spot AS (SELECT DISTINCT l_partkey, lat, lon FROM px), ins AS {_inside_sql('spot', 'l_partkey')}
+  SELECT zone, month, round(avg(l_quantity), 6) AS mean, min(l_quantity) AS min, max(l_quantity) AS max, count(*) AS pixels FROM px JOIN ins USING (l_partkey) GROUP BY ALL""")
+def zonal_mean(spark, sf):
+    px = table(spark, sf, "lineitem").select(
+        F.trunc(F.to_date("l_shipdate"), "month").cast("string").alias("month"), "l_quantity", lat("l_partkey").alias("lat"), lon("l_partkey").alias("lon"))
+    return rounded(area_mean(px, zone_rings(spark, sf), "zone", "l_quantity", ["month"]), ["mean"])
+
+
+@query("catchment_weights", f"""WITH {COORD_SQL}, {RING_SQL}, px AS (SELECT p_partkey, p_size, {lat_sql('p_partkey')} AS lat, {lon_sql('p_partkey')} AS lon FROM part),
+  spots AS (SELECT lat, lon, sum(p_size) AS pop FROM px GROUP BY ALL), ins AS {_inside_sql('spots', 'lat, lon, pop')},
+  nr AS (SELECT u.lat, u.lon, market, round({hav_sql('u.lat', 'u.lon', 'm.lat', 'm.lon')}, 6) AS dk FROM (SELECT DISTINCT lat, lon FROM ins) u CROSS JOIN coords m
+    QUALIFY row_number() OVER (PARTITION BY u.lat, u.lon ORDER BY dk, market) = 1),
+  parts AS (SELECT zone, market, sum(pop) AS pop FROM ins JOIN nr USING (lat, lon) GROUP BY ALL)
+  SELECT zone, market, round(CAST(pop AS DOUBLE) / sum(pop) OVER (PARTITION BY zone), 6) AS weight FROM parts""")
+def catchment_weights(spark, sf):
+    px = table(spark, sf, "part").select("p_size", lat("p_partkey").alias("lat"), lon("p_partkey").alias("lon"))
+    return rounded(pr.catchment_weights(px, zone_rings(spark, sf), market_coords(spark, sf), "zone", "p_size"), ["weight"])
+
+
+# ---- prices
+
+_WEIGHT = """weights AS (SELECT s_suppkey AS market, s_nationkey AS zone, CASE WHEN count(*) OVER w = 1 THEN 1.0::DOUBLE ELSE coalesce(s_acctbal / nullif(sum(s_acctbal) OVER w, 0), 0) END AS weight
+  FROM supplier WINDOW w AS (PARTITION BY s_nationkey))"""
+
+
+def weights(spark, sf):
+    supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("market"), F.col("s_nationkey").alias("zone"), "s_acctbal")
+    return share(supp, ["zone"], "s_acctbal", "weight").select("market", "zone", "weight")
+
+
+def _month_text(df):
+    return df.withColumn("month", F.col("month").cast("string"))
+
+
+@query("thin_flag", f"WITH {DENSE_SQL} SELECT market, commodity, CAST(month AS VARCHAR) AS month, CAST(price IS NULL AS INTEGER) AS thin FROM dense")
+def thin_flag(spark, sf):
+    return _month_text(pr.thin_flag(prices_dense(spark, sf)).drop("price"))
+
+
+@query("thin_rate", """WITH w AS (SELECT l_suppkey AS market, CAST(date_trunc('week', l_shipdate) AS DATE) AS week, avg(l_extendedprice) AS price FROM lineitem GROUP BY ALL),
+  g AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS DATE) AS week FROM (SELECT min(week) AS lo, max(week) AS hi FROM w)),
+  d AS (SELECT m.market, g.week, w.price FROM (SELECT DISTINCT market FROM w) m CROSS JOIN g LEFT JOIN w ON w.market = m.market AND w.week = g.week)
+  SELECT market, CAST(date_trunc('month', week)::DATE AS VARCHAR) AS month, round(avg(CASE WHEN price IS NULL THEN 1.0::DOUBLE ELSE 0 END), 6) AS thin_rate FROM d GROUP BY ALL""")
+def thin_rate(spark, sf):
+    from sparkpanel.operators.windows import dense_grid
+
+    weekly = table(spark, sf, "lineitem").groupBy(
+        F.col("l_suppkey").alias("market"), F.trunc(F.to_date("l_shipdate"), "week").alias("week")).agg(F.avg("l_extendedprice").alias("price"))
+    dense = dense_grid(weekly, ["market"], "week", "7 days").join(weekly, ["market", "week"], "left")
+    dense = dense.withColumn("month", F.trunc("week", "month").cast("string"))
+    return rounded(pr.thin_rate(dense, ["market", "month"]), ["thin_rate"])
+
+
+_FILL = f"""{DENSE_SQL}, {COORD_SQL}, lists AS (SELECT a.market, b.market AS donor, round({hav_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS dist_km FROM coords a JOIN coords b ON a.market <> b.market),
+given AS (SELECT d.market, d.commodity, d.month, arg_min(o.price, (dist_km, donor)) AS price, arg_min(donor, (dist_km, donor)) AS donor
+  FROM dense d JOIN lists USING (market) JOIN pobs o ON o.market = donor AND o.commodity = d.commodity AND o.month = d.month WHERE d.price IS NULL GROUP BY ALL)"""
+
+
+@query("spatial_fill", f"""WITH {_FILL} SELECT d.market, d.commodity, CAST(d.month AS VARCHAR) AS month, round(coalesce(d.price, g.price), 6) AS price, g.donor
+  FROM dense d LEFT JOIN given g ON g.market = d.market AND g.commodity = d.commodity AND g.month = d.month""")
+def spatial_fill(spark, sf):
+    return rounded(_month_text(pr.spatial_fill(prices_dense(spark, sf), market_coords(spark, sf)).drop("dist_km")), ["price"])
+
+
+def _cascade_sql(k: int) -> str:
+    steps, prev = [], "dense"
+    for i in range(1, k + 1):
+        steps.append(f"""c{i} AS (SELECT p.market, p.commodity, p.month, coalesce(p.price, q.price) AS price FROM {prev} p
+          LEFT JOIN ranks r ON r.market = p.market AND r.rank = {i} LEFT JOIN {prev} q ON q.market = r.neighbour AND q.commodity = p.commodity AND q.month = p.month)""")
+        prev = f"c{i}"
+    return ", ".join(steps)
+
+
+@query("spatial_fill_cascade", f"""WITH {DENSE_SQL}, {_ranked_sql(4)}, {_cascade_sql(4)} SELECT market, commodity, CAST(month AS VARCHAR) AS month, round(price, 6) AS price FROM c4""")
+def spatial_fill_cascade(spark, sf):
+    return rounded(_month_text(pr.spatial_fill(prices_dense(spark, sf), market_coords(spark, sf), "cascade", 4)), ["price"])
+
+
+@query("spatial_fill_median", f"""WITH {DENSE_SQL}, {_ranked_sql(5)}, g AS (SELECT d.market, d.commodity, d.month, quantile_cont(o.price, 0.5) AS price
+    FROM dense d JOIN ranks r USING (market) JOIN pobs o ON o.market = r.neighbour AND o.commodity = d.commodity AND o.month = d.month WHERE d.price IS NULL GROUP BY ALL)
+  SELECT d.market, d.commodity, CAST(d.month AS VARCHAR) AS month, round(coalesce(d.price, g.price), 6) AS price
+  FROM dense d LEFT JOIN g ON g.market = d.market AND g.commodity = d.commodity AND g.month = d.month""")
+def spatial_fill_median(spark, sf):
+    return rounded(_month_text(pr.spatial_fill_median(prices_dense(spark, sf), market_coords(spark, sf), 5)), ["price"])
+
+
+@query("missing_by_k", f"""WITH {DENSE_SQL}, {_ranked_sql(6)}, f AS (SELECT d.market, d.commodity, d.month, min(r.rank) AS k FROM dense d JOIN ranks r USING (market)
+    JOIN pobs o ON o.market = r.neighbour AND o.commodity = d.commodity AND o.month = d.month WHERE d.price IS NULL GROUP BY ALL)
+  SELECT CAST(s.k AS INTEGER) AS k, (SELECT count(*) FROM dense WHERE price IS NULL) - (SELECT count(*) FROM f WHERE f.k <= s.k) AS missing FROM range(1, 7) s(k)""")
+def missing_by_k(spark, sf):
+    return pr.missing_by_k(prices_dense(spark, sf), market_coords(spark, sf), 6)
+
+
+_BIG = """big AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders WHERE o_totalprice > 450000 GROUP BY ALL)"""
+
+
+@query("donor_fill", f"""WITH {_BIG}, cust AS (SELECT c_custkey AS o_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer),
+  h AS (SELECT * FROM cust WHERE o_custkey IN (SELECT o_custkey FROM big)), l AS (SELECT * FROM cust WHERE o_custkey NOT IN (SELECT o_custkey FROM big)),
+  d AS (SELECT l.o_custkey, h.o_custkey AS donor, round({hav_sql('l.lat', 'l.lon', 'h.lat', 'h.lon')}, 6) AS dk FROM l CROSS JOIN h QUALIFY row_number() OVER (PARTITION BY l.o_custkey ORDER BY dk, h.o_custkey) = 1)
+  SELECT o_custkey, CAST(month AS VARCHAR) AS month, n, o_custkey AS donor FROM big
+  UNION ALL SELECT d.o_custkey, CAST(month AS VARCHAR), n, d.donor FROM d JOIN big ON big.o_custkey = d.donor""")
+def donor_fill(spark, sf):
+    # Customers without a large order have no series of their own.
+    series = table(spark, sf, "orders").filter("o_totalprice > 450000").groupBy(
+        "o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    return _month_text(pr.donor_fill(series, cust_points(spark, sf).withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"))
+
+
+@query("weighted_price", f"""WITH {PRICE_SQL}, {_WEIGHT} SELECT zone, commodity, CAST(month AS VARCHAR) AS month, round(sum(price * weight), 6) AS weighted, round(avg(price), 6) AS plain
+  FROM pobs JOIN weights USING (market) GROUP BY ALL""")
+def weighted_price(spark, sf):
+    joined = price_obs(spark, sf).join(weights(spark, sf), "market")
+    keys = ["zone", "commodity", "month"]
+    both = weighted_agg(joined, keys, "price", "weight", "weighted").join(weighted_agg(joined, keys, "price", None, "plain"), keys)
+    return rounded(_month_text(both), ["weighted", "plain"])
+
+
+@query("zone_price_join", f"""WITH {DENSE_SQL}, {_WEIGHT} SELECT zone, commodity, CAST(month AS VARCHAR) AS month,
+  round(CASE WHEN count(price) = count(*) THEN sum(price * weight) END, 6) AS zone_price FROM dense JOIN weights USING (market) GROUP BY ALL""")
+def zone_price_join(spark, sf):
+    return rounded(_month_text(pr.zone_price(prices_dense(spark, sf), weights(spark, sf))), ["zone_price"])
+
+
+@query("point_price", f"""WITH {PRICE_SQL}, {_NEAR} SELECT c_custkey, market, dist_km, commodity, CAST(month AS VARCHAR) AS month, round(price, 6) AS price FROM near JOIN pobs USING (market)""")
+def point_price(spark, sf):
+    return rounded(_month_text(pr.point_price(cust_points(spark, sf), market_coords(spark, sf), price_obs(spark, sf), "c_custkey")), ["price"])
+
+
+_KINDS = {"PROMO": "maize", "LARGE": "rice", "SMALL": "nuts", "MEDIUM": "beans"}
+
+
+@query("price_panel", f"""WITH {_FILL}, full_ AS (SELECT d.market, d.commodity, d.month, coalesce(d.price, g.price) AS price, CAST(d.price IS NULL AS INTEGER) AS thin
+    FROM dense d LEFT JOIN given g ON g.market = d.market AND g.commodity = d.commodity AND g.month = d.month), {_WEIGHT},
+  z AS (SELECT zone, commodity, month, CASE WHEN count(price) = count(*) THEN sum(price * weight) END AS price, sum(thin * weight) AS thin FROM full_ JOIN weights USING (market) GROUP BY ALL),
+  c AS (SELECT market, month, {', '.join(f"max(price) FILTER (commodity = '{v}') AS clust_{n}_price, max(thin) FILTER (commodity = '{v}') AS clust_{n}_mktthin" for v, n in _KINDS.items())} FROM full_ GROUP BY ALL),
+  l AS (SELECT zone, month, {', '.join(f"max(price) FILTER (commodity = '{v}') AS lhz_{n}_price, max(thin) FILTER (commodity = '{v}') AS lhz_{n}_mktthin" for v, n in _KINDS.items())} FROM z GROUP BY ALL)
+  SELECT c.market, zone, CAST(c.month AS VARCHAR) AS month, {', '.join(f"round(clust_{n}_price, 6) AS clust_{n}_price, clust_{n}_mktthin, round(lhz_{n}_price, 6) AS lhz_{n}_price, round(lhz_{n}_mktthin, 6) AS lhz_{n}_mktthin" for n in _KINDS.values())}
+  FROM c JOIN weights USING (market) JOIN l USING (zone, month)""")
+def price_panel(spark, sf):
+    dense = prices_dense(spark, sf)
+    filled = pr.spatial_fill(dense, market_coords(spark, sf)).withColumn("thin", F.col("donor").isNotNull().cast("int")).drop("donor", "dist_km")
+    w = weights(spark, sf)
+    clust = pr.price_panel(filled, ["market", "month"], _KINDS, "price", "clust")
+    lhz = pr.price_panel(pr.zone_price_thin(filled, w), ["zone", "month"], _KINDS, "price", "lhz")
+    out = clust.join(w.select("market", "zone"), "market").join(lhz, ["zone", "month"])
+    return rounded(_month_text(out), [f"{p}_{n}_price" for p in ("clust", "lhz") for n in _KINDS.values()] + [f"lhz_{n}_mktthin" for n in _KINDS.values()])
+
+
+# A coarse source: one station per supplier nation and a national row, monthly.
+@query("station_price")
+def station_price(spark, sf):
+    supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("market"), F.col("s_nationkey").cast("string").alias("station"))
+    obs = price_obs(spark, sf).join(supp, "market")
+    rows = obs.groupBy(F.col("station").alias("market"), "commodity", "month").agg(F.avg("price").alias("price"))
+    national = obs.groupBy("commodity", "month").agg(F.avg("price").alias("price")).withColumn("market", F.lit("national"))
+    coords = market_coords(spark, sf).join(supp, "market").groupBy(F.col("station").alias("market")).agg(
+        F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+    stations = pr.dense_prices(rows.unionByName(national))
+    out = pr.station_price(stations, coords, cust_points(spark, sf), "c_custkey", "PROMO", "national")
+    return rounded(_month_text(out), ["price", "price_lag"])

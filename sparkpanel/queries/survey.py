@@ -1 +1,228 @@
+"""Household scores and the household and cluster panels."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkpanel.operators.aggregates import collapse_mean
+from sparkpanel.plans import panel, scores
+from sparkpanel.queries.base import PRICE_SQL, lat, lat_sql, price_obs, query, rounded, table
+from sparkpanel.queries.weather import PANEL_SQL, season_table
+
+
+def food_items(spark, sf):
+    """Item rows per household: ten food groups by part, days 0 to 8 by quantity."""
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("hh"), (F.col("l_partkey") % 10 + 1).cast("int").alias("code"),
+        (F.col("l_quantity").cast("int") % 9).alias("days"),
+    )
+
+
+GROUP_SQL = """grp AS (SELECT hh, g, max(d) AS d FROM (
+  SELECT l_orderkey AS hh, CASE WHEN l_partkey % 10 < 2 THEN 'AB' ELSE chr(CAST(65 + l_partkey % 10 AS INTEGER)) END AS g,
+    CASE WHEN CAST(l_quantity AS INTEGER) % 9 = 8 THEN 7 ELSE CAST(l_quantity AS INTEGER) % 9 END AS d FROM lineitem) GROUP BY hh, g),
+fcs AS (SELECT hh, sum(d * CASE g WHEN 'AB' THEN 2 WHEN 'C' THEN 3 WHEN 'D' THEN 1 WHEN 'E' THEN 4 WHEN 'F' THEN 1 WHEN 'G' THEN 4
+  WHEN 'H' THEN 0.5::DOUBLE WHEN 'I' THEN 0.5::DOUBLE ELSE 0 END) AS FCS,
+  count(*) FILTER (g NOT IN ('I', 'J') AND d >= 1) AS HDDS FROM grp GROUP BY hh)"""
+
+
+def lettered(spark, sf):
+    return scores.letter_groups(food_items(spark, sf), "code", "group")
+
+
+@query("fcs", f'WITH {GROUP_SQL} SELECT hh, FCS AS "FCS" FROM fcs')
+def fcs(spark, sf):
+    return scores.food_consumption_score(lettered(spark, sf), "hh", "group", "days")
+
+
+@query("hdds", f'WITH {GROUP_SQL} SELECT hh, HDDS AS "HDDS" FROM fcs')
+def hdds(spark, sf):
+    return scores.dietary_diversity(lettered(spark, sf), "hh", "group", "days")
+
+
+def coping(spark, sf):
+    """Five answers 0 to 7 per order; the last is missing for low priority orders."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return table(spark, sf, "orders").select(
+        "o_orderkey", (k % 8).alias("h02a"), (c % 8).alias("h02b"), (k * 7 % 8).alias("h02c"), (c * 3 % 8).alias("h02d"),
+        F.when(F.col("o_orderpriority") != "5-LOW", (k + c) % 8).alias("h02e"))
+
+
+_ANSWERS = ["h02a", "h02b", "h02c", "h02d", "h02e"]
+_COPING = """cop AS (SELECT o_orderkey, o_orderkey % 8 + o_custkey % 8 + 2 * (o_orderkey * 7 % 8) + 2 * (o_custkey * 3 % 8)
+  + 2 * CASE WHEN o_orderpriority <> '5-LOW' THEN (o_orderkey + o_custkey) % 8 END AS s FROM orders)"""
+
+
+@query("rcsi", f"""WITH {_COPING} SELECT o_orderkey, CASE WHEN s IS NOT NULL THEN least(s, 42) END AS "rCSI", least(coalesce(s, 42), 42) AS "rCSI_stata" FROM cop""")
+def rcsi(spark, sf):
+    out = scores.coping_index(coping(spark, sf), _ANSWERS)
+    return scores.coping_index(out, _ANSWERS, name="rCSI_stata", stata_missing=True).select("o_orderkey", "rCSI", "rCSI_stata")
+
+
+@query("mahfp", """WITH m AS (SELECT o_custkey AS hh, max(CASE WHEN c_acctbal > 0 THEN 1 ELSE 2 END) AS gate, count(DISTINCT month(o_orderdate)) FILTER (o_totalprice < 150000) AS marks
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey)
+  SELECT hh, CAST(12 - CASE WHEN gate = 1 THEN marks ELSE 0 END AS INTEGER) AS "MAHFP" FROM m""")
+def mahfp(spark, sf):
+    # A month is marked when the customer had a small order in it.
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_acctbal") > 0, 1).otherwise(2).alias("gate"))
+    small = F.col("o_totalprice") < 150000
+    marks = [F.max(F.when(small & (F.month("o_orderdate") == m), "X")).alias(f"m{m:02d}") for m in range(1, 13)]
+    wide = table(spark, sf, "orders").join(cust, "o_custkey").groupBy(F.col("o_custkey").alias("hh")).agg(F.max("gate").alias("gate"), *marks)
+    return scores.months_adequate(wide, [f"m{m:02d}" for m in range(1, 13)], "gate").select("hh", "MAHFP")
+
+
+@query("top_reasons", """WITH u AS (SELECT 'first' AS question, CAST(l_linenumber AS BIGINT) AS reason FROM lineitem UNION ALL SELECT 'second', l_partkey % 9 + 1 FROM lineitem),
+  c AS (SELECT question, reason, count(*) AS n FROM u GROUP BY ALL)
+  SELECT question, reason, n, CAST(row_number() OVER (PARTITION BY question ORDER BY n DESC, reason) AS INTEGER) AS rank FROM c QUALIFY rank <= 3""")
+def top_reasons(spark, sf):
+    li = table(spark, sf, "lineitem").select(F.col("l_linenumber").cast("bigint").alias("first"), (F.col("l_partkey") % 9 + 1).alias("second"))
+    return scores.rank_reasons(li, ["first", "second"])
+
+
+_CODES = scores.ASSET_CODES
+
+
+def asset_items(spark, sf):
+    codes = F.array(*[F.lit(c) for c in _CODES])
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("hh"), F.get(codes, (F.col("l_partkey") % 6).cast("int")).alias("code"),
+        (F.col("l_quantity").cast("int") % 3).alias("qty"))
+
+
+@query("asset_dummies", "SELECT l_orderkey AS hh, " + ", ".join(
+    f"CAST(coalesce(sum(CAST(l_quantity AS INTEGER) % 3) FILTER (l_partkey % 6 = {i}), 0) <> 0 AS INTEGER) AS asset_{c}" for i, c in enumerate(_CODES)
+) + " FROM lineitem GROUP BY l_orderkey")
+def asset_dummies(spark, sf):
+    return scores.asset_dummies(asset_items(spark, sf), "hh", "code", "qty")
+
+
+@query("asset_index")
+def asset_index(spark, sf):
+    wide = asset_dummies(spark, sf)
+    cols = [f"asset_{c}" for c in _CODES]
+    out = scores.asset_index(wide, cols, "rotated")
+    return rounded(scores.asset_index(out, cols, "unrotated", rotate=False).select("hh", "rotated", "unrotated"), ["rotated", "unrotated"])
+
+
+@query("land_share", """SELECT p_partkey, CASE WHEN p_size IN (20, 30) THEN 0.6::DOUBLE WHEN p_size = 14 THEN 1 ELSE 0 END AS percent_ag,
+  CAST(p_size IN (5, 6, 7) AS INTEGER) AS terrain_rough, 0 AS terrain_published, CAST(p_size = 2 AS INTEGER) AS moderate FROM part""")
+def land_share(spark, sf):
+    return table(spark, sf, "part").select(
+        "p_partkey", scores.land_share("p_size").alias("percent_ag"), scores.terrain_rough("p_size", (5, 6, 7)).alias("terrain_rough"),
+        scores.terrain_rough("p_size", (5, 6, 7), strict_reference=True).alias("terrain_published"),
+        scores.nutrient_flags("p_size")["nutri_moderate_constraint"].alias("moderate"))
+
+
+@query("region_fill", f"""WITH b AS (SELECT c_custkey AS ea_id, {lat_sql('c_custkey')} AS lat, CASE WHEN o_orderstatus = 'P' THEN '' WHEN c_nationkey < 9 THEN 'South' WHEN c_nationkey < 17 THEN 'Central' ELSE 'North' END AS region,
+    CAST(year(o_orderdate) AS INTEGER) AS FS_year FROM orders JOIN customer ON o_custkey = c_custkey),
+  k AS (SELECT ea_id, FS_year, min(nullif(region, '')) AS label, avg(lat) AS lat FROM b GROUP BY ALL),
+  l AS (SELECT min(lat) AS lo, (max(lat) - min(lat)) / 3 AS w FROM k WHERE label IS NULL)
+  SELECT ea_id, FS_year AS "FS_year", coalesce(label, CASE WHEN lat <= lo + w THEN 'South' WHEN lat <= lo + w * 2 THEN 'Central' ELSE 'North' END) AS region FROM k, l""")
+def region_fill(spark, sf):
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("ea_id"), "c_nationkey")
+    n = F.col("c_nationkey")
+    region = F.when(F.col("o_orderstatus") == "P", "").when(n < 9, "South").when(n < 17, "Central").otherwise("North")
+    base = table(spark, sf, "orders").withColumnRenamed("o_custkey", "ea_id").join(cust, "ea_id").select(
+        "ea_id", F.year("o_orderdate").alias("FS_year"), region.alias("region"), lat("ea_id").alias("lat"))
+    return scores.region_fill(base, ["ea_id", "FS_year"], "region", "lat")
+
+
+# ---- household master: orders as households, customers as clusters, nations as zones
+
+HH_SQL = f"""{GROUP_SQL}, {_COPING},
+hhb AS (SELECT o.o_orderkey AS case_id, o_custkey AS ea_id, c_nationkey AS zone, concat(c_nationkey, '_', c_mktsegment) AS TA_names, r_name AS region,
+    CAST(year(o_orderdate) AS INTEGER) AS FS_year, CAST((o_custkey + year(o_orderdate)) % 12 + 1 AS INTEGER) AS FS_month,
+    make_date(year(o_orderdate), (o_custkey + year(o_orderdate)) % 12 + 1, 1) AS month, FCS, HDDS, CASE WHEN s IS NOT NULL THEN least(s, 42) END AS rCSI,
+    1 + o.o_orderkey % 9 AS hhsize, 20 + o.o_orderkey * 7 % 50 AS hh_age, o.o_orderkey % 2 AS hh_gender, ln(o_totalprice) AS asset,
+    CAST(o_orderstatus = 'F' AS INTEGER) AS roof_natural_inverse, o.o_orderkey % 4 AS number_celphones, o_custkey * 13 % 2000 AS elevation,
+    o_custkey * 29 % 100 AS dist_road, o_custkey * 31 % 50 AS dist_admarc, c_acctbal / 10000 AS percent_ag, CAST(o_custkey % 3 = 1 AS INTEGER) AS nutri
+  FROM orders o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  LEFT JOIN fcs ON fcs.hh = o.o_orderkey LEFT JOIN cop ON cop.o_orderkey = o.o_orderkey)"""
+
+
+def households(spark, sf):
+    cust = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    key, ea = F.col("o_orderkey"), F.col("o_custkey")
+    year = F.year("o_orderdate")
+    month = ((ea + year) % 12 + 1).cast("int")
+    food = lettered(spark, sf)
+    both = scores.food_consumption_score(food, "hh", "group", "days").join(scores.dietary_diversity(food, "hh", "group", "days"), "hh")
+    cope = scores.coping_index(coping(spark, sf), _ANSWERS).select(F.col("o_orderkey").alias("case_id"), "rCSI")
+    base = table(spark, sf, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey")).select(
+        key.alias("case_id"), ea.alias("ea_id"), F.col("c_nationkey").alias("zone"), F.concat_ws("_", "c_nationkey", "c_mktsegment").alias("TA_names"),
+        F.col("r_name").alias("region"), year.alias("FS_year"), month.alias("FS_month"), F.make_date(year, month, F.lit(1)).alias("month"),
+        (1 + key % 9).alias("hhsize"), (20 + key * 7 % 50).alias("hh_age"), (key % 2).alias("hh_gender"), F.log("o_totalprice").alias("asset"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("roof_natural_inverse"), (key % 4).alias("number_celphones"), (ea * 13 % 2000).alias("elevation"),
+        (ea * 29 % 100).alias("dist_road"), (ea * 31 % 50).alias("dist_admarc"), (F.col("c_acctbal") / 10000).alias("percent_ag"), (ea % 3 == 1).cast("int").alias("nutri"))
+    return base.join(both.withColumnRenamed("hh", "case_id"), "case_id", "left").join(cope, "case_id", "left")
+
+
+ZONE_PRICE_SQL = f"""{PRICE_SQL}, zp AS (SELECT s_nationkey AS zone, month, avg(price) AS maize, CAST(count(*) AS DOUBLE) AS maize_mktthin
+  FROM pobs JOIN supplier ON market = s_suppkey WHERE commodity = 'PROMO' GROUP BY ALL)"""
+
+
+def zone_prices(spark, sf):
+    supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("market"), F.col("s_nationkey").alias("zone"))
+    return price_obs(spark, sf).filter("commodity = 'PROMO'").join(supp, "market").groupBy("zone", "month").agg(
+        F.avg("price").alias("maize"), F.count(F.lit(1)).cast("double").alias("maize_mktthin"))
+
+
+_WEATHER = ["raincytot", "day1rain", "maxdaysnorain", "floodmax", "tmean", "gdd", "heatdays"]
+ZONE_SEASON_SQL = f"""{PANEL_SQL}, zs AS (SELECT zone, FS_year, {', '.join(f'avg({c}) AS {c}' for c in _WEATHER)} FROM season_tab GROUP BY ALL)"""
+
+
+def zone_seasons(spark, sf):
+    return collapse_mean(season_table(spark, sf).select("zone", "FS_year", *_WEATHER), ["zone", "FS_year"])
+
+
+MASTER_SQL = f"""{HH_SQL}, {ZONE_PRICE_SQL}, {ZONE_SEASON_SQL},
+master AS (SELECT h.*, p.maize AS maize_current, p.maize_mktthin AS maize_mktthin_current, q.maize AS maize_lag, q.maize_mktthin AS maize_mktthin_lag,
+    {', '.join(_WEATHER)} FROM hhb h LEFT JOIN zp p ON p.zone = h.zone AND p.month = h.month LEFT JOIN zp q ON q.zone = h.zone AND q.month + INTERVAL 1 MONTH = h.month
+  LEFT JOIN zs ON zs.zone = h.zone AND zs.FS_year = h.FS_year WHERE p.maize IS NOT NULL AND raincytot IS NOT NULL)"""
+
+
+def master(spark, sf):
+    return panel.hh_panel(households(spark, sf), zone_prices(spark, sf), zone_seasons(spark, sf), ["zone"], ["zone", "FS_year"],
+                          required=["zone", "maize_current", "raincytot"])
+
+
+@query("hh_panel", f"""WITH {MASTER_SQL} SELECT case_id, ea_id, zone, TA_names AS "TA_names", region, FS_year AS "FS_year", FS_month AS "FS_month",
+  FCS AS "FCS", HDDS AS "HDDS", rCSI AS "rCSI", round(maize_current, 6) AS maize_current, round(maize_lag, 6) AS maize_lag, round(raincytot, 6) AS raincytot,
+  round(day1rain, 6) AS day1rain, round(maxdaysnorain, 6) AS maxdaysnorain, round(floodmax, 6) AS floodmax, round(tmean, 6) AS tmean FROM master""")
+def hh_panel(spark, sf):
+    cols = ["maize_current", "maize_lag", "raincytot", "day1rain", "maxdaysnorain", "floodmax", "tmean"]
+    return rounded(master(spark, sf).select(
+        "case_id", "ea_id", "zone", "TA_names", "region", "FS_year", "FS_month", "FCS", "HDDS", "rCSI", *cols), cols)
+
+
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+_TA = ["maize_current", "maize_mktthin_current", "raincytot", "day1rain", "maxdaysnorain", "floodmax", "tmean", "gdd", "heatdays"]
+
+
+def clusters(spark, sf):
+    hh = master(spark, sf).drop("case_id", "month")
+    return panel.cluster_panel(hh, "ea_id", "FS_year", "FS_month", ["TA_names", "zone", "region"], "TA_names", _TA, "region", REGIONS)
+
+
+def _q(n: int, m: str = "FS_month") -> str:
+    return f"CAST({m} BETWEEN {3 * n - 2} AND {3 * n} AS INTEGER)"
+
+
+CLUSTER_SQL = f"""{MASTER_SQL},
+cl AS (SELECT ea_id, FS_year, any_value(TA_names) AS TA_names, any_value(zone) AS zone, any_value(region) AS region, avg(FS_month) AS FS_month,
+    avg(FCS) AS FCS, ln(avg(FCS)) AS logFCS, avg(HDDS) AS HDDS, avg(rCSI) AS rCSI, avg(raincytot) / 1000 AS raincytot, avg(elevation) / 1000 AS elevation,
+    avg(maize_current) AS maize_current, avg(day1rain) AS day1rain, avg(hhsize) AS hhsize, avg(hh_age) AS hh_age FROM master GROUP BY ea_id, FS_year),
+cl2 AS (SELECT *, avg(maize_current) OVER w AS TA_maize_current, avg(raincytot) OVER w AS TA_raincytot, avg(day1rain) OVER w AS TA_day1rain FROM cl WINDOW w AS (PARTITION BY TA_names, FS_year))"""
+
+_CL = ["FCS", "logFCS", "HDDS", "rCSI", "raincytot", "elevation", "maize_current", "day1rain", "hhsize", "hh_age", "TA_maize_current", "TA_raincytot", "TA_day1rain"]
+
+
+@query("cluster_panel", f"""WITH {CLUSTER_SQL} SELECT ea_id, FS_year AS "FS_year", TA_names AS "TA_names", zone, region, {', '.join(f'round({c}, 6) AS "{c}"' for c in _CL)},
+  {', '.join(f'{_q(n)} AS quarter{n}' for n in range(1, 5))}, CAST(FS_month = 7 AS INTEGER) AS month7, {', '.join(f'CAST(region = {chr(39)}{r}{chr(39)} AS INTEGER) AS "region_{r}"' for r in REGIONS)},
+  {', '.join(f'{_q(n)} * CAST(region = {chr(39)}ASIA{chr(39)} AS INTEGER) AS "quarter{n}_region_ASIA"' for n in range(1, 5))} FROM cl2""")
+def cluster_panel(spark, sf):
+    out = clusters(spark, sf).select(
+        "ea_id", "FS_year", "TA_names", "zone", "region", *_CL, *[f"quarter{n}" for n in range(1, 5)], "month7",
+        *[f"region_{r}" for r in REGIONS], *[f"quarter{n}_region_ASIA" for n in range(1, 5)])
+    return rounded(out, _CL)
