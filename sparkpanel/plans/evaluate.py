@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,38 @@ def score_classes(df: DataFrame, pred: str, actual: str, measure: str, by: list[
     )
 
 
+def score_measures(
+    df: DataFrame, pred: str, actual: str, measure: str, by: list[str], measures: Sequence[str]
+) -> DataFrame:
+    """``score_classes`` and squared correlation of long pairs of several measures, in one aggregate."""
+
+    def ranked(col: str) -> Column:
+        expr = F
+        for m in measures:
+            expr = expr.when(F.col(measure) == m, class_rank(col, m))
+        return expr
+
+    low = F.col(measure).isin([m for m in measures if not HIGH_IS_SECURE[m]])
+    both = F.col(pred).isNotNull() & F.col(actual).isNotNull()
+    rows = df.select(
+        *by, measure, F.when(both, F.col(pred)).alias("_x"), F.when(both, F.col(actual)).alias("_y"),
+        ranked(pred).alias("_p"), ranked(actual).alias("_a"), F.when(low, -1).otherwise(1).alias("_dir"),
+    )
+    known = F.col("_p").isNotNull() & F.col("_a").isNotNull()
+    more = F.col("_p") * F.col("_dir") > F.col("_a") * F.col("_dir")
+    less = F.col("_p") * F.col("_dir") < F.col("_a") * F.col("_dir")
+    near = F.col("_p").isin(2, 3) & (F.col("_dir") == 1) | F.col("_p").isin(1, 2) & (F.col("_dir") == -1)
+    base = known & (F.col("_a") == 2) & near
+    return rows.groupBy(*by, measure).agg(
+        F.pow(F.corr("_x", "_y"), F.lit(2.0)).alias("r2"),
+        F.avg(F.when(known, (F.col("_p") == F.col("_a")).cast("double"))).alias("accuracy"),
+        F.avg(F.when(known, less.cast("double"))).alias("type1"),
+        F.avg(F.when(known, more.cast("double"))).alias("type2"),
+        (F.count_if(base & (F.col("_p") == 2)) / F.nullif(F.count_if(base), F.lit(0))).alias("recall"),
+        F.count_if(known).alias("pairs"),
+    )
+
+
 def secure_side(rank: Column, measure: str) -> Column:
     """secure / insecure label of a class number."""
     last = len(labels(measure))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from sparkpanel.operators.aggregates import attach
 from sparkpanel.operators.reshape import dummies
 from sparkpanel.operators.skew import ordinal
-from sparkpanel.plans.evaluate import score_classes
+from sparkpanel.plans.evaluate import score_measures
 
 # A regressor is aliased when what earlier ones leave of it is below this part of its norm.
 ALIAS_TOL = 1e-7
@@ -192,7 +192,8 @@ def solve_ols(gram: Gram, spec: ModelSpec) -> OlsFit:
     intercept = gram.shift[p] + mean[p] - b @ centre
     names = [spec.xs[j] for j in kept]
     se = np.sqrt(sigma2 * np.diag(inv)) if kept else np.array([])
-    se0 = math.sqrt(sigma2 * (1 / n + centre @ inv @ centre)) if dof > 0 else float("nan")
+    se0 = math.sqrt(float(sigma2 * (1 / n + centre @ inv @ centre))) if dof > 0 else float("nan")
+    sse, sst = float(sse), float(sst)
     r2 = 1 - sse / sst if sst > 0 else float("nan")
     adj = 1 - (1 - r2) * (n - 1) / dof if dof > 0 else float("nan")
     return OlsFit(
@@ -271,12 +272,7 @@ def sweep(splits: dict[str, tuple[DataFrame, DataFrame]], sets: dict[str, Sequen
     for split, (train, test) in splits.items():
         specs = [ModelSpec(n, y, tuple(xs)) for y in measures for n, xs in sets.items()]
         pairs = predict(test, fit_all(train, specs), keys)
-        r2 = pairs.filter("actual IS NOT NULL AND predict IS NOT NULL").groupBy("model", "y").agg(
-            F.pow(F.corr("predict", "actual"), F.lit(2.0)).alias("r2")
-        )
-        for y in measures:
-            scored = score_classes(pairs.filter(F.col("y") == y), "predict", "actual", y, ["model"])
-            parts.append(scored.join(r2.filter(F.col("y") == y), "model").withColumn("split", F.lit(split)))
+        parts.append(score_measures(pairs, "predict", "actual", "y", ["model"], measures).withColumn("split", F.lit(split)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -426,10 +422,15 @@ def elastic_net_cv(
     )
 
 
-_log_cdf = np.frompyfunc(
-    lambda z: math.log(0.5 * math.erfc(-z / math.sqrt(2))) if z > -30
-    else -0.5 * z * z - math.log(-z) - 0.5 * math.log(2 * math.pi) + math.log1p(-1 / (z * z)), 1, 1,
-)
+def _log_normal_cdf(z: np.ndarray) -> np.ndarray:
+    """Logarithm of the normal distribution function, by its tail series far left."""
+    out = np.empty(len(z))
+    for i, v in enumerate(z):
+        if v > -30:
+            out[i] = math.log(0.5 * math.erfc(-v / math.sqrt(2)))
+        else:
+            out[i] = -0.5 * v * v - math.log(-v) - 0.5 * math.log(2 * math.pi) + math.log1p(-1 / (v * v))
+    return out
 
 
 @dataclass
@@ -467,7 +468,7 @@ def _tobit_newton(num: DataFrame, cols: list[str], y: str, limit: float, shift,
                 if low.any():
                     zc = np.column_stack([-x[low], np.full(low.sum(), limit)])
                     a = zc @ theta
-                    lc = _log_cdf(a).astype(float)
+                    lc = _log_normal_cdf(a)
                     mills = np.exp(-0.5 * a * a - 0.5 * math.log(2 * math.pi) - lc)
                     lnl += lc.sum()
                     grad += zc.T @ mills

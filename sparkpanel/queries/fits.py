@@ -1 +1,206 @@
+"""Regressions on the cluster panel, trained on early years and scored on the last ones."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkpanel.operators.windows import broadcast_mean
+from sparkpanel.plans import models as md
+from sparkpanel.plans import panel
+from sparkpanel.queries.base import query, rounded, table
+from sparkpanel.queries.survey import CLUSTER_SQL, clusters
+from sparkpanel.session import cut_lineage
+
+TRAIN, TEST = (1996, 1997, 1998, 1999), (2000, 2001)
+MEASURES = ("logFCS", "HDDS", "rCSI")
+WEATHER = ("raincytot", "day1rain", "floodmax", "maxdaysnorain")
+ACCESS = ("maize_current", "maize_mktthin_current")
+LAND = ("percent_ag", "elevation", "nutri")
+DISTANCE = ("dist_road", "dist_admarc")
+ASSET = ("roof_natural_inverse", "number_celphones")
+DEMO = ("hhsize", "hh_age", "hh_gender", "asset")
+QUARTERS = ("quarter1", "quarter2", "quarter3")
+GROUPS = {
+    "model0": (),
+    "model1": (*WEATHER, *ACCESS, *LAND, *DISTANCE),
+    "model2": (*WEATHER, *ACCESS, *ASSET, *LAND, *DISTANCE),
+    "model3": (*WEATHER, *ACCESS, *ASSET, *LAND, *DISTANCE, *DEMO),
+}
+
+
+def staged(spark, sf):
+    """The cluster panel as a written stage; every fit reads it several times."""
+    return cut_lineage(clusters(spark, sf))
+
+
+def levelled(spark, sf):
+    """Cluster panel with zone and area means of the model variables beside the own values."""
+    df = clusters(spark, sf)
+    df = df.drop(*[c for c in df.columns if c.startswith("TA_") and c != "TA_names"])
+    for prefix, key in (("lhz_", "zone"), ("TA_", "TA_names")):
+        df = broadcast_mean(df, [key, "FS_year"], list(GROUPS["model3"]), prefix)
+    return cut_lineage(df)
+
+
+def grid_specs():
+    # The prior phase is not in the stand-in panel; the fourth quarter is the base.
+    return md.level_specs(MEASURES, ("lhz", "TA", "clust"), GROUPS, QUARTERS, "clust")
+
+
+# ---- one and several regressors on raw lines
+
+@query("ols_simple", """SELECT l_returnflag, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+  round(regr_r2(l_extendedprice, l_quantity), 6) AS r2, count(*) AS n FROM lineitem GROUP BY ALL""")
+def ols_simple(spark, sf):
+    y, x = "l_extendedprice", "l_quantity"
+    return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
+        F.round(F.regr_intercept(y, x), 4).alias("intercept"), F.round(F.regr_slope(y, x), 6).alias("slope"),
+        F.round(F.regr_r2(y, x), 6).alias("r2"), F.count(F.lit(1)).alias("n"))
+
+
+@query("ols_gram", """WITH r AS (SELECT regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b,
+    regr_r2(l_extendedprice, l_quantity) AS r2, count(*) AS n FROM lineitem)
+  SELECT 'intercept' AS term, round(a, 4) AS estimate, CAST(n AS INTEGER) AS n, round(r2, 6) AS r2 FROM r UNION ALL SELECT 'l_quantity', round(b, 4), CAST(n AS INTEGER), round(r2, 6) FROM r""")
+def ols_gram(spark, sf):
+    fit = md.ols_fit(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"])
+    return md.coef_table(spark, [fit]).select("term", F.round("estimate", 4).alias("estimate"), "n", F.round("r2", 6).alias("r2"))
+
+
+@query("ols_predict", """WITH r AS (SELECT regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b FROM lineitem)
+  SELECT l_orderkey, l_linenumber, l_quantity, round(a + b * l_quantity, 3) AS predict FROM lineitem, r""")
+def ols_predict(spark, sf):
+    li = table(spark, sf, "lineitem")
+    fit = md.ols_fit(li, "l_extendedprice", ["l_quantity"])
+    return li.select("l_orderkey", "l_linenumber", "l_quantity", F.round(fit.predictor(), 3).alias("predict"))
+
+
+@query("ols_multi")
+def ols_multi(spark, sf):
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
+    specs = [md.ModelSpec(y, y, (*GROUPS["model3"], *QUARTERS)) for y in MEASURES]
+    return md.coef_table(spark, md.fit_all(train, specs))
+
+
+@query("fit_stats")
+def fit_stats(spark, sf):
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
+    specs = [md.ModelSpec(m, y, (*xs, *QUARTERS)) for y in MEASURES for m, xs in GROUPS.items()]
+    return md.fit_stats(spark, md.fit_all(train, specs))
+
+
+@query("fe_ols")
+def fe_ols(spark, sf):
+    return md.coef_table(spark, [md.fe_ols(staged(spark, sf), "HDDS", ["hhsize", "hh_age"], ["FS_year", "region"])])
+
+
+@query("fe_within")
+def fe_within(spark, sf):
+    return md.coef_table(spark, [md.within_ols(staged(spark, sf), "HDDS", ["hhsize", "hh_age"], "ea_id")])
+
+
+_FACTORS = {"Month": ["FS_month"], "IPC": ["zone"], "TA": ["TA_names"], "Cluster": ["ea_id"], "Month x TA": ["FS_month", "TA_names"]}
+
+
+@query("group_r2", f"""WITH {CLUSTER_SQL}, """ + ", ".join(
+    f"g{i} AS (SELECT {', '.join(f'{y} - avg({y}) OVER (PARTITION BY {chr(44).join(ks)}) AS w_{y}, {y} AS t_{y}' for y in ('HDDS', 'rCSI'))} FROM cl2)" for i, ks in enumerate(_FACTORS.values())
+) + " " + " UNION ALL ".join(
+    f"SELECT '{y}' AS measure, '{name}' AS factor, round(1 - sum(pow(w_{y}, 2)) / (var_pop(t_{y}) * count(t_{y})), 6) AS r2 FROM g{i}"
+    for i, name in enumerate(_FACTORS) for y in ("HDDS", "rCSI")))
+def group_r2(spark, sf):
+    return rounded(md.group_r2(staged(spark, sf), ["HDDS", "rCSI"], _FACTORS), ["r2"])
+
+
+@query("split_year", f"""WITH {CLUSTER_SQL} SELECT ea_id, FS_year AS "FS_year", CASE WHEN FS_year IN {TRAIN} THEN 'train' ELSE 'test' END AS part FROM cl2 WHERE FS_year IN {TRAIN + TEST}""")
+def split_year(spark, sf):
+    train, test = panel.split_year(clusters(spark, sf).select("ea_id", "FS_year"), "FS_year", TRAIN, TEST)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query("strat_split")
+def strat_split(spark, sf):
+    return md.stratified_split(table(spark, sf, "orders"), "o_totalprice", "o_orderkey", 0.7, 7).select("o_orderkey", "train")
+
+
+@query("model_grid")
+def model_grid(spark, sf):
+    train, test = panel.split_year(levelled(spark, sf), "FS_year", TRAIN, TEST)
+    _, r2 = md.run_grid(train, test, grid_specs(), ["ea_id", "FS_year"])
+    return r2
+
+
+@query("model_grid_tail")
+def model_grid_tail(spark, sf):
+    from sparkpanel.operators.clean import insecure_side
+
+    train, test = panel.split_year(levelled(spark, sf), "FS_year", TRAIN, TEST)
+    parts = []
+    for y in MEASURES:
+        specs = [s for s in grid_specs() if s.y == y]
+        parts.append(md.run_grid(train.filter(insecure_side(y, y)), test, specs, ["ea_id", "FS_year"])[1])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("grid_pairs")
+def grid_pairs(spark, sf):
+    train, test = panel.split_year(levelled(spark, sf), "FS_year", TRAIN, TEST)
+    pairs, _ = md.run_grid(train, test, grid_specs(), ["ea_id", "FS_year"])
+    return rounded(pairs, ["actual", "predict"])
+
+
+_RAIN = ("raincytot", "day1rain", "floodmax", "maxdaysnorain")
+_GEO = (*LAND, *DISTANCE)
+_OWN = (*ASSET, "hhsize", "hh_age")
+_LAG = ("maize_lag", "maize_mktthin_lag")
+_MONTHS = tuple(f"month{m}" for m in range(1, 12))
+_REGION = ("region_AFRICA", "region_AMERICA", "region_ASIA", "region_EUROPE")
+SETS = {
+    "ols_old": (*_RAIN, *ACCESS, *_GEO, *_OWN),
+    "ols_temp": (*_RAIN, *ACCESS, *_GEO, *_OWN, "gdd", "tmean", "heatdays"),
+    "ols_lag_price": (*_RAIN, *_LAG, *_GEO, *_OWN),
+    "ols_quarter": (*_RAIN, *ACCESS, *_GEO, *_OWN, *QUARTERS),
+    "ols_quarter_lagprice": (*_RAIN, *_LAG, *_GEO, *_OWN, *QUARTERS),
+    "ols_quarter_noprice": (*_RAIN, *_GEO, *_OWN, *QUARTERS),
+    "ols_region": (*_RAIN, *ACCESS, *_GEO, *_OWN, *_REGION),
+    "ols_month": (*_RAIN, *_GEO, *_OWN, *_MONTHS),
+    "ols_month_region": (*_RAIN, *_GEO, *_OWN, *_MONTHS, *_REGION),
+    "ols_month_price": (*_RAIN, *_GEO, *_OWN, *_MONTHS, *_LAG),
+}
+
+
+@query("spec_sweep")
+def spec_sweep(spark, sf):
+    df = staged(spark, sf)
+    tagged = md.stratified_split(df.filter("HDDS IS NOT NULL"), "HDDS", "ea_id", 0.7, 7)
+    splits = {
+        "year": panel.split_year(df, "FS_year", TRAIN, TEST),
+        "region": panel.split_region(df, "region", "EUROPE"),
+        "random": (tagged.filter("train"), tagged.filter("NOT train")),
+    }
+    return md.sweep(splits, SETS, MEASURES, ["ea_id", "FS_year"])
+
+
+@query("enet_cv")
+def enet_cv(spark, sf):
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
+    fit = md.elastic_net_cv(train, "HDDS", (*GROUPS["model3"], *QUARTERS), "ea_id")
+    rows = [(t, b, fit.alpha, fit.lam, fit.cv_rmse) for t, b in fit.coef.items()]
+    return spark.createDataFrame(rows, "term string, estimate double, alpha double, lambda double, cv_rmse double")
+
+
+@query("tobit")
+def tobit(spark, sf):
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
+    fit = md.tobit_fit(train, "rCSI", ["maize_current", "hhsize", "hh_age", "elevation"])
+    rows = [(t, b, fit.sigma, fit.lnl, 1 - fit.lnl / fit.lnl0, fit.n, fit.censored) for t, b in fit.coef.items()]
+    return spark.createDataFrame(rows, "term string, estimate double, sigma double, lnl double, pseudo_r2 double, n int, censored int")
+
+
+@query("logit")
+def logit(spark, sf):
+    df = staged(spark, sf).withColumn("low", (F.col("HDDS") < 3).cast("int"))
+    xs = ["maize_current", "hhsize", "hh_age", "elevation"]
+    rows = []
+    for link in ("logit", "probit"):
+        fit = md.binary_fit(df, "low", xs, link)
+        rows += [(link, t, float(b)) for t, b in zip(["intercept", *xs], [fit.intercept, *fit.coefficients])]
+    return spark.createDataFrame(rows, "link string, term string, estimate double")

@@ -211,7 +211,7 @@ def _q(n: int, m: str = "FS_month") -> str:
 
 CLUSTER_SQL = f"""{MASTER_SQL},
 cl AS (SELECT ea_id, FS_year, any_value(TA_names) AS TA_names, any_value(zone) AS zone, any_value(region) AS region, avg(FS_month) AS FS_month,
-    avg(FCS) AS FCS, ln(avg(FCS)) AS logFCS, avg(HDDS) AS HDDS, avg(rCSI) AS rCSI, avg(raincytot) / 1000 AS raincytot, avg(elevation) / 1000 AS elevation,
+    avg(FCS) AS FCS, CASE WHEN avg(FCS) > 0 THEN ln(avg(FCS)) END AS logFCS, avg(HDDS) AS HDDS, avg(rCSI) AS rCSI, avg(raincytot) / 1000 AS raincytot, avg(elevation) / 1000 AS elevation,
     avg(maize_current) AS maize_current, avg(day1rain) AS day1rain, avg(hhsize) AS hhsize, avg(hh_age) AS hh_age FROM master GROUP BY ea_id, FS_year),
 cl2 AS (SELECT *, avg(maize_current) OVER w AS TA_maize_current, avg(raincytot) OVER w AS TA_raincytot, avg(day1rain) OVER w AS TA_day1rain FROM cl WINDOW w AS (PARTITION BY TA_names, FS_year))"""
 
