@@ -121,7 +121,7 @@ def grams(df: DataFrame, specs: Sequence[ModelSpec], fold: str | None = None, fo
     Columns are shifted by their means first, so the cells keep their precision.
     """
     cols = sorted({c for s in specs for c in (*s.xs, s.y)})
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in cols], *([F.col(fold).cast("int").alias("_fold")] if fold else []))
+    num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols], *([F.col(fold).cast("int").alias("_fold")] if fold else []))
     means = num.agg(*[F.avg(c).alias(c) for c in cols]).first()
     centre = {c: (means[c] if means[c] is not None else 0.0) for c in cols}
     place = {c: i for i, c in enumerate(cols)}
