@@ -38,28 +38,31 @@ def _cell(level: Column) -> list[Column]:
     return [F.call_function("shiftright", F.col(f"_c{a}"), F.lit(BITS) - level).alias(f"_n{a}") for a in _AXES]
 
 
-def _prune(state: DataFrame, point: list[str], cell: list[str], origin: dict, extent: float, want: int, slack: float) -> DataFrame:
-    """Drop the cubes that lie beyond the reach within which ``want`` points are certain."""
-    side = F.lit(extent) / F.pow(F.lit(2.0), F.col("_level"))
-    here = dict(zip(_AXES, _sphere("_la", "_lo").values()))
+def _bounds(prefix: str) -> tuple[Column, Column]:
+    """Least and greatest distance from the point to a box whose walls start with ``prefix``."""
     gaps, far = [], []
     for a in _AXES:
-        lo = F.lit(origin[a]) + F.col(f"_n{a}") * side
-        hi = lo + side
-        gap = F.greatest(F.lit(0.0), lo - here[a], here[a] - hi)
-        edge = F.greatest(F.abs(here[a] - lo), F.abs(here[a] - hi))
+        lo, hi, here = F.col(f"{prefix}_min{a}"), F.col(f"{prefix}_max{a}"), F.col(f"_{a}")
+        gap = F.greatest(F.lit(0.0), lo - here, here - hi)
+        edge = F.greatest(F.abs(here - lo), F.abs(here - hi))
         gaps.append(gap * gap)
         far.append(edge * edge)
-    sized = state.select(
-        *point, *cell, "_cnt", F.sqrt(gaps[0] + gaps[1] + gaps[2]).alias("_near"), F.sqrt(far[0] + far[1] + far[2]).alias("_far")
-    )
+    return F.sqrt(gaps[0] + gaps[1] + gaps[2]), F.sqrt(far[0] + far[1] + far[2])
+
+
+def _prune(state: DataFrame, point: list[str], want: int, slack: float) -> DataFrame:
+    """Drop the cubes that lie beyond the reach within which ``want`` points are certain.
+
+    The reach known from earlier levels goes first, as a plain filter.
+    """
+    within = F.col("_reach").isNull() | (F.col("_near") <= F.col("_reach") * slack + _EPS)
     # One cube with enough points bounds the search; else all cubes together do.
     everyone = Window.partitionBy(*point)
     single = F.min(F.when(F.col("_cnt") >= want, F.col("_far"))).over(everyone)
     joint = F.when(F.sum("_cnt").over(everyone) >= want, F.max("_far").over(everyone))
-    return sized.withColumn("_reach", F.coalesce(single, joint)).filter(
-        F.col("_reach").isNull() | (F.col("_near") <= F.col("_reach") * slack + _EPS)
-    ).select(*point, *cell, "_cnt")
+    return state.filter(within).withColumn("_now", F.coalesce(single, joint)).withColumn(
+        "_reach", F.least("_reach", "_now")
+    ).drop("_now").filter(within)
 
 
 def nearest_join(
@@ -99,12 +102,15 @@ def nearest_join(
 
     def cells(levels: list[int]) -> DataFrame:
         return spots.withColumn("_level", F.explode(F.lit(levels))).select(
-            *by, "_rla", "_rlo", "_level", *_cell(F.col("_level"))
+            *by, "_rla", "_rlo", *[f"_{a}" for a in _AXES], "_level", *_cell(F.col("_level"))
         )
 
     cell = ["_level", "_nx", "_ny", "_nz"]
     all_levels = list(range(0, BITS + 1, STEP))
-    nodes = cut_lineage(cells(all_levels).groupBy(*by, *cell).agg(F.count(F.lit(1)).alias("_cnt")))
+    # A cube is bounded by the box of its points, much tighter than its own walls.
+    walls = [f"_{t}{a}" for a in _AXES for t in ("min", "max")]
+    boxes = [f(f"_{a}").alias(f"_{t}{a}") for a in _AXES for t, f in (("min", F.min), ("max", F.max))]
+    nodes = cut_lineage(cells(all_levels).groupBy(*by, *cell).agg(F.count(F.lit(1)).alias("_cnt"), *boxes))
     deepest = nodes.filter((F.col("_cnt") > LEAF) & (F.col("_level") < BITS)).agg(F.max("_level")).first()[0]
     steps = list(range(0, deepest + 1, STEP)) if deepest is not None else []
     small = box["n"] * (len(steps) + 1) <= BROADCAST_ROWS
@@ -112,41 +118,50 @@ def nearest_join(
     # Distinct left points, spread over all shuffle partitions (the rows multiply below, so
     # adaptive coalescing by their small size would be wrong) and sorted once: broadcast
     # joins and the windows below keep that order and need no further shuffle or sort.
-    point = [*by, "_la", "_lo"]
+    # The hash leads the key because floating keys alone would be shuffled again.
+    place = [*by, "_la", "_lo"]
+    point = ["_h", *place]
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lp = left.select(*by, F.col(left_xy[0]).alias("_la"), F.col(left_xy[1]).alias("_lo")).dropna(
-        subset=["_la", "_lo"]).distinct().repartition(width, *point)
+    lp = left.select(*by, F.col(left_xy[0]).alias("_la"), F.col(left_xy[1]).alias("_lo")).dropna(subset=["_la", "_lo"])
+    lp = lp.distinct().withColumn("_h", F.xxhash64(*place)).repartition(width, "_h")
     once = Window.partitionBy(*point).orderBy(*point)
-    state = lp.withColumn("_once", F.row_number().over(once)).filter("_once = 1").select(*point)
+    state = lp.withColumn("_once", F.row_number().over(once)).filter("_once = 1").select(*point).withColumns(_sphere("_la", "_lo"))
+    here = [f"_{a}" for a in _AXES]
+    unknown = F.lit(None).cast("double").alias("_reach")
     if steps and not by:
         # The first step of an ungrouped tree has at most 64 cubes.
         top = nodes.filter(F.col("_level") == STEP).collect()
-        listed = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in (*cell, "_cnt")]) for r in top])
-        state = state.select(*point, F.explode(listed).alias("_top")).select(*point, "_top.*")
-        state = _prune(state, point, cell, origin, extent, want, slack)
+        listed = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in (*cell, "_cnt", *walls)]) for r in top])
+        state = state.select(*point, *here, F.explode(listed).alias("_kid"))
+        near, far = _bounds("_kid.")
+        state = state.select(*point, *here, *[F.col(f"_kid.{c}") for c in (*cell, "_cnt")], near.alias("_near"), far.alias("_far"), unknown)
+        state = _prune(state, point, want, slack)
         rest = steps[1:]
     else:
-        state = state.select(*point, *[F.lit(0).alias(c) for c in cell], F.lit(1).cast("bigint").alias("_cnt"))
+        state = state.select(
+            *point, *here, *[F.lit(0).alias(c) for c in cell], F.lit(1).cast("bigint").alias("_cnt"),
+            F.lit(0.0).alias("_near"), F.lit(2.0).alias("_far"), unknown,
+        )
         rest = steps
     for level in rest:
         parents = nodes.filter((F.col("_level") == level) & (F.col("_cnt") > LEAF)).select(*by, *cell)
         kids = nodes.filter(F.col("_level") == level + STEP).select(
             *by, F.lit(level).alias("_level"),
             *[F.shiftright(f"_n{a}", STEP).alias(f"_n{a}") for a in _AXES],
-            F.struct(F.col("_level").alias("l"), *[F.col(f"_n{a}").alias(a) for a in _AXES], F.col("_cnt").alias("c")).alias("_kid"),
+            F.struct(*cell, "_cnt", *walls).alias("_kid"),
         ).join(parents, [*by, *cell], "left_semi")
         # The second step of an ungrouped tree has at most 4096 cubes.
         if small or (not by and level <= STEP):
             kids = F.broadcast(kids)
-        old = F.struct(F.col("_level").alias("l"), *[F.col(f"_n{a}").alias(a) for a in _AXES], F.col("_cnt").alias("c"))
-        state = state.join(kids, [*by, *cell], "left").withColumn("_kid", F.coalesce("_kid", old))
-        state = state.select(
-            *point, F.col("_kid.l").alias("_level"), *[F.col(f"_kid.{a}").alias(f"_n{a}") for a in _AXES],
-            F.col("_kid.c").alias("_cnt"),
+        near, far = _bounds("_kid.")
+        split = F.col("_kid").isNotNull()
+        state = state.join(kids, [*by, *cell], "left").select(
+            *point, *here, *[F.when(split, F.col(f"_kid.{c}")).otherwise(F.col(c)).alias(c) for c in (*cell, "_cnt")],
+            F.when(split, near).otherwise(F.col("_near")).alias("_near"), F.when(split, far).otherwise(F.col("_far")).alias("_far"), "_reach",
         )
-        state = _prune(state, point, cell, origin, extent, want, slack)
+        state = _prune(state, point, want, slack)
 
-    leaves = cells([*steps, steps[-1] + STEP] if steps else [0])
+    leaves = cells([*steps, steps[-1] + STEP] if steps else [0]).drop(*here)
     if small:
         leaves, ids = F.broadcast(leaves), F.broadcast(ids)
     pairs = state.select(*point, *cell).join(leaves, [*by, *cell])
@@ -172,7 +187,7 @@ def nearest_join(
     )
     out = left.select(
         F.col(left_id), *by, F.col(left_xy[0]).alias("_la"), F.col(left_xy[1]).alias("_lo")
-    ).join(hits, point).drop("_la", "_lo")
+    ).join(hits.drop("_h"), place).drop("_la", "_lo")
     if exclude_self:
         w = Window.partitionBy(left_id, *by).orderBy("rank")
         out = out.filter(F.col(right_name) != F.col(left_id)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -12,6 +12,7 @@ from sparkpanel.operators.aggregates import collapse_mean
 from sparkpanel.operators.dedup import first_per_key
 from sparkpanel.operators.reshape import dummies, interact
 from sparkpanel.operators.windows import broadcast_mean
+from sparkpanel.session import cut_lineage
 
 
 def hh_panel(
@@ -42,13 +43,15 @@ def cluster_panel(
 
     ``names`` are label columns of the household rows, taken once per cluster.
     """
+    # The master and the cluster means feed several branches each: both are written stages.
+    hh = cut_lineage(hh)
     labels = first_per_key(hh.select(cluster, *names).distinct(), [cluster], list(names))
     out = collapse_mean(hh, [cluster, year], exclude=names)
     out = out.withColumns({
         f"log{fcs}": F.when(F.col(fcs) > 0, F.log(fcs)),
         **{c: F.col(c) / 1000 for c in thousands if c in out.columns},
     })
-    out = out.join(labels, cluster, "left")
+    out = cut_lineage(out.join(labels, cluster, "left"))
     out = broadcast_mean(out, [area, year], list(area_cols), "TA_")
     m = F.col(month)
     out = out.withColumns({**quarter_flags(m, strict_reference), **month_flags(m)})

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from sparkpanel.functions.calendar import crop_year_number, season_day
 from sparkpanel.operators.aggregates import sum_strict
 from sparkpanel.operators.windows import median_ahead, panel, run_length
+from sparkpanel.session import cut_lineage
 
 # Onset threshold (mm), degree bounds (Celsius), zero Celsius in kelvin.
 ONSET_MM = 2.2
@@ -157,7 +158,8 @@ def season_panel(
 
     ``zones`` maps entity to zone. FS_year is crop year + 1, floods use the crop year.
     """
-    rain_stats = season_stats(season_join(daily_rain, date, seasons), [by], date, rain)
+    # Small beside the daily rows and read for entities and for zone maxima: written once.
+    rain_stats = cut_lineage(season_stats(season_join(daily_rain, date, seasons), [by], date, rain))
     entity = rain_stats.join(zones, by, "left").withColumn("FS_year", F.col("cropyear") + 1).drop("cropyear")
     heat = temp_stats(season_join(daily_temp, date, seasons), [zone]).withColumn(
         "FS_year", F.col("cropyear") + 1
