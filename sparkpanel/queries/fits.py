@@ -153,6 +153,7 @@ _OWN = (*ASSET, "hhsize", "hh_age")
 _LAG = ("maize_lag", "maize_mktthin_lag")
 _MONTHS = tuple(f"month{m}" for m in range(1, 12))
 _REGION = ("region_AFRICA", "region_AMERICA", "region_ASIA", "region_EUROPE")
+_QUARTER_REGION = tuple(f"quarter{q}_{r}" for q in range(1, 5) for r in (*_REGION, "region_MIDDLE EAST"))
 SETS = {
     "ols_old": (*_RAIN, *ACCESS, *_GEO, *_OWN),
     "ols_temp": (*_RAIN, *ACCESS, *_GEO, *_OWN, "gdd", "tmean", "heatdays"),
@@ -161,6 +162,9 @@ SETS = {
     "ols_quarter_lagprice": (*_RAIN, *_LAG, *_GEO, *_OWN, *QUARTERS),
     "ols_quarter_noprice": (*_RAIN, *_GEO, *_OWN, *QUARTERS),
     "ols_region": (*_RAIN, *ACCESS, *_GEO, *_OWN, *_REGION),
+    "ols_quarter_region": (*_RAIN, *ACCESS, *_GEO, *_OWN, *_REGION, *QUARTERS, *_QUARTER_REGION),
+    "ols_quarter_region_noprice": (*_RAIN, *_GEO, *_OWN, *_REGION, *QUARTERS, *_QUARTER_REGION),
+    "ols_trend": (*_RAIN, *_GEO, *_OWN, "trend", *_LAG),
     "ols_month": (*_RAIN, *_GEO, *_OWN, *_MONTHS),
     "ols_month_region": (*_RAIN, *_GEO, *_OWN, *_MONTHS, *_REGION),
     "ols_month_price": (*_RAIN, *_GEO, *_OWN, *_MONTHS, *_LAG),
@@ -169,7 +173,7 @@ SETS = {
 
 @query("spec_sweep")
 def spec_sweep(spark, sf):
-    df = staged(spark, sf)
+    df = staged(spark, sf).withColumn("trend", (F.col("FS_year") - min(TRAIN)) * 12 + F.col("FS_month"))
     tagged = md.stratified_split(df.filter("HDDS IS NOT NULL"), "HDDS", "ea_id", 0.7, 7)
     splits = {
         "year": panel.split_year(df, "FS_year", TRAIN, TEST),

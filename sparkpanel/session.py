@@ -37,6 +37,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = sc.getConf().get("spark.checkpoint.dir")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="sparkpanel-"))
     return df.checkpoint()
