@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sparkpanel.operators.skew import HOT_ROWS, ordinal
@@ -99,15 +100,18 @@ def unmatched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 
 def asof_join(
     left: DataFrame, right: DataFrame, on: str, by: list[str], cols: list[str],
-    direction: str = "backward", bucket: str = "year",
+    direction: str = "backward", bucket: str | None = None,
 ) -> DataFrame:
     """Each left row takes the right row of its group nearest before (or after) it.
 
     Only the distinct (group, time) keys of the left are matched. They are cut into
     calendar buckets; the snapshot carried into a bucket comes from the per-bucket
     last snapshots, so no window spans the whole history of a group. The matched
-    keys then join back to the left rows. ``right`` is unique per (by, on).
+    keys then join back to the left rows. ``right`` is unique per (by, on). Buckets
+    are years for dates and days for timestamps unless given.
     """
+    if bucket is None:
+        bucket = "year" if isinstance(left.schema[on].dataType, T.DateType) else "day"
     forward = direction == "forward"
     keys = left.select(*by, on).distinct()
     snap = right.filter(F.col(on).isNotNull()).select(*by, on, F.struct(*cols).alias("_snap"))

@@ -8,6 +8,8 @@ key ranges of the leading order column.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,7 @@ from pyspark.sql.window import Window
 
 HOT_ROWS = 2_000_000
 
-_SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
 
 def hot_groups(df: DataFrame, by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -24,8 +26,18 @@ def hot_groups(df: DataFrame, by: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     return None if hot.isEmpty() else hot.select(*by)
 
 
-def _as_number(df: DataFrame, name: str):
+def _as_number(df: DataFrame, name: str, rows: DataFrame):
+    """A number that never decreases as the column grows, to cut ``rows`` at.
+
+    For strings it is the six bytes after the prefix that all of ``rows`` share, which
+    is what their smallest and largest value share.
+    """
     kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        ends = rows.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()
+        shared = len(os.path.commonprefix([ends["lo"] or "", ends["hi"] or ""]))
+        after = F.substring(F.col(name), shared + 1, 6)
+        return F.conv(F.rpad(F.substring(F.hex(F.encode(after, "UTF-8")), 1, 12), 12, "0"), 16, 10).cast("double")
     if isinstance(kind, T.NumericType):
         return F.col(name).cast("double")
     if isinstance(kind, T.DateType):
@@ -48,11 +60,11 @@ def ordinal(
         return df.withColumn(name, F.row_number().over(plain))
 
     splits = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lead = _as_number(df, order[0])
+    hot_part = df.join(hot, by, "left_semi")
+    lead = _as_number(df, order[0], hot_part)
     steps = [i / splits for i in range(1, splits)]
     cuts = (
-        df.join(hot, by, "left_semi")
-        .groupBy(*by)
+        hot_part.groupBy(*by)
         .agg(F.percentile_approx(lead, steps, 10 * splits).alias("_cuts"))
     )
     spread = df.join(cuts, by, "left").withColumn(

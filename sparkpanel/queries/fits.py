@@ -8,6 +8,7 @@ from sparkpanel.operators.windows import broadcast_mean
 from sparkpanel.plans import models as md
 from sparkpanel.plans import panel
 from sparkpanel.queries.base import query, rounded, table
+from sparkpanel.queries.market import station_frame
 from sparkpanel.queries.survey import CLUSTER_SQL, clusters
 from sparkpanel.session import cut_lineage
 
@@ -164,6 +165,8 @@ SETS = {
     "ols_region": (*_RAIN, *ACCESS, *_GEO, *_OWN, *_REGION),
     "ols_quarter_region": (*_RAIN, *ACCESS, *_GEO, *_OWN, *_REGION, *QUARTERS, *_QUARTER_REGION),
     "ols_quarter_region_noprice": (*_RAIN, *_GEO, *_OWN, *_REGION, *QUARTERS, *_QUARTER_REGION),
+    "ols_station_price": (*_RAIN, "station_current", *_GEO, *_OWN),
+    "ols_lag_station_price": (*_RAIN, "station_lag", *_GEO, *_OWN, "gdd", "tmean", "heatdays"),
     "ols_trend": (*_RAIN, *_GEO, *_OWN, "trend", *_LAG),
     "ols_month": (*_RAIN, *_GEO, *_OWN, *_MONTHS),
     "ols_month_region": (*_RAIN, *_GEO, *_OWN, *_MONTHS, *_REGION),
@@ -174,6 +177,10 @@ SETS = {
 @query("spec_sweep")
 def spec_sweep(spark, sf):
     df = staged(spark, sf).withColumn("trend", (F.col("FS_year") - min(TRAIN)) * 12 + F.col("FS_month"))
+    stations = station_frame(spark, sf).select(
+        F.col("c_custkey").alias("ea_id"), "month", F.col("price").alias("station_current"), F.col("price_lag").alias("station_lag"))
+    df = df.withColumn("month", F.make_date("FS_year", F.col("FS_month").cast("int"), F.lit(1)))
+    df = cut_lineage(df.join(stations, ["ea_id", "month"], "left"))
     tagged = md.stratified_split(df.filter("HDDS IS NOT NULL"), "HDDS", "ea_id", 0.7, 7)
     splits = {
         "year": panel.split_year(df, "FS_year", TRAIN, TEST),

@@ -269,8 +269,7 @@ def price_panel(spark, sf):
 
 
 # A coarse source: one station per supplier nation and a national row, monthly.
-@query("station_price")
-def station_price(spark, sf):
+def station_frame(spark, sf):
     supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("market"), F.col("s_nationkey").cast("string").alias("station"))
     obs = price_obs(spark, sf).join(supp, "market")
     rows = obs.groupBy(F.col("station").alias("market"), "commodity", "month").agg(F.avg("price").alias("price"))
@@ -278,5 +277,9 @@ def station_price(spark, sf):
     coords = market_coords(spark, sf).join(supp, "market").groupBy(F.col("station").alias("market")).agg(
         F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
     stations = pr.dense_prices(rows.unionByName(national))
-    out = pr.station_price(stations, coords, cust_points(spark, sf), "c_custkey", "PROMO", "national")
-    return rounded(_month_text(out), ["price", "price_lag"])
+    return pr.station_price(stations, coords, cust_points(spark, sf), "c_custkey", "PROMO", "national")
+
+
+@query("station_price")
+def station_price(spark, sf):
+    return rounded(_month_text(station_frame(spark, sf)), ["price", "price_lag"])

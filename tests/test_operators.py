@@ -22,6 +22,21 @@ def test_ordinal_is_the_same_for_hot_groups(spark, rows):
     assert rows(plain, "k", "id", "rn") == rows(split, "k", "id", "rn")
 
 
+def test_ordinal_by_text(spark, rows):
+    data = [("hot" if i % 5 else "cold", None if i % 97 == 0 else f"Customer#{(i * 7919) % 6007:09d}é", i) for i in range(900)]
+    df = spark.createDataFrame(data, "k string, s string, id int")
+    plain, split = ordinal(df, ["k"], ["s", "id"]), ordinal(df, ["k"], ["s", "id"], hot_rows=100)
+    assert rows(plain, "k", "id", "rn") == rows(split, "k", "id", "rn")
+
+
+def test_asof_on_timestamps(spark):
+    t = lambda h, m=0: dt.datetime(2024, 1, 1 + h // 24, h % 24, m)
+    left = spark.createDataFrame([("a", t(1)), ("a", t(30)), ("a", t(30)), ("a", t(60, 30))], "g string, ts timestamp_ntz")
+    right = spark.createDataFrame([("a", t(2), 1), ("a", t(60), 2)], "g string, ts timestamp_ntz, v int")
+    got = sorted((r["ts"], r["v"] or 0) for r in joins.asof_join(left, right, "ts", ["g"], ["v"]).collect())
+    assert [v for _, v in got] == [0, 1, 1, 2]
+
+
 def test_quantiles_are_the_same_for_hot_groups(spark, rows):
     random.seed(3)
     data = [("a" if i % 4 else "b", random.choice([None, random.random(), 0.5])) for i in range(800)] + [("c", None)]
