@@ -161,10 +161,15 @@ def nearest_join(
         )
         state = _prune(state, point, want, slack)
 
-    leaves = cells([*steps, steps[-1] + STEP] if steps else [0]).drop(*here)
     if small:
-        leaves, ids = F.broadcast(leaves), F.broadcast(ids)
-    pairs = state.select(*point, *cell).join(leaves, [*by, *cell])
+        ids = F.broadcast(ids)
+    if not steps and not by and box["n"]:
+        # A tree of one cube: at most LEAF points, listed in the plan.
+        few = [F.struct(F.lit(r["_rla"]).alias("_rla"), F.lit(r["_rlo"]).alias("_rlo")) for r in spots.select("_rla", "_rlo").collect()]
+        pairs = state.select(*point, F.explode(F.array(*few)).alias("_spot")).select(*point, "_spot.*")
+    else:
+        leaves = cells([*steps, steps[-1] + STEP] if steps else [0]).drop(*here)
+        pairs = state.select(*point, *cell).join(F.broadcast(leaves) if small else leaves, [*by, *cell])
     pairs = pairs.select(
         *point, "_rla", "_rlo", F.round(haversine_km("_la", "_lo", "_rla", "_rlo"), 6).alias("_dist")
     )

@@ -86,3 +86,11 @@ def test_point_in_concave_polygon(spark):
     assert {r["id"] for r in point_in_polygon(pts, polys).collect()} == {1, 3}
     assert {r["id"] for r in point_in_polygon(pts, polys, cell=0.7).collect()} == {1, 3}
     assert polys.select(ring_area("ring")).first()[0] == pytest.approx(10.0)
+
+
+@pytest.mark.parametrize("points", [9, 400])
+def test_nearest_plan_has_no_cross_join(spark, points):
+    _, r = clouds()
+    r = r.head(points)
+    plan = nearest_join(spark.createDataFrame(r), spark.createDataFrame(r), "id", "id")._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
