@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.operators import reshape
 from sparkpanel.plans import evaluate as ev
-from sparkpanel.queries.base import query, rounded, table
+from sparkpanel.queries.base import nation_month, query, rounded, table
 from sparkpanel.queries.series import _PHASE, phases
 
 # Pairs: per supplier and month the mean of two halves of its lines, scaled to each measure.
@@ -170,8 +170,6 @@ def monthly_profile(spark, sf):
     FROM (SELECT s.phase, n.n / 3.0::DOUBLE AS v FROM snaps s JOIN nm n ON n.zone = s.zone AND n.month = s.month))
   SELECT phase, class, count(*) AS n FROM c GROUP BY ALL""")
 def phase_crosstab(spark, sf):
-    from sparkpanel.queries.base import nation_month
-
     both = phases(spark, sf).join(nation_month(spark, sf).select("zone", "month", (F.col("n") / 3).alias("v")), ["zone", "month"])
     return ev.phase_crosstab(both, "phase", "v", "HDDS")
 
