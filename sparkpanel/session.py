@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folder: str | None = None
+
 
 def get_session(app: str = "sparkpanel", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """Session with UTC times and adaptive execution.
@@ -28,15 +31,26 @@ def get_session(app: str = "sparkpanel", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and all executors share, from ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only when
-    neither that nor a context folder is set (tests) a temporary one is used.
+    Where the setting is absent a temporary folder serves, but only if the session runs
+    inside one machine's process; on a cluster that would be a folder per executor.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if configured:
+        return configured
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    global _local_folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="sparkpanel-")
+    return _local_folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and continue from there."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="sparkpanel-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
