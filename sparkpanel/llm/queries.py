@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkpanel.llm.exact import exact_dedup
+from sparkpanel.llm.staging import new_path
+from sparkpanel.llm.warc import base32_sha1, read_warc, write_warc
 
 QUERIES = {}
 ORACLES = {}
@@ -31,3 +33,19 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), "page_id", "html", path, uri_col="url", min_revisit_bytes=0)
+    number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
+    as_id = lambda c: F.when(number(c) != "", number(c).cast("long"))
+    # A response's digest is that of the bytes read back; a revisit has the declared one alone.
+    digest = F.coalesce(base32_sha1(F.col("payload")), F.substring_index("declared_digest", ":", -1))
+    return read_warc(spark, path).select(
+        as_id("record_id").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), "record_type", as_id("refers_to").alias("refers_to")
+    )
+
+
+# No SQL: the archives are files; DuckDB has no base32 either. The tests compare with a plain reader.
