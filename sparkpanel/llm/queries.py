@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkpanel.llm.exact import exact_dedup
+from sparkpanel.llm.packing import pack
 from sparkpanel.llm.staging import new_path
 from sparkpanel.llm.warc import base32_sha1, read_warc, write_warc
 
@@ -49,3 +51,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # No SQL: the archives are files; DuckDB has no base32 either. The tests compare with a plain reader.
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = pack(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

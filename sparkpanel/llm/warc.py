@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import base64
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sparkpanel.llm.arrow import batched
 from sparkpanel.llm.exact import exact_dedup
 from sparkpanel.llm.staging import staged
 
@@ -20,11 +19,10 @@ END = "\r\n\r\n"
 #: RFC 4648 alphabet beside the digits that a conversion to base 32 gives.
 BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
-RECORD_FIELDS = [
-    "file string", "offset long", "record_type string", "record_id string", "target_uri string", "refers_to string",
-    "declared_digest string", "payload_bytes long", "payload binary",
-]
-RECORD_SCHEMA = ", ".join(RECORD_FIELDS)
+RECORD_SCHEMA = (
+    "file string, offset long, record_type string, record_id string, target_uri string, refers_to string, "
+    "declared_digest string, payload_bytes long, payload binary"
+)
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -159,18 +157,6 @@ _ARROW_RECORD = pa.schema([
 ])
 
 
-def _batches(rows: Iterator[tuple], schema: pa.Schema, bytes_at: tuple[int, ...], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for row in rows:
-        held.append(row)
-        size += 200 + sum(len(row[i] or b"") for i in bytes_at)
-        if size >= most:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
-
-
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Follow each split's chain from its entry.
 
@@ -210,7 +196,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held:
             yield part(key[0], owner, owner, b"".join(held))
 
-    return _batches(rows(), _ARROW_RECORD, (8, 9))
+    return batched(rows(), _ARROW_RECORD)
 
 
 def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +207,7 @@ def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 step, fields = _header(whole)
                 yield _record(file, offset, whole[: step - len(MAGIC) - 4], fields)
 
-    return _batches(rows(), pa.schema(list(_ARROW_RECORD)[:9]), (8,))
+    return batched(rows(), pa.schema(list(_ARROW_RECORD)[:9]))
 
 
 def _reachable(links: DataFrame, starts: DataFrame) -> DataFrame:
