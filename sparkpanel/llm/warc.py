@@ -212,7 +212,8 @@ def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _reachable(links: DataFrame, starts: DataFrame) -> DataFrame:
     """Candidates on the chain from their file's start. Each round doubles the distance a link spans."""
-    found, size = staged(starts, "reached"), -1
+    # Neither side is broadcast: compressed files look smaller than their rows are.
+    links, found, size = links.hint("merge"), staged(starts, "reached"), -1
     while (now := found.count()) != size:
         size = now
         onward = found.join(links, ["file", "at"]).select("file", F.col("to").alias("at"))
@@ -221,7 +222,7 @@ def _reachable(links: DataFrame, starts: DataFrame) -> DataFrame:
         second = links.select("file", F.col("at").alias("to"), F.col("to").alias("further"))
         links = staged(
             links.join(second, ["file", "to"], "left").select("file", "at", F.coalesce("further", "to").alias("to")), "links"
-        )
+        ).hint("merge")
     return found
 
 
@@ -248,9 +249,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     )
     links = chains.select("file", "at", "to")
     # A file starts with a record, or nothing in it can be reached.
-    starts = splits.filter("block = 0 and pre = 0").select("file", F.lit(0).cast("long").alias("at")).join(links.select("file", "at"), ["file", "at"], "left_semi")
+    starts = splits.filter("block = 0 and pre = 0").select("file", F.lit(0).cast("long").alias("at")).join(links.select("file", "at").hint("merge"), ["file", "at"], "left_semi")
     reached = _reachable(links, starts)
-    entries = chains.join(reached, ["file", "at"], "left_semi").select("file", "block", F.col("at").alias("entry"), "last")
+    entries = chains.hint("merge").join(reached, ["file", "at"], "left_semi").select("file", "block", F.col("at").alias("entry"), "last")
     known = (
         splits.join(entries, ["file", "block"], "left")
         .withColumn("owner", F.last("last", ignorenulls=True).over(before)).select("file", "block", "base", "entry", "owner")
