@@ -10,6 +10,8 @@ from sparkpanel.llm.bpe import bpe_decode, bpe_encode
 from sparkpanel.llm.exact import exact_dedup
 from sparkpanel.llm.packing import pack
 from sparkpanel.llm.staging import new_path
+from sparkpanel.llm.substrings import drop_repeated_words
+from sparkpanel.llm.suffixes import drop_repeated_bytes
 from sparkpanel.llm.warc import base32_sha1, read_warc, write_warc
 
 QUERIES = {}
@@ -72,3 +74,19 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_decode(encoded, "ids", ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeated_words(docs, "doc_id", "text", window=50).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeated_bytes(docs, "doc_id", "text", length=400).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
