@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from sparkpanel.llm.bpe import bpe_decode, bpe_encode
 from sparkpanel.llm.exact import exact_dedup
+from sparkpanel.llm.minhash import near_duplicates
 from sparkpanel.llm.packing import pack
 from sparkpanel.llm.staging import new_path
 from sparkpanel.llm.substrings import drop_repeated_words
 from sparkpanel.llm.suffixes import drop_repeated_bytes
+from sparkpanel.llm.vectors import near_vectors
 from sparkpanel.llm.warc import base32_sha1, read_warc, write_warc
 
 QUERIES = {}
@@ -90,3 +92,15 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_bytes(docs, "doc_id", "text", length=400).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return near_vectors(vectors, "vec_id", "embedding", cosine=0.9).select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, "doc_id", "text", words=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
