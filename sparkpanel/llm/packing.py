@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -13,9 +15,10 @@ from pyspark.sql import functions as F
 
 from sparkpanel.llm.arrow import batched, small
 from sparkpanel.llm.staging import staged
+from sparkpanel.llm.units import DIGIT, SPACE, characters, class_of, grams, mix, sums
 
-#: Words whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+#: Parts of text whose ids a worker remembers. The first to be seen are mostly the frequent ones.
+REMEMBERED = 500_000
 PARTITIONS_MERGED = 64
 _SEQUENCES = 1 << 33
 _MERGED = 1 << 62
@@ -25,42 +28,80 @@ PIECE_SCHEMA = "doc_id {id}, start long, length long, ids binary, doc_tokens lon
 class WordIds:
     """Ids of a text by a tokenizer that drops white space, as little-endian unsigned 32-bit numbers.
 
-    Such a tokenizer never joins characters across a space, so ids are looked up for
-    what stands between two spaces. What is not known yet is cut once more between
-    letters and the punctuation that follows them, which is also never joined.
+    Such a tokenizer gives each run of letters, each digit and each run of symbols ids of
+    its own that end with a word's end. The parts of a slice of texts are told apart by
+    hash, and each distinct one is looked up; new ones go to the tokenizer, many at once.
+    The first ``REMEMBERED`` stay known in the worker. Texts in which the parts or their
+    lower case depend on more than the character go to the tokenizer whole.
     """
 
-    _tail = re.compile(r"([^\W_]+)([.,;:!?|]+)")
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        cut = {}
-        for w in words:
-            key = w.lower() if w.isascii() else w
-            m = self._tail.fullmatch(key)
-            cut[w] = m.groups() if m else (key,)
-        fresh = list({p for ps in cut.values() for p in ps if p not in self.parts})
-        for p, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            self.parts[p] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        for w, ps in cut.items():
-            self.known[w] = b"".join([self.parts[p] for p in ps])
-
-    def encode(self, text: str) -> bytes:
-        words = text.split(" ")
-        unknown = set(words).difference(self.known)
-        if unknown:
-            if len(self.known) + len(unknown) > REMEMBERED:
-                self.known, self.parts = {}, {}
-                unknown = set(words)
-            self._learn(unknown)
-        return b"".join(map(self.known.__getitem__, words))
+
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        found = {}
+        groups = [parts[i : i + 200] for i in range(0, len(parts), 200)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            raw = ids.tobytes()
+            for part, a, b in zip(group, [0, *ends[:-1]], ends, strict=True):
+                found[part] = raw[a:b]
+        return found
+
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        joined = "\n".join([*texts, ""])
+        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        classes, hashes = characters()
+        bounded = np.minimum(code, 65535)
+        kind, h = classes[bounded], hashes[bounded]
+        for i in np.flatnonzero(code > 65535):
+            kind[i], h[i] = class_of(joined[i]), mix(np.array([code[i]], np.uint64))[0]
+        starts = np.flatnonzero((kind != SPACE) & np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)))
+        stops = np.flatnonzero((kind != SPACE) & np.append((kind[1:] != kind[:-1]) | (kind[:-1] == DIGIT), True)) + 1
+        _, first, which = np.unique(grams(sums(h), starts, stops), return_index=True, return_inverse=True)
+        parts = [joined[a:b].lower() for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
+        unknown = [p for p in parts if p not in self.known]
+        found = self._learn(unknown) if unknown else {}
+        if len(self.known) + len(found) <= REMEMBERED:
+            self.known.update(found)
+            found = {}
+        ids = [found[p] if p in found else self.known[p] for p in parts]
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        begin = (np.cumsum(sizes) - sizes)[which]
+        sizes = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
+        edges = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+        at = ends[edges].tolist()
+        return [flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [i for i, t in enumerate(texts) if self._plain(t)]
+        out = dict(zip(plain, self._slice([texts[i] for i in plain]), strict=True))
+        for i, text in enumerate(texts):
+            if i not in out:
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return [out[i] for i in range(len(texts))]
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        return not any(c in text for c in "'\x1c\x1d\x1e\x1f") and (
+            text.isascii() or not ("\u03a3" in text or "\u0130" in text) and unicodedata.is_normalized("NFC", text)
+        )
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One for each worker process, so that tasks share what they have learnt."""
+    return WordIds(path)
 
 
 class OpenWindows:
@@ -128,14 +169,15 @@ def _schema(id_type: pa.DataType) -> pa.Schema:
 
 def _pack_task(tokenizer: str, end_id: int, length: int, windows: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer, task = WordIds(tokenizer), OpenWindows(length, windows), TaskContext.get().partitionId()
+        words, packer, task = word_ids(tokenizer), OpenWindows(length, windows), TaskContext.get().partitionId()
         end = end_id.to_bytes(4, "little")
         schema = None
 
         def rows(batch):
             nonlocal made
-            for doc, text in zip(batch["doc"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                ids = words.encode(text or "") + end
+            encoded = words.encode([t or "" for t in batch["text"].to_pylist()])
+            for doc, ids in zip(batch["doc"].to_pylist(), encoded, strict=True):
+                ids += end
                 for sequence in packer.add((doc, 0, ids, len(ids) // 4)):
                     yield from _rows(sequence, task * _SEQUENCES + made, task)
                     made += 1
@@ -143,7 +185,7 @@ def _pack_task(tokenizer: str, end_id: int, length: int, windows: int):
         made = 0
         for large in batches:
             schema = _schema(large.schema.field("doc").type)
-            for batch in small(large, "text"):
+            for batch in small(large, "text", 1 << 20):
                 yield from batched(rows(batch), schema)
         if schema:
             yield from batched(_rows(packer.rest(), -1, task, closed=False), schema)

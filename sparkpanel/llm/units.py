@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import cache
 
 import numpy as np
@@ -28,6 +29,22 @@ def _byte_hash() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
+SPACE, LETTER, DIGIT, SYMBOL = range(4)
+
+
+def class_of(c: str) -> int:
+    kind = unicodedata.category(c)[0]
+    return SPACE if c.isspace() else LETTER if kind == "L" else DIGIT if kind == "N" else SYMBOL
+
+
+@cache
+def characters() -> tuple[np.ndarray, np.ndarray]:
+    """For the first 65,536 characters their class, and a hash that is alike for both cases."""
+    every = [chr(i) for i in range(65536)]
+    lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(every)], np.uint64)
+    return np.array([class_of(c) for c in every], np.uint8), mix(lower + np.uint64(1))
+
+
 @cache
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2^64."""
