@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from sparkpanel.llm.bpe import bpe_decode, bpe_encode
 from sparkpanel.llm.exact import exact_dedup
+from sparkpanel.llm.language import fit_language, predict_language
 from sparkpanel.llm.minhash import near_duplicates
 from sparkpanel.llm.packing import pack
+from sparkpanel.llm.quality import fit_quality, predict_quality
 from sparkpanel.llm.staging import new_path
 from sparkpanel.llm.substrings import drop_repeated_words
 from sparkpanel.llm.suffixes import drop_repeated_bytes
@@ -29,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(id_col: str = "doc_id"):
+    """Whether a row is kept away from all learning."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -104,3 +111,19 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, "doc_id", "text", words=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    model = fit_language(docs.filter("not held_out"), "doc_id", "text", "lang")
+    return predict_language(docs.select("doc_id", "held_out", "text"), "text", model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    model = fit_quality(docs.filter("not held_out"), labels, "doc_id", "text", "quality")
+    scored = predict_quality(docs.select("doc_id", "held_out", "text"), "text", model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
