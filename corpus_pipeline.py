@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkpanel.llm.exact import exact_dedup
+from sparkpanel.llm.language import fit_language, predict_language
+from sparkpanel.llm.minhash import near_duplicates
+from sparkpanel.llm.packing import pack
+from sparkpanel.llm.queries import held_out
 from sparkpanel.llm.staging import staged
+from sparkpanel.llm.suffixes import drop_repeated_bytes
+
+#: Least calibrated probability of the predicted language; evenly spread over four languages it is 0.25.
+MIN_SCORE = 0.3
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text has a language: a letter at least, and a prediction of ``MIN_SCORE``."""
+    model = fit_language(docs.filter(~held_out()), "doc_id", "text", "lang")
+    # Any name may clash with the prediction's, so only the id and the text go in.
+    marks = predict_language(docs.select(F.struct(*docs.columns).alias("row"), "text"), "text", model)
+    return marks.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +31,29 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, "doc_id", "text").filter("kept").select(*docs.columns)
 
 
-STAGES = [("exact", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that links of similarity 0.8 over five-word shingles join, the smallest id stays."""
+    return near_duplicates(docs, "doc_id", "text", words=5, percent=80).filter("kept").select(*docs.columns)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole characters that lie in a string of 400 bytes which occurs again are removed; every row stays."""
+    cut = drop_repeated_bytes(docs, "doc_id", "text", length=400, whole_characters=True)
+    text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
+    return cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4,096 ids."""
+    return pack(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
+
+
+STAGES = [
+    ("language_id", known_language), ("exact_dedup", drop_copies), ("minhash", drop_near_copies),
+    ("suffix_array", cut_passages), ("packing", pack_sequences),
+]
 
+#: The first stage is a fitted model, which SQL can't express; tests/llm has plain versions of all stages.
 ORACLE_SQL = None
 
 

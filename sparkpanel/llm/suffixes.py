@@ -119,14 +119,24 @@ def _suffix_bucket(length: int):
     return bucket
 
 
-def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int = 400) -> DataFrame:
+def _inward(text: bytes, a: int, b: int) -> tuple[int, int]:
+    """The range without the rest of a character at its start and the beginning of one at its end."""
+    while a < b and text[a] & 0xC0 == 0x80:
+        a += 1
+    while a < b < len(text) and text[b] & 0xC0 == 0x80:
+        b -= 1
+    return a, b
+
+
+def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int = 400, whole_characters: bool = False) -> DataFrame:
     """Remove each byte that lies in a string of ``length`` bytes which also starts anywhere else.
 
     Adds n_bytes, n_removed, spans (maximal removed runs as structs from, to) and kept
     (binary: the remaining bytes) to all rows. Matches never cross documents, may overlap
     and may lie in one document; all are judged on the input. Only strings whose
     minimiser occurs again are brought together; there suffixes are sorted bucket by
-    bucket and long ties resolved by ranks of a difference cover.
+    bucket and long ties resolved by ranks of a difference cover. With
+    ``whole_characters`` a UTF-8 character goes only if all its bytes are covered.
 
     ``length`` is at least 160. Ids are of an integer type. Null text counts as empty; a
     row of null id keeps all its bytes and takes no part. Rows that repeat an id and a
@@ -149,6 +159,8 @@ def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int =
                 for text, found in zip(batch[text_col].cast(pa.binary()).to_pylist(), batch["_ranges"].to_pylist(), strict=True):
                     text = text or b""
                     out = merged(found, len(text))
+                    if whole_characters:
+                        out = [(a, b) for a, b in (_inward(text, a, b) for a, b in out) if a < b]
                     edges = [0, *(x for r in out for x in r), len(text)]
                     rest = b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2], strict=True))
                     sizes.append(len(text))
