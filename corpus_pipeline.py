@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,29 +20,35 @@ from sparkpanel.llm.suffixes import drop_repeated_bytes
 MIN_SCORE = 0.3
 
 
+def beside(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``operator`` on the documents, with the columns it doesn't read out of the way of those it adds."""
+    aside = {c: f"column_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    out = operator(docs.withColumnsRenamed(aside))
+    return out.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a language: a letter at least, and a prediction of ``MIN_SCORE``."""
     model = fit_language(docs.filter(~held_out()), "doc_id", "text", "lang")
-    # Any name may clash with the prediction's, so only the id and the text go in.
-    marks = predict_language(docs.select(F.struct(*docs.columns).alias("row"), "text"), "text", model)
-    return marks.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select("row.*")
+    accepted = (F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)
+    return beside(docs, lambda d: predict_language(d, "text", model).filter(accepted))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
-    return exact_dedup(docs, "doc_id", "text").filter("kept").select(*docs.columns)
+    return beside(docs, lambda d: exact_dedup(d, "doc_id", "text").filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that links of similarity 0.8 over five-word shingles join, the smallest id stays."""
-    return near_duplicates(docs, "doc_id", "text", words=5, percent=80).filter("kept").select(*docs.columns)
+    return beside(docs, lambda d: near_duplicates(d, "doc_id", "text", words=5, percent=80).filter("kept"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole characters that lie in a string of 400 bytes which occurs again are removed; every row stays."""
-    cut = drop_repeated_bytes(docs, "doc_id", "text", length=400, whole_characters=True)
     text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
-    return cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    cut = beside(docs, lambda d: drop_repeated_bytes(d, "doc_id", "text", length=400, whole_characters=True).withColumn("text", text))
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
