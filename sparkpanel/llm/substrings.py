@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,8 +19,15 @@ GRAM = 8
 def _sorted_windows(window: int):
     """For each string the windows that also start in a document of smaller id, by sorting all windows."""
     def bucket(rows: list[tuple]) -> Iterator[tuple]:
+        # Windows of a string that has its minimiser to itself stand in the documents of that string alone.
+        strings = Counter(mini for mini, *_ in rows)
+        for mini, packed, docs, starts, _ in rows:
+            if strings[mini] == 1:
+                lowest, length = min(docs), packed.count(b" ") + 1
+                yield from ((doc, start, start + length) for doc, start in zip(docs, starts, strict=True) if doc > lowest)
+        rows = [row for row in rows if strings[row[0]] > 1]
         entries, sizes = [], []
-        for i, (mini, packed, docs, _) in enumerate(rows):
+        for i, (mini, packed, docs, _, _) in enumerate(rows):
             edges = [-1]
             edge = packed.find(b" ")
             while edge >= 0:
@@ -37,7 +45,7 @@ def _sorted_windows(window: int):
             if (mini, content) != before:
                 before, lowest = (mini, content), doc
             least[i][j] = lowest
-        for (_, _, docs, starts), low in zip(rows, least, strict=True):
+        for (_, _, docs, starts, _), low in zip(rows, least, strict=True):
             bounds = [(a, b, x) for a, b, x in _level_runs(low)]
             for doc, start in zip(docs, starts, strict=True):
                 for a, b, x in bounds:

@@ -100,17 +100,28 @@ def equal_windows(text: bytes, windows: np.ndarray, bucket: np.ndarray, length:
 
 def _suffix_bucket(length: int):
     def bucket(rows: list[tuple]) -> Iterator[tuple]:
-        text = b"".join(packed for _, packed, _, _ in rows)
-        sizes = np.array([len(packed) for _, packed, _, _ in rows])
+        # Where each string of a minimiser occurs more than once, all of them are repeated whole.
+        once = {mini for mini, *_, times in rows if times < 2}
+        for mini, packed, docs, starts, _ in rows:
+            if mini not in once:
+                for doc, start in zip(docs, starts, strict=True):
+                    yield (doc, start, start + len(packed))
+        rows = [row for row in rows if row[0] in once]
+        if rows:
+            yield from sort(rows)
+
+    def sort(rows: list[tuple]) -> Iterator[tuple]:
+        text = b"".join(packed for _, packed, *_ in rows)
+        sizes = np.array([len(packed) for _, packed, *_ in rows])
         counts = sizes - length + 1
         ends = np.cumsum(counts)
         base = np.cumsum(sizes) - sizes
         windows = np.arange(ends[-1]) + np.repeat(base - (ends - counts), counts)
-        minis = np.repeat(np.array([mini for mini, _, _, _ in rows], np.int64), counts)
-        times = np.repeat(np.array([len(docs) for _, _, docs, _ in rows]), counts)
+        minis = np.repeat(np.array([mini for mini, *_ in rows], np.int64), counts)
+        times = np.repeat(np.array([n for *_, n in rows]), counts)
         classes = equal_windows(text, windows, minis, length)
         again = np.bincount(classes, weights=times, minlength=len(windows))[classes] > 1
-        for (_, _, docs, starts), first, count in zip(rows, (ends - counts).tolist(), counts.tolist(), strict=True):
+        for (_, _, docs, starts, _), first, count in zip(rows, (ends - counts).tolist(), counts.tolist(), strict=True):
             edge = np.flatnonzero(np.diff(np.concatenate([[False], again[first : first + count], [False]])))
             for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True):
                 for doc, start in zip(docs, starts, strict=True):

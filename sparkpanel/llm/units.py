@@ -45,20 +45,24 @@ def characters() -> tuple[np.ndarray, np.ndarray]:
     return np.array([class_of(c) for c in every], np.uint8), mix(lower + np.uint64(1))
 
 
-@cache
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2^64."""
+    """Powers of an odd base and of its inverse, modulo 2^64: ``size`` of them at least, kept for the next slice."""
     def powers(b):
         out = np.full(size, b, np.uint64)
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    return powers(base), powers(pow(base, -1, 1 << 64))
+    if base not in _POWERS or len(_POWERS[base][0]) < size:
+        _POWERS[base] = powers(base), powers(pow(base, -1, 1 << 64))
+    return _POWERS[base]
 
 
 def sums(h: np.ndarray, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums from which ``grams`` takes the hash of any run of units."""
-    power, inverse = _powers(base, 1 << max(16, len(h).bit_length()))
+    power, inverse = _powers(base, len(h) + len(h) // 8 + 1)
     total = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(h * power[: len(h)], out=total[1:])
     return total, inverse
@@ -124,8 +128,8 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 class Runs:
     """Maximal runs of consecutive windows of one text that share their minimiser.
 
-    ``start`` (unit), ``count`` (windows), ``text`` (index), ``mini`` (int64) and ``tied``
-    (whether the least gram stands at more than one place of the run).
+    ``start`` (unit), ``count`` (windows), ``text`` (index), ``mini`` (int64), ``whole`` (hash
+    of the run's units) and ``tied`` (whether the least gram stands at more than one place).
     """
 
     def __init__(self, units, window: int, gram: int):
@@ -151,6 +155,7 @@ class Runs:
         self.start, self.count = at[begin], end - begin
         self.text = has[np.searchsorted(offset, begin, "right") - 1] if len(begin) else begin
         self.mini = mix(value[begin]).view(np.int64)
+        self.whole = grams(self.prefix, self.start, self.start + self.count + window - 1).view(np.int64)
         self.tied = (left[at[begin]] & low) != right[at[end - 1]] if len(begin) else np.zeros(0, bool)
 
     def window_hashes(self, units, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
