@@ -20,9 +20,7 @@ SIZE = BANDS * ROWS
 #: Members of a bucket that are compared with each other in one task.
 BLOCK = 1000
 #: Rounds in which every bucket compares its members with one of them.
-ROUNDS = 3
-#: Standard deviations that a signature may fall short of the similarity before a pair is left out.
-SLACK = 4.7
+ROUNDS = 2
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -72,14 +70,14 @@ def superminhash(h: np.ndarray, text: np.ndarray, texts: int, size: int = SIZE)
 
 
 _SIGNED = pa.schema([
-    ("id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary()),
+    ("id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())),
 ])
 
 
 def _sign_task(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
-            for batch in small(large, "text", 1 << 20):
+            for batch in small(large, "text", 1 << 19):
                 texts = [t or b"" for t in batch["text"].cast(pa.binary()).to_pylist()]
                 h, text = shingles(texts, words)
                 signature = superminhash(h, text, len(texts))
@@ -99,7 +97,6 @@ def _sign_task(words: int):
                 yield pa.RecordBatch.from_arrays([
                     batch["id"], pa.array(n.astype(np.int64)), *map(pa.array, digests),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(texts) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(key.ravel().view(np.int64))),
-                    pa.array([row.tobytes() for row in (bits >> np.uint64(48)).astype(np.uint16)], pa.binary()),
                 ], schema=_SIGNED)
 
     return run
@@ -133,26 +130,59 @@ def _verify_task(words: int, percent: int):
     return run
 
 
+def _sets_task(words: int):
+    """The shingles of each text as sorted 32-bit numbers. Two that fall together make sets look more alike, never less."""
+    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for large in batches:
+            for batch in small(large, "text", 1 << 20):
+                h, text = shingles([t or b"" for t in batch["text"].cast(pa.binary()).to_pylist()], words)
+                edge = np.searchsorted(text, np.arange(batch.num_rows + 1))
+                short = (h >> np.uint64(32)).astype(np.uint32)
+                sets = [short[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.binary())], schema=schema)
+
+    return run
+
+
 def _block_task(percent: int):
-    least = SIZE * percent / 100 - SLACK * (SIZE * percent / 100 * (1 - percent / 100)) ** 0.5
+    """Links between different components of two blocks: enough of them to join what they join, never all pairs.
 
+    Intersections come from the list of members that each shingle has, for one member
+    of the first block with all of the second at a time.
+    """
     def run(table: pa.Table) -> pa.Table:
-        column = {c: table[c].to_numpy() for c in ("rep", "component", "n", "block", "low")}
-        sig = np.stack([np.frombuffer(s, np.uint16) for s in table["sig"].to_pylist()]).T
-        left = np.flatnonzero(column["block"] == column["low"])
-        right = left if (column["block"] == column["block"][0]).all() else np.flatnonzero(column["block"] != column["low"])
+        rep, component, n, block = (table[c].to_numpy() for c in ("rep", "component", "n", "block"))
+        left, right = np.flatnonzero(block == table["low"][0].as_py()), np.flatnonzero(block == table["high"][0].as_py())
+        sets = [np.frombuffer(s, np.uint32) for s in table["shingles"].to_pylist()]
         found = []
-        for part in np.array_split(left, -(-len(left) // 256)):
-            alike = np.zeros((len(part), len(right)), np.uint16)
-            for row in sig:
-                alike += row[part][:, None] == row[right][None, :]
-            n, m = column["n"][part][:, None], column["n"][right][None, :]
-            fits = (alike >= least) & (column["component"][part][:, None] != column["component"][right][None, :])
-            fits &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-            a, b = np.nonzero(fits)
-            found.append(np.stack([column["rep"][part[a]], column["rep"][right[b]]]))
-        u, v = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+        if len(left) and len(right):
+            every = np.concatenate([sets[i] for i in right])
+            owner = np.repeat(np.arange(len(right)), [len(sets[i]) for i in right])
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            labels = dict(zip(component.tolist(), component.tolist(), strict=True))
+
+            def root(x):
+                while labels[x] != x:
+                    labels[x] = labels[labels[x]]
+                    x = labels[x]
+                return x
+
+            size = n[right]
+            for a in left:
+                first, last = np.searchsorted(every, sets[a], "left"), np.searchsorted(every, sets[a], "right")
+                count = last - first
+                at = np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
+                both = np.bincount(owner[at], minlength=len(right))
+                near = np.flatnonzero((100 * both >= percent * (n[a] + size - both)) & (component[right] != component[a]))
+                for b in near[np.unique(component[right[near]], return_index=True)[1]] if len(near) else []:
+                    x, y = root(component[a].item()), root(component[right[b]].item())
+                    if x != y:
+                        labels[max(x, y)] = min(x, y)
+                        found.append(sorted((rep[a].item(), rep[right[b]].item())))
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
     return run
 
@@ -166,10 +196,11 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, p
     Texts with equal sets form a class, and each class is compared by its smallest id.
     Its SuperMinHash signature of 160 values gives 32 band keys; two sets of similarity
     0.8 share none with a probability of 3 in a million. Links are confirmed on the full
-    sets. Each bucket first compares its members with one of them, in three rounds with
-    another one each; only members that are not yet in one component then meet, in blocks
-    of 1,000, and pairs whose signatures come near the similarity are confirmed as well.
-    So a group of copies costs links in proportion to its members, and none is left out.
+    sets. Each bucket first compares its members with one of them, in two rounds with
+    another one each. In buckets that still hold several components the members outside
+    the largest one then meet all others, in blocks of 1,000, which give links that join
+    components and never all pairs. So a group of copies costs links in proportion to its
+    members, and no link between two components is left out.
 
     Ids are of an integer type. Null and empty texts have no shingles and link with
     nothing; so does a row of null id. Rows that repeat an id are one document: what
@@ -177,14 +208,14 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, p
     start with an underscore are reserved.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-    signed = staged(rows.mapInArrow(_sign_task(words), "id long, n_shingles long, d1 long, d2 long, bands array<long>, sig binary"), "signatures")
+    signed = staged(rows.mapInArrow(_sign_task(words), "id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signatures")
     classes = staged(
         signed.filter("n_shingles > 0").groupBy("n_shingles", "d1", "d2")
-        .agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes"
+        .agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes"
     )
     keyed = classes.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = staged(keyed.join(shared, "key"), "buckets")
+    buckets = staged(keyed.join(shared.select("key"), "key"), "buckets")
 
     # Texts of the classes that share a bucket; others are held back by a filter of bounded size.
     wanted = staged(buckets.select(F.col("rep").alias("id")).distinct().withColumn("_h", F.xxhash64("id")), "wanted")
@@ -217,19 +248,28 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, p
             F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v")
         ).distinct()
         pairs = staged(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        tested = pairs
         new = confirmed(pairs)
         links = new if links is None else links.unionByName(new)
         if round_number == 0 or not new.isEmpty():
             labels = components(links)
 
+    # What is left of mixed buckets: the members outside the largest component, in blocks, meet all others.
     now = staged(labelled(), "labelled")
-    mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    members = now.join(mixed, "key", "left_semi").withColumn("block", F.pmod(F.xxhash64("rep"), parts).cast("int"))
-    members = members.join(classes.select("rep", "sig"), "rep").withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    met = members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).groupBy("key", "low", "high")
-    pairs = staged(met.applyInArrow(_block_task(percent), "u long, v long").distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
+    sizes = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    mixed = sizes.groupBy("key").agg(
+        F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("total"), F.count(F.lit(1)).alias("parts")
+    ).filter("parts > 1").select(
+        "key", F.col("most.component").alias("major"), F.ceil((F.col("total") - F.col("most.size")) / BLOCK).cast("int").alias("minor_blocks"),
+        F.ceil(F.col("most.size") / BLOCK).cast("int").alias("major_blocks"),
+    )
+    is_major, spread = F.col("component") == F.col("major"), F.xxhash64("rep")
+    block = F.when(is_major, F.col("minor_blocks") + F.pmod(spread, F.col("major_blocks"))).otherwise(F.pmod(spread, F.col("minor_blocks")))
+    others = F.col("minor_blocks") + F.when(is_major, 0).otherwise(F.col("major_blocks")) - 1
+    sets = texts.mapInArrow(_sets_task(words), "rep long, shingles binary")
+    members = now.join(mixed, "key").select("key", "rep", "component", "n", block.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), others)).alias("other"))
+    met = members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other").join(sets, "rep")
+    pairs = staged(met.groupBy("key", "low", "high").applyInArrow(_block_task(percent), "u long, v long").distinct(), "pairs")
     new = confirmed(pairs)
     if not new.isEmpty():
         links = links.unionByName(new)

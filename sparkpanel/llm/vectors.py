@@ -92,9 +92,7 @@ def _count_task(cosine: float):
         right = left if inside else np.flatnonzero(block != low)
         links, labels = np.zeros(len(ids), np.int64), np.arange(len(ids))
         theirs = [np.ascontiguousarray(c[right]) for c in codes]
-        for part in np.array_split(left, -(-len(left) // 128)):
-            if not len(right):
-                break
+        for part in np.array_split(left, -(-len(left) // 128)) if len(left) and len(right) else []:
             hits = np.zeros((len(part), len(right)), np.uint8)
             for mine, other in zip(codes, theirs, strict=True):
                 # Codes wrap, so one comparison tells whether the other lies in the window around mine.
