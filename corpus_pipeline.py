@@ -13,7 +13,7 @@ from sparkpanel.llm.language import fit_language, predict_language
 from sparkpanel.llm.minhash import near_duplicates
 from sparkpanel.llm.packing import pack
 from sparkpanel.llm.queries import held_out
-from sparkpanel.llm.staging import staged
+from sparkpanel.llm.staging import small_batches, staged
 from sparkpanel.llm.suffixes import drop_repeated_bytes
 
 #: Least calibrated probability of the predicted language; evenly spread over four languages it is 0.25.
@@ -22,6 +22,7 @@ MIN_SCORE = 0.3
 
 def beside(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``operator`` on the documents, with the columns it doesn't read out of the way of those it adds."""
+    small_batches(docs.sparkSession)
     aside = {c: f"column_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     out = operator(docs.withColumnsRenamed(aside))
     return out.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
@@ -29,6 +30,7 @@ def beside(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataF
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a language: a letter at least, and a prediction of ``MIN_SCORE``."""
+    small_batches(spark)
     model = fit_language(docs.filter(~held_out()), "doc_id", "text", "lang")
     accepted = (F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)
     return beside(docs, lambda d: predict_language(d, "text", model).filter(accepted))
@@ -53,6 +55,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4,096 ids."""
+    small_batches(spark)
     return pack(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
 
 

@@ -12,7 +12,7 @@ from sparkpanel.llm.language import fit_language, predict_language
 from sparkpanel.llm.minhash import near_duplicates
 from sparkpanel.llm.packing import pack
 from sparkpanel.llm.quality import fit_quality, predict_quality
-from sparkpanel.llm.staging import new_path
+from sparkpanel.llm.staging import new_path, small_batches
 from sparkpanel.llm.substrings import drop_repeated_words
 from sparkpanel.llm.suffixes import drop_repeated_bytes
 from sparkpanel.llm.vectors import near_vectors
@@ -28,6 +28,7 @@ def query(function):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -14,6 +14,12 @@ def new_path(spark, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark) -> None:
+    """Hand tasks' Python some megabytes of rows at a time; the default of 64 MB is held several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet and read it again: lineage is cut, and lost executors cost no recomputation."""
     path = new_path(df.sparkSession, name)
