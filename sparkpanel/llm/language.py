@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from sparkpanel.llm.ngrams import DIMS, inverse_frequencies, texts_of, tfidf, vectors
 
 #: Labelled rows of each language that the model is fitted on, and of these the share that calibrates it.
-SAMPLE = 1000
+SAMPLE = 2500
 CALIBRATION = 0.2
 EPOCHS = 3
 

@@ -16,8 +16,8 @@ from sparkpanel.llm.ngrams import inverse_frequencies, texts_of, tfidf, vectors
 from sparkpanel.llm.units import DIGIT, LETTER, SPACE, Words, characters
 
 #: Rows that the model is fitted on: trusted positives, and texts of unknown quality.
-POSITIVES = 3000
-UNLABELLED = 6000
+POSITIVES = 2000
+UNLABELLED = 4000
 EPOCHS = 30
 BATCHES = 10
 #: Shares of a text that are told apart by sixteenths, as further features of this value.
@@ -83,7 +83,7 @@ def features(texts: list[str], idf: np.ndarray) -> Iterator[tuple[np.ndarray, np
 class _Sparse:
     def __init__(self, examples: list):
         self.at = np.concatenate([at for _, at, _ in examples])
-        self.x = np.concatenate([x for _, _, x in examples]).astype(np.float64)
+        self.x = np.concatenate([x for _, _, x in examples])
         self.size = np.array([len(at) for _, at, _ in examples])
 
     def part(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
