@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.llm.arrow import small
 
-#: Pieces that a task remembers; beyond that it starts anew.
+#: Pieces that a worker remembers; beyond that it starts anew.
 REMEMBERED = 400_000
 #: Longer pieces would make wide matrices with a round for each byte.
 WIDEST = 256
@@ -162,6 +163,12 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+@cache
+def _bpe(ranks_path: str, pattern: str) -> Bpe:
+    """One for each worker process, so that tasks share what they have learnt."""
+    return Bpe(read_ranks(ranks_path), pattern)
+
+
 def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     keep = [i for i, n in enumerate(batch.schema.names) if n != name]
     return pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), values], names=[*(batch.schema.names[i] for i in keep), name])
@@ -183,7 +190,7 @@ def bpe_encode(df: DataFrame, text_col: str, ranks_path: str, pattern: str, out:
     ``ranks_path`` must be readable by every executor.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(read_ranks(ranks_path), pattern)
+        bpe = _bpe(ranks_path, pattern)
         for large in batches:
             for batch in small(large, text_col):
                 found = bpe.encode([t or "" for t in batch[text_col].to_pylist()])
