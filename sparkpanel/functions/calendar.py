@@ -29,7 +29,7 @@ def month_flags(month: Column) -> dict[str, Column]:
     return {f"month{m}": (month == m).cast("int") for m in range(1, 13)}
 
 
-def crop_year_number(day: str | Column, first_year: int, n_years: int) -> Column:
+def crop_year_number(day: str | Column, first_year: int | Column, n_years: int | Column) -> Column:
     """Number 1..n of the May-April crop year, the ends taking everything beyond them."""
     number = F.year(day) - F.lit(first_year) + (F.month(day) >= 5).cast("int")
     return F.least(F.lit(n_years), F.greatest(F.lit(1), number)).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkpanel.operators.skew import group_median
+from sparkpanel.operators.skew import group_median, match_keys
 
 
 def _numeric(df: DataFrame, exclude: Iterable[str]) -> list[str]:
@@ -18,9 +18,7 @@ def _numeric(df: DataFrame, exclude: Iterable[str]) -> list[str]:
 
 def attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     """Left join of per-group statistics, null keys matching null keys."""
-    keyed = stats.withColumnsRenamed({k: f"_k_{k}" for k in by})
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
-    return df.join(keyed, cond, "left").drop(*[f"_k_{k}" for k in by])
+    return match_keys(df, stats, by)
 
 
 def sum_strict(col: str | Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sparkpanel.operators.skew import HOT_ROWS, ordinal
+from sparkpanel.operators.skew import ordinal
 
 
 class KeyNotUnique(ValueError):
@@ -60,8 +60,7 @@ def merge_checked(left: DataFrame, right: DataFrame, on: list[str], cardinality:
 
 
 def merge_mm(
-    left: DataFrame, right: DataFrame, on: list[str], order_left: list[str], order_right: list[str],
-    hot_rows: int = HOT_ROWS,
+    left: DataFrame, right: DataFrame, on: list[str], order_left: list[str], order_right: list[str]
 ) -> DataFrame:
     """Positional merge: row i of a key pairs with row i of the other side.
 
@@ -71,8 +70,8 @@ def merge_mm(
     """
     l_cols = [c for c in left.columns if c not in on]
     r_cols = [c for c in right.columns if c not in on]
-    numbered_l = ordinal(left, on, order_left, "_pos", hot_rows)
-    numbered_r = ordinal(right, on, order_right, "_pos", hot_rows)
+    numbered_l = ordinal(left, on, order_left, "_pos")
+    numbered_r = ordinal(right, on, order_right, "_pos")
 
     size_l = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_nl"))
     size_r = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_nr"))

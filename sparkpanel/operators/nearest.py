@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkpanel.functions.geodesy import geodesic_km, haversine_km
+from sparkpanel.operators.skew import match_keys
 from sparkpanel.session import cut_lineage
 
 LEAF = 12
@@ -72,7 +73,8 @@ def nearest_join(
 ) -> DataFrame:
     """The k nearest right points of each left point: left_id, by, near_id, dist_km, rank.
 
-    With ``by`` only points of the same group are candidates. Distances are compared
+    Left rows without coordinates or without a candidate stay, with nulls. With ``by``
+    only points of the same group are candidates. Distances are compared
     to a millimetre and ties go to the smaller id. ``exclude_self`` skips the
     right point that carries the left id.
     """
@@ -113,7 +115,7 @@ def nearest_join(
     nodes = cut_lineage(cells(all_levels).groupBy(*by, *cell).agg(F.count(F.lit(1)).alias("_cnt"), *boxes))
     deepest = nodes.filter((F.col("_cnt") > LEAF) & (F.col("_level") < BITS)).agg(F.max("_level")).first()[0]
     steps = list(range(0, deepest + 1, STEP)) if deepest is not None else []
-    small = box["n"] * (len(steps) + 1) <= BROADCAST_ROWS
+    small = box["n"] * (len(steps) + 1 + want) <= BROADCAST_ROWS
 
     # Distinct left points, spread over all shuffle partitions (the rows multiply below, so
     # adaptive coalescing by their small size would be wrong) and sorted once: broadcast
@@ -190,13 +192,13 @@ def nearest_join(
     hits = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= want).select(
         *point, F.col("_rid").alias(right_name), F.col("_dist").alias("dist_km"), "rank"
     )
-    out = left.select(
-        F.col(left_id), *by, F.col(left_xy[0]).alias("_la"), F.col(left_xy[1]).alias("_lo")
-    ).join(hits.drop("_h"), place).drop("_la", "_lo")
-    if exclude_self:
-        w = Window.partitionBy(left_id, *by).orderBy("rank")
-        out = out.filter(F.col(right_name) != F.col(left_id)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return out
+    rows = left.select(F.col(left_id), *by, F.col(left_xy[0]).alias("_la"), F.col(left_xy[1]).alias("_lo"))
+    if not exclude_self:
+        return rows.join(hits.drop("_h"), place, "left").select(left_id, *by, right_name, "dist_km", "rank")
+    w = Window.partitionBy(left_id, *by).orderBy("rank")
+    out = rows.join(hits.drop("_h"), place).drop("_la", "_lo").filter(F.col(right_name) != F.col(left_id))
+    out = out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return match_keys(rows.select(left_id, *by), out, [left_id, *by])
 
 
 def neighbours(df: DataFrame, id: str, k: int, xy: tuple[str, str] = ("lat", "lon"), metric: str = "haversine") -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 
-
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:
     """Even-odd test: an odd number of edges crossed to the right of the point."""
     nxt = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
@@ -30,34 +31,35 @@ def ring_area(ring: str | Column) -> Column:
 
 
 def point_in_polygon(
-    points: DataFrame, polys: DataFrame, xy: tuple[str, str] = ("lon", "lat"), ring: str = "ring", cell: float | None = None
+    points: DataFrame, polys: DataFrame, xy: tuple[str, str] = ("lon", "lat"), ring: str = "ring"
 ) -> DataFrame:
     """Inner join of points with the polygons that contain them.
 
-    Both sides are keyed by a square cell: a polygon appears in the cells its bounding
-    box touches, a point in one. The cell is the mean box side unless given, so a
-    polygon of usual size covers a handful of cells.
+    Both sides are keyed by square cells. A polygon takes the power of four from its box
+    side on as cell, so it touches four cells at most whatever the others' size; a point
+    is looked up once for each cell size in use, a handful of powers. Points crowded in
+    one cell make a large join key, which adaptive execution splits.
     """
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     boxed = polys.withColumns({
         "_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys),
     })
-    if cell is None:
-        cell = boxed.agg(F.avg((F.col("_x1") - F.col("_x0") + F.col("_y1") - F.col("_y0")) / 2)).first()[0] or 1.0
-    cell = float(cell)
+    side = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(1e-9))
+    boxed = boxed.withColumn("_level", F.ceil(F.log(side) / math.log(4)).cast("int")).filter("_level is not null")
+    sizes = [r[0] for r in boxed.select("_level").distinct().collect()]
 
     def key(c: Column) -> Column:
-        return F.floor(c / F.lit(cell))
+        return F.floor(c / F.pow(F.lit(4.0), F.col("_level")))
 
     keyed = boxed.withColumn("_i", F.explode(F.sequence(key(F.col("_x0")), key(F.col("_x1"))))).withColumn(
         "_j", F.explode(F.sequence(key(F.col("_y0")), key(F.col("_y1"))))
     )
     x, y = F.col(xy[0]), F.col(xy[1])
-    located = points.withColumns({"_i": key(x), "_j": key(y)})
-    joined = located.join(keyed, ["_i", "_j"]).filter(
+    located = points.withColumn("_level", F.explode(F.lit(sizes).cast("array<int>"))).withColumns({"_i": key(x), "_j": key(y)})
+    joined = located.join(keyed, ["_level", "_i", "_j"]).filter(
         x.between(F.col("_x0"), F.col("_x1")) & y.between(F.col("_y0"), F.col("_y1"))
     )
-    return joined.filter(inside_ring(x, y, F.col(ring))).drop("_i", "_j", "_x0", "_x1", "_y0", "_y1", ring)
+    return joined.filter(inside_ring(x, y, F.col(ring))).drop("_level", "_i", "_j", "_x0", "_x1", "_y0", "_y1", ring)
 
 
 def area_mean(pixels: DataFrame, polys: DataFrame, zone: str, value: str, time: list[str], xy=("lon", "lat")) -> DataFrame:

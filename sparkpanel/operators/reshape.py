@@ -32,15 +32,17 @@ def composite_key(*cols: str, sep: str = "_") -> Column:
     return F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])
 
 
-def dummies(df: DataFrame, col: str, values: list | None = None, prefix: str | None = None, limit: int = 1000) -> DataFrame:
-    """0/1 column per value. Without ``values`` the distinct ones are read, at most ``limit``."""
-    if values is None:
-        rows = df.select(col).distinct().filter(F.col(col).isNotNull()).limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{col} has more than {limit} values; name them or use a within transform")
-        values = sorted(r[0] for r in rows)
+def levels(df: DataFrame, col: str) -> list:
+    """Known values of a factor in order, as they name columns: few beside the rows."""
+    return sorted(r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).collect())
+
+
+def dummies(df: DataFrame, col: str, values: list | None = None, prefix: str | None = None) -> DataFrame:
+    """0/1 column per value; without ``values`` one for each level of the factor."""
     stem = prefix if prefix is not None else f"{col}_"
-    return df.withColumns({f"{stem}{v}": F.coalesce(F.col(col) == v, F.lit(False)).cast("int") for v in values})
+    return df.withColumns({
+        f"{stem}{v}": F.coalesce(F.col(col) == v, F.lit(False)).cast("int") for v in (levels(df, col) if values is None else values)
+    })
 
 
 def interact(df: DataFrame, left: list[str], right: list[str], sep: str = "_") -> DataFrame:

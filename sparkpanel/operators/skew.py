@@ -1,117 +1,67 @@
 """Ordered numbering and order statistics that survive a hot group.
 
 A window over a group runs in one task. Panels (one row per entity and period) are
-bounded by the calendar, raw observations are not. The operators here find groups
-above ``hot_rows`` with one partial-aggregated count and spread only those over
-key ranges of the leading order column.
+bounded by the calendar, raw observations are not. Here rows are cut into ranges of the
+whole sort key, so that a group of any size, with any ties, is spread over as many tasks
+as it needs; a row's number is its place in its range plus the rows of the ranges before.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-HOT_ROWS = 2_000_000
-
-_SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
+from sparkpanel.session import cut_lineage
 
 
-def hot_groups(df: DataFrame, by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Groups with more than ``hot_rows`` rows, or None. At most rows/hot_rows of them."""
-    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    return None if hot.isEmpty() else hot.select(*by)
+def match_keys(left: DataFrame, right: DataFrame, by: list[str], how: str = "left") -> DataFrame:
+    """Join on ``by`` with null keys matching null keys; the left's key columns stay."""
+    keyed = right.withColumnsRenamed({k: f"_k_{k}" for k in by})
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
+    return left.join(keyed, cond, how).drop(*[f"_k_{k}" for k in by])
 
 
-def _as_number(df: DataFrame, name: str, rows: DataFrame):
-    """A number that never decreases as the column grows, to cut ``rows`` at.
+def ordinal(df: DataFrame, by: list[str], order: list[str], name: str = "rn") -> DataFrame:
+    """Row number 1..n (long) inside ``by`` in ascending ``order``, nulls first, any group size.
 
-    For strings it is the six bytes after the prefix that all of ``rows`` share, which
-    is what their smallest and largest value share.
+    Rows that tie in ``order`` are numbered in no stated order. The rows with their
+    ranges are written out first, as the cut is drawn from a sample.
     """
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        ends = rows.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()
-        shared = len(os.path.commonprefix([ends["lo"] or "", ends["hi"] or ""]))
-        after = F.substring(F.col(name), shared + 1, 6)
-        return F.conv(F.rpad(F.substring(F.hex(F.encode(after, "UTF-8")), 1, 12), 12, "0"), 16, 10).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name)).cast("double")
-    return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-
-
-def ordinal(
-    df: DataFrame, by: list[str], order: list[str], name: str = "rn", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Row number 1..n inside ``by`` in ascending ``order``, any group size.
-
-    Hot groups are cut at approximate quantiles of ``order[0]``; the number is the
-    position inside the cut plus the size of the cuts before it, so it is exact.
-    """
-    plain = Window.partitionBy(*by).orderBy(*order)
-    splittable = isinstance(df.schema[order[0]].dataType, _SPLITTABLE)
-    hot = hot_groups(df, by, hot_rows) if splittable else None
-    if hot is None:
-        return df.withColumn(name, F.row_number().over(plain))
-
-    splits = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot_part = df.join(hot, by, "left_semi")
-    lead = _as_number(df, order[0], hot_part)
-    steps = [i / splits for i in range(1, splits)]
-    cuts = (
-        hot_part.groupBy(*by)
-        .agg(F.percentile_approx(lead, steps, 10 * splits).alias("_cuts"))
-    )
-    spread = df.join(cuts, by, "left").withColumn(
-        "_cut", F.coalesce(F.size(F.filter("_cuts", lambda c: c < lead)), F.lit(0))
-    ).drop("_cuts")
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(width, *by, *order, "_tie")
+    cut = cut_lineage(ranged.withColumn("_cut", F.spark_partition_id()))
     before = Window.partitionBy(*by).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        spread.groupBy(*by, "_cut")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(*by, "_cut", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy(*by, "_cut").orderBy(*order)
-    return (
-        spread.join(offsets, [*by, "_cut"], "left")
-        .withColumn(name, (F.row_number().over(inside) + F.coalesce("_offset", F.lit(0))).cast("long"))
-        .drop("_cut", "_offset")
+    # At most one row for each group and range.
+    offsets = cut.groupBy(*by, "_cut").agg(F.count(F.lit(1)).alias("_size")).select(
+        *by, "_cut", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
+    inside = Window.partitionBy(*by, "_cut").orderBy(*order, "_tie")
+    return match_keys(cut, offsets, [*by, "_cut"], "inner").withColumn(
+        name, F.row_number().over(inside).cast("long") + F.col("_offset")
+    ).drop("_cut", "_offset", "_tie")
 
 
-def group_quantiles(
-    df: DataFrame, by: list[str], col: str, probs: dict[str, float], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def group_quantiles(df: DataFrame, by: list[str], col: str, probs: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles per group, nulls skipped; one column per named probability.
 
-    Without hot groups this is the built-in percentile, whose buffer holds a group's
-    distinct values. Otherwise the two order statistics around each quantile are
-    picked by their distributed row number.
+    The two order statistics around each quantile are picked by their row number.
+    Groups without a known value get nulls.
     """
-    known = df.select(*by, F.col(col).cast("double").alias(col)).filter(F.col(col).isNotNull())
-    groups = df.select(*by).distinct()
-    hot = hot_groups(known, by, hot_rows)
-    if hot is None:
-        return df.groupBy(*by).agg(*[F.percentile(col, p).alias(n) for n, p in probs.items()])
-    ranked = ordinal(known, by, [col], "_rn", hot_rows)
+    known = df.select(*by, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    ranked = ordinal(known, by, ["_v"], "_rn")
     sizes = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in probs.items()])
     # Where in the group each quantile lies; one row per group and probability.
     spots = sizes.select(*by, "_n", F.explode(wanted).alias("_q")).withColumn("_h", (F.col("_n") - 1) * F.col("_q.p") + 1)
-    lower = spots.select(*by, F.col("_q.name").alias("_name"), "_h", F.floor("_h").alias("_rn"))
-    upper = spots.select(*by, F.col("_q.name").alias("_name"), "_h", F.ceil("_h").alias("_rn"))
-    ends = ranked.join(lower.unionByName(upper), [*by, "_rn"]).groupBy(*by, "_name").agg(
-        F.min(col).alias("_a"), F.max(col).alias("_b"), F.max("_h").alias("_h")
+    ends = spots.select(*by, F.col("_q.name").alias("_name"), "_h", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))).alias("_rn"))
+    picked = match_keys(ends, ranked, [*by, "_rn"], "inner").groupBy(*by, "_name").agg(
+        F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.max("_h").alias("_h")
     )
-    values = ends.withColumn("_v", F.col("_a") + (F.col("_h") - F.floor("_h")) * (F.col("_b") - F.col("_a")))
+    values = picked.withColumn("_v", F.col("_a") + (F.col("_h") - F.floor("_h")) * (F.col("_b") - F.col("_a")))
     wide = values.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(n) for n in probs])
-    return groups.join(wide, by, "left")
+    return match_keys(df.select(*by).distinct(), wide, by)
 
 
-def group_median(df: DataFrame, by: list[str], col: str, name: str = "median", hot_rows: int = HOT_ROWS) -> DataFrame:
-    return group_quantiles(df, by, col, {name: 0.5}, hot_rows)
+def group_median(df: DataFrame, by: list[str], col: str, name: str = "median") -> DataFrame:
+    return group_quantiles(df, by, col, {name: 0.5})

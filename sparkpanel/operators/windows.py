@@ -38,12 +38,14 @@ def lag_rows(df: DataFrame, by: list[str], order: str, cols: list[str], n: int,
 
 
 def lag_calendar(df: DataFrame, by: list[str], month: str, cols: list[str], n: int, suffix: str | None = None) -> DataFrame:
-    """Value exactly n months earlier, null across gaps."""
+    """Value of the same day of the month exactly n months earlier, null across gaps.
+
+    Rows are unique per (by, month). A day that the earlier month lacks has no match.
+    """
     tag = suffix if suffix is not None else f"_m{n}"
-    earlier = df.select(
-        *by, F.add_months(month, n).alias(month), *[F.col(c).alias(f"{c}{tag}") for c in cols]
-    )
-    return df.join(earlier, [*by, month], "left")
+    number, day = F.year(month) * 12 + F.month(month), F.dayofmonth(month)
+    earlier = df.select(*by, (number + n).alias("_number"), day.alias("_day"), *[F.col(c).alias(f"{c}{tag}") for c in cols])
+    return df.withColumns({"_number": number, "_day": day}).join(earlier, [*by, "_number", "_day"], "left").drop("_number", "_day")
 
 
 def fill_group(df: DataFrame, by: list[str], order: str, col: str, name: str | None = None) -> DataFrame:
@@ -147,27 +149,38 @@ def interp_linear(df: DataFrame, by: list[str], t: str, v: str, name: str | None
 def interp_stine(df: DataFrame, by: list[str], t: str, v: str, name: str | None = None) -> DataFrame:
     """Stineman's consistently well-behaved interpolation per series, ends carried.
 
-    Slopes at the known points come from the circle through a point and its two
-    neighbours; between points the value lies on Stineman's rational curve.
+    Both axes are scaled by the range of the known points, so the unit of the values has
+    no part in the result. Slopes at the known points come from the circle through a point
+    and its two neighbours; an end slope is turned back where it would overshoot. Between
+    points the value lies on Stineman's rational curve.
     """
     w = panel(by, t)
+    whole = Window.partitionBy(*by)
     known = df.filter(F.col(v).isNotNull()).select(*by, t, F.col(v).alias("_y"))
+    days = F.max(F.col(t)).over(whole), F.min(F.col(t)).over(whole)
     known = known.withColumns({
-        "_dl": _gap_days(F.col(t), F.lag(t).over(w)), "_yl": F.lag("_y").over(w),
-        "_dr": _gap_days(F.lead(t).over(w), F.col(t)), "_yr": F.lead("_y").over(w),
+        "_sx": F.greatest(F.datediff(*days), F.lit(1)).cast("double"),
+        "_sy": F.coalesce(F.nullif(F.max("_y").over(whole) - F.min("_y").over(whole), F.lit(0.0)), F.lit(1.0)),
     })
     known = known.withColumns({
-        "_sl": (F.col("_y") - F.col("_yl")) / F.col("_dl"), "_sr": (F.col("_yr") - F.col("_y")) / F.col("_dr"),
-    })
-    left_sq = F.pow("_dl", F.lit(2.0)) + F.pow(F.col("_y") - F.col("_yl"), F.lit(2.0))
-    right_sq = F.pow("_dr", F.lit(2.0)) + F.pow(F.col("_yr") - F.col("_y"), F.lit(2.0))
-    inner = (F.col("_sl") * right_sq + F.col("_sr") * left_sq) / (left_sq + right_sq)
-    known = known.withColumn("_mid", inner)
-    # End slopes mirror the neighbouring inner slope around the end chord.
-    first_end = 2 * F.col("_sr") - F.lead("_mid").over(w)
-    last_end = 2 * F.col("_sl") - F.lag("_mid").over(w)
-    slope = F.coalesce(F.col("_mid"), first_end, last_end, F.col("_sr"), F.col("_sl"), F.lit(0.0))
-    points = known.withColumn("_yp", slope).select(*by, t, F.col("_yp"))
+        "_dl": _gap_days(F.col(t), F.lag(t).over(w)) / F.col("_sx"), "_el": (F.col("_y") - F.lag("_y").over(w)) / F.col("_sy"),
+        "_dr": _gap_days(F.lead(t).over(w), F.col(t)) / F.col("_sx"), "_er": (F.lead("_y").over(w) - F.col("_y")) / F.col("_sy"),
+    }).withColumns({"_sl": F.col("_el") / F.col("_dl"), "_sr": F.col("_er") / F.col("_dr")})
+    left_sq = F.pow("_dl", F.lit(2.0)) + F.pow("_el", F.lit(2.0))
+    right_sq = F.pow("_dr", F.lit(2.0)) + F.pow("_er", F.lit(2.0))
+    known = known.withColumn("_mid", (F.col("_sl") * right_sq + F.col("_sr") * left_sq) / (left_sq + right_sq))
+
+    def end(chord: Column, inner: Column) -> Column:
+        """Slope at an end from the end chord and the next slope."""
+        calm = ((chord >= 0) & (chord >= inner)) | ((chord <= 0) & (chord <= inner))
+        both = F.abs(chord) + F.abs(chord - inner)
+        turned = chord + F.abs(chord) * (chord - inner) / F.nullif(both, F.lit(0.0))
+        return F.when(inner.isNull(), chord).when(calm, 2 * chord - inner).otherwise(F.coalesce(turned, chord))
+
+    slope = F.coalesce(
+        "_mid", F.when(F.col("_sl").isNull(), end(F.col("_sr"), F.lead("_mid").over(w))).otherwise(end(F.col("_sl"), F.lag("_mid").over(w))), F.lit(0.0)
+    )
+    points = known.withColumn("_yp", slope * F.col("_sy") / F.col("_sx")).select(*by, t, "_yp")
     base = df.join(points, [*by, t], "left")
     pt = F.when(F.col(v).isNotNull(), F.struct(F.col(t).alias("t"), F.col(v).alias("v"), F.col("_yp").alias("yp")))
     base = base.withColumn("_pt", pt)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkpanel.operators.skew import group_quantiles
+from sparkpanel.operators.skew import group_quantiles, match_keys
 
 # Class labels in rank order with right-closed upper bounds, the side of
 # the scale that is secure, and the constants used as naive predictions.
@@ -198,7 +198,7 @@ def kde(df: DataFrame, col: str, by: list[str], n: int = 512, cut: float = 3.0,
         F.min(col).alias("_lo"), F.max(col).alias("_hi"), F.stddev_samp(col).alias("_sd"),
         F.count(F.lit(1)).alias("_n"),
     )
-    stats = stats.join(group_quantiles(df, by, col, {"_q1": 0.25, "_q3": 0.75}), by)
+    stats = match_keys(stats, group_quantiles(df, by, col, {"_q1": 0.25, "_q3": 0.75}), by)
     iqr = (F.col("_q3") - F.col("_q1")) / 1.34
     sigma = F.when(iqr > 0, F.least("_sd", iqr)).otherwise(F.col("_sd"))
     width = 0.9 * sigma * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
@@ -206,7 +206,7 @@ def kde(df: DataFrame, col: str, by: list[str], n: int = 512, cut: float = 3.0,
         "_from": F.col("_lo") - cut * F.col("_bw"),
         "_step": (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_bw")) / (n - 1),
     }).select(*by, "_bw", "_from", "_step", "_n")
-    placed = df.filter(F.col(col).isNotNull()).select(*by, F.col(col).alias("_v")).join(frame, by).withColumn(
+    placed = match_keys(df.filter(F.col(col).isNotNull()).select(*by, F.col(col).alias("_v")), frame, by, "inner").withColumn(
         "_at", (F.col("_v") - F.col("_from")) / F.col("_step")
     ).withColumn("_j", F.floor("_at").cast("int"))
     part = F.col("_at") - F.col("_j")
@@ -217,7 +217,7 @@ def kde(df: DataFrame, col: str, by: list[str], n: int = 512, cut: float = 3.0,
         F.sum("_s.w").alias("_w")
     )
     binned = weights.groupBy(*by).agg(F.collect_list(F.struct("_j", "_w")).alias("_bins"))
-    at = frame.join(binned, by).select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    at = match_keys(frame, binned, by, "inner").select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     total = F.aggregate(
         "_bins", F.lit(0.0),
         lambda acc, b: acc + b["_w"] * F.exp(-0.5 * F.pow((F.col("i") - b["_j"]) * F.col("_step") / F.col("_bw"), F.lit(2.0))),
@@ -226,7 +226,7 @@ def kde(df: DataFrame, col: str, by: list[str], n: int = 512, cut: float = 3.0,
     out = at.select(*by, "i", (F.col("_from") + F.col("i") * F.col("_step")).alias("x"), dens.alias("density"))
     if scaled:
         top = out.groupBy(*by).agg(F.max("density").alias("_top"))
-        out = out.join(top, by).withColumn("scaled", F.col("density") / F.col("_top")).drop("_top")
+        out = match_keys(out, top, by).withColumn("scaled", F.col("density") / F.col("_top")).drop("_top")
     return out
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkpanel.operators.aggregates import attach
-from sparkpanel.operators.reshape import dummies
-from sparkpanel.operators.skew import ordinal
+from sparkpanel.operators.reshape import levels
+from sparkpanel.operators.skew import group_quantiles, ordinal
 from sparkpanel.plans.evaluate import score_measures
+from sparkpanel.session import cut_lineage
 
 # A regressor is aliased when what earlier ones leave of it is below this part of its norm.
 ALIAS_TOL = 1e-7
@@ -56,10 +57,12 @@ class OlsFit:
     sse: float
     sst: float
     dropped: list[str] = field(default_factory=list)
+    absorbed: int = 0
+    overall_r2: float | None = None
 
     @property
     def df_resid(self) -> int:
-        return self.n - len(self.coef)
+        return self.n - len(self.coef) - self.absorbed
 
     def rows(self) -> list[tuple]:
         out = []
@@ -280,50 +283,82 @@ def sweep(splits: dict[str, tuple[DataFrame, DataFrame]], sets: dict[str, Sequen
 
 
 def fe_ols(df: DataFrame, y: str, xs: Sequence[str], factors: Sequence[str], name: str = "fe") -> OlsFit:
-    """Least squares with factor dummies, the lowest level of each factor as base."""
-    cols: list[str] = []
-    for f in factors:
-        before = set(df.columns)
-        df = dummies(df, f, prefix=f"{f}_")
-        made = [c for c in df.columns if c not in before]
-        cols += made[1:]
-    return ols_fit(df, y, [*xs, *cols], name)
+    """Least squares with factor dummies, the lowest level of each factor as base.
+
+    The dummies are columns of their own and named ``factor_level`` in the fit only, so
+    that columns which the frame has already play no part.
+    """
+    terms: dict[str, str] = {}
+    for i, f in enumerate(factors):
+        for j, level in enumerate(levels(df, f)[1:]):
+            terms[f"_fe{i}_{j}"] = f"{f}_{level}"
+            df = df.withColumn(f"_fe{i}_{j}", F.when(F.col(f).isNotNull(), (F.col(f) == level).cast("int")))
+    fit = ols_fit(df, y, [*xs, *terms], name)
+    named = lambda d: {terms.get(t, t): v for t, v in d.items()}
+    return replace(fit, coef=named(fit.coef), se=named(fit.se), dropped=[terms.get(t, t) for t in fit.dropped])
 
 
 def within_ols(df: DataFrame, y: str, xs: Sequence[str], factor: str, name: str = "within") -> OlsFit:
-    """Slopes with one factor of many levels swept out by group means."""
+    """Slopes with one factor of many levels swept out by group means.
+
+    Errors, t and p count the swept means as parameters. ``r2`` is that within the groups,
+    ``overall_r2`` that of the fit with a mean for each group.
+    """
     cols = [y, *xs]
-    complete = df.dropna(subset=[factor, *cols])
+    complete = df.select(factor, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=[factor, *cols])
     means = complete.groupBy(factor).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
     inner = attach(complete, means, [factor]).select(*[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in cols])
-    return ols_fit(inner, y, xs, name)
+    fit = ols_fit(inner, y, xs, name)
+    total = complete.agg(F.count_distinct(factor).alias("groups"), (F.var_pop(y) * F.count(y)).alias("sst")).first()
+    coef = {t: b for t, b in fit.coef.items() if t != "intercept"}
+    dof = fit.n - total["groups"] - len(coef)
+    scale = math.sqrt((fit.n - len(coef) - 1) / dof) if dof > 0 else float("nan")
+    overall = 1 - fit.sse / total["sst"] if total["sst"] else float("nan")
+    return replace(
+        fit, coef=coef, se={t: fit.se[t] * scale for t in coef}, absorbed=total["groups"], overall_r2=overall,
+        adj_r2=1 - (1 - overall) * (fit.n - 1) / dof if dof > 0 else float("nan"),
+    )
 
 
 def group_r2(df: DataFrame, ys: Sequence[str], factors: dict[str, list[str]]) -> DataFrame:
-    """R2 of each measure on the means of each factor, as 1 - within / total."""
-    parts = []
-    for name, cols in factors.items():
-        for y in ys:
-            known = df.filter(F.col(y).isNotNull()).dropna(subset=cols)
-            cells = known.groupBy(*cols).agg(
-                F.count(F.lit(1)).alias("n"), F.var_pop(y).alias("v"), F.avg(y).alias("m")
-            )
-            n = F.sum("n")
-            total = F.sum(F.col("n") * (F.col("v") + F.col("m") * F.col("m"))) - F.pow(F.sum(F.col("n") * F.col("m")), F.lit(2.0)) / n
-            parts.append(cells.agg((1 - F.sum(F.col("n") * F.col("v")) / total).alias("r2")).select(
-                F.lit(y).alias("measure"), F.lit(name).alias("factor"), "r2"
-            ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """R2 of each measure on the means of each factor, as 1 - within / total.
+
+    One aggregate gives count, mean and variance of all measures in the cells of every
+    factor; a second adds the cells up.
+    """
+    keys = list(dict.fromkeys(c for cols in factors.values() for c in cols))
+    names = list(factors)
+    # Cells of each factor, known rows only; a spare copy of each key tells null from left out.
+    rows = df.select(*keys, *[F.col(y).cast("double").alias(y) for y in ys])
+    stacked = rows.withColumn("_f", F.explode(F.lit(list(range(len(names)))).cast("array<int>")))
+    complete = F.lit(False)
+    for i, n in enumerate(names):
+        complete = complete | ((F.col("_f") == i) & F.expr(" and ".join(f"`{c}` is not null" for c in factors[n])))
+    part = {c: F.when(F.col("_f").isin([i for i, n in enumerate(names) if c in factors[n]]), F.col(c)) for c in keys}
+    cells = stacked.filter(complete).select("_f", *[e.alias(c) for c, e in part.items()], *ys).groupBy("_f", *keys).agg(*[
+        a for y in ys for a in (F.count(y).alias(f"_n_{y}"), F.var_pop(y).alias(f"_v_{y}"), F.avg(y).alias(f"_m_{y}"))
+    ])
+    found = []
+    for y in ys:
+        n, v, m = (F.col(f"_{k}_{y}") for k in "nvm")
+        total = F.sum(n * (v + m * m)) - F.pow(F.sum(n * m), F.lit(2.0)) / F.sum(n)
+        found.append((1 - F.sum(n * v) / F.nullif(total, F.lit(0.0))).alias(y))
+    wide = cells.groupBy("_f").agg(*found)
+    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_f") + 1)
+    return wide.select(label.alias("factor"), *ys).unpivot(["factor"], list(ys), "measure", "r2").select("measure", "factor", "r2")
 
 
 def stratified_split(df: DataFrame, y: str, key: str, p: float = 0.7, seed: int = 1, strata: int = 5) -> DataFrame:
-    """Adds ``train``: the fraction p of each outcome stratum, chosen by a seeded hash of the key."""
-    edges = df.approxQuantile(y, [i / strata for i in range(1, strata)], 0.001)
+    """Adds ``train``: the fraction p of each outcome stratum, chosen by a seeded hash of the key.
+
+    Strata are cut at exact quantiles, and the hash is the MD5 of seed and key, so the
+    choice depends on the rows alone.
+    """
+    probs = {f"_c{i}": i / strata for i in range(1, strata)}
+    cuts = group_quantiles(df.select(F.lit(0).alias("_all"), y), ["_all"], y, probs).first()
+    edges = [cuts[c] for c in probs if cuts is not None and cuts[c] is not None]
     stratum = sum(((F.col(y) > e).cast("int") for e in edges), F.lit(0))
-    tagged = df.withColumn("_stratum", stratum).withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    tagged = df.withColumn("_stratum", stratum).withColumn("_h", F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"))))
     numbered = ordinal(tagged, ["_stratum"], ["_h", key], "_rn")
     sizes = tagged.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
     return attach(numbered, sizes, ["_stratum"]).withColumn(
@@ -423,13 +458,30 @@ def elastic_net_cv(
 
 
 def _log_normal_cdf(z: np.ndarray) -> np.ndarray:
-    """Logarithm of the normal distribution function, by its tail series far left."""
-    out = np.empty(len(z))
-    for i, v in enumerate(z):
-        if v > -30:
-            out[i] = math.log(0.5 * math.erfc(-v / math.sqrt(2)))
-        else:
-            out[i] = -0.5 * v * v - math.log(-v) - 0.5 * math.log(2 * math.pi) + math.log1p(-1 / (v * v))
+    """Logarithm of the normal distribution function.
+
+    Right of -4 by the power series of the integral, left of it by the continued fraction
+    of Mills' ratio; both are run to double precision for whole arrays at once.
+    """
+    z = np.asarray(z, dtype=float)
+    density = -0.5 * z * z - 0.5 * math.log(2 * math.pi)
+    out = np.empty_like(z)
+    left = z < -4
+    x = -z[left]
+    ratio = np.zeros_like(x)
+    for k in range(120, 0, -1):
+        ratio = k / (x + ratio)
+    out[left] = density[left] - np.log(x + ratio)
+    a = np.minimum(np.abs(z[~left]), 38.0)
+    term, total = a.copy(), a.copy()
+    for k in range(1, 400):
+        term = term * a * a / (2 * k + 1)
+        total += term
+        if not np.any(term > 1e-17 * total):
+            break
+    half = np.exp(-0.5 * a * a - 0.5 * math.log(2 * math.pi)) * np.where(a < 10, total, 0.0)
+    upper = np.where(a < 10, half, 0.5)
+    out[~left] = np.where(z[~left] >= 0, np.log1p(-(0.5 - upper)), np.log(np.maximum(0.5 - upper, 1e-300)))
     return out
 
 
@@ -443,6 +495,16 @@ class TobitFit:
     n: int
     censored: int
     limit: float
+    se: dict[str, float]
+    gradient: float
+
+    def rows(self) -> list[tuple]:
+        """term, estimate, se, z, p."""
+        out = []
+        for term, b in self.coef.items():
+            z = b / self.se[term] if self.se[term] > 0 else float("nan")
+            out.append((term, b, self.se[term], z, math.erfc(abs(z) / math.sqrt(2))))
+        return out
 
 
 def _tobit_newton(num: DataFrame, cols: list[str], y: str, limit: float, shift, scale, sst: float, n: int, rounds: int):
@@ -502,17 +564,19 @@ def _tobit_newton(num: DataFrame, cols: list[str], y: str, limit: float, shift,
         theta, (lnl, grad, hess) = theta + size * step, trial
         if abs(gain) < 1e-9 * (1 + abs(lnl)):
             break
-    return theta, lnl
+    return theta, lnl, grad, hess
 
 
 def tobit_fit(df: DataFrame, y: str, xs: Sequence[str], rounds: int = 30, name: str = "tobit") -> TobitFit:
     """Censored regression with the lower limit at the smallest outcome.
 
-    Each round is one distributed sum of gradient and curvature. Aliased regressors
-    are dropped in declared order first.
+    The complete rows are written once; each round is one distributed sum of gradient and
+    curvature over them. Aliased regressors are dropped in declared order first. Errors
+    come from the curvature at the end, carried to slopes by the delta method; ``gradient``
+    is the largest part of the score left there, for one row.
     """
     spec = ModelSpec(name, y, tuple(xs))
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in (*xs, y)]).dropna()
+    num = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in (*xs, y)]).dropna())
     start = ols_fit(num, y, xs, name)
     cols = [x for x in xs if x not in start.dropped]
     st = num.agg(
@@ -522,12 +586,22 @@ def tobit_fit(df: DataFrame, y: str, xs: Sequence[str], rounds: int = 30, name:
     censored = num.filter(F.col(y) <= limit).count()
     shift = np.array([st[f"m_{c}"] for c in cols])
     scale = np.array([st[f"s_{c}"] or 1.0 for c in cols])
-    theta, lnl = _tobit_newton(num, cols, y, limit, shift, scale, start.sst, start.n, rounds)
-    null, lnl0 = _tobit_newton(num, [], y, limit, shift[:0], scale[:0], start.sst, start.n, rounds)
+    theta, lnl, grad, hess = _tobit_newton(num, cols, y, limit, shift, scale, start.sst, start.n, rounds)
+    _, lnl0, _, _ = _tobit_newton(num, [], y, limit, shift[:0], scale[:0], start.sst, start.n, rounds)
     sigma = 1 / theta[-1]
     slope = theta[1:-1] * sigma / scale
     coef = {"intercept": float(theta[0] * sigma - slope @ shift), **{c: float(v) for c, v in zip(cols, slope)}}
-    return TobitFit(spec, coef, float(sigma), float(lnl), float(lnl0), start.n, int(censored), float(limit))
+    # Derivatives of the slopes and the intercept by (beta / sigma, 1 / sigma).
+    p = len(cols)
+    jac = np.zeros((p + 1, p + 2))
+    jac[1:, 1:-1] = np.diag(sigma / scale)
+    jac[1:, -1] = -slope * sigma
+    jac[0, 0] = sigma
+    jac[0, 1:-1] = -sigma * shift / scale
+    jac[0, -1] = -coef["intercept"] * sigma
+    cov = jac @ np.linalg.pinv(-hess) @ jac.T
+    se = {t: float(math.sqrt(max(v, 0.0))) for t, v in zip(["intercept", *cols], np.diag(cov))}
+    return TobitFit(spec, coef, float(sigma), float(lnl), float(lnl0), start.n, int(censored), float(limit), se, float(np.abs(grad).max() / start.n))
 
 
 def binary_fit(df: DataFrame, y: str, xs: Sequence[str], link: str = "logit"):

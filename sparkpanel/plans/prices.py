@@ -46,27 +46,35 @@ def spatial_fill(
 ) -> DataFrame:
     """Missing cells from the nearest market with a price in the same month.
 
-    ``nearest_observed`` looks as far as needed; ``k_max`` only sizes the shortlist
-    tried first. ``cascade`` walks the ranked
-    neighbours 1..k_max; in each round a missing cell copies what that neighbour held
-    before the round, so filled cells can donate in later rounds.
+    ``nearest_observed`` looks as far as needed; ``k_max`` only sizes the shortlist tried
+    first. ``cascade`` walks the ranked neighbours 1, 2, ...; in each round a missing cell
+    copies what that neighbour held before the round, so filled cells can donate in later
+    rounds. ``growing`` takes in round k the median of what the k nearest held before it.
+    Both go on until no cell is left that any market of its month could fill, which is
+    the smallest k with the fewest gaps; ``k_max`` is how many neighbours are ranked at once.
     """
     if mode == "nearest_observed":
         return _fill_nearest(dense, coords, k_max)
-    ranks = neighbours(coords, "market", k_max)
-    out = dense
-    for k in range(1, k_max + 1):
-        pick = ranks.filter(F.col("rank") == k).select("market", F.col("neighbour").alias("_nb"))
-        held = out.select(
-            F.col("market").alias("_nb"), "commodity", "month", F.col("price").alias("_given")
-        ).filter(F.col("_given").isNotNull())
-        given = (
-            out.filter(F.col("price").isNull()).join(pick, "market")
-            .join(held, ["_nb", "commodity", "month"]).select(*CELL, "_given")
-        )
-        out = out.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
-        if k % 3 == 0:
-            out = cut_lineage(out)
+    out = cut_lineage(dense)
+    seen = out.filter(F.col("price").isNotNull()).select("commodity", "month").distinct()
+    markets = coords.count()
+    k = 0
+    while k < markets - 1:
+        open_cells = out.filter(F.col("price").isNull()).join(seen, ["commodity", "month"], "left_semi")
+        if open_cells.isEmpty():
+            break
+        ranks = neighbours(coords, "market", min(markets - 1, k + k_max))
+        ranks = cut_lineage(ranks.filter(F.col("neighbour").isNotNull() & (F.col("rank") > (k if mode == "cascade" else 0))))
+        for k in range(k + 1, min(markets - 1, k + k_max) + 1):
+            pick = ranks.filter(F.col("rank") == k if mode == "cascade" else F.col("rank") <= k)
+            pick = pick.select("market", F.col("neighbour").alias("_nb"))
+            held = out.select(F.col("market").alias("_nb"), "commodity", "month", F.col("price").alias("_given")).filter(F.col("_given").isNotNull())
+            given = out.filter(F.col("price").isNull()).select(*CELL).join(pick, "market").join(held, ["_nb", "commodity", "month"])
+            # At most k prices meet in a group.
+            given = given.groupBy(*CELL).agg(F.median("_given").alias("_given"))
+            out = out.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
+            if k % 3 == 0:
+                out = cut_lineage(out)
     return out
 
 
@@ -146,9 +154,9 @@ def zone_price(prices: DataFrame, weights: DataFrame, zone: str = "zone") -> Dat
 
 
 def point_price(points: DataFrame, coords: DataFrame, prices: DataFrame, point: str) -> DataFrame:
-    """Price series of the market nearest to each point."""
+    """Price series of the market nearest to each point; a point without one stays, with nulls."""
     near = nearest_join(points, coords, point, "market", right_name="market").select(point, "market", "dist_km")
-    return near.join(prices, "market")
+    return near.join(prices, "market", "left")
 
 
 def price_panel(prices: DataFrame, by: list[str], commodities: dict[str, str], value: str, prefix: str) -> DataFrame:
@@ -184,7 +192,7 @@ def station_price(
     series = stations.filter((F.col("commodity") == commodity) & (F.col("market") != national))
     filled = fill_local_level(series, ["market"], "month", "price", "price")
     near = nearest_join(points, coords, point, "market", right_name="market").select(point, "market")
-    return near.join(lag_calendar(filled, ["market"], "month", ["price"], 1, "_lag"), "market")
+    return near.join(lag_calendar(filled, ["market"], "month", ["price"], 1, "_lag"), "market", "left")
 
 
 def catchment_weights(pixels: DataFrame, zones: DataFrame, coords: DataFrame, zone: str, pop: str = "pop") -> DataFrame:

@@ -45,6 +45,39 @@ def bimodal_seasons(spark: SparkSession, first: int, last: int) -> DataFrame:
     return season_calendar(spark, first, last, "03-01", "07-01", 1, 2010)
 
 
+def seasons_spanning(
+    df: DataFrame, date: str, start: str = "10-01", end: str = "05-01", end_shift: int = 1, shift_from: int | None = None
+) -> DataFrame:
+    """Calendar of every season that a date of the frame can lie in, from its first and last date."""
+    lim = df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+    year = F.col("cropyear")
+    shift = F.lit(end_shift) if shift_from is None else F.when(year >= shift_from, end_shift).otherwise(0)
+    return lim.select(F.explode(F.sequence(F.year("lo") - end_shift, F.year("hi"))).alias("cropyear")).select(
+        "cropyear", F.to_date(F.concat_ws("-", year, F.lit(start))).alias("start"),
+        F.to_date(F.concat_ws("-", year + shift, F.lit(end))).alias("end"),
+    )
+
+
+def crop_years(df: DataFrame, date: str) -> tuple[Column, Column]:
+    """Year before the first date and the number of May-April crop years up to the last, as scalars."""
+    lim = df.agg((F.year(F.min(date)) - 1).alias("first"), (F.year(F.max(date)) - F.year(F.min(date)) + 2).alias("n"))
+    return lim.select("first").scalar(), lim.select("n").scalar()
+
+
+def season_grid(obs: DataFrame, by: list[str], date: str, seasons: DataFrame, value: str) -> DataFrame:
+    """Every entity with every season day inside the dates of ``obs``: value (0 where absent) and cropyear.
+
+    The days outside the seasons never become rows.
+    """
+    lim = obs.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+    days = seasons.select(F.explode(F.sequence("start", "end")).alias(date), "cropyear").filter(
+        F.col(date).between(lim.select("lo").scalar(), lim.select("hi").scalar()))
+    # A calendar: some thousand days, held as one list.
+    listed = days.agg(F.collect_list(F.struct(date, "cropyear")).alias("d")).select("d").scalar()
+    grid = obs.select(*by).distinct().select(*by, F.explode(listed).alias("_d")).select(*by, "_d.*")
+    return grid.join(obs, [*by, date], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+
+
 def season_join(df: DataFrame, date: str, seasons: DataFrame) -> DataFrame:
     """Tag rows with the crop years whose interval holds the date.
 
@@ -95,7 +128,7 @@ def dry_spell(tagged: DataFrame, by: list[str], date: str, rain: str) -> DataFra
 
 
 def onset_five_day(
-    daily: DataFrame, by: list[str], date: str, rain: str, first_year: int, n_years: int, legacy: bool = True
+    daily: DataFrame, by: list[str], date: str, rain: str, first_year: int | Column, n_years: int | Column, legacy: bool = True
 ) -> DataFrame:
     """Earlier onset rule: trailing five-day sum above 10 with under 3 dry days; 999 = never."""
     w = panel(by, date).rowsBetween(-4, 0)
@@ -107,7 +140,7 @@ def onset_five_day(
 
 
 def dry_spell_legacy(
-    daily: DataFrame, by: list[str], date: str, rain: str, first_year: int, n_years: int
+    daily: DataFrame, by: list[str], date: str, rain: str, first_year: int | Column, n_years: int | Column
 ) -> DataFrame:
     """Earlier spell rule: dry days counted between spell starts within a crop year.
 
@@ -151,15 +184,16 @@ def flood_exposure(season: DataFrame, zone: str, flood_zones: Iterable, rainmax:
 
 
 def season_panel(
-    daily_rain: DataFrame, daily_temp: DataFrame, seasons: DataFrame, by: str, zone: str, zones: DataFrame,
+    tagged_rain: DataFrame, daily_temp: DataFrame, seasons: DataFrame, by: str, zone: str, zones: DataFrame,
     date: str = "day", rain: str = "rain", flood_zones: Iterable = (),
 ) -> DataFrame:
     """Season table keyed (entity, FS_year): entity rain statistics, zone temperature and floods.
 
-    ``zones`` maps entity to zone. FS_year is crop year + 1, floods use the crop year.
+    ``tagged_rain`` has the season days with their crop year. ``zones`` maps entity to
+    zone. FS_year is crop year + 1, floods use the crop year.
     """
     # Small beside the daily rows and read for entities and for zone maxima: written once.
-    rain_stats = cut_lineage(season_stats(season_join(daily_rain, date, seasons), [by], date, rain))
+    rain_stats = cut_lineage(season_stats(tagged_rain, [by], date, rain))
     entity = rain_stats.join(zones, by, "left").withColumn("FS_year", F.col("cropyear") + 1).drop("cropyear")
     heat = temp_stats(season_join(daily_temp, date, seasons), [zone]).withColumn(
         "FS_year", F.col("cropyear") + 1

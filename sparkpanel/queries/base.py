@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sparkpanel.functions.calendar import month_start
 from sparkpanel.operators.windows import dense_grid
 from sparkpanel.plans.prices import dense_prices
-from sparkpanel.plans.seasons import unimodal_seasons
+from sparkpanel.plans.seasons import season_grid, seasons_spanning
+from sparkpanel.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,7 +69,8 @@ def rain_obs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rain_daily(spark: SparkSession, sf: str) -> DataFrame:
-    obs = rain_obs(spark, sf)
+    # One row per entity and day, read for entities, limits and values: written once.
+    obs = cut_lineage(rain_obs(spark, sf))
     grid = dense_grid(obs, ["entity"], "day")
     return grid.join(obs, ["entity", "day"], "left").withColumn("rain", F.coalesce("rain", F.lit(0.0)))
 
@@ -86,12 +88,26 @@ rain AS (
   FROM (SELECT DISTINCT entity FROM robs) e CROSS JOIN rdays d LEFT JOIN robs o ON o.entity = e.entity AND o.day = d.day)"""
 
 
-def seasons(spark: SparkSession) -> DataFrame:
-    return unimodal_seasons(spark, 1995, 2000)
+def ship_days(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day"))
+
+
+def seasons(spark: SparkSession, sf: str) -> DataFrame:
+    """Every October to May season that a shipment can lie in."""
+    return seasons_spanning(ship_days(spark, sf), "day")
+
+
+def season_rain(spark: SparkSession, sf: str) -> DataFrame:
+    """Rain of every entity on every season day, with the crop year."""
+    obs = cut_lineage(rain_obs(spark, sf))
+    return season_grid(obs, ["entity"], "day", seasons_spanning(obs, "day"), "rain")
 
 
 SEASON_SQL = """seasons AS (
-  SELECT CAST(y AS INTEGER) AS cropyear, make_date(y, 10, 1) AS s, make_date(y + 1, 5, 1) AS e FROM range(1995, 2001) t(y))"""
+  SELECT CAST(y AS INTEGER) AS cropyear, make_date(y, 10, 1) AS s, make_date(y + 1, 5, 1) AS e
+  FROM (SELECT unnest(range(year(min(l_shipdate)) - 1, year(max(l_shipdate)) + 1)) AS y FROM lineitem))"""
+#: Number of the May-April crop year, from the year before the first shipment.
+CROP_YEAR_SQL = """CAST(year(day) - (SELECT year(min(l_shipdate)) - 1 FROM lineitem) + CASE WHEN month(day) >= 5 THEN 1 ELSE 0 END AS INTEGER)"""
 
 SEASON_RAIN_SQL = RAIN_SQL + ", " + SEASON_SQL + """,
 tagged AS (SELECT r.*, cropyear FROM rain r JOIN seasons ON day BETWEEN s AND e)"""

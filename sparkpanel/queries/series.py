@@ -11,7 +11,7 @@ from sparkpanel.operators.clean import group_mean_fill as mean_fill
 from sparkpanel.plans import seasons as sea
 from sparkpanel.queries.base import (
     DENSE_SQL, NATION_MONTH_SQL, RAIN_OBS_SQL, RAIN_SQL, SEASON_RAIN_SQL, nation_month, prices_dense, query,
-    rain_daily, rain_obs, rounded, seasons, table,
+    CROP_YEAR_SQL, rain_daily, rain_obs, rounded, season_rain, ship_days, table,
 )
 
 
@@ -83,7 +83,7 @@ def roll_sum5(spark, sf):
     FROM tagged WINDOW w AS (PARTITION BY entity, cropyear ORDER BY day ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING))
   SELECT entity, cropyear, CAST(day AS VARCHAR) AS day, med5_rain FROM r""")
 def roll_median5(spark, sf):
-    tagged = sea.season_join(rain_daily(spark, sf), "day", seasons(spark))
+    tagged = season_rain(spark, sf)
     out = windows.rolling_median(tagged, ["entity", "cropyear"], "day", "rain", 5)
     return _text(out.select("entity", "cropyear", "day", "med5_rain"), "day")
 
@@ -100,7 +100,7 @@ def dry_spell(spark, sf):
 @query("first_rain", f"""WITH {SEASON_RAIN_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY entity, cropyear ORDER BY day) AS pos FROM tagged)
   SELECT entity, cropyear, CAST(min(pos) FILTER (rain > 40) + 2 AS INTEGER) AS first FROM n GROUP BY entity, cropyear""")
 def first_rain(spark, sf):
-    tagged = sea.season_join(rain_daily(spark, sf), "day", seasons(spark))
+    tagged = season_rain(spark, sf)
     return windows.first_index(tagged, ["entity", "cropyear"], "day", F.col("rain") > 40, 2)
 
 
@@ -156,18 +156,18 @@ def trend_days(spark, sf):
   SELECT entity, cropyear, total, round(norm, 5) AS norm, round(CASE WHEN dev > 0 THEN dev * dev ELSE 0 END, 5) AS pos_dev, round(CASE WHEN dev < 0 THEN dev * dev ELSE 0 END, 5) AS neg_dev,
     round(sqrt(CASE WHEN dev > 0 THEN dev * dev ELSE 0 END), 5) AS pos_root, round(sqrt(CASE WHEN dev < 0 THEN dev * dev ELSE 0 END), 5) AS neg_root FROM d""")
 def rain_deviation(spark, sf):
-    total = sea.season_total(sea.season_join(rain_daily(spark, sf), "day", seasons(spark)), ["entity"], "rain").withColumnRenamed("raincytot", "total")
+    total = sea.season_total(season_rain(spark, sf), ["entity"], "rain").withColumnRenamed("raincytot", "total")
     return rounded(windows.deviation(total, ["entity"], "total"), ["norm", "pos_dev", "neg_dev", "pos_root", "neg_root"], 5)
 
 
 _SLOTS = {10: "rain_Oct", 11: "rain_Nov", 12: "rain_Dec", 1: "rain_Jan", 2: "rain_Feb", 3: "rain_Mar", 4: "rain_Apr"}
 
 
-@query("month_slots", f"""WITH {RAIN_OBS_SQL}, r AS (SELECT *, CAST(least(7, greatest(1, year(day) - 1994 + CASE WHEN month(day) >= 5 THEN 1 ELSE 0 END)) AS INTEGER) AS cropyr FROM robs),
+@query("month_slots", f"""WITH {RAIN_OBS_SQL}, r AS (SELECT *, {CROP_YEAR_SQL} AS cropyr FROM robs),
   m AS (SELECT entity, cropyr, {', '.join(f"sum(CASE WHEN month(day) = {k} THEN rain ELSE 0 END) AS {v}" for k, v in _SLOTS.items())} FROM r GROUP BY ALL)
   SELECT *, {' + '.join(_SLOTS.values())} AS rain_cytot FROM m""")
 def month_slots(spark, sf):
-    df = rain_obs(spark, sf).withColumn("cropyr", crop_year_number("day", 1994, 7))
+    df = rain_obs(spark, sf).withColumn("cropyr", crop_year_number("day", *sea.crop_years(ship_days(spark, sf), "day")))
     return windows.month_slots(df, ["entity", "cropyr"], "day", "rain", _SLOTS, "rain_cytot")
 
 
@@ -206,11 +206,11 @@ def asof_next_phase(spark, sf):
     return joins.asof_join(left, phases(spark, sf), "month", ["zone"], ["phase"], "forward").select("o_orderkey", "zone", "phase")
 
 
-@query("season_interval", """WITH s AS (SELECT CAST(y AS INTEGER) AS cropyear, make_date(y, 3, 1) AS s, make_date(y + 1, 7, 1) AS e FROM range(1995, 2001) t(y))
+@query("season_interval", """WITH s AS (SELECT CAST(y AS INTEGER) AS cropyear, make_date(y, 3, 1) AS s, make_date(y + 1, 7, 1) AS e FROM (SELECT unnest(range(year(min(l_shipdate)) - 1, year(max(l_shipdate)) + 1)) AS y FROM lineitem))
   SELECT l_suppkey, cropyear, count(*) AS n, sum(l_quantity) AS qty FROM lineitem JOIN s ON CAST(l_shipdate AS DATE) BETWEEN s.s AND s.e GROUP BY ALL""")
 def season_interval(spark, sf):
     # Sixteen-month windows overlap, so a shipment can count in two seasons.
-    cal = sea.season_calendar(spark, 1995, 2000, "03-01", "07-01", 1)
+    cal = sea.seasons_spanning(ship_days(spark, sf), "day", "03-01", "07-01", 1)
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_quantity", F.to_date("l_shipdate").alias("day"))
     return sea.season_join(li, "day", cal).groupBy("l_suppkey", "cropyear").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))

@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkpanel.plans import seasons as sea
-from sparkpanel.queries.base import RAIN_SQL, SEASON_RAIN_SQL, SEASON_SQL, query, rain_daily, rounded, seasons, table
+from sparkpanel.queries.base import CROP_YEAR_SQL, RAIN_SQL, SEASON_RAIN_SQL, SEASON_SQL, query, rain_daily, rounded, season_rain, seasons, ship_days, table
 
 FLOOD_ZONES = (4, 10, 15)
 
 
-def tagged_rain(spark, sf):
-    return sea.season_join(rain_daily(spark, sf), "day", seasons(spark))
-
-
 # Extremes of shipped quantity per supplier nation and day, shifted to kelvin.
 def _zone_days(spark, sf):
     supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("zone"))
@@ -51,25 +47,25 @@ stats AS (
 
 @query("season_total", f"WITH {SEASON_RAIN_SQL} SELECT entity, cropyear, sum(rain) AS raincytot FROM tagged GROUP BY ALL")
 def season_total(spark, sf):
-    return sea.season_total(tagged_rain(spark, sf), ["entity"], "rain")
+    return sea.season_total(season_rain(spark, sf), ["entity"], "rain")
 
 
 @query("season_max", f"WITH {SEASON_RAIN_SQL} SELECT entity, cropyear, max(rain) AS rainmax FROM tagged GROUP BY ALL")
 def season_max(spark, sf):
-    return sea.season_max(tagged_rain(spark, sf), ["entity"], "rain")
+    return sea.season_max(season_rain(spark, sf), ["entity"], "rain")
 
 
 @query("season_onset", f"WITH {STATS_SQL} SELECT entity, cropyear, day1rain FROM stats")
 def season_onset(spark, sf):
-    return sea.season_onset(tagged_rain(spark, sf), ["entity"], "day", "rain")
+    return sea.season_onset(season_rain(spark, sf), ["entity"], "day", "rain")
 
 
 @query("season_dry_spell", f"WITH {STATS_SQL} SELECT entity, cropyear, maxdaysnorain FROM stats")
 def season_dry_spell(spark, sf):
-    return sea.dry_spell(tagged_rain(spark, sf), ["entity"], "day", "rain")
+    return sea.dry_spell(season_rain(spark, sf), ["entity"], "day", "rain")
 
 
-_CROPYR = "CAST(least(7, greatest(1, year(day) - 1994 + CASE WHEN month(day) >= 5 THEN 1 ELSE 0 END)) AS INTEGER)"
+_CROPYR = CROP_YEAR_SQL
 
 
 @query("season_onset_legacy", f"""WITH {RAIN_SQL}, f AS (SELECT *, {_CROPYR} AS cropyr, count(rain) OVER w AS n, sum(rain) OVER w AS five,
@@ -77,7 +73,7 @@ _CROPYR = "CAST(least(7, greatest(1, year(day) - 1994 + CASE WHEN month(day) >=
   SELECT entity, cropyr, CAST(coalesce(min(CASE month(day) WHEN 10 THEN day(day) WHEN 11 THEN day(day) + 31 WHEN 12 THEN day(day) + 61
     WHEN 1 THEN day(day) + 92 WHEN 2 THEN day(day) + 120 END) FILTER (n = 5 AND five > 10 AND dry < 3), 999) AS INTEGER) AS day1rain FROM f GROUP BY ALL""")
 def season_onset_legacy(spark, sf):
-    return sea.onset_five_day(rain_daily(spark, sf), ["entity"], "day", "rain", 1994, 7)
+    return sea.onset_five_day(rain_daily(spark, sf), ["entity"], "day", "rain", *sea.crop_years(ship_days(spark, sf), "day"))
 
 
 @query("dry_spell_legacy", f"""WITH {RAIN_SQL}, d AS (SELECT *, {_CROPYR} AS cropyr, CASE WHEN rain = 0 THEN 1 ELSE 0 END AS dry FROM rain),
@@ -85,7 +81,7 @@ def season_onset_legacy(spark, sf):
   s AS (SELECT *, sum(CASE WHEN (was = 1 AND dry = 0) OR month(day) BETWEEN 4 AND 9 THEN 1 ELSE 0 END) OVER (PARTITION BY entity, cropyr ORDER BY day) AS spell FROM l)
   SELECT entity, cropyr, CAST(max(n) AS BIGINT) AS maxdaysnorain FROM (SELECT entity, cropyr, spell, sum(dry) AS n FROM s GROUP BY ALL) GROUP BY ALL""")
 def dry_spell_legacy(spark, sf):
-    return sea.dry_spell_legacy(rain_daily(spark, sf), ["entity"], "day", "rain", 1994, 7)
+    return sea.dry_spell_legacy(rain_daily(spark, sf), ["entity"], "day", "rain", *sea.crop_years(ship_days(spark, sf), "day"))
 
 
 @query("mean_temp", f"""WITH {TEMP_SQL}, {SEASON_SQL} SELECT zone, cropyear, round(avg(tmean), 6) AS tmean FROM temp JOIN seasons ON day BETWEEN s AND e GROUP BY ALL""")
@@ -94,26 +90,26 @@ def mean_temp(spark, sf):
     hi, lo = _extremes()
     paired = sea.mean_temp(days.agg(hi.alias("tmax")), days.agg(lo.alias("tmin")), ["zone", "day"])
     daily = rounded(paired, ["tmean"])
-    return rounded(sea.temp_stats(sea.season_join(daily, "day", seasons(spark)), ["zone"]).drop("gdd", "heatdays"), ["tmean"])
+    return rounded(sea.temp_stats(sea.season_join(daily, "day", seasons(spark, sf)), ["zone"]).drop("gdd", "heatdays"), ["tmean"])
 
 
 @query("degree_days", f"""WITH {TEMP_SQL}, {SEASON_SQL} SELECT zone, cropyear, count(*) FILTER (tmean > 8 AND tmean < 30) AS gdd, count(*) FILTER (tmean >= 30) AS heatdays
   FROM temp JOIN seasons ON day BETWEEN s AND e GROUP BY ALL""")
 def degree_days(spark, sf):
-    return sea.temp_stats(sea.season_join(temp_daily(spark, sf), "day", seasons(spark)), ["zone"]).drop("tmean")
+    return sea.temp_stats(sea.season_join(temp_daily(spark, sf), "day", seasons(spark, sf)), ["zone"]).drop("tmean")
 
 
 @query("flood_exposure", f"""WITH {SEASON_RAIN_SQL}, m AS (SELECT s_nationkey AS zone, cropyear, max(rain) AS rainmax FROM tagged JOIN supplier ON entity = s_suppkey GROUP BY ALL)
   SELECT zone, cropyear AS "FS_year", CASE WHEN zone IN {FLOOD_ZONES} THEN rainmax ELSE 0 END AS floodmax FROM m""")
 def flood_exposure(spark, sf):
     supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), F.col("s_nationkey").alias("zone"))
-    per_zone = tagged_rain(spark, sf).join(supp, "entity").groupBy("zone", "cropyear").agg(F.max("rain").alias("rainmax"))
+    per_zone = season_rain(spark, sf).join(supp, "entity").groupBy("zone", "cropyear").agg(F.max("rain").alias("rainmax"))
     return sea.flood_exposure(per_zone, "zone", FLOOD_ZONES)
 
 
 def season_table(spark, sf):
     zones = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), F.col("s_nationkey").alias("zone"))
-    return sea.season_panel(rain_daily(spark, sf), temp_daily(spark, sf), seasons(spark), "entity", "zone", zones, flood_zones=FLOOD_ZONES)
+    return sea.season_panel(season_rain(spark, sf), temp_daily(spark, sf), seasons(spark, sf), "entity", "zone", zones, flood_zones=FLOOD_ZONES)
 
 
 PANEL_SQL = f"""{STATS_SQL}, {TEMP_SQL},

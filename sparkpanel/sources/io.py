@@ -44,14 +44,20 @@ def read_dir(spark: SparkSession, glob: str, name_regex: str, names: list[str],
 
 
 def read_sheet(spark: SparkSession, path: str, header_prefix: str, names: list[str]) -> DataFrame:
-    """CSV export of a sheet with title rows above the header.
+    """CSV exports of sheets with title rows above the header.
 
-    Rows are told apart by content: the header starts with ``header_prefix``, and
-    title rows are those without a value in the last column.
+    The header is a file's first row whose first cell is ``header_prefix``; all rows after
+    it are data, whatever cells they leave empty. A row without any value is skipped.
     """
     schema = ", ".join(f"`{n}` string" for n in names)
-    raw = spark.read.schema(schema).csv(path)
-    return raw.filter((F.col(names[0]) != header_prefix) & F.col(names[-1]).isNotNull())
+    raw = spark.read.schema(schema).csv(path).select(
+        "*", F.col("_metadata.file_path").alias("_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("_at"),
+    )
+    # Rows of a block are read in order by one task.
+    header = raw.filter(F.col(names[0]) == header_prefix).groupBy("_file").agg(F.min("_at").alias("_header"))
+    some = F.coalesce(*names).isNotNull()
+    return raw.join(header, "_file").filter((F.col("_at") > F.col("_header")) & some).select(*names)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

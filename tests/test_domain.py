@@ -69,6 +69,10 @@ def test_spatial_fill(spark):
     cascade = {(r["market"], r["month"]): r["price"] for r in prices.spatial_fill(dense, coords, "cascade", 2).filter("commodity = 'maize'").collect()}
     # Round 1: D asks C, which holds nothing before the round; round 2: D asks B.
     assert cascade[("C", M1)] == 2.0 and cascade[("D", M1)] == 2.0
+    # However few neighbours are ranked at once, only cells that no market of the month fills stay open.
+    for mode in ("cascade", "growing"):
+        filled = prices.spatial_fill(dense, coords, mode, 1)
+        assert filled.filter("price IS NULL").select("commodity", "month").distinct().count() == 1 and filled.count() == 16
     nuts = prices.spatial_fill(dense, coords, "cascade", 1).filter("commodity = 'nuts' AND month = '2010-02-01'")
     assert nuts.filter("price IS NOT NULL").count() == 0
     left = [r["missing"] for r in prices.missing_by_k(dense, coords, 3).orderBy("k").collect()]

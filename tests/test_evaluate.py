@@ -42,6 +42,8 @@ def test_fit_errors_and_kde(spark):
     assert r["rmse"] == pytest.approx(math.sqrt(0.5)) and r["rmse_all_rows"] == pytest.approx(math.sqrt(1 / 3)) and r["mae"] == 0.5
     v = spark.createDataFrame([("g", float(i % 10)) for i in range(200)], "g string, v double")
     d = ev.kde(v, "v", ["g"], 128).orderBy("i").collect()
+    both = ev.kde(v.unionByName(v.select(F.lit(None).cast("string").alias("g"), (F.col("v") * 2).alias("v"))), "v", ["g"], 64)
+    assert {(r["g"], r["count"]) for r in both.groupBy("g").count().collect()} == {("g", 64), (None, 64)}
     step = d[1]["x"] - d[0]["x"]
     assert sum(x["density"] for x in d) * step == pytest.approx(1, abs=0.01) and max(x["scaled"] for x in d) == 1.0
 

@@ -52,7 +52,17 @@ def test_neighbours_skip_self(spark):
 def test_nearest_without_candidates(spark):
     l, r = clouds()
     empty = spark.createDataFrame(r).filter("id < 0")
-    assert nearest_join(spark.createDataFrame(l), empty, "id", "id").count() == 0
+    got = nearest_join(spark.createDataFrame(l), empty, "id", "id")
+    assert got.count() == len(l) == got.filter("near_id IS NULL AND rank IS NULL").count()
+
+
+def test_left_rows_stay_without_coordinates_or_candidates(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0, "a"), (2, None, 1.0, "a"), (3, 0.0, 0.0, "b"), (4, 0.0, 0.0, None)], "id int, lat double, lon double, g string")
+    right = spark.createDataFrame([(9, 0.0, 1.0, "a")], "id int, lat double, lon double, g string")
+    got = {r["id"]: r["near_id"] for r in nearest_join(left, right, "id", "id", by=["g"]).collect()}
+    assert got == {1: 9, 2: None, 3: None, 4: None}
+    alone = {r["id"]: r["neighbour"] for r in neighbours(left.filter("id < 3"), "id", 1).collect()}
+    assert alone == {1: None, 2: None}
 
 
 def test_geodesic_known_value(spark):
@@ -84,10 +94,21 @@ def test_point_in_concave_polygon(spark):
     polys = spark.createDataFrame([("u", [{"x": float(a), "y": float(b)} for a, b in ring])], "z string, ring array<struct<x double, y double>>")
     pts = spark.createDataFrame([(1, 0.5, 0.5), (2, 2.0, 3.0), (3, 3.8, 3.0), (4, 9.0, 9.0)], "id int, lon double, lat double")
     assert {r["id"] for r in point_in_polygon(pts, polys).collect()} == {1, 3}
-    assert {r["id"] for r in point_in_polygon(pts, polys, cell=0.7).collect()} == {1, 3}
     assert polys.select(ring_area("ring")).first()[0] == pytest.approx(10.0)
 
 
+def test_one_wide_polygon_among_small_ones(spark):
+    box = lambda x, y, s: [{"x": x, "y": y}, {"x": x + s, "y": y}, {"x": x + s, "y": y + s}, {"x": x, "y": y + s}]
+    rows = [(i, box(i % 40 * 0.5, i // 40 * 0.5, 0.02)) for i in range(2000)] + [(9999, box(0.0, 0.0, 20.0))]
+    polys = spark.createDataFrame(rows, "z int, ring array<struct<x double, y double>>")
+    pts = spark.createDataFrame([(i, i % 40 * 0.5 + 0.01, i // 40 * 0.5 + 0.01) for i in range(0, 2000, 7)], "id int, lon double, lat double")
+    joined = point_in_polygon(pts, polys)
+    got = {}
+    for r in joined.collect():
+        got.setdefault(r["id"], set()).add(r["z"])
+    assert got == {i: {i} | ({9999} if i // 40 * 0.5 < 20 else set()) for i in range(0, 2000, 7)}
+
+
 @pytest.mark.parametrize("points", [9, 400])
 def test_nearest_plan_has_no_cross_join(spark, points):
     _, r = clouds()

@@ -21,6 +21,13 @@ def test_sheet_drops_title_rows(spark, tmp_path):
     assert {tuple(r) for r in io.read_sheet(spark, str(p), "id", ["id", "name", "n"]).collect()} == {("1", "a", "3"), ("2", "b", "4")}
 
 
+def test_sheet_keeps_rows_with_empty_cells(spark, tmp_path):
+    (tmp_path / "s1.csv").write_text("Some title,,total\nid,name,n\n1,a,\n,b,4\n,,\nid,c,5\n")
+    (tmp_path / "s2.csv").write_text("id,name,n\n7,x,9\n")
+    got = io.read_sheet(spark, str(tmp_path / "*.csv"), "id", ["id", "name", "n"]).collect()
+    assert {tuple(r) for r in got} == {("1", "a", None), (None, "b", "4"), ("id", "c", "5"), ("7", "x", "9")}
+
+
 def test_group_sink_and_parquet_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("201001", 1), ("201001", 2), ("201002", 3)], "ym string, v int")
     io.write_groups(df, str(tmp_path / "g"), ["ym"])

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,19 +15,39 @@ def month(y, m):
     return dt.date(y, m, 1)
 
 
-def test_ordinal_is_the_same_for_hot_groups(spark, rows):
-    data = [("hot" if i % 3 else f"k{i % 7}", (i * 37) % 1009, i) for i in range(1500)]
-    df = spark.createDataFrame(data, "k string, t int, id int")
-    plain = ordinal(df, ["k"], ["t", "id"])
-    split = ordinal(df, ["k"], ["t", "id"], hot_rows=100)
-    assert rows(plain, "k", "id", "rn") == rows(split, "k", "id", "rn")
+def by_hand(data, key, order):
+    groups = {}
+    for row in sorted(data, key=order):
+        groups.setdefault(key(row), []).append(row)
+    return {row: i + 1 for rows in groups.values() for i, row in enumerate(rows)}
+
 
+def first_null(v):
+    return (v is not None, v if v is not None else 0)
 
-def test_ordinal_by_text(spark, rows):
-    data = [("hot" if i % 5 else "cold", None if i % 97 == 0 else f"Customer#{(i * 7919) % 6007:09d}é", i) for i in range(900)]
+
+@pytest.mark.parametrize("width", [3, 40])
+def test_ordinal_of_hot_and_null_groups(spark, width):
+    data = [(None if i % 11 == 0 else "hot" if i % 3 else f"k{i % 7}", None if i % 50 == 0 else (i * 37) % 1009, i) for i in range(1500)]
+    df = spark.createDataFrame(data, "k string, t int, id int")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    try:
+        out = ordinal(df, ["k"], ["t", "id"])
+        got = {(r["k"], r["t"], r["id"]): r["rn"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == by_hand(data, lambda r: r[0], lambda r: (first_null(r[1]), r[2])) and dict(out.dtypes)["rn"] == "bigint"
+
+
+def test_ordinal_by_text_with_ties(spark):
+    stem = "Customer#" + "0" * 40
+    data = [("hot" if i % 5 else "cold", None if i % 97 == 0 else f"{stem}{(i * 7919) % 6007:09d}é", i) for i in range(900)]
     df = spark.createDataFrame(data, "k string, s string, id int")
-    plain, split = ordinal(df, ["k"], ["s", "id"]), ordinal(df, ["k"], ["s", "id"], hot_rows=100)
-    assert rows(plain, "k", "id", "rn") == rows(split, "k", "id", "rn")
+    got = {(r["k"], r["s"], r["id"]): r["rn"] for r in ordinal(df, ["k"], ["s", "id"]).collect()}
+    assert got == by_hand(data, lambda r: r[0], lambda r: (r[1] is not None, (r[1] or "").encode(), r[2]))
+    tied = ordinal(spark.createDataFrame([("a", 1)] * 1000, "k string, v int").repartition(8), ["k"], ["v"])
+    assert sorted(r["rn"] for r in tied.collect()) == list(range(1, 1001))
 
 
 def test_asof_on_timestamps(spark):
@@ -37,17 +58,17 @@ def test_asof_on_timestamps(spark):
     assert [v for _, v in got] == [0, 1, 1, 2]
 
 
-def test_quantiles_are_the_same_for_hot_groups(spark, rows):
+def test_quantiles_with_null_groups_and_values(spark):
     random.seed(3)
-    data = [("a" if i % 4 else "b", random.choice([None, random.random(), 0.5])) for i in range(800)] + [("c", None)]
+    data = [(None if i % 9 == 0 else "a" if i % 4 else "b", random.choice([None, random.random(), 0.5])) for i in range(800)] + [("c", None)]
     df = spark.createDataFrame(data, "k string, v double")
     probs = {"q1": 0.25, "med": 0.5, "q9": 0.9}
-    one = {r["k"]: r for r in group_quantiles(df, ["k"], "v", probs).collect()}
-    two = {r["k"]: r for r in group_quantiles(df, ["k"], "v", probs, hot_rows=50).collect()}
-    assert one["c"]["med"] is None and two["c"]["med"] is None
-    for k in ("a", "b"):
-        for p in probs:
-            assert one[k][p] == pytest.approx(two[k][p], abs=1e-12)
+    got = {r["k"]: r for r in group_quantiles(df, ["k"], "v", probs).collect()}
+    assert set(got) == {None, "a", "b", "c"} and got["c"]["med"] is None
+    for k in (None, "a", "b"):
+        values = [v for g, v in data if g == k and v is not None]
+        for name, p in probs.items():
+            assert got[k][name] == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
 def test_merge_mm_pairs_by_position_and_repeats_the_last_row(spark, rows):
@@ -55,8 +76,7 @@ def test_merge_mm_pairs_by_position_and_repeats_the_last_row(spark, rows):
     r = spark.createDataFrame([("a", 10), ("a", 20), ("b", 30), ("b", 40), ("d", 50)], "k string, y int")
     want = [("a", 1, 10), ("a", 2, 20), ("a", 3, 20), ("b", 4, 30), ("b", 4, 40), ("c", 5, None), ("d", None, 50)]
     got = {tuple(t) for t in joins.merge_mm(l, r, ["k"], ["x"], ["y"]).collect()}
-    hot = {tuple(t) for t in joins.merge_mm(l, r, ["k"], ["x"], ["y"], hot_rows=1).collect()}
-    assert got == set(want) and hot == got
+    assert got == set(want)
 
 
 def test_merge_mm_on_unique_keys_is_a_full_join(spark):
@@ -175,3 +195,18 @@ def test_dedup_and_reshape(spark):
     assert {(r["k_a"], r["k_b"], r["k_c"]) for r in d.collect()} == {(1, 0, 0), (0, 1, 0)}
     t = reshape.transpose(spark.createDataFrame([("r1", 1, 2), ("r2", 3, 4)], "r string, p int, q int"), "r", ["p", "q"], ["r1", "r2"])
     assert {tuple(r) for r in t.collect()} == {("p", 1, 3), ("q", 2, 4)}
+
+
+def test_lag_calendar_keeps_the_rows(spark):
+    days = [dt.date(2023, 1, d) for d in (27, 28, 29, 30, 31)] + [dt.date(2023, 2, 27), dt.date(2023, 2, 28), dt.date(2023, 3, 31)]
+    df = spark.createDataFrame([("e", d, i) for i, d in enumerate(days)], "e string, m date, v int")
+    got = {r["m"]: r["v_m1"] for r in windows.lag_calendar(df, ["e"], "m", ["v"], 1).collect()}
+    assert len(got) == len(days) and got[dt.date(2023, 2, 27)] == 0 and got[dt.date(2023, 2, 28)] == 1 and got[dt.date(2023, 3, 31)] is None
+
+
+def test_stine_does_not_depend_on_the_unit(spark):
+    values = [1.0, None, None, 2.5, None, 3.0, None, None, None, 7.0]
+    rows = lambda scale: [("e", dt.date(2024, 1, 1 + i), None if v is None else v * scale) for i, v in enumerate(values)]
+    one, thousand = ([r["v"] for r in windows.interp_stine(spark.createDataFrame(rows(s), "e string, d date, v double"), ["e"], "d", "v").orderBy("d").collect()] for s in (1, 1000))
+    assert thousand == pytest.approx([v * 1000 for v in one], rel=1e-12)
+    assert one == sorted(one)
