@@ -74,8 +74,8 @@ def geodesic_km(lat1, lon1, lat2, lon2) -> Column:
     return _geodesic_udf(*(_c(c).cast("double") for c in (lat1, lon1, lat2, lon2)))
 
 
-def albers_xy(lat, lon, lat_1=20.0, lat_2=-23.0, lat_0=0.0, lon_0=25.0) -> tuple[Column, Column]:
-    """Albers equal-area conic coordinates (m) on WGS84."""
+def albers_constants(lat_1: float, lat_2: float, lat_0: float) -> tuple[float, float, float, float]:
+    """Cone constant, C, radius of the origin (m) and squared eccentricity of the projection."""
     e2 = WGS84_F * (2 - WGS84_F)
     e = math.sqrt(e2)
 
@@ -89,7 +89,13 @@ def albers_xy(lat, lon, lat_1=20.0, lat_2=-23.0, lat_0=0.0, lon_0=25.0) -> tuple
     p1, p2, p0 = (math.radians(v) for v in (lat_1, lat_2, lat_0))
     n = (m_num(p1) ** 2 - m_num(p2) ** 2) / (q_num(p2) - q_num(p1))
     c = m_num(p1) ** 2 + n * q_num(p1)
-    rho0 = WGS84_A * math.sqrt(c - n * q_num(p0)) / n
+    return n, c, WGS84_A * math.sqrt(c - n * q_num(p0)) / n, e2
+
+
+def albers_xy(lat, lon, lat_1=20.0, lat_2=-23.0, lat_0=0.0, lon_0=25.0) -> tuple[Column, Column]:
+    """Albers equal-area conic coordinates (m) on WGS84."""
+    n, c, rho0, e2 = albers_constants(lat_1, lat_2, lat_0)
+    e = math.sqrt(e2)
     s = F.sin(F.radians(_c(lat)))
     q = (1 - e2) * (s / (1 - e2 * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
     rho = WGS84_A * F.sqrt(F.lit(c) - n * q) / n

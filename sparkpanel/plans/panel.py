@@ -61,8 +61,9 @@ def cluster_panel(
     return interact(out, [f"quarter{q}" for q in range(1, 5)], [f"region_{r}" for r in regions])
 
 
-def split_year(df: DataFrame, year: str, train: Sequence[int], test: Sequence[int]) -> tuple[DataFrame, DataFrame]:
-    return df.filter(F.col(year).isin(list(train))), df.filter(F.col(year).isin(list(test)))
+def split_year(df: DataFrame, year: str, first_test: int) -> tuple[DataFrame, DataFrame]:
+    """Years before ``first_test`` to train on, that year and later ones to test on."""
+    return df.filter(F.col(year) < first_test), df.filter(F.col(year) >= first_test)
 
 
 def split_region(df: DataFrame, region: str, test: str) -> tuple[DataFrame, DataFrame]:

@@ -108,7 +108,7 @@ def across(spark, sf):
   CAST(CASE WHEN month(o_orderdate) BETWEEN 7 AND 9 THEN 1 ELSE 0 END AS INTEGER) AS quarter3,
   CAST(CASE WHEN month(o_orderdate) >= 10 THEN 1 ELSE 0 END AS INTEGER) AS quarter4,
   CAST(CASE WHEN month(o_orderdate) BETWEEN 5 AND 6 THEN 1 ELSE 0 END AS INTEGER) AS strict_quarter2,
-  CAST(least(6, greatest(1, year(o_orderdate) - 1995 + CASE WHEN month(o_orderdate) >= 5 THEN 1 ELSE 0 END)) AS INTEGER) AS cropyr,
+  CAST(least((SELECT year(max(o_orderdate)) - year(min(o_orderdate)) FROM orders), greatest(1, year(o_orderdate) - (SELECT year(min(o_orderdate)) FROM orders) + CASE WHEN month(o_orderdate) >= 5 THEN 1 ELSE 0 END)) AS INTEGER) AS cropyr,
   CAST(CASE WHEN month(o_orderdate) > 9 OR month(o_orderdate) < 5 THEN 1 ELSE 0 END AS INTEGER) AS rainseason,
   CAST(weekofyear(o_orderdate) AS INTEGER) AS iso_week,
   CAST(month(o_orderdate) AS INTEGER) AS abbrev_month,
@@ -116,11 +116,15 @@ def across(spark, sf):
   FROM orders""")
 def calendar(spark, sf):
     d, m = F.to_date("o_orderdate"), F.month("o_orderdate")
-    return table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders")
+    # The first and the last crop year of the table take what lies beyond them.
+    lim = orders.agg(F.year(F.min("o_orderdate")).alias("lo"), F.year(F.max("o_orderdate")).alias("hi"))
+    first, last = lim.select("lo").scalar(), lim.select("hi").scalar()
+    return orders.select(
         "o_orderkey", yyyymm("o_orderdate").alias("yyyymm"),
         *[c.alias(n) for n, c in quarter_flags(m).items()],
         quarter_flags(m, strict_reference=True)["quarter2"].alias("strict_quarter2"),
-        crop_year_number("o_orderdate", 1995, 6).alias("cropyr"), rain_season_flag("o_orderdate").alias("rainseason"),
+        crop_year_number("o_orderdate", first, last - first).alias("cropyr"), rain_season_flag("o_orderdate").alias("rainseason"),
         F.weekofyear("o_orderdate").alias("iso_week"),
         month_from_abbrev(F.date_format("o_orderdate", "MMM")).alias("abbrev_month"),
         month_start(d).cast("string").alias("month_start"),

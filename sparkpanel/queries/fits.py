@@ -13,7 +13,8 @@ from sparkpanel.queries.market import station_frame
 from sparkpanel.queries.survey import CLUSTER_SQL, clusters
 from sparkpanel.session import cut_lineage
 
-TRAIN, TEST = (1996, 1997, 1998, 1999), (2000, 2001)
+FIRST_TEST = 2000
+# The variables of each part of a model.
 MEASURES = ("logFCS", "HDDS", "rCSI")
 WEATHER = ("raincytot", "day1rain", "floodmax", "maxdaysnorain")
 ACCESS = ("maize_current", "maize_mktthin_current")
@@ -22,6 +23,7 @@ DISTANCE = ("dist_road", "dist_admarc")
 ASSET = ("roof_natural_inverse", "number_celphones")
 DEMO = ("hhsize", "hh_age", "hh_gender", "asset")
 QUARTERS = ("quarter1", "quarter2", "quarter3")
+PRIOR = "IPC1"
 GROUPS = {
     "model0": (),
     "model1": (*WEATHER, *ACCESS, *LAND, *DISTANCE),
@@ -45,8 +47,8 @@ def levelled(spark, sf):
 
 
 def grid_specs():
-    # The prior phase is not in the stand-in panel; the fourth quarter is the base.
-    return md.level_specs(MEASURES, ("lhz", "TA", "clust"), GROUPS, QUARTERS, "clust")
+    # The fourth quarter is the base; the prior phase is in every model.
+    return md.level_specs(MEASURES, ("lhz", "TA", "clust"), GROUPS, (*QUARTERS, PRIOR), "clust")
 
 
 # ---- one and several regressors on raw lines
@@ -78,15 +80,15 @@ def ols_predict(spark, sf):
 
 @query("ols_multi")
 def ols_multi(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
-    specs = [md.ModelSpec(y, y, (*GROUPS["model3"], *QUARTERS)) for y in MEASURES]
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    specs = [md.ModelSpec(y, y, (*GROUPS["model3"], *QUARTERS, PRIOR)) for y in MEASURES]
     return md.coef_table(spark, md.fit_all(train, specs))
 
 
 @query("fit_stats")
 def fit_stats(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
-    specs = [md.ModelSpec(m, y, (*xs, *QUARTERS)) for y in MEASURES for m, xs in GROUPS.items()]
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    specs = [md.ModelSpec(m, y, (*xs, *QUARTERS, PRIOR)) for y in MEASURES for m, xs in GROUPS.items()]
     return md.fit_stats(spark, md.fit_all(train, specs))
 
 
@@ -95,9 +97,37 @@ def fe_ols(spark, sf):
     return md.coef_table(spark, [md.fe_ols(staged(spark, sf), "HDDS", ["hhsize", "hh_age"], ["FS_year", "region"])])
 
 
-@query("fe_within")
+# What makes a least squares fit: residuals that are orthogonal to every regressor.
+@query("fe_ols_score", f"""WITH {CLUSTER_SQL}, known AS (SELECT * FROM cl2 WHERE HDDS IS NOT NULL AND hhsize IS NOT NULL AND hh_age IS NOT NULL),
+  terms AS (SELECT unnest(['intercept', 'hhsize', 'hh_age']) AS term
+    UNION ALL SELECT DISTINCT 'FS_year_' || FS_year FROM known WHERE FS_year > (SELECT min(FS_year) FROM known)
+    UNION ALL SELECT DISTINCT 'region_' || region FROM known WHERE region > (SELECT min(region) FROM known))
+  SELECT term, (SELECT count(*) FROM known) AS n, 0.0::DOUBLE AS score FROM terms""")
+def fe_ols_score(spark, sf):
+    df = staged(spark, sf)
+    fit = md.fe_ols(df, "HDDS", ["hhsize", "hh_age"], ["FS_year", "region"])
+    own = [t for t in fit.coef if t.startswith(("FS_year_", "region_"))]
+    factor = lambda t: "FS_year" if t.startswith("FS_year_") else "region"
+    flags = df.select("HDDS", "hhsize", "hh_age", F.lit(1.0).alias("intercept"), *[
+        (F.col(factor(t)).cast("string") == t[len(factor(t)) + 1:]).cast("double").alias(f"_t{i}") for i, t in enumerate(own)
+    ]).dropna()
+    column = {**{t: t for t in ("intercept", "hhsize", "hh_age")}, **{t: f"_t{i}" for i, t in enumerate(own)}}
+    rest = F.col("HDDS") - sum((F.lit(b) * F.col(column[t]) for t, b in fit.coef.items()), F.lit(0.0))
+    sums = flags.agg(*[F.abs(F.round(F.avg(rest * F.col(c)), 6)).alias(t) for t, c in column.items()], F.count(F.lit(1)).alias("n"))
+    return sums.unpivot(["n"], list(column), "term", "score").select("term", "n", "score")
+
+
+@query("fe_within", f"""WITH {CLUSTER_SQL}, w AS (SELECT ea_id, HDDS - avg(HDDS) OVER p AS y, hhsize - avg(hhsize) OVER p AS a, hh_age - avg(hh_age) OVER p AS b, HDDS AS raw
+    FROM cl2 WHERE HDDS IS NOT NULL AND hhsize IS NOT NULL AND hh_age IS NOT NULL WINDOW p AS (PARTITION BY ea_id)),
+  s AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS yb, sum(y * y) AS yy, var_pop(raw) * count(*) AS sst, count(*) AS n, count(DISTINCT ea_id) AS g FROM w),
+  f AS (SELECT *, aa * bb - ab * ab AS det, (ay * bb - yb * ab) / det AS b1, (yb * aa - ay * ab) / det AS b2, yy - b1 * ay - b2 * yb AS sse, sse / (n - g - 2) AS s2 FROM s)
+  SELECT 'hhsize' AS term, round(b1, 6) AS estimate, round(sqrt(s2 * bb / det), 6) AS se, round(b1 / sqrt(s2 * bb / det), 5) AS t, CAST(n AS INTEGER) AS n, round(1 - sse / yy, 6) AS within_r2, round(1 - sse / sst, 6) AS overall_r2 FROM f
+  UNION ALL SELECT 'hh_age', round(b2, 6), round(sqrt(s2 * aa / det), 6), round(b2 / sqrt(s2 * aa / det), 5), CAST(n AS INTEGER), round(1 - sse / yy, 6), round(1 - sse / sst, 6) FROM f""")
 def fe_within(spark, sf):
-    return md.coef_table(spark, [md.within_ols(staged(spark, sf), "HDDS", ["hhsize", "hh_age"], "ea_id")])
+    fit = md.within_ols(staged(spark, sf), "HDDS", ["hhsize", "hh_age"], "ea_id")
+    return md.coef_table(spark, [fit]).select(
+        "term", F.round("estimate", 6).alias("estimate"), F.round("se", 6).alias("se"), F.round("t", 5).alias("t"), "n",
+        F.round("r2", 6).alias("within_r2"), F.round(F.lit(fit.overall_r2), 6).alias("overall_r2"))
 
 
 _FACTORS = {"Month": ["FS_month"], "IPC": ["zone"], "TA": ["TA_names"], "Cluster": ["ea_id"], "Month x TA": ["FS_month", "TA_names"]}
@@ -112,27 +142,29 @@ def group_r2(spark, sf):
     return rounded(md.group_r2(staged(spark, sf), ["HDDS", "rCSI"], _FACTORS), ["r2"])
 
 
-@query("split_year", f"""WITH {CLUSTER_SQL} SELECT ea_id, FS_year AS "FS_year", CASE WHEN FS_year IN {TRAIN} THEN 'train' ELSE 'test' END AS part FROM cl2 WHERE FS_year IN {TRAIN + TEST}""")
+@query("split_year", f"""WITH {CLUSTER_SQL} SELECT ea_id, FS_year AS "FS_year", CASE WHEN FS_year < {FIRST_TEST} THEN 'train' ELSE 'test' END AS part FROM cl2""")
 def split_year(spark, sf):
-    train, test = panel.split_year(clusters(spark, sf).select("ea_id", "FS_year"), "FS_year", TRAIN, TEST)
+    train, test = panel.split_year(clusters(spark, sf).select("ea_id", "FS_year"), "FS_year", FIRST_TEST)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("strat_split")
+@query("strat_split", """WITH q AS (SELECT quantile_cont(o_totalprice, [0.2, 0.4, 0.6, 0.8]) AS c FROM orders),
+  s AS (SELECT o_orderkey, CAST(o_totalprice > c[1] AS INTEGER) + CAST(o_totalprice > c[2] AS INTEGER) + CAST(o_totalprice > c[3] AS INTEGER) + CAST(o_totalprice > c[4] AS INTEGER) AS st FROM orders, q)
+  SELECT o_orderkey, row_number() OVER (PARTITION BY st ORDER BY md5('7-' || o_orderkey), o_orderkey) <= ceil(count(*) OVER (PARTITION BY st) * 0.7::DOUBLE) AS train FROM s""")
 def strat_split(spark, sf):
     return md.stratified_split(table(spark, sf, "orders"), "o_totalprice", "o_orderkey", 0.7, 7).select("o_orderkey", "train")
 
 
 @query("model_grid")
 def model_grid(spark, sf):
-    train, test = panel.split_year(levelled(spark, sf), "FS_year", TRAIN, TEST)
+    train, test = panel.split_year(levelled(spark, sf), "FS_year", FIRST_TEST)
     _, r2 = md.run_grid(train, test, grid_specs(), ["ea_id", "FS_year"])
     return r2
 
 
 @query("model_grid_tail")
 def model_grid_tail(spark, sf):
-    train, test = panel.split_year(levelled(spark, sf), "FS_year", TRAIN, TEST)
+    train, test = panel.split_year(levelled(spark, sf), "FS_year", FIRST_TEST)
     parts = []
     for y in MEASURES:
         specs = [s for s in grid_specs() if s.y == y]
@@ -142,47 +174,52 @@ def model_grid_tail(spark, sf):
 
 @query("grid_pairs")
 def grid_pairs(spark, sf):
-    train, test = panel.split_year(levelled(spark, sf), "FS_year", TRAIN, TEST)
+    train, test = panel.split_year(levelled(spark, sf), "FS_year", FIRST_TEST)
     pairs, _ = md.run_grid(train, test, grid_specs(), ["ea_id", "FS_year"])
     return rounded(pairs, ["actual", "predict"])
 
 
-_RAIN = ("raincytot", "day1rain", "floodmax", "maxdaysnorain")
-_GEO = (*LAND, *DISTANCE)
-_OWN = (*ASSET, "hhsize", "hh_age")
-_LAG = ("maize_lag", "maize_mktthin_lag")
-_MONTHS = tuple(f"month{m}" for m in range(1, 12))
-_REGION = ("region_AFRICA", "region_AMERICA", "region_ASIA", "region_EUROPE")
-_QUARTER_REGION = tuple(f"quarter{q}_{r}" for q in range(1, 5) for r in (*_REGION, "region_MIDDLE EAST"))
-SETS = {
-    "ols_old": (*_RAIN, *ACCESS, *_GEO, *_OWN),
-    "ols_temp": (*_RAIN, *ACCESS, *_GEO, *_OWN, "gdd", "tmean", "heatdays"),
-    "ols_lag_price": (*_RAIN, *_LAG, *_GEO, *_OWN),
-    "ols_quarter": (*_RAIN, *ACCESS, *_GEO, *_OWN, *QUARTERS),
-    "ols_quarter_lagprice": (*_RAIN, *_LAG, *_GEO, *_OWN, *QUARTERS),
-    "ols_quarter_noprice": (*_RAIN, *_GEO, *_OWN, *QUARTERS),
-    "ols_region": (*_RAIN, *ACCESS, *_GEO, *_OWN, *_REGION),
-    "ols_quarter_region": (*_RAIN, *ACCESS, *_GEO, *_OWN, *_REGION, *QUARTERS, *_QUARTER_REGION),
-    "ols_quarter_region_noprice": (*_RAIN, *_GEO, *_OWN, *_REGION, *QUARTERS, *_QUARTER_REGION),
-    "ols_station_price": (*_RAIN, "station_current", *_GEO, *_OWN),
-    "ols_lag_station_price": (*_RAIN, "station_lag", *_GEO, *_OWN, "gdd", "tmean", "heatdays"),
-    "ols_trend": (*_RAIN, *_GEO, *_OWN, "trend", *_LAG),
-    "ols_month": (*_RAIN, *_GEO, *_OWN, *_MONTHS),
-    "ols_month_region": (*_RAIN, *_GEO, *_OWN, *_MONTHS, *_REGION),
-    "ols_month_price": (*_RAIN, *_GEO, *_OWN, *_MONTHS, *_LAG),
-}
+# What each choice of a specification adds.
+PRICES = {"none": (), "current": ACCESS, "lagged": ("maize_lag", "maize_mktthin_lag"), "station": ("station_current",), "station_lagged": ("station_lag",)}
+CALENDARS = {"none": (), "quarter": QUARTERS, "month": tuple(f"month{m}" for m in range(1, 12)), "trend": ("trend",)}
+REGIONS = ("region_AFRICA", "region_AMERICA", "region_ASIA", "region_EUROPE")
+TEMPERATURE = ("gdd", "tmean", "heatdays")
+BASE = (*WEATHER, *LAND, *DISTANCE, *ASSET, "hhsize", "hh_age")
+
+
+def variable_set(price: str, calendar: str, region: bool, temperature: bool) -> tuple[str, tuple[str, ...]]:
+    """Name and variables of one specification; regions meet the quarters where both are in."""
+    parts = [*BASE, *PRICES[price], *CALENDARS[calendar]]
+    if region:
+        parts += REGIONS
+        if calendar == "quarter":
+            parts += [f"quarter{q}_{r}" for q in range(1, 5) for r in (*REGIONS, "region_MIDDLE EAST")]
+    if temperature:
+        parts += TEMPERATURE
+    name = f"price_{price}.calendar_{calendar}" + ".region" * region + ".temperature" * temperature
+    return name, tuple(parts)
+
+
+# Each price alone, the market prices with each calendar, then regions and temperatures beside some of these.
+CHOICES = [
+    *[(price, "none", False, False) for price in PRICES],
+    *[(price, calendar, False, False) for calendar in ("quarter", "month", "trend") for price in ("none", "current", "lagged")],
+    *[(price, calendar, True, False) for price, calendar in (("current", "none"), ("none", "quarter"), ("current", "quarter"), ("none", "month"))],
+    *[(price, "none", False, True) for price in ("current", "station_lagged")],
+]
+SETS = dict(variable_set(*choice) for choice in CHOICES)
 
 
 @query("spec_sweep")
 def spec_sweep(spark, sf):
-    df = staged(spark, sf).withColumn("trend", (F.col("FS_year") - min(TRAIN)) * 12 + F.col("FS_month"))
+    df = staged(spark, sf).withColumn("trend", (F.col("FS_year") - FIRST_TEST) * 12 + F.col("FS_month"))
     stations = station_frame(spark, sf).select(
         F.col("c_custkey").alias("ea_id"), "month", F.col("price").alias("station_current"), F.col("price_lag").alias("station_lag"))
     df = df.withColumn("month", F.make_date("FS_year", F.col("FS_month").cast("int"), F.lit(1)))
     df = cut_lineage(df.join(stations, ["ea_id", "month"], "left"))
     tagged = md.stratified_split(df.filter("HDDS IS NOT NULL"), "HDDS", "ea_id", 0.7, 7)
     splits = {
-        "year": panel.split_year(df, "FS_year", TRAIN, TEST),
+        "year": panel.split_year(df, "FS_year", FIRST_TEST),
         "region": panel.split_region(df, "region", "EUROPE"),
         "random": (tagged.filter("train"), tagged.filter("NOT train")),
     }
@@ -191,26 +228,53 @@ def spec_sweep(spark, sf):
 
 @query("enet_cv")
 def enet_cv(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
-    fit = md.elastic_net_cv(train, "HDDS", (*GROUPS["model3"], *QUARTERS), "ea_id")
-    rows = [(t, b, fit.alpha, fit.lam, fit.cv_rmse) for t, b in fit.coef.items()]
-    return spark.createDataFrame(rows, "term string, estimate double, alpha double, lambda double, cv_rmse double")
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    rows = []
+    for y in MEASURES:
+        fit = md.elastic_net_cv(train, y, (*GROUPS["model3"], *QUARTERS, PRIOR), "ea_id")
+        rows += [(y, t, b, fit.alpha, fit.lam, fit.cv_rmse) for t, b in fit.coef.items()]
+    return spark.createDataFrame(rows, "measure string, term string, estimate double, alpha double, lambda double, cv_rmse double")
+
+
+_SHORT = ["maize_current", "hhsize", "hh_age", "elevation", PRIOR]
+
+
+def _tobits(spark, sf):
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    return [(y, md.tobit_fit(train, y, _SHORT)) for y in MEASURES]
 
 
 @query("tobit")
 def tobit(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", TRAIN, TEST)
-    fit = md.tobit_fit(train, "rCSI", ["maize_current", "hhsize", "hh_age", "elevation"])
-    rows = [(t, b, fit.sigma, fit.lnl, 1 - fit.lnl / fit.lnl0, fit.n, fit.censored) for t, b in fit.coef.items()]
-    return spark.createDataFrame(rows, "term string, estimate double, sigma double, lnl double, pseudo_r2 double, n int, censored int")
+    rows = [
+        (y, *row, fit.sigma, fit.lnl, 1 - fit.lnl / fit.lnl0, fit.n, fit.censored)
+        for y, fit in _tobits(spark, sf) for row in fit.rows()
+    ]
+    return spark.createDataFrame(
+        rows, "measure string, term string, estimate double, se double, z double, p double, sigma double, lnl double, pseudo_r2 double, n int, censored int")
+
+
+# At the largest likelihood the score of a row is zero on average.
+@query("tobit_score", f"""WITH {CLUSTER_SQL}, known AS (SELECT * FROM cl2 WHERE FS_year < {FIRST_TEST} AND maize_current IS NOT NULL AND hhsize IS NOT NULL AND hh_age IS NOT NULL AND elevation IS NOT NULL AND IPC1 IS NOT NULL)
+  """ + " UNION ALL ".join(
+    f"SELECT '{y}' AS measure, CAST(count({y}) AS INTEGER) AS n, CAST(count(*) FILTER ({y} = (SELECT min({y}) FROM known)) AS INTEGER) AS censored, 0.0::DOUBLE AS score FROM known" for y in MEASURES))
+def tobit_score(spark, sf):
+    rows = [(y, fit.n, fit.censored, round(abs(fit.gradient), 6)) for y, fit in _tobits(spark, sf)]
+    return spark.createDataFrame(rows, "measure string, n int, censored int, score double")
 
 
 @query("logit")
 def logit(spark, sf):
-    df = staged(spark, sf).withColumn("low", (F.col("HDDS") < 3).cast("int"))
-    xs = ["maize_current", "hhsize", "hh_age", "elevation"]
+    flags = {y: insecure_side(y, y) for y in MEASURES}
+    df = cut_lineage(staged(spark, sf).select(*_SHORT, *[F.when(F.col(y).isNotNull(), c.cast("int")).alias(y) for y, c in flags.items()]))
     rows = []
-    for link in ("logit", "probit"):
-        fit = md.binary_fit(df, "low", xs, link)
-        rows += [(link, t, float(b)) for t, b in zip(["intercept", *xs], [fit.intercept, *fit.coefficients])]
-    return spark.createDataFrame(rows, "link string, term string, estimate double")
+    for y in MEASURES:
+        for link in ("logit", "probit"):
+            fit = md.binary_fit(df, y, _SHORT, link)
+            s = fit.summary
+            # The summary lists the slopes first and the intercept last.
+            rows += [
+                (y, link, t, float(b), float(se), float(z), float(p))
+                for t, b, se, z, p in zip([*_SHORT, "intercept"], [*fit.coefficients, fit.intercept], s.coefficientStandardErrors, s.tValues, s.pValues)
+            ]
+    return spark.createDataFrame(rows, "measure string, link string, term string, estimate double, se double, z double, p double")

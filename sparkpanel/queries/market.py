@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from sparkpanel.functions.geodesy import albers_xy, geodesic_km, haversine_km as haversine
+from sparkpanel.functions.geodesy import WGS84_A, WGS84_F, albers_constants, albers_xy, geodesic_km, haversine_km as haversine
 from sparkpanel.operators import nearest
-from sparkpanel.operators.aggregates import share, weighted_agg
+from sparkpanel.operators.aggregates import share, sum_strict
 from sparkpanel.operators.polygons import area_mean, point_in_polygon, ring_area as area_of
 from sparkpanel.operators.windows import dense_grid
 from sparkpanel.plans import prices as pr
@@ -32,12 +34,42 @@ def haversine_q(spark, sf):
     return _trade_pairs(spark, sf).select("o_custkey", "l_suppkey", F.round(haversine("a", "b", "c", "d"), 6).alias("km"))
 
 
-@query("geodesic")
+def _vincenty_sql(source: str, keep: str, rounds: int = 12) -> str:
+    """Unrolled inverse geodesic of the points (a, b) and (c, d) of ``source``: CTEs up to ``geo``, column km.
+
+    Twelve rounds settle every pair of these few degrees; a pair of equal points has 0.
+    """
+    f, a = f"({WGS84_F!r}::DOUBLE)", f"({WGS84_A!r}::DOUBLE)"
+    steps = [f"""v0 AS MATERIALIZED (SELECT {keep}, atan((1 - {f}) * tan(radians(a))) AS u1, atan((1 - {f}) * tan(radians(c))) AS u2,
+        radians(d - b) AS dl, radians(d - b) AS lam FROM {source})"""]
+    spot = """sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss,
+        sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs, atan2(ss, cs) AS sg, CASE WHEN ss = 0 THEN 0.0::DOUBLE ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa,
+        1 - sa * sa AS c2, CASE WHEN c2 = 0 THEN 0.0::DOUBLE ELSE cs - 2 * sin(u1) * sin(u2) / c2 END AS mid"""
+    for i in range(1, rounds + 1):
+        steps.append(f"""v{i} AS MATERIALIZED (SELECT {keep}, u1, u2, dl, dl + (1 - cc) * {f} * sa * (sg + cc * ss * (mid + cc * cs * (2 * mid * mid - 1))) AS lam
+          FROM (SELECT *, {f} / 16 * c2 * (4 + {f} * (4 - 3 * c2)) AS cc FROM (SELECT *, {spot} FROM v{i - 1})))""")
+    b = f"((1 - {f}) * {a})"
+    steps.append(f"""geo AS (SELECT {keep}, {b} * ba * (sg - bb * ss * (mid + bb / 4 * (cs * (2 * mid * mid - 1) - bb / 6 * mid * (4 * ss * ss - 3) * (4 * mid * mid - 3)))) / 1000 AS km
+      FROM (SELECT *, 1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q))) AS ba, q / 1024 * (256 + q * (-128 + q * (74 - 47 * q))) AS bb
+        FROM (SELECT *, c2 * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS q FROM (SELECT *, {spot} FROM v{rounds}))))""")
+    return ", ".join(steps)
+
+
+@query("geodesic", f"WITH {_CUST_SUPP}, {_vincenty_sql('pair', 'o_custkey, l_suppkey')} SELECT o_custkey, l_suppkey, round(km, 6) AS km FROM geo")
 def geodesic(spark, sf):
     return _trade_pairs(spark, sf).select("o_custkey", "l_suppkey", F.round(geodesic_km("a", "b", "c", "d"), 6).alias("km"))
 
 
-@query("albers")
+def _albers_sql() -> str:
+    n, c, rho0, e2 = albers_constants(20.0, -23.0, 0.0)
+    e = math.sqrt(e2)
+    s = "sin(radians(lat))"
+    q = f"(1 - {e2!r}) * ({s} / (1 - {e2!r} * {s} * {s}) - ln((1 - {e!r} * {s}) / (1 + {e!r} * {s})) / (2 * {e!r}))"
+    rho, theta = f"{WGS84_A!r} * sqrt({c!r} - ({n!r}) * ({q})) / ({n!r})", f"({n!r}) * radians(lon - 25.0::DOUBLE)"
+    return f"WITH {COORD_SQL} SELECT market, round({rho} * sin({theta}), 3) AS x_m, round({rho0!r} - {rho} * cos({theta}), 3) AS y_m FROM coords"
+
+
+@query("albers", _albers_sql())
 def albers(spark, sf):
     x, y = albers_xy("lat", "lon")
     return market_coords(spark, sf).select("market", F.round(x, 3).alias("x_m"), F.round(y, 3).alias("y_m"))
@@ -77,10 +109,15 @@ def topk_neighbours(spark, sf):
     return nearest.nearest_join(cust_points(spark, sf), market_coords(spark, sf), "c_custkey", "market", k=3, right_name="market")
 
 
-@query("nearest_geodesic")
+_GEO_NEAR = f"""{COORD_SQL}, pair AS (SELECT c_custkey, market, {lat_sql('c_custkey')} AS a, {lon_sql('c_custkey')} AS b, lat AS c, lon AS d FROM customer CROSS JOIN coords)"""
+
+
+@query("nearest_geodesic", f"""WITH {_GEO_NEAR}, {_vincenty_sql('pair', 'c_custkey, market')} SELECT c_custkey, market, CAST(round(CAST(round(km, 6) AS DECIMAL(18, 6)), 4) AS DOUBLE) AS dist_km FROM geo
+  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY round(km, 6), market) = 1""")
 def nearest_geodesic(spark, sf):
-    return nearest.nearest_join(
-        cust_points(spark, sf), market_coords(spark, sf), "c_custkey", "market", metric="geodesic", right_name="market").drop("rank")
+    near = nearest.nearest_join(
+        cust_points(spark, sf), market_coords(spark, sf), "c_custkey", "market", metric="geodesic", right_name="market")
+    return rounded(near.drop("rank"), ["dist_km"], 4)
 
 
 # ---- polygons: one concave five-cornered ring per nation on a 5 x 5 layout
@@ -142,7 +179,7 @@ def catchment_weights(spark, sf):
 
 # ---- prices
 
-_WEIGHT = """weights AS (SELECT s_suppkey AS market, s_nationkey AS zone, CASE WHEN count(*) OVER w = 1 THEN 1.0::DOUBLE ELSE coalesce(s_acctbal / nullif(sum(s_acctbal) OVER w, 0), 0) END AS weight
+WEIGHT_SQL = """weights AS (SELECT s_suppkey AS market, s_nationkey AS zone, CASE WHEN count(*) OVER w = 1 THEN 1.0::DOUBLE ELSE coalesce(s_acctbal / nullif(sum(s_acctbal) OVER w, 0), 0) END AS weight
   FROM supplier WINDOW w AS (PARTITION BY s_nationkey))"""
 
 
@@ -172,12 +209,12 @@ def thin_rate(spark, sf):
     return rounded(pr.thin_rate(dense, ["market", "month"]), ["thin_rate"])
 
 
-_FILL = f"""{DENSE_SQL}, {COORD_SQL}, lists AS (SELECT a.market, b.market AS donor, round({hav_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS dist_km FROM coords a JOIN coords b ON a.market <> b.market),
+FILL_SQL = f"""{DENSE_SQL}, {COORD_SQL}, lists AS (SELECT a.market, b.market AS donor, round({hav_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS dist_km FROM coords a JOIN coords b ON a.market <> b.market),
 given AS (SELECT d.market, d.commodity, d.month, arg_min(o.price, (dist_km, donor)) AS price, arg_min(donor, (dist_km, donor)) AS donor
   FROM dense d JOIN lists USING (market) JOIN pobs o ON o.market = donor AND o.commodity = d.commodity AND o.month = d.month WHERE d.price IS NULL GROUP BY ALL)"""
 
 
-@query("spatial_fill", f"""WITH {_FILL} SELECT d.market, d.commodity, CAST(d.month AS VARCHAR) AS month, round(coalesce(d.price, g.price), 6) AS price, g.donor
+@query("spatial_fill", f"""WITH {FILL_SQL} SELECT d.market, d.commodity, CAST(d.month AS VARCHAR) AS month, round(coalesce(d.price, g.price), 6) AS price, g.donor
   FROM dense d LEFT JOIN given g ON g.market = d.market AND g.commodity = d.commodity AND g.month = d.month""")
 def spatial_fill(spark, sf):
     return rounded(_month_text(pr.spatial_fill(prices_dense(spark, sf), market_coords(spark, sf)).drop("dist_km")), ["price"])
@@ -186,15 +223,35 @@ def spatial_fill(spark, sf):
 def _cascade_sql(k: int) -> str:
     steps, prev = [], "dense"
     for i in range(1, k + 1):
-        steps.append(f"""c{i} AS (SELECT p.market, p.commodity, p.month, coalesce(p.price, q.price) AS price FROM {prev} p
+        steps.append(f"""c{i} AS MATERIALIZED (SELECT p.market, p.commodity, p.month, coalesce(p.price, q.price) AS price FROM {prev} p
           LEFT JOIN ranks r ON r.market = p.market AND r.rank = {i} LEFT JOIN {prev} q ON q.market = r.neighbour AND q.commodity = p.commodity AND q.month = p.month)""")
         prev = f"c{i}"
     return ", ".join(steps)
 
 
-@query("spatial_fill_cascade", f"""WITH {DENSE_SQL}, {_ranked_sql(4)}, {_cascade_sql(4)} SELECT market, commodity, CAST(month AS VARCHAR) AS month, round(price, 6) AS price FROM c4""")
+# More rounds than any cell of the test tables needs; a round without gaps changes nothing.
+_ROUNDS = 20
+
+
+@query("spatial_fill_cascade", f"""WITH {DENSE_SQL}, {_ranked_sql(_ROUNDS)}, {_cascade_sql(_ROUNDS)} SELECT market, commodity, CAST(month AS VARCHAR) AS month, round(price, 6) AS price FROM c{_ROUNDS}""")
 def spatial_fill_cascade(spark, sf):
-    return rounded(_month_text(pr.spatial_fill(prices_dense(spark, sf), market_coords(spark, sf), "cascade", 4)), ["price"])
+    return rounded(_month_text(pr.spatial_fill(prices_dense(spark, sf), market_coords(spark, sf), "cascade", 10)), ["price"])
+
+
+def _growing_sql(k: int) -> str:
+    steps, prev = [], "dense"
+    for i in range(1, k + 1):
+        steps.append(f"""m{i} AS MATERIALIZED (SELECT p.market, p.commodity, p.month, coalesce(p.price, g.price) AS price FROM {prev} p LEFT JOIN (
+          SELECT d.market, d.commodity, d.month, quantile_cont(o.price, 0.5) AS price FROM {prev} d JOIN ranks r ON r.market = d.market AND r.rank <= {i}
+            JOIN {prev} o ON o.market = r.neighbour AND o.commodity = d.commodity AND o.month = d.month WHERE d.price IS NULL AND o.price IS NOT NULL GROUP BY ALL) g
+          ON g.market = p.market AND g.commodity = p.commodity AND g.month = p.month)""")
+        prev = f"m{i}"
+    return ", ".join(steps)
+
+
+@query("spatial_fill_growing", f"""WITH {DENSE_SQL}, {_ranked_sql(_ROUNDS)}, {_growing_sql(_ROUNDS)} SELECT market, commodity, CAST(month AS VARCHAR) AS month, round(price, 6) AS price FROM m{_ROUNDS}""")
+def spatial_fill_growing(spark, sf):
+    return rounded(_month_text(pr.spatial_fill(prices_dense(spark, sf), market_coords(spark, sf), "growing", 10)), ["price"])
 
 
 @query("spatial_fill_median", f"""WITH {DENSE_SQL}, {_ranked_sql(5)}, g AS (SELECT d.market, d.commodity, d.month, quantile_cont(o.price, 0.5) AS price
@@ -227,16 +284,16 @@ def donor_fill(spark, sf):
     return _month_text(pr.donor_fill(series, cust_points(spark, sf).withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"))
 
 
-@query("weighted_price", f"""WITH {PRICE_SQL}, {_WEIGHT} SELECT zone, commodity, CAST(month AS VARCHAR) AS month, round(sum(price * weight), 6) AS weighted, round(avg(price), 6) AS plain
+@query("weighted_price", f"""WITH {PRICE_SQL}, {WEIGHT_SQL} SELECT zone, commodity, CAST(month AS VARCHAR) AS month, round(sum(price * weight), 6) AS weighted, round(avg(price), 6) AS plain
   FROM pobs JOIN weights USING (market) GROUP BY ALL""")
 def weighted_price(spark, sf):
     joined = price_obs(spark, sf).join(weights(spark, sf), "market")
-    keys = ["zone", "commodity", "month"]
-    both = weighted_agg(joined, keys, "price", "weight", "weighted").join(weighted_agg(joined, keys, "price", None, "plain"), keys)
+    both = joined.groupBy("zone", "commodity", "month").agg(
+        sum_strict(F.col("price") * F.col("weight")).alias("weighted"), F.avg("price").alias("plain"))
     return rounded(_month_text(both), ["weighted", "plain"])
 
 
-@query("zone_price_join", f"""WITH {DENSE_SQL}, {_WEIGHT} SELECT zone, commodity, CAST(month AS VARCHAR) AS month,
+@query("zone_price_join", f"""WITH {DENSE_SQL}, {WEIGHT_SQL} SELECT zone, commodity, CAST(month AS VARCHAR) AS month,
   round(CASE WHEN count(price) = count(*) THEN sum(price * weight) END, 6) AS zone_price FROM dense JOIN weights USING (market) GROUP BY ALL""")
 def zone_price_join(spark, sf):
     return rounded(_month_text(pr.zone_price(prices_dense(spark, sf), weights(spark, sf))), ["zone_price"])
@@ -250,8 +307,8 @@ def point_price(spark, sf):
 _KINDS = {"PROMO": "maize", "LARGE": "rice", "SMALL": "nuts", "MEDIUM": "beans"}
 
 
-@query("price_panel", f"""WITH {_FILL}, full_ AS (SELECT d.market, d.commodity, d.month, coalesce(d.price, g.price) AS price, CAST(d.price IS NULL AS INTEGER) AS thin
-    FROM dense d LEFT JOIN given g ON g.market = d.market AND g.commodity = d.commodity AND g.month = d.month), {_WEIGHT},
+@query("price_panel", f"""WITH {FILL_SQL}, full_ AS (SELECT d.market, d.commodity, d.month, coalesce(d.price, g.price) AS price, CAST(d.price IS NULL AS INTEGER) AS thin
+    FROM dense d LEFT JOIN given g ON g.market = d.market AND g.commodity = d.commodity AND g.month = d.month), {WEIGHT_SQL},
   z AS (SELECT zone, commodity, month, CASE WHEN count(price) = count(*) THEN sum(price * weight) END AS price, sum(thin * weight) AS thin FROM full_ JOIN weights USING (market) GROUP BY ALL),
   c AS (SELECT market, month, {', '.join(f"max(price) FILTER (commodity = '{v}') AS clust_{n}_price, max(thin) FILTER (commodity = '{v}') AS clust_{n}_mktthin" for v, n in _KINDS.items())} FROM full_ GROUP BY ALL),
   l AS (SELECT zone, month, {', '.join(f"max(price) FILTER (commodity = '{v}') AS lhz_{n}_price, max(thin) FILTER (commodity = '{v}') AS lhz_{n}_mktthin" for v, n in _KINDS.items())} FROM z GROUP BY ALL)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkpanel.operators import reshape
 from sparkpanel.plans import evaluate as ev
 from sparkpanel.queries.base import nation_month, query, rounded, table
-from sparkpanel.queries.series import _PHASE, phases
+from sparkpanel.queries.series import PHASE_SQL, phases
 
 # Pairs: per supplier and month the mean of two halves of its lines, scaled to each measure.
 _PAIR_SQL = """half AS (SELECT l_suppkey AS k, l_linenumber AS m, avg(l_quantity) FILTER (l_returnflag <> 'N') AS a, avg(l_quantity) FILTER (l_returnflag = 'N') AS p
@@ -166,7 +166,7 @@ def monthly_profile(spark, sf):
     return rounded(ev.monthly_profile(li, ["mo"], ["l_quantity", "l_tax"]), ["mean"])
 
 
-@query("phase_crosstab", f"""WITH {_PHASE}, c AS (SELECT phase, CASE WHEN v <= 3 THEN 'Low Diversity' WHEN v <= 6 THEN 'Medium Diversity' ELSE 'Good Diversity' END AS class
+@query("phase_crosstab", f"""WITH {PHASE_SQL}, c AS (SELECT phase, CASE WHEN v <= 3 THEN 'Low Diversity' WHEN v <= 6 THEN 'Medium Diversity' ELSE 'Good Diversity' END AS class
     FROM (SELECT s.phase, n.n / 3.0::DOUBLE AS v FROM snaps s JOIN nm n ON n.zone = s.zone AND n.month = s.month))
   SELECT phase, class, count(*) AS n FROM c GROUP BY ALL""")
 def phase_crosstab(spark, sf):

@@ -134,7 +134,26 @@ def interp_linear(spark, sf):
     return rounded(_text(windows.interp_linear(prices_dense(spark, sf), SERIES, "month", "price"), "month"), ["price"])
 
 
-@query("interp_stine")
+_STINE = f"""{DENSE_SQL}, {_SEEN},
+  k0 AS (SELECT market, commodity, month AS t, price AS y, CAST(greatest(max(month) OVER s - min(month) OVER s, 1) AS DOUBLE) AS sx,
+      coalesce(nullif(max(price) OVER s - min(price) OVER s, 0), 1.0::DOUBLE) AS sy FROM seen WINDOW s AS (PARTITION BY market, commodity)),
+  k1 AS (SELECT *, CAST(t - lag(t) OVER w AS DOUBLE) / sx AS dl, (y - lag(y) OVER w) / sy AS el, CAST(lead(t) OVER w - t AS DOUBLE) / sx AS dr, (lead(y) OVER w - y) / sy AS er
+      FROM k0 WINDOW w AS (PARTITION BY market, commodity ORDER BY t)),
+  k2 AS (SELECT *, el / dl AS sl, er / dr AS sr, (el / dl * (dr * dr + er * er) + er / dr * (dl * dl + el * el)) / (dl * dl + el * el + dr * dr + er * er) AS mid FROM k1),
+  k3 AS (SELECT *, coalesce(sl, sr) AS ch, CASE WHEN sl IS NULL THEN lead(mid) OVER w ELSE lag(mid) OVER w END AS nb FROM k2 WINDOW w AS (PARTITION BY market, commodity ORDER BY t)),
+  k4 AS (SELECT market, commodity, t, y, sy / sx * coalesce(mid, CASE WHEN nb IS NULL THEN ch WHEN (ch >= 0 AND ch >= nb) OR (ch <= 0 AND ch <= nb) THEN 2 * ch - nb
+      ELSE coalesce(ch + abs(ch) * (ch - nb) / nullif(abs(ch) + abs(ch - nb), 0), ch) END, 0.0) AS yp FROM k3),
+  p AS (SELECT d.market, d.commodity, d.month, d.price,
+      max(CASE WHEN d.price IS NOT NULL THEN d.month END) OVER (PARTITION BY d.market, d.commodity ORDER BY d.month) AS t0,
+      min(CASE WHEN d.price IS NOT NULL THEN d.month END) OVER (PARTITION BY d.market, d.commodity ORDER BY d.month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS t1 FROM dense d),
+  q AS (SELECT p.*, a.y AS y0, a.yp AS yp0, b.y AS y1, b.yp AS yp1, CAST(t1 - t0 AS DOUBLE) AS dx, CAST(p.month - t0 AS DOUBLE) AS u, CAST(p.month - t1 AS DOUBLE) AS v,
+      (b.y - a.y) / nullif(CAST(t1 - t0 AS DOUBLE), 0) AS s FROM p LEFT JOIN k4 a ON a.market = p.market AND a.commodity = p.commodity AND a.t = t0
+      LEFT JOIN k4 b ON b.market = p.market AND b.commodity = p.commodity AND b.t = t1),
+  r AS (SELECT *, y0 + s * u AS chord, (yp0 - s) * u AS d1, (yp1 - s) * v AS d2 FROM q)"""
+
+
+@query("interp_stine", f"""WITH {_STINE} SELECT market, commodity, CAST(month AS VARCHAR) AS month, round(coalesce(price, CASE WHEN d1 * d2 > 0 THEN chord + d1 * d2 / nullif(d1 + d2, 0)
+    WHEN d1 * d2 < 0 THEN chord + d1 * d2 * (u + v) / ((d1 - d2) * nullif(dx, 0)) ELSE chord END, y0, y1), 6) AS price FROM r""")
 def interp_stine(spark, sf):
     return rounded(_text(windows.interp_stine(prices_dense(spark, sf), SERIES, "month", "price"), "month"), ["price"])
 
@@ -180,7 +199,7 @@ def group_mean_fill(spark, sf):
 
 
 # Phase snapshots 1-3 per nation at the irregular months where orders are many or few.
-_PHASE = f"""{NATION_MONTH_SQL}, snaps AS (SELECT zone, month, CAST(CASE WHEN value > 12.2 THEN 1 WHEN value > 12.0 THEN 2 ELSE 3 END AS INTEGER) AS phase
+PHASE_SQL = f"""{NATION_MONTH_SQL}, snaps AS (SELECT zone, month, CAST(CASE WHEN value > 12.2 THEN 1 WHEN value > 12.0 THEN 2 ELSE 3 END AS INTEGER) AS phase
   FROM nm WHERE month(month) IN (1, 4, 7, 10) AND NOT (year(month) = 1998 AND month(month) = 7))"""
 
 
@@ -190,7 +209,7 @@ def phases(spark, sf):
     return nm.select("zone", "month", F.when(F.col("value") > 12.2, 1).when(F.col("value") > 12.0, 2).otherwise(3).alias("phase"))
 
 
-@query("asof_phase", f"""WITH {_PHASE} SELECT o.o_orderkey, c_nationkey AS zone, s.phase FROM orders o JOIN customer ON o_custkey = c_custkey
+@query("asof_phase", f"""WITH {PHASE_SQL} SELECT o.o_orderkey, c_nationkey AS zone, s.phase FROM orders o JOIN customer ON o_custkey = c_custkey
   ASOF LEFT JOIN snaps s ON s.zone = c_nationkey AND s.month <= CAST(o.o_orderdate AS DATE)""")
 def asof_phase(spark, sf):
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("zone"))
@@ -198,7 +217,7 @@ def asof_phase(spark, sf):
     return joins.asof_join(left, phases(spark, sf), "month", ["zone"], ["phase"]).select("o_orderkey", "zone", "phase")
 
 
-@query("asof_next_phase", f"""WITH {_PHASE} SELECT o.o_orderkey, c_nationkey AS zone, s.phase FROM orders o JOIN customer ON o_custkey = c_custkey
+@query("asof_next_phase", f"""WITH {PHASE_SQL} SELECT o.o_orderkey, c_nationkey AS zone, s.phase FROM orders o JOIN customer ON o_custkey = c_custkey
   ASOF LEFT JOIN snaps s ON s.zone = c_nationkey AND s.month >= CAST(o.o_orderdate AS DATE)""")
 def asof_next_phase(spark, sf):
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("zone"))

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkpanel.operators.aggregates import collapse_mean
+from sparkpanel.operators.joins import asof_join
+from sparkpanel.operators.windows import lag_rows
 from sparkpanel.plans import panel, scores
-from sparkpanel.queries.base import PRICE_SQL, lat, lat_sql, price_obs, query, rounded, table
+from sparkpanel.plans.prices import dense_prices, spatial_fill, zone_price_thin
+from sparkpanel.queries.base import lat, lat_sql, market_coords, price_obs, query, rounded, table
+from sparkpanel.queries.market import FILL_SQL, WEIGHT_SQL, weights
+from sparkpanel.queries.series import PHASE_SQL, phases
 from sparkpanel.queries.weather import PANEL_SQL, season_table
+from sparkpanel.session import cut_lineage
 
 
 def food_items(spark, sf):
@@ -133,7 +139,7 @@ HH_SQL = f"""{GROUP_SQL}, {_COPING},
 hhb AS (SELECT o.o_orderkey AS case_id, o_custkey AS ea_id, c_nationkey AS zone, concat(c_nationkey, '_', c_mktsegment) AS TA_names, r_name AS region,
     CAST(year(o_orderdate) AS INTEGER) AS FS_year, CAST((o_custkey + year(o_orderdate)) % 12 + 1 AS INTEGER) AS FS_month,
     make_date(year(o_orderdate), (o_custkey + year(o_orderdate)) % 12 + 1, 1) AS month, FCS, HDDS, CASE WHEN s IS NOT NULL THEN least(s, 42) END AS rCSI,
-    1 + o.o_orderkey % 9 AS hhsize, 20 + o.o_orderkey * 7 % 50 AS hh_age, o.o_orderkey % 2 AS hh_gender, ln(o_totalprice) AS asset,
+    1 + o.o_orderkey % 9 AS hhsize, 20 + o.o_orderkey * 7 % 50 AS hh_age, o.o_orderkey % 2 AS hh_gender,
     CAST(o_orderstatus = 'F' AS INTEGER) AS roof_natural_inverse, o.o_orderkey % 4 AS number_celphones, o_custkey * 13 % 2000 AS elevation,
     o_custkey * 29 % 100 AS dist_road, o_custkey * 31 % 50 AS dist_admarc, c_acctbal / 10000 AS percent_ag, CAST(o_custkey % 3 = 1 AS INTEGER) AS nutri
   FROM orders o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -152,20 +158,34 @@ def households(spark, sf):
     base = table(spark, sf, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey")).select(
         key.alias("case_id"), ea.alias("ea_id"), F.col("c_nationkey").alias("zone"), F.concat_ws("_", "c_nationkey", "c_mktsegment").alias("TA_names"),
         F.col("r_name").alias("region"), year.alias("FS_year"), month.alias("FS_month"), F.make_date(year, month, F.lit(1)).alias("month"),
-        (1 + key % 9).alias("hhsize"), (20 + key * 7 % 50).alias("hh_age"), (key % 2).alias("hh_gender"), F.log("o_totalprice").alias("asset"),
+        (1 + key % 9).alias("hhsize"), (20 + key * 7 % 50).alias("hh_age"), (key % 2).alias("hh_gender"),
         (F.col("o_orderstatus") == "F").cast("int").alias("roof_natural_inverse"), (key % 4).alias("number_celphones"), (ea * 13 % 2000).alias("elevation"),
         (ea * 29 % 100).alias("dist_road"), (ea * 31 % 50).alias("dist_admarc"), (F.col("c_acctbal") / 10000).alias("percent_ag"), (ea % 3 == 1).cast("int").alias("nutri"))
-    return base.join(both.withColumnRenamed("hh", "case_id"), "case_id", "left").join(cope, "case_id", "left")
+    out = base.join(both.withColumnRenamed("hh", "case_id"), "case_id", "left").join(cope, "case_id", "left")
+    out = out.join(household_assets(spark, sf), "case_id", "left")
+    # The status one snapshot before the one in force, as of the interview month.
+    before = lag_rows(phases(spark, sf), ["zone"], "month", ["phase"], 1, "1").withColumnRenamed("phase1", "IPC1")
+    return asof_join(out, before, "month", ["zone"], ["IPC1"])
 
 
-ZONE_PRICE_SQL = f"""{PRICE_SQL}, zp AS (SELECT s_nationkey AS zone, month, avg(price) AS maize, CAST(count(*) AS DOUBLE) AS maize_mktthin
-  FROM pobs JOIN supplier ON market = s_suppkey WHERE commodity = 'PROMO' GROUP BY ALL)"""
+def household_assets(spark, sf):
+    """Rotated asset index of each household with items."""
+    wide = cut_lineage(asset_dummies(spark, sf))
+    return scores.asset_index(wide, [f"asset_{c}" for c in _CODES], "asset").select(F.col("hh").alias("case_id"), "asset")
+
+
+# Prices of one commodity on its own grid, gaps from the nearest market, averaged by market weight.
+ZONE_PRICE_SQL = f"""{FILL_SQL.replace('ON l_partkey = p_partkey GROUP BY', "ON l_partkey = p_partkey WHERE p_type = 'PROMO' GROUP BY")}, {WEIGHT_SQL},
+zp AS (SELECT zone, d.month, CASE WHEN count(coalesce(d.price, g.price)) = count(*) THEN sum(coalesce(d.price, g.price) * weight) END AS maize,
+    sum(CAST(d.price IS NULL AND g.price IS NOT NULL AS INTEGER) * weight) AS maize_mktthin
+  FROM dense d LEFT JOIN given g ON g.market = d.market AND g.commodity = d.commodity AND g.month = d.month JOIN weights w ON w.market = d.market GROUP BY ALL)"""
 
 
 def zone_prices(spark, sf):
-    supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("market"), F.col("s_nationkey").alias("zone"))
-    return price_obs(spark, sf).filter("commodity = 'PROMO'").join(supp, "market").groupBy("zone", "month").agg(
-        F.avg("price").alias("maize"), F.count(F.lit(1)).cast("double").alias("maize_mktthin"))
+    one = dense_prices(price_obs(spark, sf).filter("commodity = 'PROMO'"))
+    filled = spatial_fill(one, market_coords(spark, sf)).withColumn("thin", F.col("donor").isNotNull().cast("int"))
+    out = zone_price_thin(filled.drop("donor", "dist_km"), weights(spark, sf))
+    return out.select("zone", "month", F.col("price").alias("maize"), F.col("thin").alias("maize_mktthin"))
 
 
 _WEATHER = ["raincytot", "day1rain", "maxdaysnorain", "floodmax", "tmean", "gdd", "heatdays"]
@@ -176,9 +196,11 @@ def zone_seasons(spark, sf):
     return collapse_mean(season_table(spark, sf).select("zone", "FS_year", *_WEATHER), ["zone", "FS_year"])
 
 
-MASTER_SQL = f"""{HH_SQL}, {ZONE_PRICE_SQL}, {ZONE_SEASON_SQL},
+MASTER_SQL = f"""{HH_SQL}, {ZONE_PRICE_SQL}, {ZONE_SEASON_SQL}, {PHASE_SQL},
+prior AS (SELECT zone, month, lag(phase) OVER (PARTITION BY zone ORDER BY month) AS IPC1 FROM snaps),
+hhp AS (SELECT h.*, IPC1 FROM hhb h ASOF LEFT JOIN prior s ON s.zone = h.zone AND s.month <= h.month),
 master AS (SELECT h.*, p.maize AS maize_current, p.maize_mktthin AS maize_mktthin_current, q.maize AS maize_lag, q.maize_mktthin AS maize_mktthin_lag,
-    {', '.join(_WEATHER)} FROM hhb h LEFT JOIN zp p ON p.zone = h.zone AND p.month = h.month LEFT JOIN zp q ON q.zone = h.zone AND q.month + INTERVAL 1 MONTH = h.month
+    {', '.join(_WEATHER)} FROM hhp h LEFT JOIN zp p ON p.zone = h.zone AND p.month = h.month LEFT JOIN zp q ON q.zone = h.zone AND q.month + INTERVAL 1 MONTH = h.month
   LEFT JOIN zs ON zs.zone = h.zone AND zs.FS_year = h.FS_year WHERE p.maize IS NOT NULL AND raincytot IS NOT NULL)"""
 
 
@@ -188,12 +210,12 @@ def master(spark, sf):
 
 
 @query("hh_panel", f"""WITH {MASTER_SQL} SELECT case_id, ea_id, zone, TA_names AS "TA_names", region, FS_year AS "FS_year", FS_month AS "FS_month",
-  FCS AS "FCS", HDDS AS "HDDS", rCSI AS "rCSI", round(maize_current, 6) AS maize_current, round(maize_lag, 6) AS maize_lag, round(raincytot, 6) AS raincytot,
+  FCS AS "FCS", HDDS AS "HDDS", rCSI AS "rCSI", IPC1 AS "IPC1", round(maize_current, 6) AS maize_current, round(maize_lag, 6) AS maize_lag, round(maize_mktthin_current, 6) AS maize_mktthin_current, round(raincytot, 6) AS raincytot,
   round(day1rain, 6) AS day1rain, round(maxdaysnorain, 6) AS maxdaysnorain, round(floodmax, 6) AS floodmax, round(tmean, 6) AS tmean FROM master""")
 def hh_panel(spark, sf):
-    cols = ["maize_current", "maize_lag", "raincytot", "day1rain", "maxdaysnorain", "floodmax", "tmean"]
+    cols = ["maize_current", "maize_lag", "maize_mktthin_current", "raincytot", "day1rain", "maxdaysnorain", "floodmax", "tmean"]
     return rounded(master(spark, sf).select(
-        "case_id", "ea_id", "zone", "TA_names", "region", "FS_year", "FS_month", "FCS", "HDDS", "rCSI", *cols), cols)
+        "case_id", "ea_id", "zone", "TA_names", "region", "FS_year", "FS_month", "FCS", "HDDS", "rCSI", "IPC1", *cols), cols)
 
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -212,10 +234,10 @@ def _q(n: int, m: str = "FS_month") -> str:
 CLUSTER_SQL = f"""{MASTER_SQL},
 cl AS (SELECT ea_id, FS_year, any_value(TA_names) AS TA_names, any_value(zone) AS zone, any_value(region) AS region, avg(FS_month) AS FS_month,
     avg(FCS) AS FCS, CASE WHEN avg(FCS) > 0 THEN ln(avg(FCS)) END AS logFCS, avg(HDDS) AS HDDS, avg(rCSI) AS rCSI, avg(raincytot) / 1000 AS raincytot, avg(elevation) / 1000 AS elevation,
-    avg(maize_current) AS maize_current, avg(day1rain) AS day1rain, avg(hhsize) AS hhsize, avg(hh_age) AS hh_age FROM master GROUP BY ea_id, FS_year),
+    avg(maize_current) AS maize_current, avg(maize_mktthin_current) AS maize_mktthin_current, avg(IPC1) AS IPC1, avg(day1rain) AS day1rain, avg(hhsize) AS hhsize, avg(hh_age) AS hh_age FROM master GROUP BY ea_id, FS_year),
 cl2 AS (SELECT *, avg(maize_current) OVER w AS TA_maize_current, avg(raincytot) OVER w AS TA_raincytot, avg(day1rain) OVER w AS TA_day1rain FROM cl WINDOW w AS (PARTITION BY TA_names, FS_year))"""
 
-_CL = ["FCS", "logFCS", "HDDS", "rCSI", "raincytot", "elevation", "maize_current", "day1rain", "hhsize", "hh_age", "TA_maize_current", "TA_raincytot", "TA_day1rain"]
+_CL = ["FCS", "logFCS", "HDDS", "rCSI", "IPC1", "raincytot", "elevation", "maize_current", "maize_mktthin_current", "day1rain", "hhsize", "hh_age", "TA_maize_current", "TA_raincytot", "TA_day1rain"]
 
 
 @query("cluster_panel", f"""WITH {CLUSTER_SQL} SELECT ea_id, FS_year AS "FS_year", TA_names AS "TA_names", zone, region, {', '.join(f'round({c}, 6) AS "{c}"' for c in _CL)},
