@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from sparkpanel.llm.ngrams import DIMS, inverse_frequencies, texts_of, tfidf, vectors
 
 #: Labelled rows of each language that the model is fitted on, and of these the share that calibrates it.
-SAMPLE = 2500
+SAMPLE = 2000
 CALIBRATION = 0.2
 EPOCHS = 3
 
@@ -46,6 +46,7 @@ def fit_ftrl(examples: list, classes: int, alpha: float = 1.0, beta: float = 1.0
 
     for _ in range(epochs):
         for y, at, x in examples:
+            x = x.astype(np.float64)
             w = weights(at)
             p = softmax(x @ w)
             p[y] -= 1
@@ -99,7 +100,6 @@ def fit_language(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sam
         return None
     languages = sorted({y for y, _, _ in examples})
     number = {y: i for i, y in enumerate(languages)}
-    examples.sort(key=lambda e: (e[1].tobytes(), e[2].tobytes()))
     np.random.default_rng(0).shuffle(examples)
     examples = [(number[y], at, x) for y, at, x in examples]
     cut = int(len(examples) * CALIBRATION)

@@ -83,7 +83,7 @@ def features(texts: list[str], idf: np.ndarray) -> Iterator[tuple[np.ndarray, np
 class _Sparse:
     def __init__(self, examples: list):
         self.at = np.concatenate([at for _, at, _ in examples])
-        self.x = np.concatenate([x for _, _, x in examples])
+        self.x = np.concatenate([x for _, _, x in examples]).astype(np.float32)
         self.size = np.array([len(at) for _, at, _ in examples])
 
     def part(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,8 +158,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     parts = [vectors(texts.join(F.broadcast(ids[y].distinct()), "id", "left_semi").withColumn("y", F.lit(y)), "y", lambda texts: features(texts, idf)) for y in (1, 0)]
     if not parts[0]:
         return None
-    for part in parts:
-        part.sort(key=lambda e: (e[1].tobytes(), e[2].tobytes()))
     weights, bias = fit_non_negative(*parts, prior)
     return QualityModel(weights, bias, idf, prior)
 

@@ -35,7 +35,7 @@ HOT = 5000
 #: Copies of a string that may travel, unless more than ``LISTED`` strings have more.
 COPIES = 200
 LISTED = 200_000
-SLICE = 1 << 20
+SLICE = 1 << 19
 SENT = pa.schema([
     ("mini", pa.int64()), ("packed", pa.binary()), ("docs", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("times", pa.int64()),
     ("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),

@@ -157,7 +157,7 @@ def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int =
     """
     if length < 160:
         raise ValueError("length must be at least 160 bytes")
-    ranges = repeated_ranges(df, id_col, text_col, Bytes, length, GRAM, _suffix_bucket(length), False, 1 << 20)
+    ranges = repeated_ranges(df, id_col, text_col, Bytes, length, GRAM, _suffix_bucket(length), False, 1 << 19)
     added = {"n_bytes": "long", "n_removed": "long", "spans": "array<struct<from:long,to:long>>", "kept": "binary"}
     source = with_ranges(df.drop(*added), id_col, ranges)
     schema = source.drop("_ranges").withColumns({k: F.lit(None).cast(v) for k, v in added.items()}).schema
