@@ -18,14 +18,18 @@ ORDERS = (1, 2, 3)
 
 
 def rows(texts: list[str], lower: bool, dims: int = DIMS) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """For each text the n-gram numbers that occur, how often, and whether it has a letter."""
+    """For each text the n-gram numbers that occur, how often, and whether it has a letter.
+
+    With ``lower`` only letters count, in lower case; whatever stands between them is one
+    and the same character.
+    """
     code = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le"), np.uint32)
     classes, folded = characters()
     bounded = np.minimum(code, 65535)
     h = folded[bounded] if lower else code.astype(np.uint64) + np.uint64(1)
     far = code > 65535
-    if lower and far.any():
-        h = np.where(far, code.astype(np.uint64), h)
+    if lower:
+        h = np.where(far, code.astype(np.uint64), np.where(classes[bounded] == LETTER, h, np.uint64(0)))
     prefix = sums(h)
     n = len(code)
     numbers = {k: (grams(prefix, slice(0, max(0, n - k + 1)), slice(k, max(k, n + 1))) & np.uint64(dims - 1)).astype(np.int32) for k in ORDERS}
