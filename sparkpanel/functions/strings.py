@@ -32,3 +32,9 @@ def last_token(col: str | Column, sep: str = "-") -> Column:
 
 def tail_chars(col: str | Column, n: int) -> Column:
     return F.right(col, F.lit(n))
+
+
+def guarded_number(col: str | Column, kind: str = "double") -> Column:
+    """Number of a text cell, null where it holds none."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.trim(col).try_cast(kind)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,17 +17,20 @@ from sparkpanel.session import cut_lineage
 CELL = ["market", "commodity", "month"]
 
 
-def dense_prices(obs: DataFrame) -> DataFrame:
+def dense_prices(obs: DataFrame, commodities: Sequence[str] | None = None) -> DataFrame:
     """Every market with every commodity in every month of the frame; absent cells null.
 
-    ``obs`` is unique per (market, commodity, month). The grid is made by exploding the
-    short lists of commodities and months on each market.
+    ``obs`` is unique per (market, commodity, month); its cells are written once, as they
+    are read for markets, limits and values. The grid is made by exploding the short lists
+    of commodities and months on each market. With ``commodities`` it has these alone.
     """
+    obs = cut_lineage(obs)
     lists = obs.agg(F.min("month").alias("lo"), F.max("month").alias("hi"), F.collect_set("commodity").alias("cs"))
     months = F.sequence(lists.select("lo").scalar(), lists.select("hi").scalar(), F.expr("INTERVAL 1 MONTH"))
+    kinds = lists.select("cs").scalar() if commodities is None else F.lit(list(commodities))
     grid = (
         obs.select("market").distinct()
-        .select("market", F.explode(lists.select("cs").scalar()).alias("commodity"))
+        .select("market", F.explode(kinds).alias("commodity"))
         .select("market", "commodity", F.explode(months).alias("month"))
     )
     return grid.join(obs, CELL, "left")

@@ -123,8 +123,8 @@ def price_obs(spark: SparkSession, sf: str) -> DataFrame:
     return items.join(parts, "l_partkey").groupBy("market", "commodity", "month").agg(F.avg(F.log("unit")).alias("price"))
 
 
-def prices_dense(spark: SparkSession, sf: str) -> DataFrame:
-    return dense_prices(price_obs(spark, sf))
+def prices_dense(spark: SparkSession, sf: str, commodities=None) -> DataFrame:
+    return dense_prices(price_obs(spark, sf), commodities)
 
 
 PRICE_SQL = """pobs AS (

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkpanel.functions.calendar import crop_year_number, month_from_abbrev, month_start, quarter_flags, rain_season_flag, yyyymm
-from sparkpanel.functions.strings import last_token, normalise_name, tail_chars
+from sparkpanel.functions.strings import guarded_number, last_token, normalise_name, tail_chars
 from sparkpanel.operators import aggregates as agg
 from sparkpanel.operators import clean, dedup, joins, reshape
 from sparkpanel.operators.skew import group_median
 from sparkpanel.queries.base import NATION_MONTH_SQL, nation_month, query, rnd, rounded, table
+from sparkpanel.sources import io
 
 
 # ---- projections and filters
@@ -428,3 +429,34 @@ def interact(spark, sf):
 @query("composite_key", f"WITH {NATION_MONTH_SQL} SELECT concat_ws('_', zone, CAST(month AS VARCHAR)) AS key, n FROM nm")
 def composite_key(spark, sf):
     return nation_month(spark, sf).select(reshape.composite_key("zone", "month").alias("key"), "n")
+
+
+# ---- stacking and guarded casts
+
+# Survey rounds with columns of their own: open orders have no price, closed ones no priority.
+@query("append_years", """SELECT o_orderkey, o_orderstatus, NULL AS o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, NULL FROM orders WHERE o_orderstatus <> 'O'""")
+def append_years(spark, sf):
+    orders = table(spark, sf, "orders")
+    rounds = [
+        orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+        orders.filter("o_orderstatus <> 'O'").select("o_orderkey", "o_orderstatus", "o_totalprice"),
+    ]
+    return io.append_years(rounds).select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+# One file of monthly prices for each return flag; a market and month that several give keeps the lowest.
+@query("merge_monthly", """SELECT market, month, min(price) AS price FROM (
+    SELECT l_suppkey AS market, CAST(date_trunc('month', l_shipdate)::DATE AS VARCHAR) AS month, l_returnflag, max(l_extendedprice) AS price FROM lineitem GROUP BY ALL) GROUP BY ALL""")
+def merge_monthly(spark, sf):
+    prices = table(spark, sf, "lineitem").groupBy(
+        F.col("l_suppkey").alias("market"), month_start("l_shipdate").cast("string").alias("month"), "l_returnflag"
+    ).agg(F.max("l_extendedprice").alias("price"))
+    files = [prices.filter(F.col("l_returnflag") == f).drop("l_returnflag") for f in ("A", "N", "R")]
+    return io.merge_monthly(files, ["market", "month"], "price")
+
+
+@query("guarded_cast", """SELECT o_orderkey, TRY_CAST(trim(substr(o_orderpriority, 1, 1)) AS INTEGER) AS rank, TRY_CAST(trim(o_orderpriority) AS DOUBLE) AS none FROM orders""")
+def guarded_cast(spark, sf):
+    return table(spark, sf, "orders").select(
+        "o_orderkey", guarded_number(F.substring("o_orderpriority", 1, 1), "int").alias("rank"), guarded_number("o_orderpriority").alias("none"))

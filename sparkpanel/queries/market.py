@@ -315,7 +315,7 @@ _KINDS = {"PROMO": "maize", "LARGE": "rice", "SMALL": "nuts", "MEDIUM": "beans"}
   SELECT c.market, zone, CAST(c.month AS VARCHAR) AS month, {', '.join(f"round(clust_{n}_price, 6) AS clust_{n}_price, clust_{n}_mktthin, round(lhz_{n}_price, 6) AS lhz_{n}_price, round(lhz_{n}_mktthin, 6) AS lhz_{n}_mktthin" for n in _KINDS.values())}
   FROM c JOIN weights USING (market) JOIN l USING (zone, month)""")
 def price_panel(spark, sf):
-    dense = prices_dense(spark, sf)
+    dense = prices_dense(spark, sf, list(_KINDS))
     filled = pr.spatial_fill(dense, market_coords(spark, sf)).withColumn("thin", F.col("donor").isNotNull().cast("int")).drop("donor", "dist_km")
     w = weights(spark, sf)
     clust = pr.price_panel(filled, ["market", "month"], _KINDS, "price", "clust")
@@ -332,7 +332,7 @@ def station_frame(spark, sf):
     national = obs.groupBy("commodity", "month").agg(F.avg("price").alias("price")).withColumn("market", F.lit("national"))
     coords = market_coords(spark, sf).join(supp, "market").groupBy(F.col("station").alias("market")).agg(
         F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
-    stations = pr.dense_prices(rows.unionByName(national))
+    stations = pr.dense_prices(rows.unionByName(national), ["PROMO"])
     return pr.station_price(stations, coords, cust_points(spark, sf), "c_custkey", "PROMO", "national")
 
 
