@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkpanel.operators.aggregates import attach
 
-# Class cut-offs of the three outcome measures.
-LOG_FCS_POOR, LOG_FCS_BORDERLINE = 28.0, 42.0
-HDDS_LOW, HDDS_MEDIUM = 3.0, 6.0
-RCSI_SECURE, RCSI_MILD, RCSI_MODERATE = 4.0, 17.0, 42.0
+# Upper bounds of all classes but the last, closed on the right, and the class
+# from whose side on a household counts as insecure.
+CLASS_BOUNDS = {"logFCS": (math.log(28), math.log(42)), "HDDS": (3.0, 6.0), "rCSI": (4.0, 17.0, 42.0)}
+INSECURE = {"logFCS": ("below", 1), "HDDS": ("below", 1), "rCSI": ("above", 0)}
 
 
 def across(df: DataFrame, cols: Iterable[str], fn: Callable[[Column], Column], prefix: str = "", suffix: str = "") -> DataFrame:
@@ -79,11 +79,9 @@ def override(df: DataFrame, key: list[str], patch: DataFrame) -> DataFrame:
 def insecure_side(col: str | Column, measure: str) -> Column:
     """Predicate for the rows on the insecure side of a measure's threshold."""
     x = F.col(col) if isinstance(col, str) else col
-    return {
-        "logFCS": x < F.log(F.lit(LOG_FCS_BORDERLINE)),
-        "HDDS": x < HDDS_MEDIUM,
-        "rCSI": x > RCSI_SECURE,
-    }[measure]
+    side, i = INSECURE[measure]
+    bound = CLASS_BOUNDS[measure][i]
+    return x < bound if side == "below" else x > bound
 
 
 def tail(df: DataFrame, col: str, measure: str) -> DataFrame:
@@ -101,8 +99,3 @@ def stata_over(col: str | Column, bound) -> Column:
     """``x > bound`` where a missing value counts as larger than any number."""
     x = F.col(col) if isinstance(col, str) else col
     return x.isNull() | (x > bound)
-
-
-def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    skip = set(exclude)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]

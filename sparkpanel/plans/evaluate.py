@@ -8,15 +8,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkpanel.operators.clean import CLASS_BOUNDS
 from sparkpanel.operators.skew import group_quantiles, match_keys
 
-# Class labels in rank order with right-closed upper bounds, the side of
-# the scale that is secure, and the constants used as naive predictions.
-CUTS = {
-    "logFCS": (0.0, [("Poor", math.log(28)), ("Borderline", math.log(42)), ("Acceptable", math.inf)]),
-    "HDDS": (0.0, [("Low Diversity", 3.0), ("Medium Diversity", 6.0), ("Good Diversity", math.inf)]),
-    "rCSI": (-math.inf, [("Food Secure", 4.0), ("Mild", 17.0), ("Moderate", 42.0), ("Severe", math.inf)]),
+# Class labels in rank order, the open lower end of the first class, the side
+# of the scale that is secure, and the constants used as naive predictions.
+LABELS = {
+    "logFCS": ("Poor", "Borderline", "Acceptable"), "HDDS": ("Low Diversity", "Medium Diversity", "Good Diversity"),
+    "rCSI": ("Food Secure", "Mild", "Moderate", "Severe"),
 }
+LOWEST = {"logFCS": 0.0, "HDDS": 0.0, "rCSI": -math.inf}
+CUTS = {m: (LOWEST[m], list(zip(names, (*CLASS_BOUNDS[m], math.inf)))) for m, names in LABELS.items()}
 HIGH_IS_SECURE = {"logFCS": True, "HDDS": True, "rCSI": False}
 NAIVE = {"HDDS": 4.0, "logFCS": math.log(50), "rCSI": 2.0}
 MEASURE_NAMES = {"logFCS": "logFCS", "HDDS": "HDDS", "rCSI": "rCSI"}
