@@ -34,15 +34,20 @@ def letter_groups(items: DataFrame, code: str, into: str) -> DataFrame:
     return items.withColumn(into, F.try_element_at(F.create_map(*pairs), F.col(code).cast("int")))
 
 
-def food_consumption_score(items: DataFrame, hh: str, group: str, days: str) -> DataFrame:
+def food_scores(items: DataFrame, hh: str, group: str, days: str) -> DataFrame:
+    """FCS and HDDS of each household from one grouping of its items."""
     pairs = [F.lit(p) for kv in FCS_WEIGHTS.items() for p in kv]
     weight = F.try_element_at(F.create_map(*pairs), F.col("_grp"))
-    return group_days(items, hh, group, days).groupBy(hh).agg(F.sum(weight * F.col("_days")).alias("FCS"))
+    eaten = (~F.col("_grp").isin(*NOT_IN_DIVERSITY)) & (F.col("_days") >= 1)
+    return group_days(items, hh, group, days).groupBy(hh).agg(F.sum(weight * F.col("_days")).alias("FCS"), F.count_if(eaten).alias("HDDS"))
+
+
+def food_consumption_score(items: DataFrame, hh: str, group: str, days: str) -> DataFrame:
+    return food_scores(items, hh, group, days).select(hh, "FCS")
 
 
 def dietary_diversity(items: DataFrame, hh: str, group: str, days: str) -> DataFrame:
-    eaten = (~F.col("_grp").isin(*NOT_IN_DIVERSITY)) & (F.col("_days") >= 1)
-    return group_days(items, hh, group, days).groupBy(hh).agg(F.count_if(eaten).alias("HDDS"))
+    return food_scores(items, hh, group, days).select(hh, "HDDS")
 
 
 def coping_index(

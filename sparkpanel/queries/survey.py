@@ -153,7 +153,7 @@ def households(spark, sf):
     year = F.year("o_orderdate")
     month = ((ea + year) % 12 + 1).cast("int")
     food = lettered(spark, sf)
-    both = scores.food_consumption_score(food, "hh", "group", "days").join(scores.dietary_diversity(food, "hh", "group", "days"), "hh")
+    both = scores.food_scores(food, "hh", "group", "days")
     cope = scores.coping_index(coping(spark, sf), _ANSWERS).select(F.col("o_orderkey").alias("case_id"), "rCSI")
     base = table(spark, sf, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey")).select(
         key.alias("case_id"), ea.alias("ea_id"), F.col("c_nationkey").alias("zone"), F.concat_ws("_", "c_nationkey", "c_mktsegment").alias("TA_names"),
