@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpanel.llm.arrow import small
+from sparkpanel.llm.arrow import released, small
 
 #: Pieces that a worker remembers; beyond that it starts anew.
 REMEMBERED = 400_000
@@ -198,7 +198,7 @@ def bpe_encode(df: DataFrame, text_col: str, ranks_path: str, pattern: str, out:
                 flat = pa.array(np.frombuffer(b"".join(found), "<i4"))
                 yield _with(batch, out, pa.ListArray.from_arrays(pa.array(ends), flat))
 
-    return df.mapInArrow(run, _added(df, out, "array<int>"))
+    return df.mapInArrow(released(run), _added(df, out, "array<int>"))
 
 
 def bpe_decode(df: DataFrame, ids_col: str, ranks_path: str, out: str = "decoded") -> DataFrame:
@@ -212,7 +212,7 @@ def bpe_decode(df: DataFrame, ids_col: str, ranks_path: str, out: str = "decoded
                 values = [None if x is None else b"".join(map(tokens.__getitem__, x.values.to_numpy().tolist())) for x in _lists(ids)]
                 yield _with(batch, out, pa.array(values, pa.binary()))
 
-    return df.mapInArrow(run, _added(df, out, "binary"))
+    return df.mapInArrow(released(run), _added(df, out, "binary"))
 
 
 def _lists(column: pa.Array) -> Iterator:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sparkpanel.llm.arrow import released
 from sparkpanel.llm.ngrams import DIMS, inverse_frequencies, texts_of, tfidf, vectors
 
 #: Labelled rows of each language that the model is fitted on, and of these the share that calibrates it.
@@ -137,5 +138,5 @@ def predict_language(docs: DataFrame, text_col: str, model: LanguageModel | None
                 scores.append(float(p[best]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkpanel.llm import bloom
-from sparkpanel.llm.arrow import small
+from sparkpanel.llm.arrow import released, small
 from sparkpanel.llm.components import components
 from sparkpanel.llm.staging import staged
 from sparkpanel.llm.units import Words, grams, mix, sums
@@ -208,7 +208,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, p
     start with an underscore are reserved.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-    signed = staged(rows.mapInArrow(_sign_task(words), "id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signatures")
+    signed = staged(rows.mapInArrow(released(_sign_task(words)), "id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signatures")
     classes = staged(
         signed.filter("n_shingles > 0").groupBy("n_shingles", "d1", "d2")
         .agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes"
@@ -227,7 +227,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, p
     def confirmed(pairs: DataFrame) -> DataFrame:
         both = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("text_u")), "u")
         both = both.join(texts.select(F.col("id").alias("v"), F.col("text").alias("text_v")), "v").select("u", "v", "text_u", "text_v")
-        return staged(both.mapInArrow(_verify_task(words, percent), "u long, v long").distinct(), "confirmed")
+        return staged(both.mapInArrow(released(_verify_task(words, percent)), "u long, v long").distinct(), "confirmed")
 
     links, tested, labels = None, None, None
     ratio = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
@@ -266,7 +266,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, p
     is_major, spread = F.col("component") == F.col("major"), F.xxhash64("rep")
     block = F.when(is_major, F.col("minor_blocks") + F.pmod(spread, F.col("major_blocks"))).otherwise(F.pmod(spread, F.col("minor_blocks")))
     others = F.col("minor_blocks") + F.when(is_major, 0).otherwise(F.col("major_blocks")) - 1
-    sets = texts.mapInArrow(_sets_task(words), "rep long, shingles binary")
+    sets = texts.mapInArrow(released(_sets_task(words)), "rep long, shingles binary")
     members = now.join(mixed, "key").select("key", "rep", "component", "n", block.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), others)).alias("other"))
     met = members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other").join(sets, "rep")
     pairs = staged(met.groupBy("key", "low", "high").applyInArrow(_block_task(percent), "u long, v long").distinct(), "pairs")

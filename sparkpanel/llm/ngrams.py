@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpanel.llm.arrow import batched, small
+from sparkpanel.llm.arrow import batched, released, small
 from sparkpanel.llm.units import LETTER, characters, grams, sums
 
 DIMS = 1 << 15
@@ -69,7 +69,7 @@ def inverse_frequencies(docs: DataFrame, lower: bool) -> np.ndarray:
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(counts[some], n))], names=["gram", "n"])
 
-    total = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # DIMS rows at most
+    total = docs.select("text").mapInArrow(released(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # DIMS rows at most
     counts = np.zeros(DIMS)
     documents = 0
     for r in total:
@@ -96,7 +96,7 @@ def vectors(docs: DataFrame, label: str, featurise) -> list[tuple[object, np.nda
 
         return batched(made(), schema)
 
-    found = docs.select(F.col(label).cast("string").alias("label"), "text").mapInArrow(run, "label string, at binary, x binary").collect()
+    found = docs.select(F.col(label).cast("string").alias("label"), "text").mapInArrow(released(run), "label string, at binary, x binary").collect()
     change = int if kind in ("int", "bigint") else str
     # An order that depends on the rows alone.
     found.sort(key=lambda r: (r["label"], zlib.crc32(r["at"]), zlib.crc32(r["x"])))

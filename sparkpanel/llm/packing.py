@@ -13,12 +13,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpanel.llm.arrow import batched, small
+from sparkpanel.llm.arrow import batched, released, small
 from sparkpanel.llm.staging import staged
 from sparkpanel.llm.units import DIGIT, SPACE, characters, class_of, grams, mix, sums
 
 #: Parts of text whose ids a worker remembers. The first to be seen are mostly the frequent ones.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 PARTITIONS_MERGED = 64
 _SEQUENCES = 1 << 33
 _MERGED = 1 << 62
@@ -248,7 +248,7 @@ def pack(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int,
     """
     rows = df.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     out = PIECE_SCHEMA.format(id=rows.schema["doc"].dataType.simpleString())
-    packed = staged(rows.mapInArrow(_pack_task(tokenizer, end_id, length, windows), out), "packed")
+    packed = staged(rows.mapInArrow(released(_pack_task(tokenizer, end_id, length, windows)), out), "packed")
     merged = (
         packed.filter("not closed").withColumn("group", F.floor(F.col("task") / PARTITIONS_MERGED)).groupBy("group")
         .applyInArrow(_merge_task(length, windows), out)

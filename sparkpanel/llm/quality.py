@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkpanel.llm.arrow import released
 from sparkpanel.llm import ngrams
 from sparkpanel.llm.ngrams import inverse_frequencies, texts_of, tfidf, vectors
 from sparkpanel.llm.units import DIGIT, LETTER, SPACE, Words, characters
@@ -182,4 +183,4 @@ def predict_quality(docs: DataFrame, text_col: str, model: QualityModel | None)
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)

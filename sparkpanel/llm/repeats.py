@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkpanel.llm import bloom
-from sparkpanel.llm.arrow import batched, small
+from sparkpanel.llm.arrow import batched, released, small
 from sparkpanel.llm.staging import staged
 from sparkpanel.llm.units import Runs
 
@@ -176,7 +176,7 @@ def repeated_ranges(
     """
     sc = df.sparkSession.sparkContext
     rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).filter("doc is not null and text is not null")
-    counted = rows.mapInArrow(_count_task(kind, window, gram), "mini long, whole long, lo long, hi long, n long")
+    counted = rows.mapInArrow(released(_count_task(kind, window, gram)), "mini long, whole long, lo long, hi long, n long")
     strings = counted.groupBy("mini", "whole").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
     minis = strings.groupBy("mini").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("strings"),
@@ -191,7 +191,7 @@ def repeated_ranges(
     # At most LISTED strings have this many copies.
     least = max(COPIES, (size["n"] or 0) // LISTED)
     frequent = sc.broadcast(_Listed(shared.filter(F.col("top.n") > least).select("mini", "top").collect()))
-    sent = staged(rows.mapInArrow(_send_task(kind, window, gram, *filters, frequent), SENT_DDL), "runs")
+    sent = staged(rows.mapInArrow(released(_send_task(kind, window, gram, *filters, frequent)), SENT_DDL), "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _buckets(batches, bucket_bytes):
@@ -210,7 +210,7 @@ def repeated_ranges(
         F.min("start").alias("from"), (F.max("start") + window).alias("to")
     ).drop("g")
     copies = sent.filter("stop is not null").select("doc", F.col("start").alias("from"), F.col("stop").alias("to"))
-    return met.mapInArrow(run, RANGES_DDL).unionByName(ranges).unionByName(copies)
+    return met.mapInArrow(released(run), RANGES_DDL).unionByName(ranges).unionByName(copies)
 
 
 def with_ranges(df: DataFrame, id_col: str, ranges: DataFrame, name: str = "_ranges") -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpanel.llm.arrow import small
+from sparkpanel.llm.arrow import released, small
 from sparkpanel.llm.repeats import merged, repeated_ranges, with_ranges
 from sparkpanel.llm.units import Words
 
@@ -101,4 +101,4 @@ def drop_repeated_words(df: DataFrame, id_col: str, text_col: str, window: int =
                     names=[*names, *added],
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpanel.llm.arrow import small
+from sparkpanel.llm.arrow import released, small
 from sparkpanel.llm.repeats import merged, repeated_ranges, with_ranges
 from sparkpanel.llm.units import Bytes
 
@@ -183,4 +183,4 @@ def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int =
                     *(batch[n] for n in names), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.binary()),
                 ], names=[*names, *added])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
