@@ -244,6 +244,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = 5, p
         centre = now.groupBy("key").agg(
             F.min_by(F.struct("rep", "component", "n"), first).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
         ).filter("lo < hi").select("key", "c")
+        # Written, so that the join has both sides shuffled for itself and a frequent key can be split.
+        centre = staged(centre, "centres")
         pairs = now.join(centre, "key").filter(ratio & (F.col("component") != F.col("c.component"))).select(
             F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v")
         ).distinct()
