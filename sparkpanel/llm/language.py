@@ -91,10 +91,11 @@ def fit_language(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sam
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
         "text is not null and lang is not null"
     )
-    # About twice the sample passes the bound on the hash, so that no task ranks a whole language.
+    # About twice the sample passes the bound on the hash, so that no task ranks a whole
+    # language. The broadcast has a row for each language.
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     hashed = known.select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(1 << 30)).alias("h"))
-    near = hashed.join(sizes, "lang").filter(F.col("h") * F.col("n") <= 2 * sample * (1 << 30))
+    near = hashed.join(F.broadcast(sizes), "lang").filter(F.col("h") * F.col("n") <= 2 * sample * (1 << 30))
     order = Window.partitionBy("lang").orderBy("h", "id")
     chosen = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample).select("id").distinct()
     idf = inverse_frequencies(known, lower=True)
