@@ -18,6 +18,10 @@ from sparkpanel.llm.suffixes import drop_repeated_bytes
 
 #: Least calibrated probability of the predicted language; evenly spread over four languages it is 0.25.
 MIN_SCORE = 0.3
+#: Strings of so many bytes that occur again are looked for: the least the operator allows, as 51 words may be short.
+REPEATED_BYTES = 160
+#: Of the runs that such strings cover those of over 50 words go, and those of 400 bytes, as some text has no spaces.
+PASSAGE_WORDS, PASSAGE_BYTES = 51, 400
 
 
 def beside(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -47,9 +51,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole characters that lie in a string of 400 bytes which occurs again are removed; every row stays."""
+    """Whole characters of repeated passages of over 50 words, or of 400 bytes, are removed; every row stays."""
     text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
-    cut = beside(docs, lambda d: drop_repeated_bytes(d, "doc_id", "text", length=400, whole_characters=True).withColumn("text", text))
+    limits = {"length": REPEATED_BYTES, "whole_characters": True, "least_words": PASSAGE_WORDS, "least_bytes": PASSAGE_BYTES}
+    cut = beside(docs, lambda d: drop_repeated_bytes(d, "doc_id", "text", **limits).withColumn("text", text))
     return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 

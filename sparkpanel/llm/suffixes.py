@@ -139,7 +139,9 @@ def _inward(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int = 400, whole_characters: bool = False) -> DataFrame:
+def drop_repeated_bytes(
+    df: DataFrame, id_col: str, text_col: str, length: int = 400, whole_characters: bool = False, least_words: int = 0, least_bytes: int = 0
+) -> DataFrame:
     """Remove each byte that lies in a string of ``length`` bytes which also starts anywhere else.
 
     Adds n_bytes, n_removed, spans (maximal removed runs as structs from, to) and kept
@@ -147,7 +149,9 @@ def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int =
     and may lie in one document; all are judged on the input. Only strings whose
     minimiser occurs again are brought together; there suffixes are sorted bucket by
     bucket and long ties resolved by ranks of a difference cover. With
-    ``whole_characters`` a UTF-8 character goes only if all its bytes are covered.
+    ``whole_characters`` a UTF-8 character goes only if all its bytes are covered. A
+    maximal run that has fewer than ``least_words`` words, parts of words included, and
+    fewer than ``least_bytes`` bytes stays; repeated strings that overlap or touch form one run.
 
     ``length`` is at least 160. Ids are of an integer type. Null text counts as empty; a
     row of null id keeps all its bytes and takes no part. Rows that repeat an id and a
@@ -172,6 +176,7 @@ def drop_repeated_bytes(df: DataFrame, id_col: str, text_col: str, length: int =
                     out = merged(found, len(text))
                     if whole_characters:
                         out = [(a, b) for a, b in (_inward(text, a, b) for a, b in out) if a < b]
+                    out = [(a, b) for a, b in out if b - a >= least_bytes or len(text[a:b].split()) >= least_words]
                     edges = [0, *(x for r in out for x in r), len(text)]
                     rest = b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2], strict=True))
                     sizes.append(len(text))

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -67,3 +69,16 @@ def test_empty_table(spark, table):
     docs = spark.read.parquet(f"{table}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, table).count() == 0
+
+
+def test_passages_of_over_fifty_words_are_cut_and_clean_documents_stay(spark, tmp_path):
+    rng = random.Random(8)
+    new = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(n))
+    passage, shorter = new(51), new(40)
+    assert 160 < len(shorter) and len(passage) < 400
+    rows = [(i, f"{new(90)} {passage} {new(90)}") for i in range(2)]
+    rows += [(i, f"{new(90)} {shorter} {new(90)}") for i in range(2, 4)] + [(i, new(150)) for i in range(4, 8)]
+    out = {r.doc_id: r.text for r in corpus_pipeline.cut_passages(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()}
+    for i, text in rows:
+        # The run may go on by letters that follow alike.
+        assert (passage not in out[i] and len(text) - len(passage) - 8 <= len(out[i]) <= len(text) - len(passage)) if i < 2 else out[i] == text
