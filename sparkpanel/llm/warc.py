@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from sparkpanel.llm.staging import staged
 
 MAGIC = b"WARC/1."
 END = "\r\n\r\n"
+#: A length in a header: ASCII digits, below a petabyte, so that sums with it are far from 2^63.
+_LENGTH = re.compile(rb"0*[0-9]{1,15}")
 #: RFC 4648 alphabet beside the digits that a conversion to base 32 gives.
 BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
@@ -76,6 +79,10 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _length(value: bytes) -> int | None:
+    return int(value) if _LENGTH.fullmatch(value) else None
+
+
 def _header(chunk: bytes) -> tuple[int, dict[str, str]] | None:
     """Length of the record from the magic up to its successor, and its fields; None if this is no header."""
     stop = chunk.find(b"\r\n\r\n")
@@ -83,10 +90,40 @@ def _header(chunk: bytes) -> tuple[int, dict[str, str]] | None:
         return None
     lines = chunk[:stop].decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    length = fields.get("content-length", "")
-    if not length.isdigit():
+    length = _length(fields.get("content-length", "").encode())
+    if length is None:
         return None
-    return len(MAGIC) + stop + 4 + int(length) + 4, fields
+    return len(MAGIC) + stop + 4 + length + 4, fields
+
+
+class _Headers:
+    """Candidates of a split whose header isn't over; a magic may stand inside a header, so it can go on in later chunks.
+
+    All that are open end at the same blank line, and the last line with a length counts
+    for those that begin before it. ``declared`` is that length, -1 if it is none, and
+    None without such a line; ``line`` is where the line begins.
+    """
+
+    def __init__(self):
+        self.open, self.line, self.declared = [], -1, None
+
+    def stop(self, chunk: bytes, at: int) -> int:
+        """Take the chunk that begins at ``at``; where in it the open headers end, or -1."""
+        stop = chunk.find(b"\r\n\r\n")
+        lines = chunk[: stop if stop >= 0 else len(chunk)].split(b"\r\n")
+        place = at + len(lines[0]) + 2
+        for i, line in enumerate(lines[1:], 2):
+            name, _, value = line.partition(b":")
+            if name.strip().lower() == b"content-length":
+                # The last line of a chunk without a blank line goes on with the next magic.
+                length = _length(value.strip()) if stop >= 0 or i < len(lines) else None
+                self.line, self.declared = place, -1 if length is None else length
+            place += len(line) + 2
+        return stop
+
+    def length(self, at: int) -> int | None:
+        """What the header that begins at ``at`` declares."""
+        return self.declared if at < self.line else None
 
 
 def _last_inside(offsets: np.ndarray, successors: np.ndarray, total: int) -> np.ndarray:
@@ -103,34 +140,53 @@ def _last_inside(offsets: np.ndarray, successors: np.ndarray, total: int) -> np.
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each split its length and, for each candidate in it, where its chain leaves the split."""
-    def row_batch(key, total, pre, offsets, successors):
+    """For each split a row with its length and, for each candidate in it, where its chain leaves the split.
+
+    Candidates whose header isn't over at the end of the split have no exit; they are
+    exits of others. ``stop`` of the split's row is where headers that are open at its
+    start end, and ``declared`` the length that they find in it.
+    """
+    def row_batch(key, total, pre, stop, declared, offsets, successors, headers):
         offsets, successors = np.array(offsets, np.int64), np.array(successors, np.int64)
         jump = _last_inside(offsets, successors, total)
-        n = len(offsets) + 1
+        n = len(offsets) + len(headers.open) + 1
+        late = headers.open
         return pa.RecordBatch.from_arrays([
             pa.array([key[0]] * n), pa.array([key[1]] * n, pa.int64()), pa.array([total] * n, pa.int64()), pa.array([pre] * n, pa.int64()),
-            *[pa.array([None, *x.tolist()], pa.int64()) for x in (offsets, offsets[jump], successors[jump])],
-        ], names=["file", "block", "total", "pre", "offset", "last", "exit"])
+            pa.array([stop] + [None] * (n - 1), pa.int64()),
+            pa.array([declared, *[None] * len(offsets), *map(headers.length, late)], pa.int64()),
+            *[pa.array([None, *x.tolist(), *y], pa.int64()) for x, y in ((offsets, late), (offsets[jump], late), (successors[jump], [None] * len(late)))],
+        ], names=["file", "block", "total", "pre", "stop", "declared", "offset", "last", "exit"])
 
-    key, total, pre, offsets, successors = None, 0, 0, [], []
+    def finished():
+        return row_batch(key, total, pre, first, declared if first is not None else headers.declared, offsets, successors, headers)
+
+    key, total, pre, first, declared, offsets, successors, headers = None, 0, 0, None, None, [], [], _Headers()
     for batch in batches:
         for file, block, value in zip(batch["file"].to_pylist(), batch["block"].to_pylist(), batch["value"], strict=True):
             chunk = value.as_py()
             if key != (file, block):
                 if key:
-                    yield row_batch(key, total, pre, offsets, successors)
-                key, total, pre, offsets, successors = (file, block), 0, 0, [], []
+                    yield finished()
+                key, total, pre, first, declared, offsets, successors, headers = (file, block), 0, 0, None, None, [], [], _Headers()
                 if block == 0:  # what stands before the first magic
                     total, pre = len(chunk), len(chunk)
                     continue
-            head = _header(chunk)
-            if head:
-                offsets.append(total)
-                successors.append(total + head[0])
+            headers.open.append(total)
+            stop = headers.stop(chunk, total + len(MAGIC))
+            if stop >= 0:
+                end = total + len(MAGIC) + stop + 4
+                if first is None:
+                    first, declared = end, headers.declared
+                for at in headers.open:
+                    length = headers.length(at)
+                    if length is not None and length >= 0:
+                        offsets.append(at)
+                        successors.append(end + length + 4)
+                headers = _Headers()
             total += len(MAGIC) + len(chunk)
     if key:
-        yield row_batch(key, total, pre, offsets, successors)
+        yield finished()
 
 
 def _record(file: str, offset: int, record: bytes, fields: dict[str, str]) -> tuple:
@@ -142,7 +198,7 @@ def _record(file: str, offset: int, record: bytes, fields: dict[str, str]) -> tu
         cut = block.find(b"\r\n\r\n")
         head, payload = block[:cut].lower(), block[cut + 4:]
         _, found, rest = head.partition(b"content-length:")
-        size = int(rest.split(b"\r\n")[0]) if found else len(payload)
+        size = _length(rest.split(b"\r\n")[0].strip()) if found else None
     kind = fields.get("warc-type")
     return (
         file, offset, kind, fields.get("warc-record-id"), fields.get("warc-target-uri"), fields.get("warc-refers-to"),
@@ -164,7 +220,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     over at the end of the split goes on in later ones: both leave as parts of that record.
     """
     def rows():
-        key, at, need, owner, held, size, length, fields = None, 0, None, None, [], 0, 0, None
+        key, at, need, owner, held, size, length, entered = None, 0, None, None, [], 0, None, False
 
         def part(file, owner, at, value):
             return (file, owner, *[None] * 7, value, at)
@@ -176,20 +232,26 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if key != (file, block):
                     if held:
                         yield part(key[0], owner, owner, b"".join(held))
-                    key, at, need, owner, held, fields = (file, block), base, entry, before, [], None
+                    key, at, need, owner, held, entered = (file, block), base, entry, before, [], False
                     if block == 0:
                         at += len(chunk)
                         continue
                 if at == need:
-                    step, fields = _header(chunk)
-                    owner, need, length = at, at + step, step - len(MAGIC) - 4
+                    owner, need, length, entered = at, None, None, True
                     held, size = [chunk], len(chunk)
                 elif held:
                     held.append(MAGIC + chunk)
                     size += len(held[-1])
-                elif fields is None and owner is not None:
+                elif not entered and owner is not None:
                     yield part(file, owner, at, MAGIC + chunk)
-                if held and size >= length:
+                if held and length is None and b"\r\n\r\n" in chunk:
+                    found = _header(b"".join(held))
+                    if found:
+                        step, fields = found
+                        need, length = owner + step, step - len(MAGIC) - 4
+                    else:  # the chain ends before this
+                        held = []
+                if held and length is not None and size >= length:
                     yield (*_record(file, owner, b"".join(held)[:length], fields), None, None)
                     held = []
                 at += len(MAGIC) + len(chunk)
@@ -204,7 +266,11 @@ def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, offset, parts in zip(*(batch[c].to_pylist() for c in ("file", "offset", "parts")), strict=True):
                 whole = b"".join(p["part"] for p in parts)
-                step, fields = _header(whole)
+                # Without its start the record is whole in its split, and what follows it no record.
+                found = _header(whole) if parts[0]["part_at"] == offset else None
+                if not found:
+                    continue
+                step, fields = found
                 yield _record(file, offset, whole[: step - len(MAGIC) - 4], fields)
 
     return batched(rows(), pa.schema(list(_ARROW_RECORD)[:9]))
@@ -233,25 +299,40 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     for each candidate where its chain of successors leaves the split; pointer jumping
     over these links keeps what can be reached from the start of a file. The second read
     follows each split's chain from the entry so found and puts payloads together again
-    across inner magics. What one task holds is a record, or the offsets of one split.
+    across inner magics. A header may hold the magic too, and go on in the next splits. What one task holds is a record, or the offsets of one split.
     The broadcast has a row of about 100 bytes for each file split.
     """
     chunks = _chunks(spark, path)
-    scanned = staged(chunks.mapInArrow(_scan, "file string, block long, total long, pre long, offset long, last long, exit long"), "candidates")
+    scanned = staged(chunks.mapInArrow(
+        _scan, "file string, block long, total long, pre long, stop long, declared long, offset long, last long, exit long"
+    ), "candidates")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # Splits up to the next one with a blank line share the end of a header that is open before them, and the last length counts.
+    onward = Window.partitionBy("file", "ended").orderBy("block").rowsBetween(0, Window.unboundedFollowing)
+    following = Window.partitionBy("file").orderBy("block")
     splits = staged(
-        scanned.filter("offset is null").select("file", "block", "total", "pre")
-        .withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0))), "splits"
+        scanned.filter("offset is null").select("file", "block", "total", "pre", "stop", "declared")
+        .withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0))).withColumn("ended", F.count("stop").over(before))
+        .withColumns({"end": F.max(F.col("base") + F.col("stop")).over(onward), "last_declared": F.last("declared", ignorenulls=True).over(onward)})
+        .withColumns({"next_end": F.lead("end").over(following), "next_declared": F.lead("last_declared").over(following)})
+        .select("file", "block", "total", "pre", "base", "next_end", "next_declared"), "splits"
     )
+    late = F.when(F.coalesce("next_declared", "declared") >= 0, F.col("next_end") + F.coalesce("next_declared", "declared") + 4)
     chains = staged(
-        scanned.filter("offset is not null").join(splits.select("file", "block", "base"), ["file", "block"])
-        .select("file", "block", *[(F.col("base") + F.col(c)).alias(n) for c, n in (("offset", "at"), ("last", "last"), ("exit", "to"))]), "links"
+        scanned.filter("offset is not null").join(splits.select("file", "block", "base", "next_end", "next_declared"), ["file", "block"])
+        .select(
+            "file", "block", *[(F.col("base") + F.col(c)).alias(n) for c, n in (("offset", "at"), ("last", "last"))],
+            F.coalesce(F.col("base") + F.col("exit"), late).alias("to"),
+        ).filter("to is not null"), "links"
     )
     links = chains.select("file", "at", "to")
     # A file starts with a record, or nothing in it can be reached.
     starts = splits.filter("block = 0 and pre = 0").select("file", F.lit(0).cast("long").alias("at")).join(links.select("file", "at").hint("merge"), ["file", "at"], "left_semi")
     reached = _reachable(links, starts)
-    entries = chains.hint("merge").join(reached, ["file", "at"], "left_semi").select("file", "block", F.col("at").alias("entry"), "last")
+    # A header that isn't over at the end of a split is reached beside the entry whose chain leads to it.
+    entries = chains.hint("merge").join(reached, ["file", "at"], "left_semi").groupBy("file", "block").agg(
+        F.min("at").alias("entry"), F.max("last").alias("last")
+    )
     known = (
         splits.join(entries, ["file", "block"], "left")
         .withColumn("owner", F.last("last", ignorenulls=True).over(before)).select("file", "block", "base", "entry", "owner")

@@ -71,3 +71,39 @@ def test_a_file_that_starts_with_something_else_gives_nothing(spark, tmp_path):
     (tmp_path / "x" / "a.warc").write_bytes(b"junk" + record.encode())
     (tmp_path / "x" / "b.warc").write_bytes(record.encode() * 2)
     assert [bytes(r.payload) for r in read_warc(spark, f"{tmp_path}/x").collect()] == [b"ab", b"ab"]
+
+
+def record(i, url, body, length=None):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {length or len(body)}\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Target-URI: {url}\r\n"
+    return head.encode() + b"\r\n" + body + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("split", [150, 700, 1 << 27])
+def test_magic_in_addresses_and_false_candidates_with_odd_lengths(spark, tmp_path, split):
+    odd = ["\u00b2", "\u0663", "9" * 19, "9" * 400, "-5", "+5", "1_0", ""]
+    false = [f"WARC/1.1\r\nContent-Length: {x}\r\n\r\n" for x in odd] + ["WARC/1.1\r\nContent-Length: 5WARC/1.\r\n\r\n", "WARC/1."]
+    urls = ["http://a/WARC/1.0/spec", "WARC/1.", "http://a/WARC/1.WARC/1.1" + "/x" * 90 + "WARC/1.", "http://b"]
+    pages = [(i, urls[i % 4], false[i % 10] + "x" * (i % 7) + false[i * 3 % 10]) for i in range(12)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    write_warc(df, "page_id", "html", f"{tmp_path}/w", "url")
+    # Here the length stands before the address, and what follows the last record is none.
+    (tmp_path / "v").mkdir()
+    bodies = [h.encode() for _, _, h in pages]
+    (tmp_path / "v" / "a.warc").write_bytes(b"".join(record(i, u, b) for (i, u, _), b in zip(pages, bodies, strict=True)) + b"WARC/1.1\r\nX: y\r\n\r\n" + b"WARC/1.z" * 99)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = read_warc(spark, f"{tmp_path}/w").collect()
+        plain = read_warc(spark, f"{tmp_path}/v").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    first = {}
+    for i, _, h in pages:
+        first.setdefault(h, i)
+    assert sorted((r.record_id, r.target_uri, r.payload and bytes(r.payload)) for r in got if first[pages[int(r.record_id[10:-1])][2]] == int(r.record_id[10:-1])) == sorted(
+        (f"<urn:page:{i}>", u, h.encode()) for i, u, h in pages if first[h] == i
+    )
+    assert sorted((r.record_id, r.target_uri) for r in got) == sorted((f"<urn:page:{i}>", u) for i, u, _ in pages)
+    assert sorted((r.record_id, r.target_uri, bytes(r.payload)) for r in plain) == sorted((f"<urn:page:{i}>", u, b) for (i, u, _), b in zip(pages, bodies, strict=True))
