@@ -204,8 +204,8 @@ def repeated_ranges(
     found = single.filter("start is not null").join(again, ["h1", "h2"])
     if other_document:
         found = found.filter("doc > lo")
-    # Neighbouring windows become one range.
-    mark = F.col("start") - F.row_number().over(Window.partitionBy("doc").orderBy("start"))
+    # Neighbouring windows become one range. Rows that repeat an id give a start more than once, which has one rank.
+    mark = F.col("start") - F.dense_rank().over(Window.partitionBy("doc").orderBy("start"))
     ranges = found.select("doc", "start").withColumn("g", mark).groupBy("doc", "g").agg(
         F.min("start").alias("from"), (F.max("start") + window).alias("to")
     ).drop("g")

@@ -151,3 +151,14 @@ def test_classes_of_windows(length):
     for i, c in enumerate(classes.tolist()):
         got.setdefault(c, set()).add(i)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_repeated_rows_with_a_hot_minimiser(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 0)
+    monkeypatch.setattr(repeats, "COPIES", 10**6)
+    words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    # Runs of 100 windows that begin 250 words apart.
+    rows = [(1, f"{words('a', 119)} {words('b', 119)}")] + [(2, f"{words('a', 119)} {words('x', 131)} {words('b', 119)}")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.kept_text) for r in drop_repeated_words(df, "doc_id", "text", window=20).collect()]
+    assert sorted(got) == [(1, rows[0][1])] + [(2, words("x", 131))] * 3
