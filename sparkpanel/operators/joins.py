@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from sparkpanel.operators.segments import MOST, scan
 from sparkpanel.operators.skew import ordinal
 
 
@@ -98,42 +97,19 @@ def unmatched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 
 
 def asof_join(
-    left: DataFrame, right: DataFrame, on: str, by: list[str], cols: list[str],
-    direction: str = "backward", bucket: str | None = None,
+    left: DataFrame, right: DataFrame, on: str, by: list[str], cols: list[str], direction: str = "backward", most: int = MOST,
 ) -> DataFrame:
     """Each left row takes the right row of its group nearest before (or after) it.
 
-    Only the distinct (group, time) keys of the left are matched. They are cut into
-    calendar buckets; the snapshot carried into a bucket comes from the per-bucket
-    last snapshots, so no window spans the whole history of a group. The matched
-    keys then join back to the left rows. ``right`` is unique per (by, on). Buckets
-    are years for dates and days for timestamps unless given.
+    Only the distinct (group, time) keys of the left are matched: they and the snapshots
+    are scanned along time, where a group of more than ``most`` rows is cut into segments.
+    The matched keys then join back to the left rows; a null time matches nothing.
+    ``right`` is unique per (by, on).
     """
-    if bucket is None:
-        bucket = "year" if isinstance(left.schema[on].dataType, T.DateType) else "day"
     forward = direction == "forward"
-    keys = left.select(*by, on).distinct()
-    snap = right.filter(F.col(on).isNotNull()).select(*by, on, F.struct(*cols).alias("_snap"))
-    both = (
-        keys.filter(F.col(on).isNotNull()).withColumn("_snap", F.lit(None).cast(snap.schema["_snap"].dataType))
-        .withColumn("_query", F.lit(1))
-        .unionByName(snap.withColumn("_query", F.lit(0)))
-        .withColumn("_bucket", F.date_trunc(bucket, F.col(on).cast("timestamp")))
-    )
-    edge = F.min_by if forward else F.max_by
-    ends = both.groupBy(*by, "_bucket").agg(
-        edge("_snap", F.when(F.col("_query") == 0, F.col(on))).alias("_end")
-    )
-    t_order = F.col("_bucket").desc() if forward else F.col("_bucket").asc()
-    earlier = Window.partitionBy(*by).orderBy(t_order).rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(*by, "_bucket", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
-    r_order = F.col(on).desc() if forward else F.col(on).asc()
-    here = Window.partitionBy(*by, "_bucket").orderBy(r_order, "_query").rowsBetween(Window.unboundedPreceding, 0)
-    matched = (
-        both.withColumn("_near", F.last("_snap", ignorenulls=True).over(here))
-        .filter("_query = 1")
-        .join(carry, [*by, "_bucket"], "left")
-        .select(*by, on, F.coalesce("_near", "_carry").alias("_hit"))
-        .select(*by, on, *[F.col(f"_hit.{c}").alias(c) for c in cols])
-    )
+    keys = left.filter(F.col(on).isNotNull()).select(*by, on).distinct()
+    snap = right.filter(F.col(on).isNotNull()).select(*by, on, F.struct(*cols).alias("_snap"), F.lit(0).alias("_query"))
+    both = keys.withColumns({"_snap": F.lit(None).cast(snap.schema["_snap"].dataType), "_query": F.lit(1)}).unionByName(snap)
+    near = scan(both, by, on, {"_hit": ("last", F.col("_snap"))}, descending=forward, ties=("_query",), most=most)
+    matched = near.filter("_query = 1").select(*by, on, *[F.col(f"_hit.{c}").alias(c) for c in cols])
     return left.join(matched, [*by, on], "left")

@@ -2,7 +2,9 @@
 
 A panel has one row per (entity, period). The partition of a window is then one
 entity's calendar, so its size is bounded by the number of periods whatever the
-volume of raw observations; raw data is aggregated to a panel first.
+volume of raw observations; raw data is aggregated to a panel first. Operators that run
+along a whole series go through ``segments.scan``, which also cuts a series that is too
+long for one task; ``most`` is its limit.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from sparkpanel.operators.aggregates import attach
+from sparkpanel.operators.segments import MOST, numbered, scan
 
 
 def panel(by: list[str], time: str) -> WindowSpec:
@@ -48,12 +51,15 @@ def lag_calendar(df: DataFrame, by: list[str], month: str, cols: list[str], n: i
     return df.withColumns({"_number": number, "_day": day}).join(earlier, [*by, "_number", "_day"], "left").drop("_number", "_day")
 
 
-def fill_group(df: DataFrame, by: list[str], order: str, col: str, name: str | None = None) -> DataFrame:
+def fill_group(df: DataFrame, by: list[str], order: str, col: str, name: str | None = None, most: int = MOST) -> DataFrame:
     """Fill from the previous row of the group, else two back, else one ahead."""
-    w = panel(by, order)
-    filled = F.coalesce(F.col(col), F.lag(col, 1).over(w), F.lag(col, 2).over(w))
-    out = df.withColumn("_filled", filled)
-    return out.withColumn(name or col, F.coalesce("_filled", F.lead("_filled", 1).over(w))).drop("_filled")
+    point = F.when(F.col(col).isNotNull(), F.struct(F.col("_pos").alias("pos"), F.col(col).alias("v")))
+    out = numbered(df, by, order, "_pos", most=most)
+    out = scan(out, by, order, {"_back": ("last", point)}, most=most)
+    out = scan(out, by, order, {"_ahead": ("last", point)}, descending=True, most=most)
+    back = F.when(F.col("_pos") - F.col("_back.pos") <= 2, F.col("_back.v"))
+    ahead = F.when(F.col("_ahead.pos") - F.col("_pos") <= 1, F.col("_ahead.v"))
+    return out.withColumn(name or col, F.coalesce(F.col(col), back, ahead)).drop("_pos", "_back", "_ahead")
 
 
 def broadcast_mean(df: DataFrame, by: list[str], cols: list[str], prefix: str) -> DataFrame:
@@ -62,10 +68,9 @@ def broadcast_mean(df: DataFrame, by: list[str], cols: list[str], prefix: str) -
     return attach(df, means, by)
 
 
-def running(df: DataFrame, by: list[str], order: str, col: str, fn: str = "sum", name: str | None = None) -> DataFrame:
-    w = panel(by, order).rowsBetween(Window.unboundedPreceding, 0)
-    agg = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[fn]
-    return df.withColumn(name or f"run_{col}", agg(col).over(w))
+def running(df: DataFrame, by: list[str], order: str, col: str, fn: str = "sum", name: str | None = None, most: int = MOST) -> DataFrame:
+    """Running sum, max, min or count of known values."""
+    return scan(df, by, order, {name or f"run_{col}": (fn, F.col(col))}, most=most)
 
 
 def _framed(agg: Column, col: str, w: WindowSpec, k: int) -> Column:
@@ -97,17 +102,17 @@ def run_length(cond: Column, pos: Column, w: WindowSpec) -> Column:
     return pos - F.coalesce(F.max(miss).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
 
 
-def longest_run(df: DataFrame, by: list[str], order: str, cond: Column, name: str = "longest") -> DataFrame:
+def longest_run(df: DataFrame, by: list[str], order: str, cond: Column, name: str = "longest", most: int = MOST) -> DataFrame:
     """Longest stretch of consecutive rows meeting ``cond`` per group, 0 when none."""
-    w = panel(by, order)
-    runs = df.withColumn("_pos", F.row_number().over(w)).withColumn("_len", run_length(cond, F.col("_pos"), w))
-    return runs.groupBy(*by).agg(F.max("_len").alias(name))
+    rows = numbered(df.withColumn("_met", F.coalesce(cond, F.lit(False))), by, order, "_pos", most=most)
+    runs = scan(rows, by, order, {"_miss": ("max", F.when(~F.col("_met"), F.col("_pos")))}, most=most)
+    return runs.groupBy(*by).agg(F.max(F.col("_pos") - F.coalesce("_miss", F.lit(0))).alias(name))
 
 
-def first_index(df: DataFrame, by: list[str], order: str, cond: Column, offset: int = 0, name: str = "first") -> DataFrame:
+def first_index(df: DataFrame, by: list[str], order: str, cond: Column, offset: int = 0, name: str = "first", most: int = MOST) -> DataFrame:
     """1-based position of the first row meeting ``cond``, plus ``offset``; null if never."""
-    numbered = df.withColumn("_pos", F.row_number().over(panel(by, order)))
-    return numbered.groupBy(*by).agg((F.min(F.when(cond, F.col("_pos"))) + offset).alias(name))
+    rows = numbered(df, by, order, "_pos", most=most)
+    return rows.groupBy(*by).agg((F.min(F.when(cond, F.col("_pos"))) + offset).alias(name))
 
 
 def state_change(df: DataFrame, by: list[str], order: str, cond: Column, name: str = "change") -> DataFrame:
@@ -120,25 +125,20 @@ def state_change(df: DataFrame, by: list[str], order: str, cond: Column, name: s
     ).withColumn(name, F.coalesce(name, F.lit(0))).drop("_now")
 
 
-def _neighbours_known(df: DataFrame, by: list[str], t: str, v: str) -> DataFrame:
+def _neighbours_known(df: DataFrame, by: list[str], t: str, v: str, most: int = MOST) -> DataFrame:
     """Adds the known point at or before and at or after each row as structs."""
-    w = panel(by, t)
     point = F.when(F.col(v).isNotNull(), F.struct(F.col(t).alias("t"), F.col(v).alias("v")))
-    marked = df.withColumn("_pt", point)
-    return marked.withColumn(
-        "_lo", F.last("_pt", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn(
-        "_hi", F.first("_pt", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    ).drop("_pt")
+    back = scan(df, by, t, {"_lo": ("last", point)}, most=most)
+    return scan(back, by, t, {"_hi": ("last", point)}, descending=True, most=most)
 
 
 def _gap_days(later: Column, earlier: Column) -> Column:
     return F.datediff(later, earlier).cast("double")
 
 
-def interp_linear(df: DataFrame, by: list[str], t: str, v: str, name: str | None = None) -> DataFrame:
+def interp_linear(df: DataFrame, by: list[str], t: str, v: str, name: str | None = None, most: int = MOST) -> DataFrame:
     """Linear fill between known dates per series, the ends carried outwards."""
-    out = _neighbours_known(df, by, t, v)
+    out = _neighbours_known(df, by, t, v, most)
     span = _gap_days(F.col("_hi.t"), F.col("_lo.t"))
     inner = F.col("_lo.v") + (F.col("_hi.v") - F.col("_lo.v")) * _gap_days(F.col(t), F.col("_lo.t")) / F.nullif(span, F.lit(0.0))
     return out.withColumn(
