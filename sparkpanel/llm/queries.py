@@ -15,6 +15,7 @@ from sparkpanel.llm.quality import fit_quality, predict_quality
 from sparkpanel.llm.staging import new_path, small_batches
 from sparkpanel.llm.substrings import drop_repeated_words
 from sparkpanel.llm.suffixes import drop_repeated_bytes
+from sparkpanel.llm.trie import ordered_turns, prefix_trie, with_shared_openings
 from sparkpanel.llm.vectors import near_vectors
 from sparkpanel.llm.warc import base32_sha1, read_warc, write_warc
 
@@ -128,3 +129,49 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(docs.filter("not held_out"), labels, "doc_id", "text", "quality")
     scored = predict_quality(docs.select("doc_id", "held_out", "text"), "text", model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = ordered_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    taken = F.crc32(F.col("conv").cast("string")) % 6
+    turns, convs = with_shared_openings(own, 100, taken, 5)
+    return prefix_trie(turns, convs).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256"
+    )
+
+
+# The checksum of a decimal number, a bit at a time: 1 to 8 shifts follow each byte.
+ORACLES["op11_conversation_trie"] = """
+WITH RECURSIVE own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (
+  SELECT c, count(*) AS n, c - c % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''),
+             lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END), 4294967295::BIGINT) % 6 AS h
+  FROM own GROUP BY c),
+convs AS (
+  SELECT s.c, s.base, s.h, least(s.h, coalesce(b.n, 0)) AS opened, least(s.h, coalesce(b.n, 0)) + greatest(s.n - s.h, 0) AS total
+  FROM sizes s LEFT JOIN sizes b ON b.c = s.base),
+turns AS (
+  SELECT s.c, p, role, text FROM convs s JOIN own o ON o.c = s.base WHERE p <= h
+  UNION ALL
+  SELECT s.c, p - h + opened, role, text FROM convs s JOIN own o ON o.c = s.c WHERE p > h),
+prefixes AS (
+  SELECT c, 0 AS d, '' AS k, 0 AS chars FROM convs
+  UNION ALL
+  SELECT p.c, d + 1, k || length(role) || ':' || length(text) || ':' || role || text, length(text)
+  FROM prefixes p JOIN turns t ON t.c = p.c AND t.p = d + 1),
+nodes AS (
+  SELECT k, d, min(p.c) AS c, count(*) AS n, min(chars) AS chars, coalesce(string_agg(p.c::VARCHAR, ',' ORDER BY p.c) FILTER (d = total), '') AS ends,
+         count(*) FILTER (d < total) = 0 AS leaf
+  FROM prefixes p JOIN convs USING (c) GROUP BY k, d),
+below AS (
+  SELECT a.k, count(*) FILTER (b.leaf) AS n_leaves, sum((b.n - 1) * b.chars) AS saved, count(*) FILTER (b.d = a.d + 1) AS n_children
+  FROM nodes b JOIN prefixes p ON p.c = b.c AND p.d <= b.d JOIN nodes a ON a.k = p.k GROUP BY a.k)
+SELECT a.c AS conv_id, a.d::BIGINT AS depth, u.c AS parent_conv_id, a.n AS n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM nodes a JOIN below w ON w.k = a.k LEFT JOIN prefixes q ON q.c = a.c AND q.d = a.d - 1 LEFT JOIN nodes u ON u.k = q.k
+"""
