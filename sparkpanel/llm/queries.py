@@ -10,6 +10,7 @@ from sparkpanel.llm.bpe import bpe_decode, bpe_encode
 from sparkpanel.llm.exact import exact_dedup
 from sparkpanel.llm.language import fit_language, predict_language
 from sparkpanel.llm.minhash import near_duplicates
+from sparkpanel.llm.negatives import hard_negatives
 from sparkpanel.llm.packing import pack
 from sparkpanel.llm.quality import fit_quality, predict_quality
 from sparkpanel.llm.staging import new_path, small_batches
@@ -175,3 +176,28 @@ below AS (
 SELECT a.c AS conv_id, a.d::BIGINT AS depth, u.c AS parent_conv_id, a.n AS n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
 FROM nodes a JOIN below w ON w.k = a.k LEFT JOIN prefixes q ON q.c = a.c AND q.d = a.d - 1 LEFT JOIN nodes u ON u.k = q.k
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchor = F.col("vec_id") % 50 == 0
+    return hard_negatives(vectors.withColumn("label", label), "vec_id", "embedding", "label", anchor, scale=256.0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor_id, a.label = b.label AS alike, b.id, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON len(a.e) = len(b.e) WHERE a.id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE alike AND id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, s.id) QUALIFY row_number() OVER w <= 3
+"""
