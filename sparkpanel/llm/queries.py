@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkpanel.llm.bpe import bpe_decode, bpe_encode
 from sparkpanel.llm.exact import exact_dedup
 from sparkpanel.llm.language import fit_language, predict_language
+from sparkpanel.llm.lm import fit_score, score_texts, word_counts
 from sparkpanel.llm.minhash import near_duplicates
 from sparkpanel.llm.negatives import hard_negatives
 from sparkpanel.llm.packing import pack
@@ -34,9 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def held_out(id_col: str = "doc_id"):
+def held_out(id_col: str = "doc_id", folds: int = 5):
     """Whether a row is kept away from all learning."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == 0, F.lit(False))
 
 
 @query
@@ -201,3 +202,12 @@ SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.id AS n
 FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, s.id) QUALIFY row_number() OVER w <= 3
 """
+
+
+@query
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out(folds=10).alias("held_out"), "text")
+    train = docs.filter("not held_out")
+    counts = word_counts(train, "text")
+    model = fit_score(train, "doc_id", "text", counts, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return score_texts(docs, "text", model, counts).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
