@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from sparkpanel.operators.segments import MOST, scan
+from sparkpanel.operators.segments import MOST, any_large, scan
 from sparkpanel.operators.skew import ordinal
 
 
@@ -59,33 +60,36 @@ def merge_checked(left: DataFrame, right: DataFrame, on: list[str], cardinality:
 
 
 def merge_mm(
-    left: DataFrame, right: DataFrame, on: list[str], order_left: list[str], order_right: list[str]
+    left: DataFrame, right: DataFrame, on: list[str], order_left: list[str], order_right: list[str], most: int = MOST,
 ) -> DataFrame:
     """Positional merge: row i of a key pairs with row i of the other side.
 
-    The shorter side of a key repeats its last row; keys of one side alone are kept.
-    On keys unique on both sides this is the full outer join. The join key is
-    (key, position), which no value repeats except the last row of a short side.
+    The shorter side of a key repeats its last row; keys of one side alone are kept. On
+    keys unique on both sides this is the full outer join. Null keys match each other.
+
+    Both sides are stacked with a tag and dealt out by the key once. There rows are numbered
+    inside key and tag, and a scan along the positions hands on the last row of either side,
+    which is also what a shorter side repeats. If a key has more than ``most`` rows, rows are
+    numbered over ranges instead, and the scan cuts such a key into ranges of positions that
+    both sides share.
     """
     l_cols = [c for c in left.columns if c not in on]
     r_cols = [c for c in right.columns if c not in on]
-    numbered_l = ordinal(left, on, order_left, "_pos")
-    numbered_r = ordinal(right, on, order_right, "_pos")
-
-    size_l = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_nl"))
-    size_r = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_nr"))
-    paired = numbered_l.join(numbered_r, [*on, "_pos"], "full")
-    sized = paired.join(size_l, on, "left").join(size_r, on, "left")
-
-    last_l = numbered_l.join(size_l, on).filter("_pos = _nl").select(*on, F.struct(*l_cols).alias("_last_l"))
-    last_r = numbered_r.join(size_r, on).filter("_pos = _nr").select(*on, F.struct(*r_cols).alias("_last_r"))
-    out = sized.join(last_l, on, "left").join(last_r, on, "left")
-    over_l, over_r = F.col("_pos") > F.col("_nl"), F.col("_pos") > F.col("_nr")
-    return out.select(
-        *on,
-        *[F.when(over_l, F.col(f"_last_l.{c}")).otherwise(F.col(c)).alias(c) for c in l_cols],
-        *[F.when(over_r, F.col(f"_last_r.{c}")).otherwise(F.col(c)).alias(c) for c in r_cols],
-    )
+
+    def tagged(df: DataFrame, tag: int, cols: list[str], order: list[str]) -> DataFrame:
+        return df.select(*on, F.lit(tag).alias("_tag"), F.struct(F.lit(1), *cols).alias(f"_{tag}"), F.struct(F.lit(1), *order).alias(f"_o{tag}"))
+
+    both = tagged(left, 0, l_cols, order_left).unionByName(tagged(right, 1, r_cols, order_right), allowMissingColumns=True)
+    if any_large(both, on, most):
+        numbered = ordinal(both, [*on, "_tag"], ["_o0", "_o1"], "_pos")
+    else:
+        inside = Window.partitionBy(*on, "_tag").orderBy("_o0", "_o1")
+        numbered = both.repartition(*on).withColumn("_pos", F.row_number().over(inside).cast("long"))
+    steps = {"_l": ("last", F.col("_0")), "_r": ("last", F.col("_1"))}
+    met = scan(numbered.select(*on, "_tag", "_pos", "_0", "_1"), on, "_pos", steps, ties=("_tag",), most=most)
+    # Of the rows at one position the right's comes last and knows both sides.
+    whole = met.groupBy(*on, "_pos").agg(F.max_by(F.struct("_l", "_r"), "_tag").alias("_m"))
+    return whole.select(*on, *[F.col(f"_m._l.{c}").alias(c) for c in l_cols], *[F.col(f"_m._r.{c}").alias(c) for c in r_cols])
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

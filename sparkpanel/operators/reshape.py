@@ -32,9 +32,20 @@ def composite_key(*cols: str, sep: str = "_") -> Column:
     return F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])
 
 
-def levels(df: DataFrame, col: str) -> list:
-    """Known values of a factor in order, as they name columns: few beside the rows."""
-    return sorted(r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).collect())
+#: Levels that may become columns.
+MOST_LEVELS = 5000
+
+
+class TooManyLevels(ValueError):
+    """A factor has more levels than a frame can have columns."""
+
+
+def levels(df: DataFrame, col: str, most: int = MOST_LEVELS) -> list:
+    """Known values of a factor in order, as they name columns; beyond ``most`` an error that names the factor."""
+    found = df.select(col).distinct().filter(F.col(col).isNotNull()).limit(most + 1).collect()
+    if len(found) > most:
+        raise TooManyLevels(f"{col} has more than {most} levels; absorb it (absorbed_ols) or give the values that are wanted")
+    return sorted(r[0] for r in found)
 
 
 def dummies(df: DataFrame, col: str, values: list | None = None, prefix: str | None = None) -> DataFrame:

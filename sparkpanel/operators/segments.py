@@ -46,6 +46,11 @@ def _may_be_large(df: DataFrame, most: int) -> bool:
     return most < MOST or estimate >= SMALL_BYTES
 
 
+def any_large(df: DataFrame, by: list[str], most: int = MOST) -> bool:
+    """Whether a group has more than ``most`` rows."""
+    return _may_be_large(df, most) and bool(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).limit(1).count())
+
+
 def segment_cuts(df: DataFrame, by: list[str], order: str, most: int = MOST) -> tuple[DataFrame, int] | None:
     """For each group of more than ``most`` rows the places that cut it into even segments.
 

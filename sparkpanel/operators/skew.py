@@ -42,25 +42,62 @@ def ordinal(df: DataFrame, by: list[str], order: list[str], name: str = "rn") ->
     ).drop("_cut", "_offset", "_tie")
 
 
+#: Accuracy of the sketch that brackets a rank, and how many of its errors the bracket allows for.
+SKETCH, MARGIN = 1000, 5
+#: Groups up to this size are taken whole.
+WHOLE = 2000
+
+
+def _brackets(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """For each group its known values and, for each probability, two values with the wanted ranks between them.
+
+    The sketch is mergeable, so a group of any size is summed up in each task; the ranks of
+    its answers are off by a thousandth of the group at most.
+    """
+    edges = [min(1.0, max(0.0, p + side * MARGIN / SKETCH)) for p in probs for side in (-1, 1)]
+    sketched = rows.groupBy(*keys).agg(F.count("_v").alias("_n"), F.percentile_approx("_v", edges, SKETCH).alias("_e"))
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    spots = [
+        F.struct(
+            F.lit(i).alias("q"), ((F.col("_n") - 1) * F.lit(float(p)) + 1).alias("h"),
+            F.when((F.col("_n") > WHOLE) & F.lit(edges[2 * i] > 0), F.col("_e")[2 * i]).otherwise(low).alias("low"),
+            F.when((F.col("_n") > WHOLE) & F.lit(edges[2 * i + 1] < 1), F.col("_e")[2 * i + 1]).otherwise(high).alias("high"),
+        ) for i, p in enumerate(probs)
+    ]
+    return sketched.select(*keys, "_n", F.array(*spots).alias("_spots"))
+
+
 def group_quantiles(df: DataFrame, by: list[str], col: str, probs: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles per group, nulls skipped; one column per named probability.
+    """Exact interpolated quantiles per group, nulls and NaN skipped; one column per named probability.
 
-    The two order statistics around each quantile are picked by their row number.
-    Groups without a known value get nulls.
+    A sketch of each group brackets the wanted ranks. A second pass counts what lies below a
+    bracket and each distinct value inside it, in each task first, so only the few values
+    inside the brackets are shuffled and sorted. Groups without a known value get nulls;
+    null keys form a group, and keys may have any name.
     """
-    known = df.select(*by, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = ordinal(known, by, ["_v"], "_rn")
-    sizes = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in probs.items()])
-    # Where in the group each quantile lies; one row per group and probability.
-    spots = sizes.select(*by, "_n", F.explode(wanted).alias("_q")).withColumn("_h", (F.col("_n") - 1) * F.col("_q.p") + 1)
-    ends = spots.select(*by, F.col("_q.name").alias("_name"), "_h", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))).alias("_rn"))
-    picked = match_keys(ends, ranked, [*by, "_rn"], "inner").groupBy(*by, "_name").agg(
-        F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.max("_h").alias("_h")
+    from sparkpanel.operators.segments import scan
+
+    keys = [f"_k{i}" for i in range(len(by))]
+    value = F.nanvl(F.col(col).cast("double"), F.lit(None))
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(by, keys, strict=True)], value.alias("_v"))
+    brackets = cut_lineage(_brackets(rows, keys, list(probs.values())))
+    met = match_keys(rows.filter("_v is not null"), brackets.select(*keys, "_spots"), keys, "inner")
+    # A row above a bracket has no part in it, one below has its count alone.
+    spots = met.select(*keys, "_v", F.explode(F.filter("_spots", lambda s: s["high"] >= F.col("_v"))).alias("_s"))
+    counted = spots.groupBy(*keys, F.col("_s.q").alias("_q"), F.when(F.col("_v") >= F.col("_s.low"), F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), F.first("_s.h").alias("_h")
     )
-    values = picked.withColumn("_v", F.col("_a") + (F.col("_h") - F.floor("_h")) * (F.col("_b") - F.col("_a")))
-    wide = values.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(n) for n in probs])
-    return match_keys(df.select(*by).distinct(), wide, by)
+    ranked = scan(counted, [*keys, "_q"], "_v", {"_upto": ("sum", F.col("_c"))})
+    at = lambda h: F.min(F.when(F.col("_upto") >= h, F.struct(F.col("_upto").alias("u"), F.col("_v").alias("v"))))
+    picked = ranked.groupBy(*keys, "_q").agg(at(F.floor("_h")).alias("_a"), at(F.ceil("_h")).alias("_b"), F.max("_h").alias("_h"))
+    a, b = F.col("_a.v"), F.col("_b.v")
+    missed = a.isNull() | b.isNull()
+    between = a + (F.col("_h") - F.floor("_h")) * (b - a)
+    exact = F.when(missed, F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("double")).otherwise(F.when(a == b, a).otherwise(between))
+    values = picked.select(*keys, "_q", exact.alias("_v"))
+    wide = values.groupBy(*keys).agg(*[F.max(F.when(F.col("_q") == i, F.col("_v"))).alias(f"_p{i}") for i in range(len(probs))])
+    out = match_keys(brackets.select(*keys), wide, keys)
+    return out.select(*[F.col(n).alias(k) for k, n in zip(by, keys, strict=True)], *[F.col(f"_p{i}").alias(n) for i, n in enumerate(probs)])
 
 
 def group_median(df: DataFrame, by: list[str], col: str, name: str = "median") -> DataFrame:

@@ -192,7 +192,7 @@ def kde(df: DataFrame, col: str, by: list[str], n: int = 512, cut: float = 3.0,
     """Gaussian kernel density on n points per group: by, i, x, density[, scaled].
 
     The bandwidth is the normal reference rule, from the smaller of the deviation and
-    the scaled quartile range. Values are first spread over the grid by linear weights,
+    the scaled quartile range, or the size of the value where all are alike. Values are first spread over the grid by linear weights,
     with partial aggregation, so the kernel sum runs over at most n weights per group
     whatever the number of rows.
     """
@@ -202,9 +202,11 @@ def kde(df: DataFrame, col: str, by: list[str], n: int = 512, cut: float = 3.0,
     )
     stats = match_keys(stats, group_quantiles(df, by, col, {"_q1": 0.25, "_q3": 0.75}), by)
     iqr = (F.col("_q3") - F.col("_q1")) / 1.34
-    sigma = F.when(iqr > 0, F.least("_sd", iqr)).otherwise(F.col("_sd"))
+    # Without spread the size of the value serves, and 1 for zeros.
+    zero = F.lit(0.0)
+    sigma = F.coalesce(F.nullif(F.when(iqr > 0, F.least("_sd", iqr)), zero), F.nullif("_sd", zero), F.nullif(F.abs("_lo").cast("double"), zero), F.lit(1.0))
     width = 0.9 * sigma * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    frame = stats.withColumn("_bw", width).filter("_bw > 0").withColumns({
+    frame = stats.withColumn("_bw", width).withColumns({
         "_from": F.col("_lo") - cut * F.col("_bw"),
         "_step": (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_bw")) / (n - 1),
     }).select(*by, "_bw", "_from", "_step", "_n")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkpanel.operators.aggregates import attach
+from sparkpanel.operators.graph import connected_parts
 from sparkpanel.operators.reshape import levels
 from sparkpanel.operators.skew import group_quantiles, ordinal
 from sparkpanel.plans.evaluate import score_measures
@@ -320,6 +321,97 @@ def within_ols(df: DataFrame, y: str, xs: Sequence[str], factor: str, name: str
     )
 
 
+def _level_effects(cells: DataFrame, factors: Sequence[str], cols: Sequence[str], tol: float, most: int) -> list[DataFrame]:
+    """For each factor the level effects that, taken off together, leave every column with mean 0 in every level.
+
+    A sweep gives one factor after the other the means of what the others leave, from the
+    cells alone; it ends where no effect moved by more than ``tol`` deviations of its column.
+    """
+    spread = cells.agg(F.sum("_n").alias("n"), *[a for c in cols for a in (F.sum(f"_s_{c}").alias(f"s_{c}"), F.sum(f"_q_{c}").alias(f"q_{c}"))]).first()
+    scale = {c: math.sqrt(max(spread[f"q_{c}"] / spread["n"] - (spread[f"s_{c}"] / spread["n"]) ** 2, 0.0)) or 1.0 for c in cols}
+    effects: list[DataFrame | None] = [None] * len(factors)
+    for _ in range(most):
+        moved = 0.0
+        for k, f in enumerate(factors):
+            left = cells
+            for j, g in enumerate(factors):
+                if j != k and effects[j] is not None:
+                    left = left.join(effects[j].withColumnsRenamed({f"_e_{c}": f"_o{j}_{c}" for c in cols}), g)
+            others = [j for j in range(len(factors)) if j != k and effects[j] is not None]
+            rest = {c: F.col(f"_s_{c}") - F.col("_n") * sum((F.col(f"_o{j}_{c}") for j in others), F.lit(0.0)) for c in cols}
+            new = cut_lineage(left.groupBy(f).agg(*[(F.sum(rest[c]) / F.sum("_n")).alias(f"_e_{c}") for c in cols]))
+            if effects[k] is None:
+                moved = math.inf
+            else:
+                old = effects[k].withColumnsRenamed({f"_e_{c}": f"_was_{c}" for c in cols})
+                step = new.join(old, f).agg(*[F.max(F.abs(F.col(f"_e_{c}") - F.col(f"_was_{c}"))).alias(c) for c in cols]).first()
+                moved = max(moved, *[(step[c] or 0.0) / scale[c] for c in cols])
+            effects[k] = new
+        if moved < tol:
+            return effects
+    raise ArithmeticError(f"the effects of {list(factors)} still moved by {moved:.1e} deviations after {most} sweeps")
+
+
+def _absorbed_rank(cells: DataFrame, factors: Sequence[str]) -> int:
+    """Parameters that the levels of the factors take, the intercept among them.
+
+    Two factors lose one level for each connected part of the graph that links the levels
+    which occur together. A further factor loses the parts that it forms with the first,
+    which is exact unless its levels also follow from several others together.
+    """
+    counts = cells.agg(*[F.count_distinct(f).alias(f"_l{i}") for i, f in enumerate(factors)]).first()
+    rank = counts["_l0"]
+    for i, f in enumerate(factors[1:], 1):
+        named = lambda j, c: F.concat(F.lit(f"{j}:"), F.col(c).cast("string"))
+        links = cells.select(named(0, factors[0]).alias("a"), named(i, f).alias("b")).distinct()
+        rank += counts[f"_l{i}"] - connected_parts(links, "a", "b").agg(F.count_distinct("part")).first()[0]
+    return rank
+
+
+def absorbed_ols(
+    df: DataFrame, y: str, xs: Sequence[str], factors: Sequence[str], name: str = "absorbed", tol: float = 1e-9, sweeps: int = 500,
+) -> OlsFit:
+    """Slopes beside several factors of any number of levels, without a column for a level.
+
+    Rows are summed up once into the cells of the factors. Alternating sweeps over the cells
+    find the effects of all levels, which are then taken off the rows; the slopes come from
+    what is left. Errors, t and p count the rank of the levels, from the connected parts of
+    the graph of levels. Equal to least squares with a dummy for each level. ``r2`` is that
+    of the rest, ``overall_r2`` that of the fit with the levels. Rows with a null or NaN in
+    the outcome, a regressor or a factor are left out.
+    """
+    if len(factors) == 1:
+        return within_ols(df, y, xs, factors[0], name)
+    cols = [y, *xs]
+    clean = df.select(*factors, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols]).dropna()
+    # Far from zero, sums of squares lose what a deviation is measured by.
+    centre = clean.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    if centre[y] is None:
+        return within_ols(df, y, xs, factors[0], name)
+    rows = cut_lineage(clean.withColumns({c: F.col(c) - F.lit(centre[c]) for c in cols}))
+    cells = cut_lineage(rows.groupBy(*factors).agg(
+        F.count(F.lit(1)).alias("_n"), *[a for c in cols for a in (F.sum(c).alias(f"_s_{c}"), F.sum(F.col(c) * F.col(c)).alias(f"_q_{c}"))]
+    ))
+    left = rows
+    for j, (f, effect) in enumerate(zip(factors, _level_effects(cells, factors, cols, tol, sweeps), strict=True)):
+        left = left.join(effect.withColumnsRenamed({f"_e_{c}": f"_o{j}_{c}" for c in cols}), f)
+    inner = left.select(*[(F.col(c) - sum(F.col(f"_o{j}_{c}") for j in range(len(factors)))).alias(c) for c in cols])
+    # What sweeps leave of a regressor that the factors determine is rounding, not variation.
+    sums = inner.agg(*[F.sum(F.col(c) * F.col(c)).alias(c) for c in cols]).first()
+    whole = cells.agg(*[F.sum(f"_q_{c}").alias(c) for c in cols]).first()
+    alive = [x for x in xs if sums[x] > 1e-12 * max(whole[x], 1e-300)]
+    fit = ols_fit(inner, y, alive, name)
+    rank = _absorbed_rank(cells, factors)
+    coef = {t: b for t, b in fit.coef.items() if t != "intercept"}
+    dof = fit.n - rank - len(coef)
+    scale = math.sqrt((fit.n - len(coef) - 1) / dof) if dof > 0 else float("nan")
+    overall = 1 - fit.sse / whole[y] if whole[y] else float("nan")
+    return replace(
+        fit, spec=ModelSpec(name, y, tuple(xs)), coef=coef, se={t: fit.se[t] * scale for t in coef}, absorbed=rank, overall_r2=overall,
+        adj_r2=1 - (1 - overall) * (fit.n - 1) / dof if dof > 0 else float("nan"), dropped=[x for x in xs if x not in coef],
+    )
+
+
 def group_r2(df: DataFrame, ys: Sequence[str], factors: dict[str, list[str]]) -> DataFrame:
     """R2 of each measure on the means of each factor, as 1 - within / total.
 

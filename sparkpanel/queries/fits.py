@@ -130,6 +130,27 @@ def fe_within(spark, sf):
         F.round("r2", 6).alias("within_r2"), F.round(F.lit(fit.overall_r2), 6).alias("overall_r2"))
 
 
+# Suppliers are swept out by their means, line numbers (1 to 7) and regressors by a matrix that is pivoted in place.
+_TERMS = ("l_quantity", "l_discount", *(f"(l_linenumber = {i})::INT::DOUBLE" for i in range(2, 8)), "l_extendedprice")
+_P = len(_TERMS) - 1
+
+
+@query("fe_two_way", f"""WITH RECURSIVE w AS (SELECT [{', '.join(f'({t}) - avg({t}) OVER p' for t in _TERMS)}] AS z, l_suppkey, l_extendedprice AS y FROM lineitem WINDOW p AS (PARTITION BY l_suppkey)),
+  cells AS (SELECT i, j, sum(z[i] * z[j]) AS v FROM w, range(1, {_P + 2}) a(i), range(1, {_P + 2}) b(j) GROUP BY i, j),
+  lines AS (SELECT i, list(v ORDER BY j) AS r FROM cells GROUP BY i),
+  pivoted AS (SELECT 0 AS k, list(r ORDER BY i) AS m FROM lines
+    UNION ALL SELECT k + 1, list_transform(range(1, {_P + 2}), lambda i: list_transform(range(1, {_P + 2}), lambda j:
+      CASE WHEN i = k + 1 AND j = k + 1 THEN 1 / m[i][j] WHEN i = k + 1 THEN m[i][j] / m[i][i] WHEN j = k + 1 THEN -m[i][j] / m[j][j]
+           ELSE m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1] END)) FROM pivoted WHERE k < {_P}),
+  f AS (SELECT m, count(*) AS n, m[{_P + 1}][{_P + 1}] / (count(*) - count(DISTINCT l_suppkey) - {_P}) AS s2, var_pop(y) * count(*) AS sst FROM pivoted, w WHERE k = {_P} GROUP BY m)
+  SELECT t AS term, round(m[i][{_P + 1}], 4) AS estimate, round(sqrt(m[i][i] * s2), 4) AS se, CAST(n AS INTEGER) AS n, round(1 - m[{_P + 1}][{_P + 1}] / sst, 6) AS overall_r2
+  FROM f, (VALUES (1, 'l_quantity'), (2, 'l_discount')) v(i, t)""")
+def fe_two_way(spark, sf):
+    fit = md.absorbed_ols(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity", "l_discount"], ["l_suppkey", "l_linenumber"])
+    return md.coef_table(spark, [fit]).select(
+        "term", F.round("estimate", 4).alias("estimate"), F.round("se", 4).alias("se"), "n", F.round(F.lit(fit.overall_r2), 6).alias("overall_r2"))
+
+
 _FACTORS = {"Month": ["FS_month"], "IPC": ["zone"], "TA": ["TA_names"], "Cluster": ["ea_id"], "Month x TA": ["FS_month", "TA_names"]}
 
 

@@ -35,9 +35,8 @@ def test_a_hot_group_is_cut_and_spread(series):
 
 
 @pytest.mark.parametrize("down", [False, True])
-@pytest.mark.parametrize("fn", ["sum", "count", "min", "max", "last"])
-def test_scan_equals_the_plain_window(series, fn, down):
-    steps = {"r": (fn, F.col("v"))}
+def test_scan_equals_the_plain_window(series, down):
+    steps = {fn: (fn, F.col("v")) for fn in ("sum", "count", "min", "max", "last")}
     assert same(segments.scan(series, ["e"], "t", steps, down, most=150), segments.scan(series, ["e"], "t", steps, down))
 
 
@@ -74,3 +73,37 @@ def test_numbers_ties_nulls_and_empty(spark):
     assert segments.numbered(df.limit(0), ["k"], "t", "n", most=4).count() == 0
     with pytest.raises(TypeError):
         segments.numbered(df, ["k"], "s", "n", most=4).count()
+
+
+def test_positional_merge_of_a_hot_key(spark):
+    rng = random.Random(8)
+    left = [("hot", i) for i in range(500)] + [("a", 1), ("b", 2), (None, 3)]
+    right = [("hot", 1000 + i) for i in range(340)] + [("a", 5), ("a", 6), ("d", 7), (None, 8)]
+    rng.shuffle(left)
+    l, r = spark.createDataFrame(left, "k string, x int").repartition(4), spark.createDataFrame(right, "k string, y int").repartition(3)
+    want = [("hot", i, 1000 + min(i, 339)) for i in range(500)] + [("a", 1, 5), ("a", 1, 6), ("b", 2, None), ("d", None, 7), (None, 3, 8)]
+    for most in (60, segments.MOST):
+        got = [tuple(t) for t in joins.merge_mm(l, r, ["k"], ["x"], ["y"], most).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_quantiles_of_ties_hot_groups_nan_and_odd_key_names(spark):
+    import numpy as np
+
+    from sparkpanel.operators.skew import group_quantiles
+
+    rng = random.Random(9)
+    hot = [rng.choice([0.0, 0.0, rng.gauss(0, 1), float(rng.randrange(5))]) for _ in range(30_000)]
+    rows = [("hot", v) for v in hot] + [("few", 1.0), ("few", float("nan")), ("few", 3.0), ("none", None), ("none", float("nan"))]
+    df = spark.createDataFrame(rows, "_n string, _v double").repartition(5)
+    got = {r["_n"]: r for r in group_quantiles(df, ["_n"], "_v", {"low": 0.0, "q": 0.25, "m": 0.5, "t": 0.999, "high": 1.0}).collect()}
+    assert set(got) == {"hot", "few", "none"} and got["few"]["m"] == 2.0 and got["none"]["m"] is None
+    assert [got["hot"][c] for c in ("low", "q", "m", "t", "high")] == pytest.approx(np.quantile(hot, [0, 0.25, 0.5, 0.999, 1]).tolist())
+
+
+def test_density_of_groups_without_spread(spark):
+    from sparkpanel.plans.evaluate import kde
+
+    df = spark.createDataFrame([("one", 4.0), ("zero", 0.0), ("zero", 0.0), ("same", -2.0), ("same", -2.0), ("wide", 1.0), ("wide", 2.0)], "g string, v double")
+    out = kde(df, "v", ["g"], 64).groupBy("g").agg(F.max("density").alias("d"), F.max("scaled").alias("s"), F.count(F.lit(1)).alias("n")).collect()
+    assert {r["g"] for r in out} == {"one", "zero", "same", "wide"} and all(r["n"] == 64 and r["s"] == 1 and r["d"] > 0 for r in out)
