@@ -13,7 +13,7 @@ from sparkpanel.llm import bloom
 from sparkpanel.llm.arrow import released, small
 from sparkpanel.llm.components import components
 from sparkpanel.llm.staging import staged
-from sparkpanel.llm.units import Words, grams, mix, sums
+from sparkpanel.llm.units import Words, mix, run_hashes
 
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
@@ -30,13 +30,12 @@ def shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     A-Z are lower-cased. A text of fewer words is one shingle, one without words has none.
     """
     units = Words([t.translate(_LOWER) for t in texts])
-    prefix = sums(units.h)
     size = np.diff(units.first)
     count = np.where(size >= words, size - words + 1, (size > 0).astype(np.int64))
     text = np.repeat(np.arange(len(texts)), count)
     start = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count) + units.first[text]
     stop = np.minimum(start + words, units.first[text + 1])
-    h = grams(prefix, start, stop)
+    h = run_hashes(units.h, start, stop)
     h[size[text] < words] += np.uint64(1)  # a short text equals no shingle of a longer one
     order = np.lexsort((h, text))
     h, text = h[order], text[order]
@@ -131,7 +130,7 @@ def _verify_task(words: int, percent: int):
 
 
 def _sets_task(words: int):
-    """The shingles of each text as sorted 32-bit numbers. Two that fall together make sets look more alike, never less."""
+    """The shingles of each text as sorted numbers."""
     schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,8 +138,7 @@ def _sets_task(words: int):
             for batch in small(large, "text", 1 << 20):
                 h, text = shingles([t or b"" for t in batch["text"].cast(pa.binary()).to_pylist()], words)
                 edge = np.searchsorted(text, np.arange(batch.num_rows + 1))
-                short = (h >> np.uint64(32)).astype(np.uint32)
-                sets = [short[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+                sets = [h[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.binary())], schema=schema)
 
     return run
@@ -155,7 +153,7 @@ def _block_task(percent: int):
     def run(table: pa.Table) -> pa.Table:
         rep, component, n, block = (table[c].to_numpy() for c in ("rep", "component", "n", "block"))
         left, right = np.flatnonzero(block == table["low"][0].as_py()), np.flatnonzero(block == table["high"][0].as_py())
-        sets = [np.frombuffer(s, np.uint32) for s in table["shingles"].to_pylist()]
+        sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
         found = []
         if len(left) and len(right):
             every = np.concatenate([sets[i] for i in right])

@@ -15,87 +15,167 @@ from pyspark.sql import functions as F
 
 from sparkpanel.llm.arrow import batched, released, small
 from sparkpanel.llm.staging import staged
-from sparkpanel.llm.units import DIGIT, SPACE, characters, class_of, grams, mix, sums
+from sparkpanel.llm.units import DIGIT, SPACE, characters, class_of, lowered, mix, run_hashes
 
 #: Parts of text whose ids a worker remembers. The first to be seen are mostly the frequent ones.
-REMEMBERED = 250_000
+REMEMBERED = 800_000
 PARTITIONS_MERGED = 64
 _SEQUENCES = 1 << 33
 _MERGED = 1 << 62
 PIECE_SCHEMA = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, task long, closed boolean"
 
 
+class PartTable:
+    """Numbers of parts by their hash, in slots; a hash that finds no slot within eight steps isn't remembered."""
+
+    BITS, STEPS = 21, 8
+
+    def __init__(self):
+        self.key = np.zeros(1 << self.BITS, np.uint64)
+        self.number = np.full(1 << self.BITS, -1, np.int64)
+
+    def _slots(self, h: np.ndarray, step: int) -> np.ndarray:
+        return ((h >> np.uint64(64 - self.BITS)).astype(np.int64) + step) & ((1 << self.BITS) - 1)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where it's unknown."""
+        out = np.full(len(h), -1, np.int64)
+        open_ = np.arange(len(h))
+        for step in range(self.STEPS):
+            slot = self._slots(h[open_], step)
+            number = self.number[slot]
+            hit = (self.key[slot] == h[open_]) & (number >= 0)
+            out[open_[hit]] = number[hit]
+            open_ = open_[~hit & (number >= 0)]
+            if not len(open_):
+                break
+        return out
+
+    def add(self, h: np.ndarray, number: np.ndarray) -> None:
+        """Remember distinct hashes that are not known yet."""
+        for step in range(self.STEPS):
+            slot = self._slots(h, step)
+            free = np.flatnonzero(self.number[slot] < 0)
+            at, first = np.unique(slot[free], return_index=True)
+            chosen = free[first]
+            self.key[at], self.number[at] = h[chosen], number[chosen]
+            left = np.ones(len(h), bool)
+            left[chosen] = False
+            h, number = h[left], number[left]
+            if not len(h):
+                return
+
+
+class Growing:
+    """An array that is added to at the end, and cut."""
+
+    def __init__(self, kind):
+        self.held, self.n = np.zeros(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            self.held = np.concatenate([self.held[: self.n], np.zeros(self.n + len(more), self.held.dtype)])
+        self.held[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+
 class WordIds:
     """Ids of a text by a tokenizer that drops white space, as little-endian unsigned 32-bit numbers.
 
     Such a tokenizer gives each run of letters, each digit and each run of symbols ids of
-    its own that end with a word's end. The parts of a slice of texts are told apart by
-    hash, and each distinct one is looked up; new ones go to the tokenizer, many at once.
-    The first ``REMEMBERED`` stay known in the worker. Texts in which the parts or their
-    lower case depend on more than the character go to the tokenizer whole.
+    its own that end with a word's end. The parts of a slice of texts are looked up by hash
+    and compared with the part that was learnt; only unknown ones are cut out and go to the
+    tokenizer, many at once. The first ``REMEMBERED`` stay known in the worker. Texts in
+    which the parts or their lower case depend on more than the character, or which hold
+    the string of an added token, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [str(t.content).lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.table = PartTable()
+        # Of each part learnt where its ids and its characters begin, and how many they are.
+        self.begin, self.size, self.code_begin, self.code_size = (Growing(np.int64) for _ in range(4))
+        self.ids, self.codes = Growing("<u4"), Growing(np.uint32)
 
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        found = {}
+    def _learn(self, parts: list[str]) -> None:
         groups = [parts[i : i + 200] for i in range(0, len(parts), 200)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            raw = ids.tobytes()
-            for part, a, b in zip(group, [0, *ends[:-1]], ends, strict=True):
-                found[part] = raw[a:b]
-        return found
-
-    def _slice(self, texts: list[str]) -> list[bytes]:
+        ids = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)]
+        flat = np.concatenate(ids)
+        ends = np.flatnonzero(self.ends[flat]) + 1
+        sizes = np.diff(ends, prepend=0)
+        self.begin.add(self.ids.n + ends - sizes)
+        self.size.add(sizes)
+        self.ids.add(flat)
+
+    def _slice(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of each text; None where a hash stood for another part as well."""
         joined = "\n".join([*texts, ""])
         code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         classes, hashes = characters()
         bounded = np.minimum(code, 65535)
-        kind, h = classes[bounded], hashes[bounded]
+        kind, h, low = classes[bounded], hashes[bounded], lowered()[bounded]
         for i in np.flatnonzero(code > 65535):
-            kind[i], h[i] = class_of(joined[i]), mix(np.array([code[i]], np.uint64))[0]
-        starts = np.flatnonzero((kind != SPACE) & np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)))
-        stops = np.flatnonzero((kind != SPACE) & np.append((kind[1:] != kind[:-1]) | (kind[:-1] == DIGIT), True)) + 1
-        _, first, which = np.unique(grams(sums(h), starts, stops), return_index=True, return_inverse=True)
-        parts = [joined[a:b].lower() for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
-        unknown = [p for p in parts if p not in self.known]
-        found = self._learn(unknown) if unknown else {}
-        if len(self.known) + len(found) <= REMEMBERED:
-            self.known.update(found)
-            found = {}
-        ids = [found[p] if p in found else self.known[p] for p in parts]
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
-        begin = (np.cumsum(sizes) - sizes)[which]
-        sizes = sizes[which]
+            kind[i], h[i], low[i] = class_of(joined[i]), mix(np.array([code[i]], np.uint64))[0], code[i]
+        change = kind[1:] != kind[:-1]
+        digit = kind == DIGIT
+        starts = np.flatnonzero((kind != SPACE) & np.append(True, change | digit[1:]))
+        stops = np.flatnonzero((kind != SPACE) & np.append(change | digit[:-1], True)) + 1
+        part = run_hashes(h, starts, stops)
+        number = self.table.find(part)
+        known, length = self.begin.n, stops - starts
+        if len(unknown := np.flatnonzero(number < 0)):
+            new, first, which = np.unique(part[unknown], return_index=True, return_inverse=True)
+            at = unknown[first]
+            self._learn([joined[a:b].lower() for a, b in zip(starts[at].tolist(), stops[at].tolist(), strict=True)])
+            number[unknown] = known + which
+            ends = np.cumsum(length[at])
+            self.code_begin.add(self.codes.n + ends - length[at])
+            self.code_size.add(length[at])
+            self.codes.add(low[np.repeat(starts[at] - ends + length[at], length[at]) + np.arange(ends[-1])])
+            if self.begin.n <= REMEMBERED:
+                self.table.add(new, known + np.arange(len(new)))
+        # Equal hashes must stand for equal parts.
+        ends = np.cumsum(length)
+        inner = np.arange(ends[-1] if len(ends) else 0)
+        alike = self.code_size.held[number] == length
+        theirs = np.repeat(np.where(alike, self.code_begin.held[number], 0) - ends + length, length) + inner
+        if not alike.all():
+            theirs %= self.codes.n
+        differ = low[kind != SPACE] != self.codes.held[theirs]
+        wrong = ~alike | (np.add.reduceat(differ, ends - length) > 0 if len(ends) else False)
+        sizes = self.size.held[number]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
+        flat = self.ids.held[np.repeat(self.begin.held[number] - ends[:-1], sizes) + np.arange(ends[-1])]
         edges = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
         at = ends[edges].tolist()
-        return [flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        out = [flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        for i in np.unique(np.searchsorted(edges, np.flatnonzero(wrong), "right") - 1).tolist():
+            out[i] = None
+        if self.begin.n > REMEMBERED:
+            # What this slice taught is forgotten.
+            self.ids.n, self.codes.n = (int(x.held[known]) for x in (self.begin, self.code_begin))
+            for x in (self.begin, self.size, self.code_begin, self.code_size):
+                x.n = known
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [i for i, t in enumerate(texts) if self._plain(t)]
-        out = dict(zip(plain, self._slice([texts[i] for i in plain]), strict=True))
+        out = dict(zip(plain, self._slice([texts[i] for i in plain]) if plain else [], strict=True))
         for i, text in enumerate(texts):
-            if i not in out:
+            if out.get(i) is None:
                 out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return [out[i] for i in range(len(texts))]
 
-    @staticmethod
-    def _plain(text: str) -> bool:
-        return not any(c in text for c in "'\x1c\x1d\x1e\x1f") and (
-            text.isascii() or not ("\u03a3" in text or "\u0130" in text) and unicodedata.is_normalized("NFC", text)
-        )
+    def _plain(self, text: str) -> bool:
+        if any(c in text for c in "'\x1c\x1d\x1e\x1f") or ("<" in text and any(a in text.lower() for a in self.added)):
+            return False
+        return text.isascii() or not ("\u03a3" in text or "\u0130" in text) and unicodedata.is_normalized("NFC", text)
 
 
 @cache

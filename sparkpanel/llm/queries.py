@@ -101,7 +101,9 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_bytes(docs, "doc_id", "text", length=400).select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        # A cut may leave parts of a character, which are replaced here; the hash is that of the bytes.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 

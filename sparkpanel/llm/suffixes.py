@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.llm.arrow import released, small
 from sparkpanel.llm.repeats import merged, repeated_ranges, with_ranges
-from sparkpanel.llm.units import Bytes
+from sparkpanel.llm.units import Bytes, stretches
 
 PERIOD = 64
 _ROOT = 8
@@ -48,10 +48,11 @@ def _named(*keys: np.ndarray) -> np.ndarray:
 def equal_windows(text: bytes, windows: np.ndarray, bucket: np.ndarray, length: int) -> np.ndarray:
     """A class for each window of ``length`` bytes that begins at ``windows``; equal windows have equal classes.
 
-    Windows are sorted by ``bucket`` and their first eight bytes. Inside such a suffix
-    bucket each is compared with the first that has no class yet: 64 bytes at the front
-    and what ends the window directly, the rest by the rank of the cover sample that
-    both reach with the same shift. Memory is a constant times the text.
+    Windows are sorted by ``bucket``, their first eight bytes, and a hash of the whole
+    window, which puts equal ones side by side however many others begin alike. Equality
+    itself is decided by bytes: each is compared with the first of its hash that has no
+    class yet, 64 bytes at the front and what ends the window directly, the rest by the rank
+    of the cover sample that both reach with the same shift. Memory is a constant times the text.
     """
     depth = (length - PERIOD) // PERIOD * PERIOD  # of the sample ranks; with both ends it covers the window
     n = len(text)
@@ -78,9 +79,10 @@ def equal_windows(text: bytes, windows: np.ndarray, bucket: np.ndarray, length:
             span += size
 
     front, back = range(0, PERIOD, 8), [*range(span, length - 7, 8), length - 8]
-    order = np.lexsort((word[windows], bucket))
-    key_b, key_w = bucket[order], word[windows[order]]
-    group = np.cumsum(np.append(False, (key_b[1:] != key_b[:-1]) | (key_w[1:] != key_w[:-1])))
+    whole = stretches(Bytes([text]).h, length)[windows]
+    order = np.lexsort((whole, word[windows], bucket))
+    keys = bucket[order], word[windows[order]], whole[order]
+    group = np.cumsum(np.append(False, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])))
     classes = np.full(len(windows), -1, np.int64)
     todo = np.arange(len(order))
     while len(todo):

@@ -37,12 +37,16 @@ def class_of(c: str) -> int:
     return SPACE if c.isspace() else LETTER if kind == "L" else DIGIT if kind == "N" else SYMBOL
 
 
+@cache
+def lowered() -> np.ndarray:
+    """The first 65,536 characters in lower case, where that is one character."""
+    return np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(map(chr, range(65536)))], np.uint32)
+
+
 @cache
 def characters() -> tuple[np.ndarray, np.ndarray]:
     """For the first 65,536 characters their class, and a hash that is alike for both cases."""
-    every = [chr(i) for i in range(65536)]
-    lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(every)], np.uint64)
-    return np.array([class_of(c) for c in every], np.uint8), mix(lower + np.uint64(1))
+    return np.array([class_of(chr(i)) for i in range(65536)], np.uint8), mix(lowered().astype(np.uint64) + np.uint64(1))
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -61,7 +65,11 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sums(h: np.ndarray, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix sums from which ``grams`` takes the hash of any run of units."""
+    """Prefix sums from which ``grams`` takes the hash of a short run of units.
+
+    A polynomial modulo 2^64: runs from about a thousand units on can collide by their
+    pattern alone. ``run_hashes`` has no such runs.
+    """
     power, inverse = _powers(base, len(h) + len(h) // 8 + 1)
     total = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(h * power[: len(h)], out=total[1:])
@@ -75,6 +83,68 @@ def grams(prefix: tuple[np.ndarray, np.ndarray], starts: np.ndarray | slice, sto
     return mix((total[stops] - total[starts]) * at)
 
 
+#: Runs are hashed by stretches of so many units.
+STRETCH = 32
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of two hashes in order. Not linear, so that no pattern of units cancels out."""
+    x = b * np.uint64(_SECOND)
+    x += a
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def stretches(h: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """Hash of each ``size`` consecutive units, by doubling; two overlapping halves where that is no power of two."""
+    if len(h) < size:
+        return h[:0]
+    t, span = h ^ mix(np.array([seed], np.uint64))[0], 1
+    while 2 * span <= size:
+        t = _joined(t[:-span], t[span:])
+        span *= 2
+    return t if span == size else _joined(t[: len(h) - size + 1], t[size - span :])
+
+
+def long_runs(t: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int) -> np.ndarray:
+    """Hash of runs of ``size`` units or more, from the hashes ``t`` of their stretches.
+
+    The stretches follow each other and the last one ends the run, so every unit is in one;
+    each is mixed with its place and they are added up.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    count = -(-(stops - starts) // size)
+    end = np.cumsum(count)
+    place = np.arange(end[-1]) - np.repeat(end - count, count)
+    at = np.minimum(np.repeat(starts, count) + place * size, np.repeat(stops - size, count))
+    parts = mix(t[at] + place.astype(np.uint64) * np.uint64(_BASE))
+    return mix(np.add.reduceat(parts, end - count) + (stops - starts).astype(np.uint64))
+
+
+def run_hashes(h: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each run of one or more units from start up to stop, alike wherever the run stands."""
+    size = stops - starts
+    out = np.zeros(len(starts), np.uint64)
+    t, span = h ^ mix(np.array([seed], np.uint64))[0], 1
+    longest = int(size.max()) if len(size) else 0
+    while span <= longest:
+        # Two windows of the largest power of two that fits cover the run.
+        some = np.flatnonzero((size >= span) & ((size < 2 * span) if span < STRETCH else (size < 2 * STRETCH)))
+        out[some] = mix(_joined(t[starts[some]], t[stops[some] - span]) + size[some].astype(np.uint64))
+        if span == STRETCH:
+            some = np.flatnonzero(size >= 2 * STRETCH)
+            out[some] = long_runs(t, starts[some], stops[some], STRETCH)
+            break
+        if 2 * span > longest:
+            break
+        t = _joined(t[:-span], t[span:])
+        span *= 2
+    return out
+
+
 class Words:
     """Maximal runs of bytes that are no separator. ``first`` has each text's first word, and the end."""
 
@@ -88,7 +158,7 @@ class Words:
         starts, stops = edges[0::2], edges[1::2]
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
         self.first = np.searchsorted(starts, begins)
-        self.h = grams(sums(_byte_hash()[raw]), starts, stops)
+        self.h = run_hashes(_byte_hash()[raw], starts, stops)
         # The words with one space after each.
         keep = ~sep[1:-1]
         keep[stops] = True
@@ -134,9 +204,10 @@ class Runs:
 
     def __init__(self, units, window: int, gram: int):
         low = np.uint64((1 << 24) - 1)
-        self.prefix = sums(units.h)
-        n = max(0, len(units.h) - gram + 1)
-        g = grams(self.prefix, slice(0, n), slice(gram, gram + n)) & ~low
+        self.gram = gram
+        self.stretches = stretches(units.h, gram)
+        n = len(self.stretches)
+        g = mix(self.stretches) & ~low
         place = np.arange(n, dtype=np.uint64) & low
         left = sliding_min(g | place, window - gram + 1)
         right = low - (sliding_min(g | (low - place), window - gram + 1) & low)
@@ -155,10 +226,10 @@ class Runs:
         self.start, self.count = at[begin], end - begin
         self.text = has[np.searchsorted(offset, begin, "right") - 1] if len(begin) else begin
         self.mini = mix(value[begin]).view(np.int64)
-        self.whole = grams(self.prefix, self.start, self.start + self.count + window - 1).view(np.int64)
+        self.whole = long_runs(self.stretches, self.start, self.start + self.count + window - 1, gram).view(np.int64)
         self.tied = (left[at[begin]] & low) != right[at[end - 1]] if len(begin) else np.zeros(0, bool)
 
     def window_hashes(self, units, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent 64-bit hashes of the windows that begin at ``starts``."""
-        second = sums(units.h ^ np.uint64(_SECOND), _SECOND | 1)
-        return grams(self.prefix, starts, starts + window).view(np.int64), grams(second, starts, starts + window).view(np.int64)
+        """Two 64-bit hashes, of different seeds from the units on, of the windows that begin at ``starts``."""
+        second = stretches(units.h, self.gram, 1)
+        return tuple(long_runs(t, starts, starts + window, self.gram).view(np.int64) for t in (self.stretches, second))

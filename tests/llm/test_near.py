@@ -118,3 +118,11 @@ def test_components_of_paths_stars_and_loops(spark, components_of):
     nodes = {x for link in real for x in link}
     assert len(got) == len(nodes) and {r.id: r.component for r in got} == {x: want[x] for x in nodes}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_words_that_alternate_by_bit_parity_are_different(spark):
+    word = lambda a, b, n: "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+    rows = [(2 * k + j, f"{word(*pair, n)} x") for k, n in enumerate((1024, 2048)) for j, pair in enumerate(("ab", "ba"))]
+    rows.append((9, f"{word('a', 'b', 2048)} {word('b', 'a', 2048)} {word('a', 'b', 2048)}"))
+    out = near_duplicates(spark.createDataFrame(rows, "id long, text string"), "id", "text", words=2, percent=80).collect()
+    assert {r.id: (r.component_id, r.n_shingles) for r in out} == {i: (i, 1 if i < 9 else 2) for i, _ in rows}

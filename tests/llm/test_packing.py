@@ -14,19 +14,42 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_the_library_s(tokenizer, corpus):
     rng = random.Random(3)
     texts = ["".join(rng.choice("abcS'stdé  __-!.,²Ⅷ5½\n\t\xa0́eΣİ中文ßǅ😀𐐀\x1c") for _ in range(rng.choice([0, 1, 5, 60]))) for _ in range(2000)]
-    texts += [t or "" for _, t in corpus] + ["<|endoftext|> x", "DON'T we'll !'s ''s _'s"]
+    texts += [t or "" for _, t in corpus] + ["<|endoftext|> x", "x <|endoftext|> y", "a<|STARTOFTEXT|>b", "<| endoftext |>", "DON'T we'll !'s ''s _'s"]
     for text, ids in zip(texts, WordIds(PATH).encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def alternating(n, a, b):
+    """The word of n letters that alternates by the parity of the place's bits: its polynomial hashes collide with those of its complement."""
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_alternate_by_bit_parity_are_told_apart(tokenizer, n):
+    texts = [f"{alternating(n, 'a', 'b')} {alternating(n, 'b', 'a')}"]
+    assert np.frombuffer(WordIds(PATH).encode(texts)[0], "<u4").tolist() == tokenizer.encode(texts[0], add_special_tokens=False).ids
+
+
+def test_equal_hashes_and_a_full_memory_do_no_harm(tokenizer, corpus, monkeypatch):
+    from sparkpanel.llm import packing
+
+    texts = [t or "" for _, t in corpus if len(t or "") < 3000]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    full = packing.run_hashes
+    for most, hashes in ((5, full), (40, full), (250_000, lambda h, a, b: full(h, a, b) & np.uint64(0xF << 50))):
+        monkeypatch.setattr(packing, "REMEMBERED", most)
+        monkeypatch.setattr(packing, "run_hashes", hashes)
+        words = WordIds(PATH)
+        for k in range(0, len(texts), 7):
+            assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts[k : k + 7])] == want[k : k + 7]
+
+
 def check(rows, want, length):
     by_doc, by_sequence = {}, {}
     for r in rows:

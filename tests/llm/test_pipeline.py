@@ -51,7 +51,6 @@ def test_stages_against_plain_versions(spark, corpus, components_of, table):
     assert {i: r.text for i, r in found[3].items()} == cut
     assert all(r.n_chars == len(r.text) for r in found[3].values())
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = {}
     for r in packed:
         pieces.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
@@ -61,7 +60,7 @@ def test_stages_against_plain_versions(spark, corpus, components_of, table):
 
 def test_run_and_registration(spark, table):
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
-    assert [n for n in __spark_entry__.queries() if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n[:2] == "op" and n[2].isdigit()} == set(range(1, 11))
+    assert [n for n in __spark_entry__.queries() if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n[:2] == "op" and n[2].isdigit()} == set(range(1, 14))
     assert corpus_pipeline.run(spark, table).count() > 0
 
 
