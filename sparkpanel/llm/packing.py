@@ -18,7 +18,7 @@ from sparkpanel.llm.staging import staged
 from sparkpanel.llm.units import DIGIT, SPACE, characters, class_of, lowered, mix, run_hashes
 
 #: Parts of text whose ids a worker remembers. The first to be seen are mostly the frequent ones.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 PARTITIONS_MERGED = 64
 _SEQUENCES = 1 << 33
 _MERGED = 1 << 62
@@ -28,7 +28,7 @@ PIECE_SCHEMA = "doc_id {id}, start long, length long, ids binary, doc_tokens lon
 class PartTable:
     """Numbers of parts by their hash, in slots; a hash that finds no slot within eight steps isn't remembered."""
 
-    BITS, STEPS = 21, 8
+    BITS, STEPS = 20, 8
 
     def __init__(self):
         self.key = np.zeros(1 << self.BITS, np.uint64)
