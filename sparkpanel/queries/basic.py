@@ -9,6 +9,7 @@ from sparkpanel.functions.strings import guarded_number, last_token, normalise_n
 from sparkpanel.operators import aggregates as agg
 from sparkpanel.operators import clean, dedup, joins, reshape
 from sparkpanel.operators.skew import group_median
+from sparkpanel.plans import panel
 from sparkpanel.queries.base import NATION_MONTH_SQL, nation_month, query, rnd, rounded, table
 from sparkpanel.sources import io
 
@@ -460,3 +461,30 @@ def merge_monthly(spark, sf):
 def guarded_cast(spark, sf):
     return table(spark, sf, "orders").select(
         "o_orderkey", guarded_number(F.substring("o_orderpriority", 1, 1), "int").alias("rank"), guarded_number("o_orderpriority").alias("none"))
+
+
+@query("drop_first", """SELECT o_orderkey, o_custkey FROM orders
+  WHERE date_trunc('month', o_orderdate) > (SELECT min(date_trunc('month', o_orderdate)) FROM orders)""")
+def drop_first(spark, sf):
+    # Rows have no position: those of the first month are told by their date.
+    orders = table(spark, sf, "orders").withColumn("month", month_start("o_orderdate"))
+    first = orders.agg(F.min("month").alias("month")).select("month").scalar()
+    return orders.filter(F.col("month") > first).select("o_orderkey", "o_custkey")
+
+
+@query("column_bind", """WITH a AS (SELECT l_returnflag, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY ALL),
+  b AS (SELECT l_returnflag, count(*) AS n, min(l_quantity) AS least FROM lineitem GROUP BY ALL) SELECT a.l_returnflag, mean, n, least FROM a JOIN b USING (l_returnflag)""")
+def column_bind(spark, sf):
+    # Results of equal length stand side by side by their key, never by their order.
+    by_flag = table(spark, sf, "lineitem").groupBy("l_returnflag")
+    means = by_flag.agg(F.round(F.avg("l_quantity"), 6).alias("mean"))
+    return means.join(by_flag.agg(F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("least")), "l_returnflag")
+
+
+@query("split_region", """SELECT c_custkey, r_name AS region, CASE WHEN r_name = 'EUROPE' THEN 'test' ELSE 'train' END AS part
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""")
+def split_region(spark, sf):
+    places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    customers = table(spark, sf, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("r_name").alias("region"))
+    train, test = panel.split_region(customers, "region", "EUROPE")
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
