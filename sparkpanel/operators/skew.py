@@ -80,7 +80,7 @@ def group_quantiles(df: DataFrame, by: list[str], col: str, probs: dict[str, flo
     keys = [f"_k{i}" for i in range(len(by))]
     value = F.nanvl(F.col(col).cast("double"), F.lit(None))
     rows = df.select(*[F.col(k).alias(n) for k, n in zip(by, keys, strict=True)], value.alias("_v"))
-    brackets = cut_lineage(_brackets(rows, keys, list(probs.values())))
+    brackets = _brackets(rows, keys, list(probs.values()))
     met = match_keys(rows.filter("_v is not null"), brackets.select(*keys, "_spots"), keys, "inner")
     # A row above a bracket has no part in it, one below has its count alone.
     spots = met.select(*keys, "_v", F.explode(F.filter("_spots", lambda s: s["high"] >= F.col("_v"))).alias("_s"))
