@@ -60,27 +60,79 @@ def spatial_fill(
     """
     if mode == "nearest_observed":
         return _fill_nearest(dense, coords, k_max)
-    out = cut_lineage(dense)
-    seen = out.filter(F.col("price").isNotNull()).select("commodity", "month").distinct()
-    markets = coords.count()
-    k = 0
-    while k < markets - 1:
-        open_cells = out.filter(F.col("price").isNull()).join(seen, ["commodity", "month"], "left_semi")
-        if open_cells.isEmpty():
-            break
-        ranks = neighbours(coords, "market", min(markets - 1, k + k_max))
-        ranks = cut_lineage(ranks.filter(F.col("neighbour").isNotNull() & (F.col("rank") > (k if mode == "cascade" else 0))))
-        for k in range(k + 1, min(markets - 1, k + k_max) + 1):
-            pick = ranks.filter(F.col("rank") == k if mode == "cascade" else F.col("rank") <= k)
-            pick = pick.select("market", F.col("neighbour").alias("_nb"))
-            held = out.select(F.col("market").alias("_nb"), "commodity", "month", F.col("price").alias("_given")).filter(F.col("_given").isNotNull())
-            given = out.filter(F.col("price").isNull()).select(*CELL).join(pick, "market").join(held, ["_nb", "commodity", "month"])
-            # At most k prices meet in a group.
-            given = given.groupBy(*CELL).agg(F.median("_given").alias("_given"))
-            out = out.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
-            if k % 3 == 0:
-                out = cut_lineage(out)
-    return out
+    return _fill_in_rounds(dense, coords, mode == "growing", k_max)
+
+
+def _fill_in_rounds(dense: DataFrame, coords: DataFrame, growing: bool, k_max: int) -> DataFrame:
+    """What the rounds of a cascade or a growing fill leave, from the open cells alone.
+
+    ``dense`` is read for the cells held in months with gaps and for the result, whatever
+    the number of rounds. Markets whose cells the first ``k_max`` neighbours leave open
+    get lists four times as long, the others are done.
+    """
+    dense = cut_lineage(dense)
+    kind = ["commodity", "month"]
+    known = dense.filter(F.col("price").isNotNull()).select(*CELL, "price")
+    gaps = dense.filter(F.col("price").isNull()).select(*CELL)
+    rest = cut_lineage(gaps.join(known.select(*kind).distinct(), kind, "left_semi"))
+    held = cut_lineage(known.join(rest.select(*kind).distinct(), kind, "left_semi").withColumn("round", F.lit(0)))
+    filled, reach, last = None, 0, coords.count() - 1
+    while reach < last and not rest.isEmpty():
+        reach = min(last, max(k_max, 4 * reach))
+        new = _settle(rest, held, coords, growing, reach)
+        filled = new if filled is None else filled.unionByName(new)
+        held = held.unionByName(new)
+        rest = cut_lineage(rest.join(new, CELL, "left_anti"))
+    if filled is None:
+        return dense
+    given = filled.select(*CELL, F.col("price").alias("_given"))
+    return dense.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
+
+
+def _settle(rest: DataFrame, held: DataFrame, coords: DataFrame, growing: bool, reach: int) -> DataFrame:
+    """Cells of ``rest`` that a round up to ``reach`` fills: price and round. ``held`` has those filled before.
+
+    A neighbour of a rank gives in the first round that is no earlier than its rank and
+    later than its own round; in a cascade only in the round of its rank. Open cells
+    start with the round that the held neighbours allow, and take an earlier one from each
+    other until none does. Prices then follow from the cells of earlier rounds.
+    """
+    giver = ["neighbour", "commodity", "month"]
+    rank, of_giver = F.col("rank"), F.col("round")
+    later = F.when(of_giver.isNotNull(), F.greatest(rank, of_giver + 1)) if growing else F.when(of_giver < rank, rank)
+    places = coords.join(rest.select("market").distinct(), "market", "left_semi")
+    lists = nearest_join(places, coords, "market", "market", k=reach, exclude_self=True, right_name="neighbour")
+    lists = lists.filter(F.col("neighbour").isNotNull()).select("market", "neighbour", "rank")
+    links = rest.join(lists, "market").join(held.withColumnRenamed("market", "neighbour"), giver, "left")
+    # At most ``reach`` links in a list; those beyond the round that a held neighbour allows can't count.
+    cells = links.groupBy(*CELL).agg(F.min(later).alias("round"), F.collect_list(F.struct("rank", "neighbour", "price", "round")).alias("links"))
+    first = F.col("round")
+    cells = cut_lineage(cells.withColumn("links", F.filter("links", lambda e: first.isNull() | (e["rank"] <= first))))
+    links = cells.select(*CELL, F.explode("links").alias("_l")).select(*CELL, "_l.*")
+
+    open_links = links.filter(of_giver.isNull()).select(*CELL, "neighbour", "rank")
+    state, moved = cells.select(*CELL, "round"), True
+    while moved:
+        other = state.filter(of_giver.isNotNull()).withColumnRenamed("market", "neighbour")
+        offers = open_links.join(other, giver).groupBy(*CELL).agg(F.min(later).alias("_offer"))
+        now = state.join(offers, CELL, "left").withColumn("_earlier", F.least("round", "_offer"))
+        now = cut_lineage(now.select(*CELL, F.col("_earlier").alias("round"), (~F.col("_earlier").eqNullSafe(of_giver)).alias("_moved")))
+        moved, state = not now.filter("_moved").isEmpty(), now.drop("_moved")
+    state = state.filter(of_giver <= reach)
+
+    own = F.col("_own")
+    due = links.join(state.withColumnRenamed("round", "_own"), CELL).filter(rank <= own if growing else rank == own)
+    due = due.join(state.select(F.col("market").alias("neighbour"), "commodity", "month", of_giver.alias("_round")), giver, "left")
+    due = cut_lineage(due.filter(F.coalesce("round", "_round") < own).select(*CELL, "neighbour", "price"))
+    # At most ``reach`` prices meet in a group; a cell waits until all of them are known.
+    middle = F.when(F.count("price") == F.count(F.lit(1)), F.median("price")).alias("price")
+    values = cut_lineage(due.groupBy(*CELL).agg(middle))
+    while not (waiting := values.filter(F.col("price").isNull())).isEmpty():
+        done = values.filter(F.col("price").isNotNull())
+        given = done.select(F.col("market").alias("neighbour"), "commodity", "month", F.col("price").alias("_given"))
+        again = due.join(waiting.select(*CELL), CELL, "left_semi").join(given, giver, "left").withColumn("price", F.coalesce("price", "_given"))
+        values = cut_lineage(done.unionByName(again.groupBy(*CELL).agg(middle)))
+    return cut_lineage(values.join(state, CELL))
 
 
 def _fill_nearest(dense: DataFrame, coords: DataFrame, shortlist: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sparkpanel.functions.geodesy import WGS84_A, WGS84_F, albers_constants, albers_xy, geodesic_km, haversine_km as haversine
 from sparkpanel.operators import nearest
 from sparkpanel.operators.aggregates import share, sum_strict
-from sparkpanel.operators.polygons import area_mean, point_in_polygon, ring_area as area_of
+from sparkpanel.operators.polygons import area_mean, parts_area, point_in_parts, point_in_polygon, ring_area as area_of
 from sparkpanel.operators.windows import dense_grid
 from sparkpanel.plans import prices as pr
 from sparkpanel.queries.base import (
@@ -166,6 +166,57 @@ def zonal_mean(spark, sf):
     return rounded(area_mean(px, zone_rings(spark, sf), "zone", "l_quantity", ["month"]), ["mean"])
 
 
+# The same zones with a hole each, and a second part that overlaps the first one and the next zones.
+_HOLE = ((0.15, 0.15), (0.85, 0.2), (0.5, 0.4))
+_ISLE = ((0.4, 0.3), (1.45, 0.35), (1.3, 0.75), (0.45, 0.7))
+_RINGS = ((1, _SHAPE), (1, _HOLE), (2, _ISLE))
+
+
+def zone_parts(spark, sf):
+    x0 = F.lit(33.0) + (F.col("n_nationkey") % 5) * F.lit(_W)
+    y0 = F.lit(-17.0) + F.floor(F.col("n_nationkey") / 5) * F.lit(_H)
+    rings = [
+        F.struct(F.lit(part).alias("part"), F.array(*[
+            F.struct((x0 + dx * _W + 0.00137).alias("x"), (y0 + dy * _H + 0.00211).alias("y")) for dx, dy in shape]).alias("ring"))
+        for part, shape in _RINGS
+    ]
+    return table(spark, sf, "nation").select(F.col("n_nationkey").alias("zone"), F.explode(F.array(*rings)).alias("r")).select("zone", "r.*")
+
+
+_PART_EDGES = ", ".join(
+    f"({part}, {n}, {a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)"
+    for n, (part, shape) in enumerate(_RINGS) for a, b in zip(shape, shape[1:] + shape[:1]))
+PART_SQL = f"""edges AS (SELECT n_nationkey AS zone, part, ring,
+    33.0::DOUBLE + (n_nationkey % 5) * {_W}::DOUBLE + ax * {_W}::DOUBLE + 0.00137::DOUBLE AS ax, -17.0::DOUBLE + (n_nationkey // 5) * {_H}::DOUBLE + ay * {_H}::DOUBLE + 0.00211::DOUBLE AS ay,
+    33.0::DOUBLE + (n_nationkey % 5) * {_W}::DOUBLE + bx * {_W}::DOUBLE + 0.00137::DOUBLE AS bx, -17.0::DOUBLE + (n_nationkey // 5) * {_H}::DOUBLE + by_ * {_H}::DOUBLE + 0.00211::DOUBLE AS by_
+  FROM nation CROSS JOIN (VALUES {_PART_EDGES}) v(part, ring, ax, ay, bx, by_))"""
+
+
+def _in_parts_sql(points: str, key: str) -> str:
+    return f"""(SELECT DISTINCT {key}, zone FROM (SELECT {key}, zone, part FROM {points} CROSS JOIN edges
+      GROUP BY ALL HAVING sum(CASE WHEN (ay > lat) <> (by_ > lat) AND lon < ax + (lat - ay) * (bx - ax) / (by_ - ay) THEN 1 ELSE 0 END) % 2 = 1))"""
+
+
+@query("pip_parts", f"WITH {PART_SQL}, cust AS (SELECT c_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer) SELECT c_custkey, zone FROM {_in_parts_sql('cust', 'c_custkey')}")
+def pip_parts(spark, sf):
+    return point_in_parts(cust_points(spark, sf), zone_parts(spark, sf), "zone", "part").select("c_custkey", "zone")
+
+
+@query("parts_area", f"""WITH {PART_SQL}, r AS (SELECT zone, part, ring, abs(sum(ax * by_ - bx * ay)) / 2 AS a FROM edges GROUP BY ALL),
+  p AS (SELECT zone, part, 2 * max(a) - sum(a) AS a FROM r GROUP BY ALL) SELECT zone, round(sum(a), 6) AS area FROM p GROUP BY zone""")
+def parts_area_q(spark, sf):
+    return rounded(parts_area(zone_parts(spark, sf), "zone", "part"), ["area"])
+
+
+@query("zonal_parts", f"""WITH {PART_SQL}, px AS (SELECT l_partkey, CAST(date_trunc('month', l_shipdate)::DATE AS VARCHAR) AS month, l_quantity, {lat_sql('l_partkey')} AS lat, {lon_sql('l_partkey')} AS lon FROM lineitem),
+  spot AS (SELECT DISTINCT l_partkey, lat, lon FROM px), ins AS {_in_parts_sql('spot', 'l_partkey')}
+  SELECT zone, month, round(avg(l_quantity), 6) AS mean, min(l_quantity) AS min, max(l_quantity) AS max, count(*) AS pixels FROM px JOIN ins USING (l_partkey) GROUP BY ALL""")
+def zonal_parts(spark, sf):
+    px = table(spark, sf, "lineitem").select(
+        F.trunc(F.to_date("l_shipdate"), "month").cast("string").alias("month"), "l_quantity", lat("l_partkey").alias("lat"), lon("l_partkey").alias("lon"))
+    return rounded(area_mean(px, zone_parts(spark, sf), "zone", "l_quantity", ["month"], part="part"), ["mean"])
+
+
 @query("catchment_weights", f"""WITH {COORD_SQL}, {RING_SQL}, px AS (SELECT p_partkey, p_size, {lat_sql('p_partkey')} AS lat, {lon_sql('p_partkey')} AS lon FROM part),
   spots AS (SELECT lat, lon, sum(p_size) AS pop FROM px GROUP BY ALL), ins AS {_inside_sql('spots', 'lat, lon, pop')},
   nr AS (SELECT u.lat, u.lon, market, round({hav_sql('u.lat', 'u.lon', 'm.lat', 'm.lon')}, 6) AS dk FROM (SELECT DISTINCT lat, lon FROM ins) u CROSS JOIN coords m
@@ -269,18 +320,22 @@ def missing_by_k(spark, sf):
     return pr.missing_by_k(prices_dense(spark, sf), market_coords(spark, sf), 6)
 
 
-_BIG = """big AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders WHERE o_totalprice > 450000 GROUP BY ALL)"""
+# A series of fewer months is too thin to be used; the nearest customer's stands in for it.
+_MONTHS = 8
+_ORDERED = f"""months AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders GROUP BY ALL),
+  ordered AS (SELECT * FROM months QUALIFY count(*) OVER (PARTITION BY o_custkey) >= {_MONTHS})"""
 
 
-@query("donor_fill", f"""WITH {_BIG}, cust AS (SELECT c_custkey AS o_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer),
-  h AS (SELECT * FROM cust WHERE o_custkey IN (SELECT o_custkey FROM big)), l AS (SELECT * FROM cust WHERE o_custkey NOT IN (SELECT o_custkey FROM big)),
+@query("donor_fill", f"""WITH {_ORDERED}, cust AS (SELECT c_custkey AS o_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer),
+  h AS (SELECT * FROM cust WHERE o_custkey IN (SELECT o_custkey FROM ordered)), l AS (SELECT * FROM cust WHERE o_custkey NOT IN (SELECT o_custkey FROM ordered)),
   d AS (SELECT l.o_custkey, h.o_custkey AS donor, round({hav_sql('l.lat', 'l.lon', 'h.lat', 'h.lon')}, 6) AS dk FROM l CROSS JOIN h QUALIFY row_number() OVER (PARTITION BY l.o_custkey ORDER BY dk, h.o_custkey) = 1)
-  SELECT o_custkey, CAST(month AS VARCHAR) AS month, n, o_custkey AS donor FROM big
-  UNION ALL SELECT d.o_custkey, CAST(month AS VARCHAR), n, d.donor FROM d JOIN big ON big.o_custkey = d.donor""")
+  SELECT o_custkey, CAST(month AS VARCHAR) AS month, n, o_custkey AS donor FROM ordered
+  UNION ALL SELECT d.o_custkey, CAST(month AS VARCHAR), n, d.donor FROM d JOIN ordered o ON o.o_custkey = d.donor""")
 def donor_fill(spark, sf):
-    # Customers without a large order have no series of their own.
-    series = table(spark, sf, "orders").filter("o_totalprice > 450000").groupBy(
+    months = table(spark, sf, "orders").groupBy(
         "o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    enough = months.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") >= _MONTHS)
+    series = months.join(enough, "o_custkey", "left_semi")
     return _month_text(pr.donor_fill(series, cust_points(spark, sf).withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"))
 
 
