@@ -85,6 +85,41 @@ def ols_multi(spark, sf):
     return md.coef_table(spark, md.fit_all(train, specs))
 
 
+# Variables of the panel that SQL builds as well.
+_OPEN = ("raincytot", "day1rain", "elevation", "maize_current", "maize_mktthin_current", "hhsize", "hh_age", PRIOR)
+_K = len(_OPEN)
+
+
+def _known_sql(where: str = "") -> str:
+    """Rows of each measure that are complete in it and in all regressors."""
+    return "known AS (" + " UNION ALL ".join(
+        f"SELECT '{y}' AS y, {y} AS v, {', '.join(_OPEN)} FROM cl2 WHERE {where}{y} IS NOT NULL AND {' AND '.join(f'{x} IS NOT NULL' for x in _OPEN)}"
+        for y in MEASURES) + ")"
+
+
+# Normal equations of centred columns, pivoted in place one regressor at a time.
+@query("ols_errors", f"""WITH RECURSIVE {CLUSTER_SQL}, {_known_sql(f'FS_year < {FIRST_TEST} AND ')},
+  w AS (SELECT y, [{', '.join(f'{x} - avg({x}) OVER p' for x in (*_OPEN, 'v'))}] AS z FROM known WINDOW p AS (PARTITION BY y)),
+  cells AS (SELECT y, i, j, sum(z[i] * z[j]) AS v FROM w, range(1, {_K + 2}) a(i), range(1, {_K + 2}) b(j) GROUP BY y, i, j),
+  lines AS (SELECT y, i, list(v ORDER BY j) AS r FROM cells GROUP BY y, i),
+  pivoted AS (SELECT y, 0 AS k, list(r ORDER BY i) AS m FROM lines GROUP BY y
+    UNION ALL SELECT y, k + 1, list_transform(range(1, {_K + 2}), lambda i: list_transform(range(1, {_K + 2}), lambda j:
+      CASE WHEN i = k + 1 AND j = k + 1 THEN 1 / m[i][j] WHEN i = k + 1 THEN m[i][j] / m[i][i] WHEN j = k + 1 THEN -m[i][j] / m[j][j]
+           ELSE m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1] END)) FROM pivoted WHERE k < {_K}),
+  f AS (SELECT p.y, p.m, s.n, p.m[{_K + 1}][{_K + 1}] AS sse, q.m[{_K + 1}][{_K + 1}] AS sst, sse / (s.n - {_K + 1}) AS s2
+    FROM pivoted p JOIN pivoted q ON q.y = p.y AND q.k = 0 JOIN (SELECT y, count(*) AS n FROM known GROUP BY y) s ON s.y = p.y WHERE p.k = {_K})
+  SELECT y, t AS term, round(m[i][{_K + 1}], 6) AS estimate, round(sqrt(m[i][i] * s2), 6) AS se, round(m[i][{_K + 1}] / sqrt(m[i][i] * s2), 4) AS t, CAST(n AS INTEGER) AS n,
+    round(1 - sse / sst, 6) AS r2, round(1 - sse / sst * (n - 1) / (n - {_K + 1}), 6) AS adj_r2, round(-n / 2 * (ln(2 * pi()) + ln(sse / n) + 1), 4) AS lnl,
+    round(1 - (ln(2 * pi()) + ln(sse / n) + 1) / (ln(2 * pi()) + ln(sst / n) + 1), 6) AS pseudo_r2
+  FROM f, (VALUES {', '.join(f"({i + 1}, '{x}')" for i, x in enumerate(_OPEN))}) v(i, t)""")
+def ols_errors(spark, sf):
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    fits = md.fit_all(train, [md.ModelSpec(y, y, _OPEN) for y in MEASURES])
+    slopes = md.coef_table(spark, fits).filter("term <> 'intercept'").select("y", "term", "estimate", "se", "t", "n", "r2")
+    both = slopes.join(md.fit_stats(spark, fits).select("y", "adj_r2", "lnl", "pseudo_r2"), "y")
+    return rounded(rounded(both, ["estimate", "se", "r2", "adj_r2", "pseudo_r2"]), ["t", "lnl"], 4)
+
+
 @query("fit_stats")
 def fit_stats(spark, sf):
     train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
@@ -257,6 +292,29 @@ def enet_cv(spark, sf):
     return spark.createDataFrame(rows, "measure string, term string, estimate double, alpha double, lambda double, cv_rmse double")
 
 
+# At the smallest penalised error no term can gain: the slope of the error is the penalty's where a term is in, and within it where it is out.
+@query("enet_conditions", f"""WITH {CLUSTER_SQL}, {_known_sql(f'FS_year < {FIRST_TEST} AND ')}
+  SELECT y AS measure, term, CAST(count(*) AS INTEGER) AS n, 0.0::DOUBLE AS excess FROM known, (VALUES {', '.join(f"('{x}')" for x in _OPEN)}) t(term) GROUP BY ALL""")
+def enet_conditions(spark, sf):
+    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    parts = None
+    for y in MEASURES:
+        fit = md.elastic_net_cv(train, y, _OPEN, "ea_id")
+        rows = train.select(F.col(y).alias("_y"), *[F.col(x).cast("double").alias(x) for x in _OPEN]).dropna()
+        rest = F.col("_y") - sum((F.lit(fit.coef[x]) * F.col(x) for x in _OPEN), F.lit(fit.coef["intercept"]))
+        excess = []
+        for x in _OPEN:
+            b, l1, l2 = fit.coef[x], fit.lam * fit.alpha, fit.lam * (1 - fit.alpha)
+            sd = F.stddev_pop(x)
+            slope = F.covar_pop(rest, F.col(x)) / sd
+            off = F.greatest(F.abs(slope) - l1, F.lit(0.0)) if b == 0 else F.abs(slope - sd * (l2 * b) - (l1 if b > 0 else -l1))
+            excess.append(F.round(off, 5).alias(x))
+        sums = rows.agg(*excess, F.count(F.lit(1)).cast("int").alias("n"))
+        part = sums.unpivot(["n"], list(_OPEN), "term", "excess").select(F.lit(y).alias("measure"), "term", "n", "excess")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 _SHORT = ["maize_current", "hhsize", "hh_age", "elevation", PRIOR]
 
 
@@ -299,3 +357,28 @@ def logit(spark, sf):
                 for t, b, se, z, p in zip([*_SHORT, "intercept"], [*fit.coefficients, fit.intercept], s.coefficientStandardErrors, s.tValues, s.pValues)
             ]
     return spark.createDataFrame(rows, "measure string, link string, term string, estimate double, se double, z double, p double")
+
+
+# At the largest likelihood the score of each term is zero on average.
+@query("binary_score", f"""WITH {CLUSTER_SQL}, known AS (SELECT * FROM cl2 WHERE {' AND '.join(f'{x} IS NOT NULL' for x in _SHORT)})
+  SELECT y AS measure, link, term, CAST(n AS INTEGER) AS n, 0.0::DOUBLE AS score FROM ({' UNION ALL '.join(f"SELECT '{y}' AS y, count({y}) AS n FROM known" for y in MEASURES)}),
+    (VALUES ('logit'), ('probit')) l(link), (VALUES {', '.join(f"('{t}')" for t in ('intercept', *_SHORT))}) t(term)""")
+def binary_score(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+
+    flags = [F.when(F.col(y).isNotNull(), insecure_side(y, y).cast("double")).alias(y) for y in MEASURES]
+    df = cut_lineage(staged(spark, sf).select(F.lit(1.0).alias("intercept"), *[F.col(x).cast("double").alias(x) for x in _SHORT], *flags))
+    parts = None
+    for y in MEASURES:
+        rows = VectorAssembler(inputCols=_SHORT, outputCol="_x").transform(df.dropna(subset=[y, *_SHORT]))
+        for link in ("logit", "probit"):
+            fit = md.binary_fit(df, y, _SHORT, link)
+            p = F.col("prediction")
+            eta = sum((F.lit(float(b)) * F.col(x) for b, x in zip(fit.coefficients, _SHORT)), F.lit(float(fit.intercept)))
+            # The slope of the link over the variance, which is 1 for the logit.
+            weight = F.lit(1.0) if link == "logit" else F.coalesce(F.exp(-eta * eta / 2) / F.nullif(p * (1 - p), F.lit(0.0)), F.lit(0.0))
+            score = [F.abs(F.round(F.avg((F.col(y) - p) * weight * F.col(t)) / F.avg(F.abs(F.col(t))), 5)).alias(t) for t in ("intercept", *_SHORT)]
+            sums = fit.transform(rows).agg(*score, F.count(F.lit(1)).cast("int").alias("n"))
+            part = sums.unpivot(["n"], ["intercept", *_SHORT], "term", "score").select(F.lit(y).alias("measure"), F.lit(link).alias("link"), "term", "n", "score")
+            parts = part if parts is None else parts.unionByName(part)
+    return parts
