@@ -9,7 +9,7 @@ from sparkpanel.operators.joins import asof_join
 from sparkpanel.operators.windows import lag_rows
 from sparkpanel.plans import panel, scores
 from sparkpanel.plans.prices import dense_prices, spatial_fill, zone_price_thin
-from sparkpanel.queries.base import lat, lat_sql, market_coords, price_obs, query, rounded, table
+from sparkpanel.queries.base import ORACLES, lat, lat_sql, market_coords, price_obs, query, rounded, table
 from sparkpanel.queries.market import FILL_SQL, WEIGHT_SQL, weights
 from sparkpanel.queries.series import PHASE_SQL, phases
 from sparkpanel.queries.weather import PANEL_SQL, season_table
@@ -110,6 +110,27 @@ def asset_index(spark, sf):
     return rounded(scores.asset_index(out, cols, "unrotated", rotate=False).select("hh", "rotated", "unrotated"), ["rotated", "unrotated"])
 
 
+# The largest component: the correlations squared again and again leave its vector alone.
+_N = len(_CODES)
+_EACH = f"range(1, {_N + 1})"
+
+
+@query("asset_component", f"""WITH RECURSIVE d AS ({ORACLES['asset_dummies']}), z AS (SELECT hh, [{', '.join(f'asset_{c}' for c in _CODES)}] AS z FROM d),
+  c AS (SELECT i, j, corr(z[i], z[j]) AS v FROM z, {_EACH} a(i), {_EACH} b(j) GROUP BY i, j), lines AS (SELECT i, list(v ORDER BY j) AS r FROM c GROUP BY i),
+  r AS (SELECT list(r ORDER BY i) AS r FROM lines),
+  power AS (SELECT 0 AS k, r AS m FROM r
+    UNION ALL SELECT k + 1, list_transform({_EACH}, lambda i: list_transform({_EACH}, lambda j: list_sum(list_transform({_EACH}, lambda l: m[i][l] * m[l][j]))
+      / list_sum(list_transform({_EACH}, lambda g: list_sum(list_transform({_EACH}, lambda l: m[g][l] * m[l][g])))))) FROM power WHERE k < 24),
+  top AS (SELECT m, list_transform({_EACH}, lambda i: m[i][i]) AS diag, list_position(diag, list_max(diag)) AS big, list_transform({_EACH}, lambda i: m[i][big] / sqrt(m[big][big])) AS v FROM power WHERE k = 24),
+  w AS (SELECT v, list_sum(list_transform({_EACH}, lambda i: v[i] * list_sum(list_transform({_EACH}, lambda j: r[i][j] * v[j])))) AS size FROM top, r),
+  s AS (SELECT i, avg(z[i]) AS mean, stddev_samp(z[i]) AS sd FROM z, {_EACH} a(i) GROUP BY i)
+  SELECT hh, round(sum((z[i] - mean) / sd * v[i] / sqrt(size)), 6) AS score FROM z, s, w GROUP BY hh""")
+def asset_component(spark, sf):
+    wide = asset_dummies(spark, sf)
+    out = scores.asset_index(wide, [f"asset_{c}" for c in _CODES], "score", rotate=False)
+    return rounded(out.select("hh", "score"), ["score"])
+
+
 @query("land_share", """SELECT p_partkey, CASE WHEN p_size IN (20, 30) THEN 0.6::DOUBLE WHEN p_size = 14 THEN 1 ELSE 0 END AS percent_ag,
   CAST(p_size IN (5, 6, 7) AS INTEGER) AS terrain_rough, 0 AS terrain_published, CAST(p_size = 2 AS INTEGER) AS moderate FROM part""")
 def land_share(spark, sf):
