@@ -11,11 +11,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from sparkpanel.operators.aggregates import attach
@@ -204,55 +201,6 @@ def interp_stine(df: DataFrame, by: list[str], t: str, v: str, name: str | None
     ).drop("_lo", "_hi", "_pt", "_yp")
 
 
-def _local_level(y: np.ndarray, ratios: np.ndarray) -> np.ndarray:
-    """Smoothed level of y (NaN = missing), signal-to-noise ratio by concentrated likelihood."""
-    seen = ~np.isnan(y)
-    if seen.sum() < 3:
-        return np.where(seen, y, np.nanmean(y) if seen.any() else np.nan)
-    n, m = len(y), len(ratios)
-    a = np.full(m, y[seen][0])
-    p = np.full(m, 1e7)
-    level, var, pred_var = np.empty((n, m)), np.empty((n, m)), np.empty((n, m))
-    sse, logdet, count = np.zeros(m), np.zeros(m), 0
-    for i in range(n):
-        pred_var[i] = p
-        if seen[i]:
-            f = p + 1.0
-            e = y[i] - a
-            if count:
-                sse += e * e / f
-                logdet += np.log(f)
-            count += 1
-            a = a + p / f * e
-            p = p - p * p / f
-        level[i], var[i] = a, p
-        p = p + ratios
-    pick = int(np.argmin((count - 1) * np.log(np.maximum(sse, 1e-300)) + logdet))
-    out = level[:, pick].copy()
-    for i in range(n - 2, -1, -1):
-        out[i] += var[i, pick] / (var[i, pick] + ratios[pick]) * (out[i + 1] - level[i, pick])
-    return out
-
-
-def fill_local_level(df: DataFrame, by: list[str], t: str, v: str, name: str = "filled") -> DataFrame:
-    """Missing values from the smoothed local-level model of each series.
-
-    The groups handed to pandas are panel series, bounded by the calendar.
-    """
-    ratios = np.logspace(-4, 3, 36)
-    schema = T.StructType([*[df.schema[c] for c in by], df.schema[t], T.StructField(name, T.DoubleType())])
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t)
-        y = pdf[v].to_numpy(dtype=float)
-        est = _local_level(y, ratios)
-        out = pdf[[*by, t]].copy()
-        out[name] = np.where(np.isnan(y), est, y)
-        return out
-
-    return df.select(*by, t, F.col(v).cast("double").alias(v)).groupBy(*by).applyInPandas(smooth, schema)
-
-
 def trend_days(df: DataFrame, day: str) -> DataFrame:
     """Days since the first date of the frame, and the square."""
     start = df.agg(F.min(day).alias("lo")).select("lo").scalar()

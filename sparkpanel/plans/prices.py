@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 from sparkpanel.operators.aggregates import share, sum_strict, weighted_agg
 from sparkpanel.operators.nearest import nearest_join, neighbours
 from sparkpanel.operators.polygons import point_in_polygon
-from sparkpanel.operators.windows import fill_local_level, lag_calendar
+from sparkpanel.operators.state_space import fill_local_level
+from sparkpanel.operators.windows import lag_calendar
 from sparkpanel.session import cut_lineage
 
 CELL = ["market", "commodity", "month"]
@@ -210,10 +211,23 @@ def zone_price(prices: DataFrame, weights: DataFrame, zone: str = "zone") -> Dat
     )
 
 
-def point_price(points: DataFrame, coords: DataFrame, prices: DataFrame, point: str) -> DataFrame:
-    """Price series of the market nearest to each point; a point without one stays, with nulls."""
+def _asked(near: DataFrame, asked: DataFrame | None, point: str) -> tuple[DataFrame, list[str]]:
+    """Points with their market, one row for each month asked for, and what their prices are joined on."""
+    if asked is None:
+        return near, ["market"]
+    # Pairs lead: the markets of points are the smaller side, and points nobody asks for go.
+    return asked.select(point, "month").distinct().join(near, point), ["market", "month"]
+
+
+def point_price(points: DataFrame, coords: DataFrame, prices: DataFrame, point: str, asked: DataFrame | None = None) -> DataFrame:
+    """Price series of the market nearest to each point; a point without one stays, with nulls.
+
+    ``asked`` holds pairs (point, month): then only these are made, and a pair without a
+    price stays, with nulls. Pairs of unknown points are left out.
+    """
     near = nearest_join(points, coords, point, "market", right_name="market").select(point, "market", "dist_km")
-    return near.join(prices, "market", "left")
+    rows, keys = _asked(near, asked, point)
+    return rows.join(prices, keys, "left")
 
 
 def price_panel(prices: DataFrame, by: list[str], commodities: dict[str, str], value: str, prefix: str) -> DataFrame:
@@ -239,17 +253,20 @@ def zone_price_thin(prices: DataFrame, weights: DataFrame, zone: str = "zone") -
 
 
 def station_price(
-    stations: DataFrame, coords: DataFrame, points: DataFrame, point: str, commodity: str, national: str
+    stations: DataFrame, coords: DataFrame, points: DataFrame, point: str, commodity: str, national: str,
+    asked: DataFrame | None = None, signal: float | None = None,
 ) -> DataFrame:
     """Current and previous-month price of the nearest station for one commodity.
 
     The national average row is dropped and gaps are filled per station by the
-    local-level model before the join.
+    local-level model before the join. ``asked`` as in ``point_price``, ``signal`` as in
+    ``fill_local_level``.
     """
     series = stations.filter((F.col("commodity") == commodity) & (F.col("market") != national))
-    filled = fill_local_level(series, ["market"], "month", "price", "price")
+    filled = fill_local_level(series, ["market"], "month", "price", "price", signal)
     near = nearest_join(points, coords, point, "market", right_name="market").select(point, "market")
-    return near.join(lag_calendar(filled, ["market"], "month", ["price"], 1, "_lag"), "market", "left")
+    rows, keys = _asked(near, asked, point)
+    return rows.join(lag_calendar(filled, ["market"], "month", ["price"], 1, "_lag"), keys, "left")
 
 
 def catchment_weights(pixels: DataFrame, zones: DataFrame, coords: DataFrame, zone: str, pop: str = "pop") -> DataFrame:

@@ -163,3 +163,22 @@ NATION_MONTH_SQL = """nm AS (
   SELECT c_nationkey AS zone, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
          round(avg(ln(o_totalprice)), 6) AS value, count(*) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
+
+
+#: Share of the level in the variances where a query gives it instead of fitting it.
+KNOWN_SIGNAL = 0.3
+
+
+def level_sql(source: str, keys: str, signal: float) -> str:
+    """numbered (rows with their place i) and backward (smoothed level), for a query WITH RECURSIVE: a local-level model, step by step."""
+    q, h = f"{signal}::DOUBLE", f"{1 - signal}::DOUBLE"
+    return f"""numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY month) AS i FROM {source}),
+forward AS (SELECT {keys}, i, price AS level, CASE WHEN price IS NOT NULL THEN {h} END AS spread FROM numbered WHERE i = 1
+  UNION ALL SELECT {', '.join(f'n.{k.strip()}' for k in keys.split(','))}, n.i,
+    CASE WHEN n.price IS NULL THEN f.level WHEN f.level IS NULL THEN n.price ELSE f.level + (f.spread + {q}) / (f.spread + {q} + {h}) * (n.price - f.level) END,
+    CASE WHEN n.price IS NULL THEN f.spread + {q} WHEN f.level IS NULL THEN {h} ELSE (f.spread + {q}) * {h} / (f.spread + {q} + {h}) END
+  FROM forward f JOIN numbered n ON {' AND '.join(f'n.{k.strip()} = f.{k.strip()}' for k in keys.split(','))} AND n.i = f.i + 1),
+passed AS MATERIALIZED (SELECT * FROM forward),
+backward AS (SELECT {keys}, i, level AS smooth FROM passed QUALIFY i = max(i) OVER (PARTITION BY {keys})
+  UNION ALL SELECT {', '.join(f'p.{k.strip()}' for k in keys.split(','))}, p.i, CASE WHEN p.level IS NULL THEN b.smooth ELSE p.level + p.spread / (p.spread + {q}) * (b.smooth - p.level) END
+  FROM backward b JOIN passed p ON {' AND '.join(f'p.{k.strip()} = b.{k.strip()}' for k in keys.split(','))} AND p.i = b.i - 1)"""

@@ -13,8 +13,8 @@ from sparkpanel.operators.polygons import area_mean, parts_area, point_in_parts,
 from sparkpanel.operators.windows import dense_grid
 from sparkpanel.plans import prices as pr
 from sparkpanel.queries.base import (
-    COORD_SQL, DENSE_SQL, PRICE_SQL, hav_sql, lat, lat_sql, lon, lon_sql, market_coords, price_obs, prices_dense, query,
-    rounded, table,
+    COORD_SQL, DENSE_SQL, KNOWN_SIGNAL, PRICE_SQL, hav_sql, lat, lat_sql, level_sql, lon, lon_sql, market_coords, month_start, price_obs,
+    prices_dense, query, rounded, table,
 )
 
 # ---- distances
@@ -359,6 +359,21 @@ def point_price(spark, sf):
     return rounded(_month_text(pr.point_price(cust_points(spark, sf), market_coords(spark, sf), price_obs(spark, sf), "c_custkey")), ["price"])
 
 
+_ASKED = "asked AS (SELECT DISTINCT o_custkey AS c_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders)"
+
+
+def asked_months(spark, sf):
+    """The months in which a customer ordered."""
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), month_start("o_orderdate").alias("month"))
+
+
+@query("point_price_asked", f"""WITH {PRICE_SQL}, {_NEAR}, {_ASKED} SELECT c_custkey, market, dist_km, commodity, CAST(month AS VARCHAR) AS month, round(price, 6) AS price
+  FROM asked JOIN near USING (c_custkey) LEFT JOIN pobs USING (market, month)""")
+def point_price_asked(spark, sf):
+    found = pr.point_price(cust_points(spark, sf), market_coords(spark, sf), price_obs(spark, sf), "c_custkey", asked_months(spark, sf))
+    return rounded(_month_text(found), ["price"])
+
+
 _KINDS = {"PROMO": "maize", "LARGE": "rice", "SMALL": "nuts", "MEDIUM": "beans"}
 
 
@@ -380,17 +395,35 @@ def price_panel(spark, sf):
 
 
 # A coarse source: one station per supplier nation and a national row, monthly.
-def station_frame(spark, sf):
+def station_frame(spark, sf, asked=None, signal=None):
     supp = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("market"), F.col("s_nationkey").cast("string").alias("station"))
     obs = price_obs(spark, sf).join(supp, "market")
     rows = obs.groupBy(F.col("station").alias("market"), "commodity", "month").agg(F.avg("price").alias("price"))
     national = obs.groupBy("commodity", "month").agg(F.avg("price").alias("price")).withColumn("market", F.lit("national"))
     coords = market_coords(spark, sf).join(supp, "market").groupBy(F.col("station").alias("market")).agg(
-        F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+        F.round(F.avg("lat"), 6).alias("lat"), F.round(F.avg("lon"), 6).alias("lon"))
     stations = pr.dense_prices(rows.unionByName(national), ["PROMO"])
-    return pr.station_price(stations, coords, cust_points(spark, sf), "c_custkey", "PROMO", "national")
+    return pr.station_price(stations, coords, cust_points(spark, sf), "c_custkey", "PROMO", "national", asked, signal)
 
 
 @query("station_price")
 def station_price(spark, sf):
     return rounded(_month_text(station_frame(spark, sf)), ["price", "price_lag"])
+
+
+@query("station_price_known", f"""WITH RECURSIVE {PRICE_SQL}, {COORD_SQL}, {_ASKED},
+  st AS (SELECT s_suppkey AS supp, CAST(s_nationkey AS VARCHAR) AS station FROM supplier),
+  sobs AS (SELECT station, commodity, month, avg(price) AS price FROM pobs JOIN st ON supp = market GROUP BY ALL),
+  stations AS (SELECT s.station, t.month, o.price FROM (SELECT DISTINCT station FROM sobs) s
+    CROSS JOIN (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM sobs) t
+    LEFT JOIN sobs o ON o.station = s.station AND o.month = t.month AND o.commodity = 'PROMO'),
+  {level_sql('stations', 'station', KNOWN_SIGNAL)},
+  full_ AS (SELECT station, month, coalesce(price, smooth) AS price FROM numbered JOIN backward USING (station, i)),
+  places AS (SELECT station, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon FROM coords JOIN st ON supp = market GROUP BY ALL),
+  cust AS (SELECT c_custkey, {lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer),
+  nearest AS (SELECT c_custkey, station, round({hav_sql('cust.lat', 'cust.lon', 'p.lat', 'p.lon')}, 6) AS dk FROM cust CROSS JOIN places p
+    QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY dk, station) = 1)
+  SELECT c_custkey, station AS market, CAST(a.month AS VARCHAR) AS month, round(f.price, 6) AS price, round(b.price, 6) AS price_lag
+  FROM asked a JOIN nearest USING (c_custkey) LEFT JOIN full_ f USING (station, month) LEFT JOIN full_ b ON b.station = nearest.station AND f.month = b.month + INTERVAL 1 MONTH""")
+def station_price_known(spark, sf):
+    return rounded(_month_text(station_frame(spark, sf, asked_months(spark, sf), KNOWN_SIGNAL)), ["price", "price_lag"])

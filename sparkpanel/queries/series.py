@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkpanel.functions.calendar import crop_year_number, season_day as season_day_of
 from sparkpanel.operators import joins, windows
 from sparkpanel.operators.clean import group_mean_fill as mean_fill
+from sparkpanel.operators.state_space import fill_local_level, level_deviance, local_level_fit
 from sparkpanel.plans import seasons as sea
 from sparkpanel.queries.base import (
-    DENSE_SQL, NATION_MONTH_SQL, RAIN_OBS_SQL, RAIN_SQL, SEASON_RAIN_SQL, nation_month, prices_dense, query,
+    DENSE_SQL, KNOWN_SIGNAL, NATION_MONTH_SQL, RAIN_OBS_SQL, RAIN_SQL, SEASON_RAIN_SQL, level_sql, nation_month, prices_dense, query,
     CROP_YEAR_SQL, rain_daily, rain_obs, rounded, season_rain, ship_days, table,
 )
 
@@ -160,7 +163,26 @@ def interp_stine(spark, sf):
 
 @query("fill_kalman")
 def fill_kalman(spark, sf):
-    return rounded(_text(windows.fill_local_level(prices_dense(spark, sf), SERIES, "month", "price"), "month"), ["filled"])
+    return rounded(_text(fill_local_level(prices_dense(spark, sf), SERIES, "month", "price"), "month"), ["filled"])
+
+
+@query("fill_kalman_known", f"""WITH RECURSIVE {DENSE_SQL}, {level_sql('dense', 'market, commodity', KNOWN_SIGNAL)}
+  SELECT market, commodity, CAST(month AS VARCHAR) AS month, round(coalesce(price, smooth), 6) AS filled FROM numbered JOIN backward USING (market, commodity, i)""")
+def fill_kalman_known(spark, sf):
+    filled = fill_local_level(prices_dense(spark, sf), SERIES, "month", "price", signal=KNOWN_SIGNAL)
+    return rounded(_text(filled, "month"), ["filled"])
+
+
+@query("level_optimum", f"""WITH {DENSE_SQL} SELECT market, commodity, count(price) AS n_known, true AS likeliest FROM dense GROUP BY ALL HAVING count(price) > 2""")
+def level_optimum(spark, sf):
+    # The fitted signal against its neighbours and a row of others, by a filter that is written in SQL functions.
+    fits = local_level_fit(prices_dense(spark, sf), SERIES, "month", "price").filter("n_known > 2")
+    values, angle = F.transform("steps", lambda s: s["value"]), F.asin(F.sqrt("signal"))
+    beside = [F.greatest(angle - 0.005, F.lit(0.0)), F.least(angle + 0.005, F.lit(math.pi / 2))]
+    angles = F.array(*beside, *[F.lit(math.pi / 2 * i / 8) for i in range(9)])
+    others = F.transform(angles, lambda a: level_deviance(values, F.pow(F.sin(a), 2)))
+    likeliest = level_deviance(values, F.col("signal")) <= F.array_min(others) + 1e-7
+    return fits.select(*SERIES, "n_known", likeliest.alias("likeliest"))
 
 
 @query("trend_days", """SELECT o_orderkey, CAST(o_orderdate::DATE - (SELECT min(o_orderdate)::DATE FROM orders) AS INTEGER) AS trend,

@@ -148,11 +148,6 @@ def test_linear_and_stineman_fill(spark):
     assert straight == pytest.approx([0, 1, 2, 3, 4])
 
 
-def test_local_level_keeps_known_and_fills_between(spark):
-    got = [r["filled"] for r in windows.fill_local_level(series(spark, [1.0, 2.0, None, 4.0, 5.0, None]), ["e"], "t", "v").orderBy("t").collect()]
-    assert got[:2] == [1.0, 2.0] and 2 < got[2] < 4 and got[5] == pytest.approx(5.0, abs=0.7)
-
-
 def test_fill_group_and_deviation(spark):
     df = spark.createDataFrame([("q1", 1, None), ("q1", 2, 2.0), ("q1", 3, None), ("q2", 1, 5.0), ("q2", 2, None), ("q2", 3, None)], "g string, t int, v double")
     got = [r["v"] for r in windows.fill_group(df, ["g"], "t", "v").orderBy("g", "t").collect()]
