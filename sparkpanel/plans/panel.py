@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions.calendar import month_flags, quarter_flags
 from sparkpanel.operators.aggregates import collapse_mean
+from sparkpanel.operators.clean import group_mean_fill
 from sparkpanel.operators.dedup import first_per_key
 from sparkpanel.operators.reshape import dummies, interact
 from sparkpanel.operators.windows import broadcast_mean
@@ -17,13 +18,17 @@ from sparkpanel.session import cut_lineage
 
 def hh_panel(
     hh: DataFrame, prices: DataFrame, season: DataFrame, price_keys: Sequence[str], season_keys: Sequence[str],
-    month: str = "month", required: Sequence[str] = (),
+    month: str = "month", required: Sequence[str] = (), fill: Sequence[str] = (), fill_by: Sequence[str] = (),
 ) -> DataFrame:
     """Households with current and previous-month prices and their season statistics.
 
-    ``prices`` is unique per (price_keys, month), ``season`` per season_keys. Rows
-    without one of ``required`` are dropped.
+    ``prices`` is unique per (price_keys, month), ``season`` per season_keys. Missing
+    values of ``fill`` first become the mean of the households that share ``fill_by``
+    (cluster and interview month), whatever is dropped later; they stay missing where none
+    of these knows one. Rows without one of ``required`` are dropped.
     """
+    if fill:
+        hh = group_mean_fill(hh, list(fill_by), list(fill))
     values = [c for c in prices.columns if c not in (*price_keys, month)]
     now = prices.withColumnsRenamed({c: f"{c}_current" for c in values})
     before = prices.select(
@@ -38,11 +43,16 @@ def cluster_panel(
     hh: DataFrame, cluster: str, year: str, month: str, names: Sequence[str], area: str, area_cols: Sequence[str],
     region: str, regions: Sequence[str], zone: str | None = None, zones: Sequence | None = None,
     thousands: Sequence[str] = ("raincytot", "elevation"), fcs: str = "FCS", strict_reference: bool = False,
+    region_of: DataFrame | None = None,
 ) -> DataFrame:
     """Cluster-year means with area means, calendar and region dummies and their products.
 
-    ``names`` are label columns of the household rows, taken once per cluster.
+    ``names`` are label columns of the household rows, taken once per cluster. With
+    ``region_of`` (cluster, year, region; see ``region_fill``) regions come from there,
+    one for each cluster and year, and those of the households go.
     """
+    if region_of is not None:
+        hh, names = hh.drop(region), [n for n in names if n != region]
     # The master and the cluster means feed several branches each: both are written stages.
     hh = cut_lineage(hh)
     labels = first_per_key(hh.select(cluster, *names).distinct(), [cluster], list(names))
@@ -51,7 +61,10 @@ def cluster_panel(
         f"log{fcs}": F.when(F.col(fcs) > 0, F.log(fcs)),
         **{c: F.col(c) / 1000 for c in thousands if c in out.columns},
     })
-    out = cut_lineage(out.join(labels, cluster, "left"))
+    out = out.join(labels, cluster, "left")
+    if region_of is not None:
+        out = out.join(region_of.select(cluster, year, region), [cluster, year], "left")
+    out = cut_lineage(out)
     out = broadcast_mean(out, [area, year], list(area_cols), "TA_")
     m = F.col(month)
     out = out.withColumns({**quarter_flags(m, strict_reference), **month_flags(m)})

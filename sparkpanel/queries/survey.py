@@ -269,3 +269,51 @@ def cluster_panel(spark, sf):
         "ea_id", "FS_year", "TA_names", "zone", "region", *_CL, *[f"quarter{n}" for n in range(1, 5)], "month7",
         *[f"region_{r}" for r in REGIONS], *[f"quarter{n}_region_ASIA" for n in range(1, 5)])
     return rounded(out, _CL)
+
+
+# ---- the panels with what households leave out: answers from the cluster's other households, regions from labels or latitude
+
+_FILLED = ["number_celphones", "hh_age", "dist_road", "elevation"]
+_AREAS = ["South", "Central", "North"]
+GAP_SQL = MASTER_SQL.replace("prior AS (", f"""gap AS (SELECT * REPLACE (CASE WHEN case_id % 5 > 1 THEN number_celphones END AS number_celphones, CASE WHEN case_id % 7 > 2 THEN hh_age END AS hh_age,
+    CASE WHEN case_id % 4 = 1 THEN dist_road END AS dist_road, CASE WHEN ea_id % 6 > 0 THEN elevation END AS elevation,
+    CASE WHEN case_id % 8 <> 1 THEN '' WHEN zone < 9 THEN 'South' WHEN zone < 17 THEN 'Central' ELSE 'North' END AS region) FROM hhb),
+hhf AS (SELECT * REPLACE ({', '.join(f"coalesce(CAST({c} AS DOUBLE), avg({c}) OVER (PARTITION BY ea_id, FS_year, FS_month)) AS {c}" for c in _FILLED)}) FROM gap),
+place AS (SELECT ea_id, FS_year, min(nullif(region, '')) AS label, avg({lat_sql('ea_id')}) AS la FROM gap GROUP BY ALL),
+lim AS (SELECT min(la) AS lo, (max(la) - min(la)) / 3 AS width FROM place WHERE label IS NULL),
+region_of AS (SELECT ea_id, FS_year, coalesce(label, CASE WHEN la <= lo + width THEN 'South' WHEN la <= lo + width * 2 THEN 'Central' ELSE 'North' END) AS region FROM place, lim),
+prior AS (""", 1).replace("FROM hhb h ASOF", "FROM hhf h ASOF")
+
+
+def gappy(spark, sf):
+    """Households that leave out answers, and regions."""
+    key, ea, zone = F.col("case_id"), F.col("ea_id"), F.col("zone")
+    area = F.when(zone < 9, "South").when(zone < 17, "Central").otherwise("North")
+    return households(spark, sf).withColumns({
+        "number_celphones": F.when(key % 5 > 1, F.col("number_celphones")), "hh_age": F.when(key % 7 > 2, F.col("hh_age")),
+        "dist_road": F.when(key % 4 == 1, F.col("dist_road")), "elevation": F.when(ea % 6 > 0, F.col("elevation")),
+        "region": F.when(key % 8 == 1, area).otherwise(""),
+    })
+
+
+def master_filled(spark, sf, hh):
+    return panel.hh_panel(hh, zone_prices(spark, sf), zone_seasons(spark, sf), ["zone"], ["zone", "FS_year"],
+                          required=["zone", "maize_current", "raincytot"], fill=_FILLED, fill_by=["ea_id", "FS_year", "FS_month"])
+
+
+@query("hh_panel_filled", f"""WITH {GAP_SQL} SELECT case_id, ea_id, FS_year AS "FS_year", FS_month AS "FS_month", {', '.join(f'round({c}, 6) AS {c}' for c in _FILLED)}, round(maize_current, 6) AS maize_current FROM master""")
+def hh_panel_filled(spark, sf):
+    out = master_filled(spark, sf, gappy(spark, sf)).select("case_id", "ea_id", "FS_year", "FS_month", *_FILLED, "maize_current")
+    return rounded(out, [*_FILLED, "maize_current"])
+
+
+@query("cluster_panel_filled", f"""WITH {GAP_SQL}, cl AS (SELECT ea_id, FS_year, avg(FCS) AS FCS, avg(FS_month) AS FS_month, avg(number_celphones) AS number_celphones, avg(hh_age) AS hh_age, avg(dist_road) AS dist_road,
+    avg(elevation) / 1000 AS elevation FROM master GROUP BY ALL)
+  SELECT ea_id, FS_year AS "FS_year", region, {', '.join(f'round({c}, 6) AS "{c}"' for c in ['FCS', *_FILLED])}, {', '.join(f"CAST(region = '{r}' AS INTEGER) AS \"region_{r}\"" for r in _AREAS)},
+    {', '.join(f"{_q(1)} * CAST(region = '{r}' AS INTEGER) AS \"quarter1_region_{r}\"" for r in _AREAS)} FROM cl LEFT JOIN region_of USING (ea_id, FS_year)""")
+def cluster_panel_filled(spark, sf):
+    hh = cut_lineage(gappy(spark, sf))
+    region_of = scores.region_fill(hh.withColumn("lat", lat("ea_id")), ["ea_id", "FS_year"], "region", "lat", tuple(_AREAS))
+    rows = master_filled(spark, sf, hh).drop("case_id", "month")
+    out = panel.cluster_panel(rows, "ea_id", "FS_year", "FS_month", ["TA_names", "zone", "region"], "TA_names", _TA, "region", _AREAS, region_of=region_of)
+    return rounded(out.select("ea_id", "FS_year", "region", "FCS", *_FILLED, *[f"region_{r}" for r in _AREAS], *[f"quarter1_region_{r}" for r in _AREAS]), ["FCS", *_FILLED])
