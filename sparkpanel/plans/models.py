@@ -466,6 +466,7 @@ class NetFit:
     lam: float
     cv_rmse: float
     path: list[tuple[float, float, float]]
+    dropped: list[str] = field(default_factory=list)
 
     def predictor(self) -> Column:
         terms = [F.lit(b) * (F.col(t).cast("double") if t != "intercept" else F.lit(1.0)) for t, b in self.coef.items()]
@@ -493,14 +494,19 @@ def _net_path(sxx, sxy, alphas, lambdas, sweeps: int = 1000, tol: float = 1e-8):
         yield lam, b.copy()
 
 
-def _standard(m: np.ndarray):
-    """Means, deviations and standardised cross-products of a (1, xs, y) matrix."""
+def _standard(m: np.ndarray, shift: np.ndarray):
+    """Means, deviations and standardised cross-products of a (1, xs, y) matrix, and which regressors vary.
+
+    One that doesn't has no products, so that it stays out at every penalty; what rounding
+    leaves of it is judged against its size before centring.
+    """
     n = max(m[0, 0], 1.0)
     mean = m[0, 1:] / n
     cov = m[1:, 1:] / n - np.outer(mean, mean)
-    sd = np.sqrt(np.maximum(np.diag(cov)[:-1], 0))
-    safe = np.where(sd > 0, sd, 1.0)
-    return mean, safe, cov[:-1, :-1] / np.outer(safe, safe), cov[:-1, -1] / safe
+    raw = np.diag(m)[1:] / n + shift**2
+    varies = np.diag(cov)[:-1] > 1e-12 * np.maximum(raw[:-1], 1e-300)
+    sd = np.sqrt(np.where(varies, np.diag(cov)[:-1], 1.0))
+    return mean, sd, cov[:-1, :-1] / np.outer(sd, sd) * np.outer(varies, varies), cov[:-1, -1] / sd * varies, varies
 
 
 def elastic_net_cv(
@@ -511,7 +517,8 @@ def elastic_net_cv(
 
     One pass gives the cross-products of each fold; training sets are their sums and
     held-out errors are quadratic forms in them, so no fold is read twice. Mixing
-    values above 1 count as 1.
+    values above 1 count as 1. A regressor that is constant over the rows has the
+    coefficient 0 and is listed in ``dropped``.
     """
     alphas = sorted({min(1.0, a) for a in (alphas if alphas is not None else np.arange(0, 5.01, 0.1).round(1))})
     lambdas = np.sort(lambdas if lambdas is not None else 10 ** np.linspace(-3, 3, 100))[::-1]
@@ -524,20 +531,20 @@ def elastic_net_cv(
     used = [f for f in range(folds) if mats[f][0, 0] > 0 and total[0, 0] - mats[f][0, 0] > 1]
     a_grid = np.array(alphas)
 
-    prep = [_standard(total - mats[f]) for f in used]
+    prep = [_standard(total - mats[f], shift) for f in used]
     stack = [(a, f) for a in range(len(a_grid)) for f in range(len(used))]
     sxx = np.array([prep[f][2] for _, f in stack])
     sxy = np.array([prep[f][3] for _, f in stack])
     errors = np.zeros((len(lambdas), len(a_grid)))
     for li, (_, b) in enumerate(_net_path(sxx, sxy, a_grid[[a for a, _ in stack]], lambdas)):
         for row, (a, f) in enumerate(stack):
-            mean, sd, _, _ = prep[f]
+            mean, sd, *_ = prep[f]
             slope = b[row] / sd
             w = np.concatenate([[-(mean[-1] - slope @ mean[:-1])], -slope, [1.0]])
             m = mats[used[f]]
             errors[li, a] += math.sqrt(max(w @ m @ w, 0.0) / m[0, 0]) / len(used)
     li, ai = np.unravel_index(np.argmin(errors), errors.shape)
-    mean, sd, cxx, cxy = _standard(total)
+    mean, sd, cxx, cxy, varies = _standard(total, shift)
     for lam, b in _net_path(cxx[None], cxy[None], a_grid[[ai]], lambdas[: li + 1]):
         pass
     slope = b[0] / sd
@@ -545,7 +552,7 @@ def elastic_net_cv(
     path = [(float(a_grid[j]), float(lambdas[i]), float(errors[i, j])) for i in range(len(lambdas)) for j in range(len(a_grid))]
     return NetFit(
         spec, {"intercept": float(intercept), **{x: float(v) for x, v in zip(spec.xs, slope)}},
-        float(a_grid[ai]), float(lambdas[li]), float(errors[li, ai]), path,
+        float(a_grid[ai]), float(lambdas[li]), float(errors[li, ai]), path, [x for x, v in zip(spec.xs, varies) if not v],
     )
 
 
@@ -696,8 +703,17 @@ def tobit_fit(df: DataFrame, y: str, xs: Sequence[str], rounds: int = 30, name:
     return TobitFit(spec, coef, float(sigma), float(lnl), float(lnl0), start.n, int(censored), float(limit), se, float(np.abs(grad).max() / start.n))
 
 
+def unaliased(df: DataFrame, y: str, xs: Sequence[str]) -> list[str]:
+    """Regressors left when constant and aliased ones are dropped in declared order, over the complete rows."""
+    dropped = ols_fit(df, y, xs).dropped
+    return [x for x in xs if x not in dropped]
+
+
 def binary_fit(df: DataFrame, y: str, xs: Sequence[str], link: str = "logit"):
-    """Logit or probit of a flag, where any known non-zero value counts as 1."""
+    """Logit or probit of a flag, where any known non-zero value counts as 1.
+
+    Without errors of the coefficients where a regressor is aliased; see ``unaliased``.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 

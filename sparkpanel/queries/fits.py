@@ -304,6 +304,10 @@ def enet_conditions(spark, sf):
         rest = F.col("_y") - sum((F.lit(fit.coef[x]) * F.col(x) for x in _OPEN), F.lit(fit.coef["intercept"]))
         excess = []
         for x in _OPEN:
+            if x in fit.dropped:
+                # A constant takes nothing off the error.
+                excess.append(F.lit(0.0).alias(x))
+                continue
             b, l1, l2 = fit.coef[x], fit.lam * fit.alpha, fit.lam * (1 - fit.alpha)
             sd = F.stddev_pop(x)
             slope = F.covar_pop(rest, F.col(x)) / sd
