@@ -352,13 +352,16 @@ def logit(spark, sf):
     df = cut_lineage(staged(spark, sf).select(*_SHORT, *[F.when(F.col(y).isNotNull(), c.cast("int")).alias(y) for y, c in flags.items()]))
     rows = []
     for y in MEASURES:
+        known = df.dropna(subset=[y, *_SHORT])
+        # Aliased regressors have no estimate and no row.
+        kept = md.unaliased(known, y, _SHORT)
         for link in ("logit", "probit"):
-            fit = md.binary_fit(df, y, _SHORT, link)
+            fit = md.binary_fit(known, y, kept, link)
             s = fit.summary
             # The summary lists the slopes first and the intercept last.
             rows += [
                 (y, link, t, float(b), float(se), float(z), float(p))
-                for t, b, se, z, p in zip([*_SHORT, "intercept"], [*fit.coefficients, fit.intercept], s.coefficientStandardErrors, s.tValues, s.pValues)
+                for t, b, se, z, p in zip([*kept, "intercept"], [*fit.coefficients, fit.intercept], s.coefficientStandardErrors, s.tValues, s.pValues)
             ]
     return spark.createDataFrame(rows, "measure string, link string, term string, estimate double, se double, z double, p double")
 
@@ -374,11 +377,13 @@ def binary_score(spark, sf):
     df = cut_lineage(staged(spark, sf).select(F.lit(1.0).alias("intercept"), *[F.col(x).cast("double").alias(x) for x in _SHORT], *flags))
     parts = None
     for y in MEASURES:
-        rows = VectorAssembler(inputCols=_SHORT, outputCol="_x").transform(df.dropna(subset=[y, *_SHORT]))
+        known = df.dropna(subset=[y, *_SHORT])
+        kept = md.unaliased(known, y, _SHORT)
+        rows = VectorAssembler(inputCols=kept, outputCol="_x").transform(known)
         for link in ("logit", "probit"):
-            fit = md.binary_fit(df, y, _SHORT, link)
+            fit = md.binary_fit(known, y, kept, link)
             p = F.col("prediction")
-            eta = sum((F.lit(float(b)) * F.col(x) for b, x in zip(fit.coefficients, _SHORT)), F.lit(float(fit.intercept)))
+            eta = sum((F.lit(float(b)) * F.col(x) for b, x in zip(fit.coefficients, kept)), F.lit(float(fit.intercept)))
             # The slope of the link over the variance, which is 1 for the logit.
             weight = F.lit(1.0) if link == "logit" else F.coalesce(F.exp(-eta * eta / 2) / F.nullif(p * (1 - p), F.lit(0.0)), F.lit(0.0))
             score = [F.abs(F.round(F.avg((F.col(y) - p) * weight * F.col(t)) / F.avg(F.abs(F.col(t))), 5)).alias(t) for t in ("intercept", *_SHORT)]
