@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkpanel.functions.calendar import crop_year_number, season_day
-from sparkpanel.operators.aggregates import sum_strict
+from sparkpanel.operators.aggregates import attach, sum_strict
 from sparkpanel.operators.windows import median_ahead, panel, run_length
 from sparkpanel.session import cut_lineage
 
@@ -110,6 +110,42 @@ def season_stats(
     )
 
 
+def _dry_runs(wet: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds _gap, the days without rain right before the row; rows have the place _pos of their day among ``keys``."""
+    return wet.withColumn("_gap", F.col("_pos") - F.coalesce(F.lag("_pos").over(panel(keys, "_pos")), F.lit(0)) - 1)
+
+
+def observed_season_stats(
+    obs: DataFrame, by: list[str], date: str, rain: str, seasons: DataFrame, k: int = 5, threshold: float = ONSET_MM
+) -> DataFrame:
+    """``season_stats`` of the ``season_grid`` of ``obs``, from the days with rain alone.
+
+    ``obs`` is unique per (by, date). Days without a row are dry and never become rows: dry
+    spells are what lies between wet days, and the median of k (odd) days exceeds a threshold
+    that isn't negative where (k + 1) / 2 of them do.
+    """
+    if k % 2 == 0 or threshold < 0:
+        return season_stats(season_grid(obs, by, date, seasons, rain), by, date, rain, k, threshold)
+    lim = obs.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+    days = seasons.select(F.explode(F.sequence("start", "end")).alias(date), "cropyear").filter(
+        F.col(date).between(lim.select("lo").scalar(), lim.select("hi").scalar()))
+    # A calendar: some thousand days.
+    days = cut_lineage(days.withColumn("_pos", F.row_number().over(panel(["cropyear"], date))))
+    sizes = days.groupBy("cropyear").agg(F.count(F.lit(1)).cast("int").alias("_days"))
+    wet = obs.withColumn(rain, F.coalesce(rain, F.lit(0.0))).filter(F.col(rain) != 0).dropna(subset=by)
+    keys = [*by, "cropyear"]
+    wet = _dry_runs(wet.join(F.broadcast(days), date), keys)
+    high = F.count_if(F.col(rain) > threshold).over(panel(keys, "_pos").rangeBetween(1 - k, 0))
+    found = wet.withColumn("_start", F.when(high >= (k + 1) // 2, F.greatest(F.lit(1), F.col("_pos") - (k - 1)))).groupBy(*keys).agg(
+        F.sum(rain).alias("_sum"), F.min("_start").alias("_first"), F.max("_gap").alias("_gap"), F.max("_pos").alias("_last"),
+        F.max(rain).alias("_top"), F.count(F.lit(1)).alias("_wet"))
+    grid = attach(obs.select(*by).distinct().crossJoin(F.broadcast(sizes)), found, keys)
+    top = F.when(F.col("_wet") == F.col("_days"), F.col("_top")).otherwise(F.greatest(F.lit(0.0), "_top"))
+    return grid.select(
+        *keys, F.coalesce("_sum", F.lit(0.0)).alias("raincytot"), F.when(F.col("_days") >= k, F.col("_first") + 2).alias("day1rain"),
+        F.greatest("_gap", F.col("_days") - F.coalesce("_last", F.lit(0))).alias("maxdaysnorain"), top.alias("rainmax"))
+
+
 def season_total(tagged: DataFrame, by: list[str], rain: str) -> DataFrame:
     return tagged.groupBy(*by, "cropyear").agg(sum_strict(rain).alias("raincytot"))
 
@@ -158,6 +194,34 @@ def dry_spell_legacy(
     return counts.groupBy(*by, "cropyr").agg(F.max("_days").alias("maxdaysnorain"))
 
 
+def observed_dry_spell_legacy(
+    obs: DataFrame, by: list[str], date: str, rain: str, first_year: int | Column, n_years: int | Column
+) -> DataFrame:
+    """``dry_spell_legacy`` of all days between the first and the last date of ``obs``, from the days with rain alone.
+
+    ``obs`` is unique per (by, date); days without a row are dry. Spells of October to March are
+    what lies between wet days, and the first goes on from that of 30 September; every other
+    day of April to September is a spell of its own.
+    """
+    lim = obs.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+    days = lim.select(F.explode(F.sequence("lo", "hi")).alias(date)).withColumn("cropyr", crop_year_number(date, first_year, n_years))
+    month = F.month(date)
+    summer = month.between(4, 9)
+    winter = F.when(~summer | ((month == 9) & (F.dayofmonth(date) == 30)), F.year(F.add_months(date, 6)))
+    # A calendar: some thousand days. Winters are numbered by the year they end in.
+    days = days.withColumns({"_summer": summer, "_winter": winter})
+    days = cut_lineage(days.withColumn("_pos", F.row_number().over(panel(["cropyr", "_winter"], date))))
+    part = ["cropyr", "_winter"]
+    sizes = days.groupBy(*part).agg(F.count(F.lit(1)).cast("int").alias("_days"), F.count_if("_summer").alias("_open"))
+    wet = obs.withColumn(rain, F.coalesce(rain, F.lit(0.0))).filter(F.col(rain) != 0).dropna(subset=by)
+    wet = _dry_runs(wet.join(F.broadcast(days), date), [*by, *part])
+    found = wet.groupBy(*by, *part).agg(F.max("_gap").alias("_gap"), F.max("_pos").alias("_last"), F.count_if("_summer").alias("_wet"))
+    grid = attach(obs.select(*by).distinct().crossJoin(F.broadcast(sizes)), found, [*by, *part])
+    longest = F.when(F.col("_winter").isNotNull(), F.greatest("_gap", F.col("_days") - F.coalesce("_last", F.lit(0)))).otherwise(0)
+    alone = (F.col("_open") > F.coalesce("_wet", F.lit(0))).cast("int")
+    return grid.groupBy(*by, "cropyr").agg(F.max(F.greatest(longest, alone)).cast("long").alias("maxdaysnorain"))
+
+
 def celsius_mean(tmax: Column, tmin: Column) -> Column:
     return (tmax + tmin) / 2 - KELVIN
 
@@ -185,15 +249,16 @@ def flood_exposure(season: DataFrame, zone: str, flood_zones: Iterable, rainmax:
 
 def season_panel(
     tagged_rain: DataFrame, daily_temp: DataFrame, seasons: DataFrame, by: str, zone: str, zones: DataFrame,
-    date: str = "day", rain: str = "rain", flood_zones: Iterable = (),
+    date: str = "day", rain: str = "rain", flood_zones: Iterable = (), observed: bool = False,
 ) -> DataFrame:
     """Season table keyed (entity, FS_year): entity rain statistics, zone temperature and floods.
 
-    ``tagged_rain`` has the season days with their crop year. ``zones`` maps entity to
-    zone. FS_year is crop year + 1, floods use the crop year.
+    ``tagged_rain`` has the season days with their crop year; if ``observed``, the days with
+    rain instead, whatever their season. ``zones`` maps entity to zone. FS_year is crop year + 1, floods use the crop year.
     """
     # Small beside the daily rows and read for entities and for zone maxima: written once.
-    rain_stats = cut_lineage(season_stats(tagged_rain, [by], date, rain))
+    stats = observed_season_stats(tagged_rain, [by], date, rain, seasons) if observed else season_stats(tagged_rain, [by], date, rain)
+    rain_stats = cut_lineage(stats)
     entity = rain_stats.join(zones, by, "left").withColumn("FS_year", F.col("cropyear") + 1).drop("cropyear")
     heat = temp_stats(season_join(daily_temp, date, seasons), [zone]).withColumn(
         "FS_year", F.col("cropyear") + 1

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkpanel.plans import seasons as sea
-from sparkpanel.queries.base import CROP_YEAR_SQL, RAIN_SQL, SEASON_RAIN_SQL, SEASON_SQL, query, rain_daily, rounded, season_rain, seasons, ship_days, table
+from sparkpanel.queries.base import CROP_YEAR_SQL, RAIN_SQL, SEASON_RAIN_SQL, SEASON_SQL, query, rain_daily, rain_obs, rounded, season_rain, seasons, ship_days, table
+from sparkpanel.session import cut_lineage
 
 FLOOD_ZONES = (4, 10, 15)
 
@@ -81,7 +82,8 @@ def season_onset_legacy(spark, sf):
   s AS (SELECT *, sum(CASE WHEN (was = 1 AND dry = 0) OR month(day) BETWEEN 4 AND 9 THEN 1 ELSE 0 END) OVER (PARTITION BY entity, cropyr ORDER BY day) AS spell FROM l)
   SELECT entity, cropyr, CAST(max(n) AS BIGINT) AS maxdaysnorain FROM (SELECT entity, cropyr, spell, sum(dry) AS n FROM s GROUP BY ALL) GROUP BY ALL""")
 def dry_spell_legacy(spark, sf):
-    return sea.dry_spell_legacy(rain_daily(spark, sf), ["entity"], "day", "rain", *sea.crop_years(ship_days(spark, sf), "day"))
+    obs = cut_lineage(rain_obs(spark, sf))
+    return sea.observed_dry_spell_legacy(obs, ["entity"], "day", "rain", *sea.crop_years(obs, "day"))
 
 
 @query("mean_temp", f"""WITH {TEMP_SQL}, {SEASON_SQL} SELECT zone, cropyear, round(avg(tmean), 6) AS tmean FROM temp JOIN seasons ON day BETWEEN s AND e GROUP BY ALL""")
@@ -109,7 +111,8 @@ def flood_exposure(spark, sf):
 
 def season_table(spark, sf):
     zones = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), F.col("s_nationkey").alias("zone"))
-    return sea.season_panel(season_rain(spark, sf), temp_daily(spark, sf), seasons(spark, sf), "entity", "zone", zones, flood_zones=FLOOD_ZONES)
+    obs = cut_lineage(rain_obs(spark, sf))
+    return sea.season_panel(obs, temp_daily(spark, sf), sea.seasons_spanning(obs, "day"), "entity", "zone", zones, flood_zones=FLOOD_ZONES, observed=True)
 
 
 PANEL_SQL = f"""{STATS_SQL}, {TEMP_SQL},
