@@ -32,9 +32,10 @@ GROUPS = {
 }
 
 
-def staged(spark, sf):
-    """The cluster panel as a written stage; every fit reads it several times."""
-    return cut_lineage(clusters(spark, sf))
+def staged(spark, sf, *cols):
+    """The cluster panel, or these of its columns, as a written stage; every fit reads it several times."""
+    panel_rows = clusters(spark, sf)
+    return cut_lineage(panel_rows.select(*dict.fromkeys(cols)) if cols else panel_rows)
 
 
 def levelled(spark, sf):
@@ -80,7 +81,7 @@ def ols_predict(spark, sf):
 
 @query("ols_multi")
 def ols_multi(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    train, _ = panel.split_year(staged(spark, sf, "FS_year", *MEASURES, *GROUPS["model3"], *QUARTERS, PRIOR), "FS_year", FIRST_TEST)
     specs = [md.ModelSpec(y, y, (*GROUPS["model3"], *QUARTERS, PRIOR)) for y in MEASURES]
     return md.coef_table(spark, md.fit_all(train, specs))
 
@@ -113,7 +114,7 @@ def _known_sql(where: str = "") -> str:
     round(1 - (ln(2 * pi()) + ln(sse / n) + 1) / (ln(2 * pi()) + ln(sst / n) + 1), 6) AS pseudo_r2
   FROM f, (VALUES {', '.join(f"({i + 1}, '{x}')" for i, x in enumerate(_OPEN))}) v(i, t)""")
 def ols_errors(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    train, _ = panel.split_year(staged(spark, sf, "FS_year", *MEASURES, *_OPEN), "FS_year", FIRST_TEST)
     fits = md.fit_all(train, [md.ModelSpec(y, y, _OPEN) for y in MEASURES])
     slopes = md.coef_table(spark, fits).filter("term <> 'intercept'").select("y", "term", "estimate", "se", "t", "n", "r2")
     both = slopes.join(md.fit_stats(spark, fits).select("y", "adj_r2", "lnl", "pseudo_r2"), "y")
@@ -122,14 +123,14 @@ def ols_errors(spark, sf):
 
 @query("fit_stats")
 def fit_stats(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    train, _ = panel.split_year(staged(spark, sf, "FS_year", *MEASURES, *GROUPS["model3"], *QUARTERS, PRIOR), "FS_year", FIRST_TEST)
     specs = [md.ModelSpec(m, y, (*xs, *QUARTERS, PRIOR)) for y in MEASURES for m, xs in GROUPS.items()]
     return md.fit_stats(spark, md.fit_all(train, specs))
 
 
 @query("fe_ols")
 def fe_ols(spark, sf):
-    return md.coef_table(spark, [md.fe_ols(staged(spark, sf), "HDDS", ["hhsize", "hh_age"], ["FS_year", "region"])])
+    return md.coef_table(spark, [md.fe_ols(staged(spark, sf, "HDDS", "hhsize", "hh_age", "FS_year", "region"), "HDDS", ["hhsize", "hh_age"], ["FS_year", "region"])])
 
 
 # What makes a least squares fit: residuals that are orthogonal to every regressor.
@@ -139,7 +140,7 @@ def fe_ols(spark, sf):
     UNION ALL SELECT DISTINCT 'region_' || region FROM known WHERE region > (SELECT min(region) FROM known))
   SELECT term, (SELECT count(*) FROM known) AS n, 0.0::DOUBLE AS score FROM terms""")
 def fe_ols_score(spark, sf):
-    df = staged(spark, sf)
+    df = staged(spark, sf, "HDDS", "hhsize", "hh_age", "FS_year", "region")
     fit = md.fe_ols(df, "HDDS", ["hhsize", "hh_age"], ["FS_year", "region"])
     own = [t for t in fit.coef if t.startswith(("FS_year_", "region_"))]
     factor = lambda t: "FS_year" if t.startswith("FS_year_") else "region"
@@ -159,7 +160,7 @@ def fe_ols_score(spark, sf):
   SELECT 'hhsize' AS term, round(b1, 6) AS estimate, round(sqrt(s2 * bb / det), 6) AS se, round(b1 / sqrt(s2 * bb / det), 5) AS t, CAST(n AS INTEGER) AS n, round(1 - sse / yy, 6) AS within_r2, round(1 - sse / sst, 6) AS overall_r2 FROM f
   UNION ALL SELECT 'hh_age', round(b2, 6), round(sqrt(s2 * aa / det), 6), round(b2 / sqrt(s2 * aa / det), 5), CAST(n AS INTEGER), round(1 - sse / yy, 6), round(1 - sse / sst, 6) FROM f""")
 def fe_within(spark, sf):
-    fit = md.within_ols(staged(spark, sf), "HDDS", ["hhsize", "hh_age"], "ea_id")
+    fit = md.within_ols(staged(spark, sf, "HDDS", "hhsize", "hh_age", "ea_id"), "HDDS", ["hhsize", "hh_age"], "ea_id")
     return md.coef_table(spark, [fit]).select(
         "term", F.round("estimate", 6).alias("estimate"), F.round("se", 6).alias("se"), F.round("t", 5).alias("t"), "n",
         F.round("r2", 6).alias("within_r2"), F.round(F.lit(fit.overall_r2), 6).alias("overall_r2"))
@@ -195,7 +196,7 @@ _FACTORS = {"Month": ["FS_month"], "IPC": ["zone"], "TA": ["TA_names"], "Cluster
     f"SELECT '{y}' AS measure, '{name}' AS factor, round(1 - sum(pow(w_{y}, 2)) / (var_pop(t_{y}) * count(t_{y})), 6) AS r2 FROM g{i}"
     for i, name in enumerate(_FACTORS) for y in ("HDDS", "rCSI")))
 def group_r2(spark, sf):
-    return rounded(md.group_r2(staged(spark, sf), ["HDDS", "rCSI"], _FACTORS), ["r2"])
+    return rounded(md.group_r2(staged(spark, sf, "HDDS", "rCSI", *(c for cols in _FACTORS.values() for c in cols)), ["HDDS", "rCSI"], _FACTORS), ["r2"])
 
 
 @query("split_year", f"""WITH {CLUSTER_SQL} SELECT ea_id, FS_year AS "FS_year", CASE WHEN FS_year < {FIRST_TEST} THEN 'train' ELSE 'test' END AS part FROM cl2""")
@@ -284,7 +285,7 @@ def spec_sweep(spark, sf):
 
 @query("enet_cv")
 def enet_cv(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    train, _ = panel.split_year(staged(spark, sf, "ea_id", "FS_year", *MEASURES, *GROUPS["model3"], *QUARTERS, PRIOR), "FS_year", FIRST_TEST)
     rows = []
     for y in MEASURES:
         fit = md.elastic_net_cv(train, y, (*GROUPS["model3"], *QUARTERS, PRIOR), "ea_id")
@@ -296,7 +297,7 @@ def enet_cv(spark, sf):
 @query("enet_conditions", f"""WITH {CLUSTER_SQL}, {_known_sql(f'FS_year < {FIRST_TEST} AND ')}
   SELECT y AS measure, term, CAST(count(*) AS INTEGER) AS n, 0.0::DOUBLE AS excess FROM known, (VALUES {', '.join(f"('{x}')" for x in _OPEN)}) t(term) GROUP BY ALL""")
 def enet_conditions(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    train, _ = panel.split_year(staged(spark, sf, "ea_id", "FS_year", *MEASURES, *_OPEN), "FS_year", FIRST_TEST)
     parts = None
     for y in MEASURES:
         fit = md.elastic_net_cv(train, y, _OPEN, "ea_id")
@@ -323,7 +324,7 @@ _SHORT = ["maize_current", "hhsize", "hh_age", "elevation", PRIOR]
 
 
 def _tobits(spark, sf):
-    train, _ = panel.split_year(staged(spark, sf), "FS_year", FIRST_TEST)
+    train, _ = panel.split_year(staged(spark, sf, "FS_year", *MEASURES, *_SHORT), "FS_year", FIRST_TEST)
     return [(y, md.tobit_fit(train, y, _SHORT)) for y in MEASURES]
 
 
