@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from sparkpanel.operators.segments import MOST, any_large, scan
 from sparkpanel.operators.skew import ordinal
+from sparkpanel.session import cut_lineage
 
 
 class KeyNotUnique(ValueError):
@@ -111,9 +112,10 @@ def asof_join(
     ``right`` is unique per (by, on).
     """
     forward = direction == "forward"
-    keys = left.filter(F.col(on).isNotNull()).select(*by, on).distinct()
+    # Written stages have a known size: few keys are not searched for large groups, and beside few matches the left needs no shuffle.
+    keys = cut_lineage(left.filter(F.col(on).isNotNull()).select(*by, on).distinct())
     snap = right.filter(F.col(on).isNotNull()).select(*by, on, F.struct(*cols).alias("_snap"), F.lit(0).alias("_query"))
     both = keys.withColumns({"_snap": F.lit(None).cast(snap.schema["_snap"].dataType), "_query": F.lit(1)}).unionByName(snap)
     near = scan(both, by, on, {"_hit": ("last", F.col("_snap"))}, descending=forward, ties=("_query",), most=most)
-    matched = near.filter("_query = 1").select(*by, on, *[F.col(f"_hit.{c}").alias(c) for c in cols])
+    matched = cut_lineage(near.filter("_query = 1").select(*by, on, *[F.col(f"_hit.{c}").alias(c) for c in cols]))
     return left.join(matched, [*by, on], "left")

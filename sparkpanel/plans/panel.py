@@ -29,6 +29,8 @@ def hh_panel(
     """
     if fill:
         hh = group_mean_fill(hh, list(fill_by), list(fill))
+    # Written stages have a known size: beside small ones the households need no shuffle.
+    prices, season = cut_lineage(prices), cut_lineage(season)
     values = [c for c in prices.columns if c not in (*price_keys, month)]
     now = prices.withColumnsRenamed({c: f"{c}_current" for c in values})
     before = prices.select(

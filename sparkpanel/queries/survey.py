@@ -16,9 +16,9 @@ from sparkpanel.queries.weather import PANEL_SQL, season_table
 from sparkpanel.session import cut_lineage
 
 
-def food_items(spark, sf):
+def food_items(lines):
     """Item rows per household: ten food groups by part, days 0 to 8 by quantity."""
-    return table(spark, sf, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").alias("hh"), (F.col("l_partkey") % 10 + 1).cast("int").alias("code"),
         (F.col("l_quantity").cast("int") % 9).alias("days"),
     )
@@ -33,7 +33,7 @@ fcs AS (SELECT hh, sum(d * CASE g WHEN 'AB' THEN 2 WHEN 'C' THEN 3 WHEN 'D' THEN
 
 
 def lettered(spark, sf):
-    return scores.letter_groups(food_items(spark, sf), "code", "group")
+    return scores.letter_groups(food_items(table(spark, sf, "lineitem")), "code", "group")
 
 
 @query("fcs", f'WITH {GROUP_SQL} SELECT hh, FCS AS "FCS" FROM fcs')
@@ -88,9 +88,9 @@ def top_reasons(spark, sf):
 _CODES = scores.ASSET_CODES
 
 
-def asset_items(spark, sf):
+def asset_items(lines):
     codes = F.array(*[F.lit(c) for c in _CODES])
-    return table(spark, sf, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").alias("hh"), F.get(codes, (F.col("l_partkey") % 6).cast("int")).alias("code"),
         (F.col("l_quantity").cast("int") % 3).alias("qty"))
 
@@ -99,7 +99,7 @@ def asset_items(spark, sf):
     f"CAST(coalesce(sum(CAST(l_quantity AS INTEGER) % 3) FILTER (l_partkey % 6 = {i}), 0) <> 0 AS INTEGER) AS asset_{c}" for i, c in enumerate(_CODES)
 ) + " FROM lineitem GROUP BY l_orderkey")
 def asset_dummies(spark, sf):
-    return scores.asset_dummies(asset_items(spark, sf), "hh", "code", "qty")
+    return scores.asset_dummies(asset_items(table(spark, sf, "lineitem")), "hh", "code", "qty")
 
 
 @query("asset_index")
@@ -173,8 +173,6 @@ def households(spark, sf):
     key, ea = F.col("o_orderkey"), F.col("o_custkey")
     year = F.year("o_orderdate")
     month = ((ea + year) % 12 + 1).cast("int")
-    food = lettered(spark, sf)
-    both = scores.food_scores(food, "hh", "group", "days")
     cope = scores.coping_index(coping(spark, sf), _ANSWERS).select(F.col("o_orderkey").alias("case_id"), "rCSI")
     base = table(spark, sf, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey")).select(
         key.alias("case_id"), ea.alias("ea_id"), F.col("c_nationkey").alias("zone"), F.concat_ws("_", "c_nationkey", "c_mktsegment").alias("TA_names"),
@@ -182,17 +180,23 @@ def households(spark, sf):
         (1 + key % 9).alias("hhsize"), (20 + key * 7 % 50).alias("hh_age"), (key % 2).alias("hh_gender"),
         (F.col("o_orderstatus") == "F").cast("int").alias("roof_natural_inverse"), (key % 4).alias("number_celphones"), (ea * 13 % 2000).alias("elevation"),
         (ea * 29 % 100).alias("dist_road"), (ea * 31 % 50).alias("dist_admarc"), (F.col("c_acctbal") / 10000).alias("percent_ag"), (ea % 3 == 1).cast("int").alias("nutri"))
-    out = base.join(both.withColumnRenamed("hh", "case_id"), "case_id", "left").join(cope, "case_id", "left")
-    out = out.join(household_assets(spark, sf), "case_id", "left")
+    out = base.join(household_items(spark, sf), "case_id", "left").join(cope, "case_id", "left")
     # The status one snapshot before the one in force, as of the interview month.
     before = lag_rows(phases(spark, sf), ["zone"], "month", ["phase"], 1, "1").withColumnRenamed("phase1", "IPC1")
     return asof_join(out, before, "month", ["zone"], ["IPC1"])
 
 
-def household_assets(spark, sf):
-    """Rotated asset index of each household with items."""
-    wide = cut_lineage(asset_dummies(spark, sf))
-    return scores.asset_index(wide, [f"asset_{c}" for c in _CODES], "asset").select(F.col("hh").alias("case_id"), "asset")
+def household_items(spark, sf):
+    """Food scores and rotated asset index of each household with items.
+
+    Item rows are dealt out by household once, for both groupings and for what joins them.
+    """
+    dealt = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity").repartition("l_orderkey")
+    assets = scores.asset_dummies(asset_items(dealt), "hh", "code", "qty")
+    food = scores.food_scores(scores.letter_groups(food_items(dealt), "code", "group"), "hh", "group", "days")
+    # A full join reads what was dealt out once. Items without a household count for the index, but none joins them.
+    wide = cut_lineage(assets.join(food, "hh", "full"))
+    return scores.asset_index(wide, [f"asset_{c}" for c in _CODES], "asset").select(F.col("hh").alias("case_id"), "FCS", "HDDS", "asset")
 
 
 # Prices of one commodity on its own grid, gaps from the nearest market, averaged by market weight.

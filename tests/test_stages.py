@@ -1,8 +1,12 @@
 """Written stages: read by column, with every kind of value intact."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from sparkpanel.queries import fits
+from sparkpanel.operators.joins import asof_join
+from sparkpanel.plans.panel import hh_panel
+from sparkpanel.queries import fits, survey
 from sparkpanel.session import cut_lineage
 
 
@@ -22,3 +26,41 @@ def test_a_fit_stages_its_own_columns(spark, monkeypatch):
     wide = spark.range(8).select(F.col("id").alias("ea_id"), *[F.col("id").alias(f"c{i}") for i in range(5)])
     monkeypatch.setattr(fits, "clusters", lambda *_: wide)
     assert fits.staged(spark, "", "ea_id", "c1", "ea_id").columns == ["ea_id", "c1"] and fits.staged(spark, "").columns == wide.columns
+
+
+def unknown_size(df):
+    """The same rows with an estimate far beyond what is broadcast."""
+    none = df.sparkSession.range(1).withColumnRenamed("id", "_n")
+    for i in range(4):
+        none = none.crossJoin(df.sparkSession.range(100_000).select(F.col("id").alias(f"_n{i}")))
+    return df.join(none.limit(1).select("_n"), F.lit(True), "left").drop("_n")
+
+
+def physical(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_small_tables_beside_households_are_broadcast(spark, rows):
+    hh = unknown_size(spark.createDataFrame([(1, 1, "2000-02-01"), (2, 1, "2000-03-01"), (3, 2, "2000-02-01"), (4, None, None)], "id int, zone int, month string"))
+    hh = hh.withColumn("month", F.col("month").cast("date"))
+    prices = spark.createDataFrame([(1, "2000-02-01", 5.0), (2, "2000-01-01", 7.0)], "zone int, month string, p double").withColumn("month", F.col("month").cast("date"))
+    season = spark.createDataFrame([(1, 9.0)], "zone int, rain double")
+    out = hh_panel(hh, unknown_size(prices), unknown_size(season), ["zone"], ["zone"])
+    assert "SortMergeJoin" not in physical(out)
+    assert rows(out, "id", "p_current", "p_lag", "rain") == [(1, 5.0, None, 9.0), (2, None, 5.0, 9.0), (3, None, 7.0, None), (4, None, None, None)]
+    near = asof_join(hh, unknown_size(prices), "month", ["zone"], ["p"])
+    assert "SortMergeJoin" not in physical(near)
+    assert rows(near, "id", "p") == [(1, 5.0), (2, 5.0), (3, 7.0), (4, None)]
+
+
+def test_items_of_households_are_dealt_out_once(spark, tmp_path, monkeypatch, rows):
+    lines = [(h, p, float(q)) for h in (1, 2, None) for p, q in ((0, 3), (7, 11), (13, 2 * (h or 4)), (22, 5))]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans = []
+    monkeypatch.setattr(survey, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut_lineage(df))
+    monkeypatch.setattr(survey.scores, "asset_index", lambda df, cols, name: df.withColumn(name, sum(F.col(c) for c in cols)))
+    got = {r.case_id: (r.FCS, r.HDDS, r.asset) for r in survey.household_items(spark, str(tmp_path)).collect() if r.case_id}
+    assert plans[0].count("FileScan parquet") == 2 and plans[0].count("Exchange") == 2 and len(set(re.findall(r"FileScan parquet (\[[^]]*\])", re.sub(r"#\d+L?", "", plans[0])))) == 1
+    food = {r.hh: (r.FCS, r.HDDS) for r in survey.scores.food_scores(survey.lettered(spark, str(tmp_path)), "hh", "group", "days").collect() if r.hh}
+    assert {k: v[:2] for k, v in got.items()} == food and {k: v[2] for k, v in got.items()} == {
+        r.hh: sum(r[1:]) for r in survey.asset_dummies(spark, str(tmp_path)).collect() if r.hh}
