@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 GRID = 33
 #: Steps of the search; it ends on an angle known to 5e-8.
 STEPS = 30
-#: Cells of a matrix of series.
-CELLS = 2_000_000
+#: Cells of a matrix of series; a step of the filter takes few rows of it, so a larger one is no faster.
+CELLS = 200_000
 _TINY = 1e-300
 _FIT = "signal double, filled array<double>"
 
@@ -132,6 +132,8 @@ def local_level_fit(df: DataFrame, by: list[str], t: str, v: str, signal: float
         signals, filled = _fit_many([np.asarray(y, float) for y in values], signal)
         return pd.DataFrame({"signal": signals, "filled": filled})
 
+    # Spark makes copies of a deterministic function, to filter on its result, each with workers of its own.
+    fit = fit.asNondeterministic()
     value = F.col(v).cast("double")
     rows = df.select(*by, F.struct(F.col(t).alias("at"), F.when(~F.isnan(value), value).alias("value")).alias("_row"))
     series = rows.groupBy(*by).agg(F.sort_array(F.collect_list("_row")).alias("_rows"), F.count("_row.value").alias("n_known"))

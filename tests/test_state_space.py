@@ -115,3 +115,10 @@ def test_station_price_of_asked_months(spark):
     asked = spark.createDataFrame([(1, "2020-02-01"), (1, "2020-05-01")], "p int, month string").withColumn("month", state_space.F.to_date("month"))
     got = station_price(stations, coords, points, "p", "m", "all", asked, signal=1.0).orderBy("month").collect()
     assert [(str(r.month), r.price, r.price_lag) for r in got] == [("2020-02-01", 2.0, 1.0), ("2020-05-01", None, None)]
+
+
+def test_the_fit_is_planned_once(spark):
+    from sparkpanel.operators.state_space import fill_local_level
+
+    plan = fill_local_level(frame(spark, walks(2, 12)), ["e"], "t", "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
