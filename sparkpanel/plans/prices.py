@@ -104,12 +104,13 @@ def _settle(rest: DataFrame, held: DataFrame, coords: DataFrame, growing: bool,
     places = coords.join(rest.select("market").distinct(), "market", "left_semi")
     lists = nearest_join(places, coords, "market", "market", k=reach, exclude_self=True, right_name="neighbour")
     lists = lists.filter(F.col("neighbour").isNotNull()).select("market", "neighbour", "rank")
-    links = rest.join(lists, "market").join(held.withColumnRenamed("market", "neighbour"), giver, "left")
-    # At most ``reach`` links in a list; those beyond the round that a held neighbour allows can't count.
-    cells = links.groupBy(*CELL).agg(F.min(later).alias("round"), F.collect_list(F.struct("rank", "neighbour", "price", "round")).alias("links"))
-    first = F.col("round")
-    cells = cut_lineage(cells.withColumn("links", F.filter("links", lambda e: first.isNull() | (e["rank"] <= first))))
-    links = cells.select(*CELL, F.explode("links").alias("_l")).select(*CELL, "_l.*")
+    lists, givers = cut_lineage(lists), held.withColumnRenamed("market", "neighbour")
+    # The held neighbours alone tell the first round that they allow; links beyond it can't count, and are never made.
+    allowed = lists.join(givers, "neighbour").groupBy(*CELL).agg(F.min(later).alias("round"))
+    cells = cut_lineage(rest.join(allowed, CELL, "left"))
+    first = F.col("_first")
+    near = cells.withColumnRenamed("round", "_first").join(lists, "market").filter(first.isNull() | (rank <= first)).drop("_first")
+    links = cut_lineage(near.join(givers, giver, "left").select(*CELL, "rank", "neighbour", "price", "round"))
 
     open_links = links.filter(of_giver.isNull()).select(*CELL, "neighbour", "rank")
     state, moved = cells.select(*CELL, "round"), True
@@ -144,7 +145,13 @@ def _fill_nearest(dense: DataFrame, coords: DataFrame, shortlist: int) -> DataFr
     seen = dense.filter(F.col("price").isNotNull())
     gaps = dense.filter(F.col("price").isNull()).select(*CELL)
     held = seen.select(F.col("market").alias("neighbour"), "commodity", "month", F.col("price").alias("_given"))
-    near = gaps.join(neighbours(coords, "market", shortlist), "market").join(held, ["neighbour", "commodity", "month"])
+    lists = neighbours(coords, "market", shortlist)
+    few = dense.agg(F.count("price") < F.count_if(F.col("price").isNull())).first()[0]
+    if few:
+        # Fewer prices than gaps: each goes to the markets that list its own, whose known cells take none below.
+        near = lists.join(held, "neighbour")
+    else:
+        near = gaps.join(lists, "market").join(held, ["neighbour", "commodity", "month"])
     given = cut_lineage(near.groupBy(*CELL).agg(
         F.min_by("_given", "rank").alias("_given"), F.min_by("neighbour", "rank").alias("donor"),
         F.min_by("dist_km", "rank").alias("dist_km"),
@@ -156,7 +163,8 @@ def _fill_nearest(dense: DataFrame, coords: DataFrame, shortlist: int) -> DataFr
             .join(coords, "market"), "market", "market", by=["commodity", "month"], right_name="neighbour",
         ).join(held, ["neighbour", "commodity", "month"])
         given = given.unionByName(far.select(*CELL, "_given", F.col("neighbour").alias("donor"), "dist_km"))
-    return dense.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
+    taken = {c: F.when(F.col("price").isNull(), F.col(c)) for c in ("donor", "dist_km")}
+    return dense.join(given, CELL, "left").withColumns(taken).withColumn("price", F.coalesce("price", "_given")).drop("_given")
 
 
 def spatial_fill_median(dense: DataFrame, coords: DataFrame, k: int) -> DataFrame:
