@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.operators.joins import asof_join
 from sparkpanel.plans.panel import hh_panel
-from sparkpanel.queries import fits, survey
+from sparkpanel.queries import base, fits, survey
 from sparkpanel.session import cut_lineage
 
 
@@ -64,3 +64,14 @@ def test_items_of_households_are_dealt_out_once(spark, tmp_path, monkeypatch, ro
     food = {r.hh: (r.FCS, r.HDDS) for r in survey.scores.food_scores(survey.lettered(spark, str(tmp_path)), "hh", "group", "days").collect() if r.hh}
     assert {k: v[:2] for k, v in got.items()} == food and {k: v[2] for k, v in got.items()} == {
         r.hh: sum(r[1:]) for r in survey.asset_dummies(spark, str(tmp_path)).collect() if r.hh}
+
+
+def test_daily_rain_is_summed_after_its_lines_are_dealt_out(spark, rows, tmp_path):
+    """One line a day and entity is the rule: sums in front of the shuffle hold a row for each line and spill."""
+    spark.createDataFrame(
+        [(1, "1995-01-01 00:00:00", 2.0), (1, "1995-01-01 00:00:00", 3.0), (1, "1995-01-02 00:00:00", None), (None, None, 4.0), (None, None, 5.0)],
+        "l_suppkey long, l_shipdate string, l_quantity double").withColumn("l_shipdate", F.to_timestamp_ntz("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = base.rain_obs(spark, str(tmp_path))
+    assert rows(out.select("entity", F.col("day").cast("string"), "rain")) == [(1, "1995-01-01", 5.0), (1, "1995-01-02", None), (None, None, 9.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("HashAggregate") == 2 and "HashAggregate" not in plan[plan.index("Exchange") :]
