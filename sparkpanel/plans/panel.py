@@ -45,29 +45,36 @@ def cluster_panel(
     hh: DataFrame, cluster: str, year: str, month: str, names: Sequence[str], area: str, area_cols: Sequence[str],
     region: str, regions: Sequence[str], zone: str | None = None, zones: Sequence | None = None,
     thousands: Sequence[str] = ("raincytot", "elevation"), fcs: str = "FCS", strict_reference: bool = False,
-    region_of: DataFrame | None = None,
+    region_of: DataFrame | None = None, wanted: Sequence[str] = (),
 ) -> DataFrame:
     """Cluster-year means with area means, calendar and region dummies and their products.
 
     ``names`` are label columns of the household rows, taken once per cluster. With
     ``region_of`` (cluster, year, region; see ``region_fill``) regions come from there,
-    one for each cluster and year, and those of the households go.
+    one for each cluster and year, and those of the households go. With ``wanted`` means
+    are made of what these columns of the panel need alone, for the same rows.
     """
     if region_of is not None:
         hh, names = hh.drop(region), [n for n in names if n != region]
+    if wanted:
+        # Stages hide from Spark what is read of them later, so columns nobody wants go first.
+        means = [c for c in hh.columns if not {c, f"log{c}", f"TA_{c}"}.isdisjoint(wanted)]
+        hh = hh.select(*dict.fromkeys([cluster, year, month, *names, *means]))
+        area_cols = [c for c in area_cols if f"TA_{c}" in wanted]
     # The master and the cluster means feed several branches each: both are written stages.
     hh = cut_lineage(hh)
     labels = first_per_key(hh.select(cluster, *names).distinct(), [cluster], list(names))
     out = collapse_mean(hh, [cluster, year], exclude=names)
     out = out.withColumns({
-        f"log{fcs}": F.when(F.col(fcs) > 0, F.log(fcs)),
+        **({f"log{fcs}": F.when(F.col(fcs) > 0, F.log(fcs))} if fcs in out.columns else {}),
         **{c: F.col(c) / 1000 for c in thousands if c in out.columns},
     })
     out = out.join(labels, cluster, "left")
     if region_of is not None:
         out = out.join(region_of.select(cluster, year, region), [cluster, year], "left")
     out = cut_lineage(out)
-    out = broadcast_mean(out, [area, year], list(area_cols), "TA_")
+    if area_cols:
+        out = broadcast_mean(out, [area, year], list(area_cols), "TA_")
     m = F.col(month)
     out = out.withColumns({**quarter_flags(m, strict_reference), **month_flags(m)})
     out = dummies(out, region, list(regions), "region_")

@@ -34,7 +34,7 @@ GROUPS = {
 
 def staged(spark, sf, *cols):
     """The cluster panel, or these of its columns, as a written stage; every fit reads it several times."""
-    panel_rows = clusters(spark, sf)
+    panel_rows = clusters(spark, sf, cols)
     return cut_lineage(panel_rows.select(*dict.fromkeys(cols)) if cols else panel_rows)
 
 
@@ -201,7 +201,7 @@ def group_r2(spark, sf):
 
 @query("split_year", f"""WITH {CLUSTER_SQL} SELECT ea_id, FS_year AS "FS_year", CASE WHEN FS_year < {FIRST_TEST} THEN 'train' ELSE 'test' END AS part FROM cl2""")
 def split_year(spark, sf):
-    train, test = panel.split_year(clusters(spark, sf).select("ea_id", "FS_year"), "FS_year", FIRST_TEST)
+    train, test = panel.split_year(clusters(spark, sf, ("ea_id", "FS_year")).select("ea_id", "FS_year"), "FS_year", FIRST_TEST)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 

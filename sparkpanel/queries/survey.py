@@ -247,9 +247,10 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 _TA = ["maize_current", "maize_mktthin_current", "raincytot", "day1rain", "maxdaysnorain", "floodmax", "tmean", "gdd", "heatdays"]
 
 
-def clusters(spark, sf):
+def clusters(spark, sf, wanted=()):
+    """The cluster panel; with ``wanted`` at least these of its columns."""
     hh = master(spark, sf).drop("case_id", "month")
-    return panel.cluster_panel(hh, "ea_id", "FS_year", "FS_month", ["TA_names", "zone", "region"], "TA_names", _TA, "region", REGIONS)
+    return panel.cluster_panel(hh, "ea_id", "FS_year", "FS_month", ["TA_names", "zone", "region"], "TA_names", _TA, "region", REGIONS, wanted=wanted)
 
 
 def _q(n: int, m: str = "FS_month") -> str:
@@ -269,10 +270,9 @@ _CL = ["FCS", "logFCS", "HDDS", "rCSI", "IPC1", "raincytot", "elevation", "maize
   {', '.join(f'{_q(n)} AS quarter{n}' for n in range(1, 5))}, CAST(FS_month = 7 AS INTEGER) AS month7, {', '.join(f'CAST(region = {chr(39)}{r}{chr(39)} AS INTEGER) AS "region_{r}"' for r in REGIONS)},
   {', '.join(f'{_q(n)} * CAST(region = {chr(39)}ASIA{chr(39)} AS INTEGER) AS "quarter{n}_region_ASIA"' for n in range(1, 5))} FROM cl2""")
 def cluster_panel(spark, sf):
-    out = clusters(spark, sf).select(
-        "ea_id", "FS_year", "TA_names", "zone", "region", *_CL, *[f"quarter{n}" for n in range(1, 5)], "month7",
-        *[f"region_{r}" for r in REGIONS], *[f"quarter{n}_region_ASIA" for n in range(1, 5)])
-    return rounded(out, _CL)
+    cols = ["ea_id", "FS_year", "TA_names", "zone", "region", *_CL, *[f"quarter{n}" for n in range(1, 5)], "month7",
+            *[f"region_{r}" for r in REGIONS], *[f"quarter{n}_region_ASIA" for n in range(1, 5)]]
+    return rounded(clusters(spark, sf, cols).select(*cols), _CL)
 
 
 # ---- the panels with what households leave out: answers from the cluster's other households, regions from labels or latitude
@@ -319,5 +319,6 @@ def cluster_panel_filled(spark, sf):
     hh = cut_lineage(gappy(spark, sf))
     region_of = scores.region_fill(hh.withColumn("lat", lat("ea_id")), ["ea_id", "FS_year"], "region", "lat", tuple(_AREAS))
     rows = master_filled(spark, sf, hh).drop("case_id", "month")
-    out = panel.cluster_panel(rows, "ea_id", "FS_year", "FS_month", ["TA_names", "zone", "region"], "TA_names", _TA, "region", _AREAS, region_of=region_of)
-    return rounded(out.select("ea_id", "FS_year", "region", "FCS", *_FILLED, *[f"region_{r}" for r in _AREAS], *[f"quarter1_region_{r}" for r in _AREAS]), ["FCS", *_FILLED])
+    cols = ["ea_id", "FS_year", "region", "FCS", *_FILLED, *[f"region_{r}" for r in _AREAS], *[f"quarter1_region_{r}" for r in _AREAS]]
+    out = panel.cluster_panel(rows, "ea_id", "FS_year", "FS_month", ["TA_names", "zone", "region"], "TA_names", _TA, "region", _AREAS, region_of=region_of, wanted=cols)
+    return rounded(out.select(*cols), ["FCS", *_FILLED])

@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from sparkpanel.operators.joins import asof_join
+from sparkpanel.plans import panel
 from sparkpanel.plans.panel import hh_panel
 from sparkpanel.queries import base, fits, survey
 from sparkpanel.session import cut_lineage
@@ -75,3 +76,29 @@ def test_daily_rain_is_summed_after_its_lines_are_dealt_out(spark, rows, tmp_pat
     assert rows(out.select("entity", F.col("day").cast("string"), "rain")) == [(1, "1995-01-01", 5.0), (1, "1995-01-02", None), (None, None, 9.0)]
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.count("HashAggregate") == 2 and "HashAggregate" not in plan[plan.index("Exchange") :]
+
+
+def test_cluster_panel_stages_what_wanted_columns_need(spark, rows, monkeypatch):
+    """Columns nobody reads later are not written beside the households and clusters, and the rows stay."""
+    hh = spark.createDataFrame(
+        [(c, y, m, "a" if c in (1, 2) else None, "N" if c == 1 else "S", float(v), float(v * (c or 7)), float(v)) for c, y, m, v in (
+            (1, 2000, 2, 3), (1, 2000, 2, 4), (2, 2000, 7, 1), (3, 2001, 5, 9), (3, 2001, 6, 2), (None, 2001, 1, 8))],
+        "ea int, year int, month int, area string, region string, FCS double, rain double, other double")
+    stages = []
+    monkeypatch.setattr(panel, "cut_lineage", lambda df: stages.append(df.columns) or cut_lineage(df))
+    make = lambda **more: panel.cluster_panel(hh, "ea", "year", "month", ["area", "region"], "area", ["rain", "other"], "region", ["N", "S"], **more)
+    whole, cols = make(), ["ea", "year", "area", "region", "month", "logFCS", "TA_rain", "quarter1", "quarter3_region_S", "month7"]
+    stages.clear()
+    some = make(wanted=cols)
+    assert stages and all("other" not in s for s in stages) and "TA_other" not in some.columns
+    assert rows(some, *cols) == rows(whole, *cols) and [t for t in some.dtypes if t[0] in cols] == [t for t in whole.dtypes if t[0] in cols]
+    few = make(wanted=["ea", "region_N"])
+    assert rows(few, "ea", "region_N") == rows(whole, "ea", "region_N") and "FCS" not in few.columns
+
+
+def test_fits_ask_the_panel_for_their_columns(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(fits, "clusters", lambda spark, sf, *wanted: asked.append(wanted) or spark.range(2).select(F.col("id").alias("ea_id"), F.lit(1999).alias("FS_year")))
+    fits.staged(spark, "", "ea_id")
+    fits.split_year(spark, "")
+    assert asked == [(("ea_id",),), (("ea_id", "FS_year"),)]
