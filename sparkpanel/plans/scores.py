@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations_with_replacement
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,18 +102,20 @@ def _varimax(loadings: np.ndarray, rounds: int = 100, tol: float = 1e-10) -> np.
 def asset_index(df: DataFrame, cols: list[str], name: str = "asset_index", factors: int = 2, rotate: bool = True) -> DataFrame:
     """First component score of the correlation matrix, rotated over ``factors`` components.
 
-    One aggregate gives means, deviations and correlations; only that p x p matrix
-    is decomposed on the driver. The largest loading is made positive.
+    One aggregate gives the means, a second the cross-products about them; only that p x p
+    matrix is decomposed on the driver. The largest loading is made positive.
     """
-    exprs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
-    exprs += [F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)]
-    exprs += [F.corr(a, b).alias(f"r{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    complete = df.dropna(subset=cols)
-    stats = complete.select(*[F.col(c).cast("double").alias(c) for c in cols]).agg(*exprs).first()
-    kept = [i for i in range(len(cols)) if stats[f"s{i}"]]
+    known = df.dropna(subset=cols).select(*[F.col(c).cast("double").alias(c) for c in cols])
+    first = known.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{t}{i}") for i, c in enumerate(cols) for t, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
+    # A constant column has no deviation, whatever rounding leaves between it and its mean.
+    kept = [i for i in range(len(cols)) if first["n"] > 1 and first[f"lo{i}"] != first[f"hi{i}"]]
+    off = {i: F.col(cols[i]) - F.lit(first[f"m{i}"]) for i in kept}
+    sums = known.agg(F.lit(0), *[F.sum(off[i] * off[j]).alias(f"c{i}_{j}") for i, j in combinations_with_replacement(kept, 2)]).first()
+    kept = [i for i in kept if sums[f"c{i}_{i}"] != 0]
     if not kept:
         return df.withColumn(name, F.lit(None).cast("double"))
-    corr = np.array([[1.0 if i == j else stats[f"r{min(i, j)}_{max(i, j)}"] for j in kept] for i in kept])
+    stats = {f"m{i}": first[f"m{i}"] for i in kept} | {f"s{i}": float(np.sqrt(sums[f"c{i}_{i}"] / (first["n"] - 1))) for i in kept}
+    corr = np.array([[1.0 if i == j else sums[f"c{min(i, j)}_{max(i, j)}"] / np.sqrt(sums[f"c{i}_{i}"] * sums[f"c{j}_{j}"]) for j in kept] for i in kept])
     values, vectors = np.linalg.eigh(corr)
     order = np.argsort(-values)[: max(1, min(factors, len(kept)))]
     loads = vectors[:, order] * np.sqrt(np.maximum(values[order], 0))

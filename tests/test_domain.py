@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +137,20 @@ def test_hh_panel_lags_by_month(spark):
     se = spark.createDataFrame([("z", 2010, 99.0)], "zone string, FS_year int, rain double")
     got = panel.hh_panel(hh, pr, se, ["zone"], ["zone", "FS_year"], required=["maize_current"]).collect()
     assert len(got) == 1 and (got[0]["maize_current"], got[0]["maize_lag"], got[0]["rain"]) == (2.0, 1.0, 99.0)
+
+
+def test_asset_index_from_sums_about_the_means(spark, monkeypatch):
+    """Two cheap aggregates in place of one of all correlations; constant columns stay out."""
+    monkeypatch.setattr(scores.F, "corr", None)
+    data = [(float(i % 5), 1e9 + (i * 3) % 7, float(i % 5 + (i % 2)), 0.1) for i in range(61)]
+    df = spark.createDataFrame([*data, (None, 1.0, 1.0, 5.0)], "a double, b double, c double, d double")
+    out = scores.asset_index(df, list("abcd"), rotate=False)
+    x = np.array(data)[:, :3]
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    values, vectors = np.linalg.eigh(np.corrcoef(x.T))
+    want = z @ vectors[:, -1] / np.sqrt(values[-1])
+    want *= 1 if vectors[np.argmax(np.abs(vectors[:, -1])), -1] > 0 else -1
+    got = [(r["a"], r["b"], r["asset_index"]) for r in out.collect()]
+    assert [g[2] for g in got[:61]] == pytest.approx(list(want)) and got[61][2] is None
+    flat = scores.asset_index(df.limit(1), list("abcd"))
+    assert flat.collect()[0]["asset_index"] is None
