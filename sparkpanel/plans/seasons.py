@@ -135,8 +135,11 @@ def observed_season_stats(
     wet = obs.withColumn(rain, F.coalesce(rain, F.lit(0.0))).filter(F.col(rain) != 0).dropna(subset=by)
     keys = [*by, "cropyear"]
     wet = _dry_runs(wet.join(F.broadcast(days), date), keys)
-    high = F.count_if(F.col(rain) > threshold).over(panel(keys, "_pos").rangeBetween(1 - k, 0))
-    found = wet.withColumn("_start", F.when(high >= (k + 1) // 2, F.greatest(F.lit(1), F.col("_pos") - (k - 1)))).groupBy(*keys).agg(
+    # The first k days of which enough exceed it end on one that does: days that do are told apart by place.
+    wet = wet.withColumn("_high", F.when(F.col(rain) > threshold, F.col("_pos")))
+    others, part = (k + 1) // 2 - 1, ", ".join(f"`{c}`" for c in keys)
+    earliest = F.expr(f"lag(_high, {others}) ignore nulls over (partition by {part} order by _pos)") if others else F.col("_high")
+    found = wet.withColumn("_start", F.when(F.col("_high") - earliest < k, F.greatest(F.lit(1), F.col("_pos") - (k - 1)))).groupBy(*keys).agg(
         F.sum(rain).alias("_sum"), F.min("_start").alias("_first"), F.max("_gap").alias("_gap"), F.max("_pos").alias("_last"),
         F.max(rain).alias("_top"), F.count(F.lit(1)).alias("_wet"))
     grid = attach(obs.select(*by).distinct().crossJoin(F.broadcast(sizes)), found, keys)

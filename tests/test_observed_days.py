@@ -38,3 +38,13 @@ def test_legacy_dry_spells_from_wet_days(spark, obs, rows):
     dense = sea.dry_spell_legacy(daily, ["entity"], "day", "rain", *years)
     sparse = sea.observed_dry_spell_legacy(obs, ["entity"], "day", "rain", *years)
     assert rows(sparse) == rows(dense) and sparse.dtypes == dense.dtypes and sparse.count() > 18
+
+
+@pytest.mark.parametrize("k", [1, 3, 7])
+def test_onset_looks_at_days_by_place(spark, obs, rows, k):
+    """Of k days, more than half over the threshold; no frame slides over the rows."""
+    cal = sea.seasons_spanning(obs, "day")
+    dense = sea.season_stats(sea.season_grid(obs, ["entity"], "day", cal, "rain"), ["entity"], "day", "rain", k)
+    sparse = sea.observed_season_stats(obs, ["entity"], "day", "rain", cal, k)
+    assert rows(sparse, "entity", "cropyear", "day1rain") == rows(dense, "entity", "cropyear", "day1rain")
+    assert "rangeframe" not in sparse._jdf.queryExecution().optimizedPlan().toString().lower()
