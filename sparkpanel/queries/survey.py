@@ -316,9 +316,10 @@ def hh_panel_filled(spark, sf):
   SELECT ea_id, FS_year AS "FS_year", region, {', '.join(f'round({c}, 6) AS "{c}"' for c in ['FCS', *_FILLED])}, {', '.join(f"CAST(region = '{r}' AS INTEGER) AS \"region_{r}\"" for r in _AREAS)},
     {', '.join(f"{_q(1)} * CAST(region = '{r}' AS INTEGER) AS \"quarter1_region_{r}\"" for r in _AREAS)} FROM cl LEFT JOIN region_of USING (ea_id, FS_year)""")
 def cluster_panel_filled(spark, sf):
-    hh = cut_lineage(gappy(spark, sf))
+    # The stage holds what the panel's columns come from.
+    hh = cut_lineage(gappy(spark, sf).select("ea_id", "zone", "TA_names", "region", "FS_year", "FS_month", "month", "FCS", *_FILLED))
     region_of = scores.region_fill(hh.withColumn("lat", lat("ea_id")), ["ea_id", "FS_year"], "region", "lat", tuple(_AREAS))
-    rows = master_filled(spark, sf, hh).drop("case_id", "month")
+    rows = master_filled(spark, sf, hh).drop("month")
     cols = ["ea_id", "FS_year", "region", "FCS", *_FILLED, *[f"region_{r}" for r in _AREAS], *[f"quarter1_region_{r}" for r in _AREAS]]
     out = panel.cluster_panel(rows, "ea_id", "FS_year", "FS_month", ["TA_names", "zone", "region"], "TA_names", _TA, "region", _AREAS, region_of=region_of, wanted=cols)
     return rounded(out.select(*cols), ["FCS", *_FILLED])

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkpanel.operators.joins import asof_join
@@ -102,3 +103,18 @@ def test_fits_ask_the_panel_for_their_columns(spark, monkeypatch):
     fits.staged(spark, "", "ea_id")
     fits.split_year(spark, "")
     assert asked == [(("ea_id",),), (("ea_id", "FS_year"),)]
+
+
+def test_filled_panel_stages_what_it_reads(spark, monkeypatch):
+    class Staged(Exception):
+        pass
+
+    def stop(df):
+        raise Staged(df.columns)
+
+    names = ["case_id", "ea_id", "zone", "TA_names", "region", "FS_year", "FS_month", "month", "FCS", "HDDS", "asset", "IPC1", *survey._FILLED]
+    monkeypatch.setattr(survey, "gappy", lambda *_: spark.range(1).select(*[F.col("id").alias(c) for c in names]))
+    monkeypatch.setattr(survey, "cut_lineage", stop)
+    with pytest.raises(Staged) as found:
+        survey.cluster_panel_filled(spark, "")
+    assert found.value.args[0] == [c for c in names if c not in ("case_id", "HDDS", "asset", "IPC1")]
