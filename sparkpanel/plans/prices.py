@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkpanel.operators.aggregates import share, sum_strict, weighted_agg
-from sparkpanel.operators.nearest import nearest_join, neighbours
+from sparkpanel.operators.nearest import BROADCAST_ROWS, nearest_join, neighbours
 from sparkpanel.operators.polygons import point_in_polygon
 from sparkpanel.operators.state_space import fill_local_level
 from sparkpanel.operators.windows import lag_calendar
@@ -29,8 +29,10 @@ def dense_prices(obs: DataFrame, commodities: Sequence[str] | None = None) -> Da
     lists = obs.agg(F.min("month").alias("lo"), F.max("month").alias("hi"), F.collect_set("commodity").alias("cs"))
     months = F.sequence(lists.select("lo").scalar(), lists.select("hi").scalar(), F.expr("INTERVAL 1 MONTH"))
     kinds = lists.select("cs").scalar() if commodities is None else F.lit(list(commodities))
+    # A market is a small row that becomes many: by their size alone all would be one task's.
+    width = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grid = (
-        obs.select("market").distinct()
+        obs.select("market").distinct().repartition(width)
         .select("market", F.explode(kinds).alias("commodity"))
         .select("market", "commodity", F.explode(months).alias("month"))
     )
@@ -73,68 +75,143 @@ def _fill_in_rounds(dense: DataFrame, coords: DataFrame, growing: bool, k_max: i
     """
     dense = cut_lineage(dense)
     kind = ["commodity", "month"]
-    known = dense.filter(F.col("price").isNotNull()).select(*CELL, "price")
-    gaps = dense.filter(F.col("price").isNull()).select(*CELL)
-    rest = cut_lineage(gaps.join(known.select(*kind).distinct(), kind, "left_semi"))
-    held = cut_lineage(known.join(rest.select(*kind).distinct(), kind, "left_semi").withColumn("round", F.lit(0)))
+    known, gaps = dense.filter(F.col("price").isNotNull()), dense.filter(F.col("price").isNull())
+    # Months of a commodity that have both gaps and prices to fill them from.
+    counts = dense.groupBy(*kind).agg(F.count("price").alias("_known"), F.count(F.lit(1)).alias("_all"))
+    mixed = cut_lineage(counts.filter("_known > 0 AND _known < _all").select(*kind))
+    if mixed.isEmpty():
+        return dense
+    rest = gaps.select(*CELL).join(mixed, kind, "left_semi")
+    held = known.select(*CELL, "price").join(mixed, kind, "left_semi").withColumn("round", F.lit(0))
     filled, reach, last = None, 0, coords.count() - 1
     while reach < last and not rest.isEmpty():
         reach = min(last, max(k_max, 4 * reach))
-        new = _settle(rest, held, coords, growing, reach)
+        new, rest = _settle(rest, held, coords, growing, reach)
         filled = new if filled is None else filled.unionByName(new)
         held = held.unionByName(new)
-        rest = cut_lineage(rest.join(new, CELL, "left_anti"))
     if filled is None:
         return dense
-    given = filled.select(*CELL, F.col("price").alias("_given"))
-    return dense.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).drop("_given")
+    given = filled.select(*CELL, F.col("price").alias("_given")).dropDuplicates(CELL)
+    closed = gaps.join(given, CELL, "left").withColumn("price", F.coalesce("price", "_given")).select(*dense.columns)
+    return known.unionByName(closed)
 
 
-def _settle(rest: DataFrame, held: DataFrame, coords: DataFrame, growing: bool, reach: int) -> DataFrame:
-    """Cells of ``rest`` that a round up to ``reach`` fills: price and round. ``held`` has those filled before.
+def _links(rest: DataFrame, givers: DataFrame, lists: DataFrame, offer: Column, reach: int) -> tuple[DataFrame, DataFrame]:
+    """Links of the open cells to their neighbours, and the cells that the nearest neighbour leaves open.
 
-    A neighbour of a rank gives in the first round that is no earlier than its rank and
-    later than its own round; in a cascade only in the round of its rank. Open cells
-    start with the round that the held neighbours allow, and take an earlier one from each
-    other until none does. Prices then follow from the cells of earlier rounds.
+    ``first`` is the first round that the held neighbours of a cell allow. A cell is linked
+    to neighbours up to that rank, to all of them where no held one allows any. Ranks
+    are asked in steps, each by the cells alone that the ranks before leave open. Where a
+    neighbour is open with a first round of 1 or 2, which no other can make earlier, ``_still``
+    is that round and ``_price`` the price of round 1.
     """
     giver = ["neighbour", "commodity", "month"]
-    rank, of_giver = F.col("rank"), F.col("round")
+    rank, best = F.col("rank"), F.col("_best")
+    asking, asked, cells = rest.withColumn("_best", F.lit(None).cast("int")), [], []
+    low, high = 0, 1
+    while True:
+        near = asking.join(lists.filter((rank > low) & (rank <= high)), "market")
+        if low > 0 and asking.count() * (high - low) <= BROADCAST_ROWS:
+            # Few cells ask: what is held is read for them, not dealt out.
+            near = cut_lineage(near.withColumnRenamed("rank", "_rank")).withColumnRenamed("_rank", "rank")
+            near = near.join(givers.join(F.broadcast(near.select(*giver).distinct()), giver, "left_semi"), giver, "left")
+        else:
+            near = near.join(givers, giver, "left")
+        near = cut_lineage(near.select(*CELL, "neighbour", "price", "round", "_best", rank.alias("_rank"), offer.cast("int").alias("_offer")))
+        if low == 0:
+            # A market has one nearest neighbour, so no cells are put together.
+            done = near.filter("_offer = 1")
+            near = near.filter("_offer IS NULL OR _offer > 1")
+            now = near.select(*CELL, F.col("_offer").alias("_best"))
+        else:
+            now = cut_lineage(near.groupBy(*CELL).agg(F.least(F.min("_best"), F.min("_offer")).alias("_best")))
+        asked.append(near)
+        further = best.isNull() | (best > high)
+        if high >= reach:
+            cells.append(now)
+            break
+        if low > 0:
+            cells.append(now.filter(~further))
+        asking = now.filter(further)
+        low, high = high, min(reach, 4 * high + 1)
+    left = cells[0]
+    for part in cells[1:]:
+        left = left.unionByName(part)
+    left = left.withColumnRenamed("_best", "first")
+    all_asked = asked[0]
+    for part in asked[1:]:
+        all_asked = all_asked.unionByName(part)
+    cols = [*CELL, F.col("_rank").alias("rank"), "neighbour", "price", "round"]
+    still = done.select(*CELL, F.lit(1).alias("_still"), F.col("price").alias("_price")).unionByName(
+        left.filter("first = 2").select(*CELL, F.lit(2).alias("_still"), F.lit(None).cast("double").alias("_price")))
+    others = all_asked.select(*cols).join(left, CELL).filter(F.col("first").isNull() | (rank <= F.col("first")))
+    others = others.join(still.withColumnRenamed("market", "neighbour"), giver, "left")
+    none = {"_still": F.lit(None).cast("int"), "_price": F.lit(None).cast("double")}
+    return cut_lineage(done.select(*cols, F.lit(1).alias("first")).withColumns(none).unionByName(others)), left
+
+
+def _settle(rest: DataFrame, held: DataFrame, coords: DataFrame, growing: bool, reach: int) -> tuple[DataFrame, DataFrame]:
+    """Cells of ``rest`` that a round up to ``reach`` fills, with price and round, and those that a later one may fill.
+
+    ``held`` has the cells filled before. A neighbour of a rank gives in the first round
+    that is no earlier than its rank and later than its own round; in a cascade only in
+    the round of its rank. Open cells start with the round that the held neighbours allow,
+    and take an earlier one from each other until none does. Prices then follow from the
+    cells of earlier rounds.
+    """
+    giver = ["neighbour", "commodity", "month"]
+    rank, of_giver, first = F.col("rank"), F.col("round"), F.col("first")
     later = F.when(of_giver.isNotNull(), F.greatest(rank, of_giver + 1)) if growing else F.when(of_giver < rank, rank)
     places = coords.join(rest.select("market").distinct(), "market", "left_semi")
     lists = nearest_join(places, coords, "market", "market", k=reach, exclude_self=True, right_name="neighbour")
-    lists = lists.filter(F.col("neighbour").isNotNull()).select("market", "neighbour", "rank")
-    lists, givers = cut_lineage(lists), held.withColumnRenamed("market", "neighbour")
-    # The held neighbours alone tell the first round that they allow; links beyond it can't count, and are never made.
-    allowed = lists.join(givers, "neighbour").groupBy(*CELL).agg(F.min(later).alias("round"))
-    cells = cut_lineage(rest.join(allowed, CELL, "left"))
-    first = F.col("_first")
-    near = cells.withColumnRenamed("round", "_first").join(lists, "market").filter(first.isNull() | (rank <= first)).drop("_first")
-    links = cut_lineage(near.join(givers, giver, "left").select(*CELL, "rank", "neighbour", "price", "round"))
-
-    open_links = links.filter(of_giver.isNull()).select(*CELL, "neighbour", "rank")
-    state, moved = cells.select(*CELL, "round"), True
-    while moved:
-        other = state.filter(of_giver.isNotNull()).withColumnRenamed("market", "neighbour")
-        offers = open_links.join(other, giver).groupBy(*CELL).agg(F.min(later).alias("_offer"))
-        now = state.join(offers, CELL, "left").withColumn("_earlier", F.least("round", "_offer"))
-        now = cut_lineage(now.select(*CELL, F.col("_earlier").alias("round"), (~F.col("_earlier").eqNullSafe(of_giver)).alias("_moved")))
-        moved, state = not now.filter("_moved").isEmpty(), now.drop("_moved")
-    state = state.filter(of_giver <= reach)
-
-    own = F.col("_own")
-    due = links.join(state.withColumnRenamed("round", "_own"), CELL).filter(rank <= own if growing else rank == own)
-    due = due.join(state.select(F.col("market").alias("neighbour"), "commodity", "month", of_giver.alias("_round")), giver, "left")
-    due = cut_lineage(due.filter(F.coalesce("round", "_round") < own).select(*CELL, "neighbour", "price"))
-    # At most ``reach`` prices meet in a group; a cell waits until all of them are known.
-    middle = F.when(F.count("price") == F.count(F.lit(1)), F.median("price")).alias("price")
-    values = cut_lineage(due.groupBy(*CELL).agg(middle))
-    while not (waiting := values.filter(F.col("price").isNull())).isEmpty():
-        done = values.filter(F.col("price").isNotNull())
-        given = done.select(F.col("market").alias("neighbour"), "commodity", "month", F.col("price").alias("_given"))
-        again = due.join(waiting.select(*CELL), CELL, "left_semi").join(given, giver, "left").withColumn("price", F.coalesce("price", "_given"))
-        values = cut_lineage(done.unionByName(again.groupBy(*CELL).agg(middle)))
-    return cut_lineage(values.join(state, CELL))
+    lists = cut_lineage(lists.filter(F.col("neighbour").isNotNull()).select("market", "neighbour", "rank").distinct())
+    links, cells = _links(rest, held.withColumnRenamed("market", "neighbour"), lists, later, reach)
+
+    # What is open gives in round 2 at the earliest, so only cells of later rounds can move.
+    may_move = first.isNull() | (first > 2)
+    as_giver = lambda df: df.withColumnRenamed("market", "neighbour")
+    state = cut_lineage(cells.filter(may_move).select(*CELL, first.alias("round")))
+    if not state.isEmpty():
+        open_links = links.filter(may_move & of_giver.isNull()).select(*CELL, "neighbour", "rank", F.col("_still").alias("round"))
+        offers = open_links.filter(of_giver.isNotNull()).groupBy(*CELL).agg(F.min(later).alias("_offer"))
+        state = cut_lineage(state.join(offers, CELL, "left").select(*CELL, F.least("round", "_offer").alias("round")))
+        # The others give in round 3 at the earliest, which is of use to a cell of a later round.
+        mine = state.withColumnRenamed("round", "_mine").filter("_mine IS NULL OR _mine > 3")
+        open_links = open_links.filter(of_giver.isNull()).drop("round").join(mine, CELL).filter("_mine IS NULL OR rank < _mine").drop("_mine")
+        open_links, fresh = cut_lineage(open_links), state.filter(of_giver.isNotNull())
+        while not fresh.isEmpty():
+            offers = open_links.join(as_giver(fresh), giver).groupBy(*CELL).agg(F.min(later).alias("_offer"))
+            now = state.join(offers, CELL, "left").withColumn("_earlier", F.least("round", "_offer"))
+            now = cut_lineage(now.select(*CELL, F.col("_earlier").alias("round"), (~F.col("_earlier").eqNullSafe(of_giver)).alias("_moved")))
+            state, fresh = now.drop("_moved"), now.filter("_moved").drop("_moved")
+
+    own, given = F.col("_own"), F.col("_given")
+    due = links.filter(first.isNull() | (first > 1)).join(state.withColumnRenamed("round", "_own"), CELL, "left")
+    due = due.withColumn("_own", F.coalesce("_own", "first")).filter((own <= reach) & (rank <= own if growing else rank == own))
+    due = due.join(as_giver(state.withColumnRenamed("round", "_moved")), giver, "left").filter(F.coalesce("round", "_still", "_moved") < own)
+    due = cut_lineage(due.select(*CELL, "_own", "neighbour", F.coalesce("price", "_price").alias("price")))
+    filled = links.filter(first == 1).select(*CELL, "price", first.alias("round"))
+    while True:
+        values = cut_lineage(_middle(due))
+        done, waiting = values.filter(F.col("price").isNotNull()), values.filter(F.col("price").isNull())
+        filled = filled.unionByName(done.select(*CELL, "price", own.alias("round")))
+        if waiting.isEmpty():
+            return filled, state.filter(of_giver.isNull() | (of_giver > reach)).select(*CELL)
+        due = due.join(waiting.select(*CELL), CELL, "left_semi").join(as_giver(done.select(*CELL, F.col("price").alias("_given"))), giver, "left")
+        due = cut_lineage(due.select(*CELL, "_own", "neighbour", F.coalesce("price", given).alias("price")))
+
+
+def _middle(due: DataFrame) -> DataFrame:
+    """Median of the prices due to each cell, null until all of them are known.
+
+    That of one or two is halfway between the least and the greatest, which needs no list.
+    """
+    by, rows = [*CELL, "_own"], F.count(F.lit(1))
+    sums = cut_lineage(due.groupBy(*by).agg((F.count("price") == rows).alias("_all"), rows.alias("_n"), F.min("price").alias("_low"), F.max("price").alias("_high")))
+    few = sums.filter("NOT _all OR _n < 3").select(*by, F.when(F.col("_all"), F.col("_low") * 0.5 + F.col("_high") * 0.5).alias("price"))
+    # At most as many prices meet in a group as there are neighbours in a list.
+    many = due.join(sums.filter("_all AND _n >= 3").select(*by), by, "left_semi").groupBy(*by).agg(F.median("price").alias("price"))
+    return few.unionByName(many)
 
 
 def _fill_nearest(dense: DataFrame, coords: DataFrame, shortlist: int) -> DataFrame:

@@ -57,3 +57,16 @@ def test_growing_fill_makes_no_links_beyond_the_round(spark, keep, monkeypatch):
     assert not any("array" in t for df in made for _, t in df.dtypes)
     assert not open_cells or links[0].count() == sum(first.values())
     assert dense.filter(F.col("price").isNull()).count() == len([p for p in price.values() if p is None])
+
+
+def test_rounds_move_only_cells_that_can_take_an_earlier_one(spark, monkeypatch):
+    cells, dense, coords, ranks = frames(spark, KEEPS["many"])
+    made = []
+    stage = pr.cut_lineage
+    monkeypatch.setattr(pr, "cut_lineage", lambda df: made.append(stage(df)) or made[-1])
+    filled = pr.spatial_fill(dense, coords, "growing", 8)
+    assert filled.filter(F.col("price").isNull()).count() == 0 and filled.count() == len(cells)
+    price = {(m, c, t): p for m, c, t, p in cells}
+    first = [next(i for i, n in enumerate(ranks[m], 1) if price[n, c, t] is not None) for (m, c, t), p in price.items() if p is None]
+    states = [df.count() for df in made if set(df.columns) == {*pr.CELL, "round"}]
+    assert states and max(states) == len([r for r in first if r > 2]) < len(first)
