@@ -709,15 +709,137 @@ def unaliased(df: DataFrame, y: str, xs: Sequence[str]) -> list[str]:
     return [x for x in xs if x not in dropped]
 
 
-def binary_fit(df: DataFrame, y: str, xs: Sequence[str], link: str = "logit"):
+def _normal_cdf(z: np.ndarray) -> np.ndarray:
+    return 0.5 * np.array([math.erfc(v) for v in (z / -math.sqrt(2)).tolist()])
+
+
+# Probabilities keep this distance from 0 and 1.
+_EDGE = 1e-16
+
+
+def _fitted(eta: np.ndarray, link: str) -> np.ndarray:
+    mu = 1 / (1 + np.exp(-eta)) if link == "logit" else _normal_cdf(eta)
+    return np.clip(mu, _EDGE, 1 - _EDGE)
+
+
+@dataclass
+class BinaryFit:
+    """``summary`` is the fit itself; its lists have the slopes first and the intercept last."""
+
+    xs: list[str]
+    link: str
+    coefficients: list[float]
+    intercept: float
+    coefficientStandardErrors: list[float]  # noqa: N815
+    n: int
+    deviance: float
+    null_deviance: float
+    rounds: int
+
+    @property
+    def summary(self) -> BinaryFit:
+        return self
+
+    @property
+    def aic(self) -> float:
+        return self.deviance + 2 * (len(self.xs) + 1)
+
+    @property
+    def tValues(self) -> list[float]:  # noqa: N802
+        return [b / se for b, se in zip([*self.coefficients, self.intercept], self.coefficientStandardErrors, strict=True)]
+
+    @property
+    def pValues(self) -> list[float]:  # noqa: N802
+        return [2 * (1 - 0.5 * (1 + math.erf(abs(t) / math.sqrt(2)))) for t in self.tValues]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``prediction``, the probability at the regressors of a row."""
+        link = self.link
+        eta = sum((F.lit(b) * F.col(x).cast("double") for b, x in zip(self.coefficients, self.xs, strict=True)), F.lit(self.intercept))
+        if link == "logit":
+            mean = 1 / (1 + F.exp(-eta))
+        else:
+            mean = F.pandas_udf(lambda v: pd.Series(_fitted(v.to_numpy(dtype=float), link)), "double")(eta)
+        return df.withColumn("prediction", F.when(eta.isNotNull(), F.greatest(F.least(mean, F.lit(1 - _EDGE)), F.lit(_EDGE))))
+
+
+def _binary_sums(rows: DataFrame, cols: list[str], link: str, shift, scale, theta: np.ndarray | None):
+    """Weighted cross-products of (1, xs, working outcome) and the deviance at ``theta``, at the start that of each row by itself."""
+    p = len(cols) + 1
+
+    def task(batches):
+        acc, dev = np.zeros((p + 1, p + 1)), 0.0
+        for pdf in batches:
+            y = pdf["_y"].to_numpy(dtype=float)
+            z = np.column_stack([np.ones(len(y)), (pdf[cols].to_numpy(dtype=float) - shift) / scale])
+            if theta is None:
+                spot = math.log(3) if link == "logit" else 0.6744897501960817
+                work, weight = np.where(y > 0, spot, -spot), 1.0
+            else:
+                eta = z @ theta
+                mu = _fitted(eta, link)
+                if link == "logit":
+                    slope = mu * (1 - mu)
+                else:
+                    slope = np.exp(-0.5 * np.clip(eta, -8.2221, 8.2095) ** 2) / math.sqrt(2 * math.pi)
+                work, weight = eta + (y - mu) / slope, slope * slope / (mu * (1 - mu))
+                dev -= 2 * float(np.log(np.where(y > 0, mu, 1 - mu)).sum())
+            full = np.column_stack([z, work])
+            acc += (full * np.reshape(weight, (-1, 1))).T @ full
+        i, j = np.indices(acc.shape)
+        cells = pd.DataFrame({"spec": 0, "fold": 0, "i": i.ravel(), "j": j.ravel(), "v": acc.ravel()})
+        yield pd.concat([cells, pd.DataFrame({"spec": [1], "fold": [0], "i": [0], "j": [0], "v": [dev]})]).astype(
+            {"spec": "int32", "fold": "int32", "i": "int32", "j": "int32"})
+
+    m, dev = np.zeros((p + 1, p + 1)), 0.0
+    for r in _sum_cells(rows, task):
+        if r["spec"]:
+            dev = r["v"]
+        else:
+            m[r["i"], r["j"]] = r["v"]
+    return m[:p, :p], m[:p, p], dev
+
+
+def binary_fit(df: DataFrame, y: str, xs: Sequence[str], link: str = "logit", rounds: int = 50, tol: float = 1e-10) -> BinaryFit:
     """Logit or probit of a flag, where any known non-zero value counts as 1.
 
-    Without errors of the coefficients where a regressor is aliased; see ``unaliased``.
+    Reweighted least squares until no coefficient moves by ``tol``; each round is one
+    distributed sum of cross-products. Without errors of the coefficients where a regressor
+    is aliased; see ``unaliased``. A flag that is the same in all rows is left to Spark's fit.
     """
+    cols, xs = [f"_x{i}" for i in range(len(xs))], list(xs)
+    known = df.dropna(subset=[y, *xs])
+    rows = known.select(*[F.col(x).cast("double").alias(c) for x, c in zip(xs, cols, strict=True)], (F.col(y) != 0).cast("double").alias("_y"))
+    st = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("_y").alias("share"), *[f(c).alias(f"{k}{c}") for c in cols for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    if not xs or st["share"] in (None, 0.0, 1.0):
+        return _glm_fit(known, y, xs, link)
+    shift, scale = np.array([st[f"m{c}"] for c in cols]), np.array([st[f"s{c}"] or 1.0 for c in cols])
+
+    def plain(theta: np.ndarray) -> np.ndarray:
+        slope = theta[1:] / scale
+        return np.array([*slope, theta[0] - slope @ shift])
+
+    a, b, _ = _binary_sums(rows, cols, link, shift, scale, None)
+    theta, done = np.linalg.lstsq(a, b, rcond=None)[0], 0
+    for done in range(1, rounds + 1):
+        a, b, deviance = _binary_sums(rows, cols, link, shift, scale, theta)
+        before, theta = theta, np.linalg.lstsq(a, b, rcond=None)[0]
+        if np.abs(plain(theta) - plain(before)).max() < tol:
+            break
+    jac = np.vstack([np.column_stack([np.zeros(len(cols)), np.diag(1 / scale)]), [1.0, *(-shift / scale)]])
+    errors = np.sqrt(np.maximum(np.diag(jac @ np.linalg.pinv(a) @ jac.T), 0.0))
+    found, share = plain(theta), st["share"]
+    return BinaryFit(
+        xs, link, [float(v) for v in found[:-1]], float(found[-1]), [float(v) for v in errors], st["n"], float(deviance),
+        -2 * st["n"] * (share * math.log(share) + (1 - share) * math.log(1 - share)), done,
+    )
+
+
+def _glm_fit(df: DataFrame, y: str, xs: Sequence[str], link: str):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
-    rows = df.dropna(subset=[y, *xs]).withColumn("_y", (F.col(y) != 0).cast("double"))
+    rows = df.withColumn("_y", (F.col(y) != 0).cast("double"))
     data = VectorAssembler(inputCols=list(xs), outputCol="_x").transform(rows).select("_x", "_y")
     return GeneralizedLinearRegression(
         family="binomial", link=link, featuresCol="_x", labelCol="_y", maxIter=50, tol=1e-10

@@ -350,7 +350,7 @@ def tobit_score(spark, sf):
 @query("logit")
 def logit(spark, sf):
     flags = {y: insecure_side(y, y) for y in MEASURES}
-    df = cut_lineage(staged(spark, sf).select(*_SHORT, *[F.when(F.col(y).isNotNull(), c.cast("int")).alias(y) for y, c in flags.items()]))
+    df = cut_lineage(staged(spark, sf, *MEASURES, *_SHORT).select(*_SHORT, *[F.when(F.col(y).isNotNull(), c.cast("int")).alias(y) for y, c in flags.items()]))
     rows = []
     for y in MEASURES:
         known = df.dropna(subset=[y, *_SHORT])
