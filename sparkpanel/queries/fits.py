@@ -375,7 +375,7 @@ def binary_score(spark, sf):
     from pyspark.ml.feature import VectorAssembler
 
     flags = [F.when(F.col(y).isNotNull(), insecure_side(y, y).cast("double")).alias(y) for y in MEASURES]
-    df = cut_lineage(staged(spark, sf).select(F.lit(1.0).alias("intercept"), *[F.col(x).cast("double").alias(x) for x in _SHORT], *flags))
+    df = cut_lineage(staged(spark, sf, *MEASURES, *_SHORT).select(F.lit(1.0).alias("intercept"), *[F.col(x).cast("double").alias(x) for x in _SHORT], *flags))
     parts = None
     for y in MEASURES:
         known = df.dropna(subset=[y, *_SHORT])
