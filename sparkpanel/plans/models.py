@@ -12,6 +12,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,7 @@ from sparkpanel.operators.aggregates import attach
 from sparkpanel.operators.graph import connected_parts
 from sparkpanel.operators.reshape import levels
 from sparkpanel.operators.skew import group_quantiles, ordinal
-from sparkpanel.plans.evaluate import score_measures
+from sparkpanel.plans.evaluate import CUTS, HIGH_IS_SECURE
 from sparkpanel.session import cut_lineage
 
 # A regressor is aliased when what earlier ones leave of it is below this part of its norm.
@@ -130,6 +131,7 @@ def grams(df: DataFrame, specs: Sequence[ModelSpec], fold: str | None = None, fo
     centre = {c: (means[c] if means[c] is not None else 0.0) for c in cols}
     place = {c: i for i, c in enumerate(cols)}
     picks = [[place[c] for c in (*s.xs, s.y)] for s in specs]
+    cells = [np.array([0, *(1 + i for i in pick)]) for pick in picks]
     shift = np.array([centre[c] for c in cols])
 
     def task(batches: Iterable[pd.DataFrame]):
@@ -138,10 +140,23 @@ def grams(df: DataFrame, specs: Sequence[ModelSpec], fold: str | None = None, fo
             data = pdf[cols].to_numpy(dtype=float) - shift
             which = pdf["_fold"].to_numpy() if fold else np.zeros(len(pdf), dtype=int)
             known = ~np.isnan(data)
-            for s, pick in enumerate(picks):
-                ok = known[:, pick].all(axis=1)
-                for f in np.unique(which[ok]):
-                    rows = data[ok & (which == f)][:, pick]
+            complete = np.column_stack([known[:, pick].all(axis=1) for pick in picks])
+            kinds, kind = np.unique(np.column_stack([which, np.packbits(complete, axis=1)]), axis=0, return_inverse=True)
+            shared = len(kinds) < len(picks)
+            z = np.column_stack([np.ones(len(data)), np.where(known, data, 0.0)]) if shared else None
+            for k, f in enumerate(kinds[:, 0] if shared else ()):
+                # Rows that are complete for the same specs go into one product, of which each spec has its part.
+                rows = np.flatnonzero(kind.ravel() == k)
+                own = np.flatnonzero(complete[rows[0]])
+                if len(own):
+                    part = z[rows]
+                    whole = part.T @ part
+                    for s in own:
+                        key = (int(s), int(f))
+                        acc[key] = acc.get(key, 0.0) + whole[np.ix_(cells[s], cells[s])]
+            for s, pick in enumerate(() if shared else picks):
+                for f in np.unique(which[complete[:, s]]):
+                    rows = data[complete[:, s] & (which == f)][:, pick]
                     z = np.column_stack([np.ones(len(rows)), rows])
                     key = (s, int(f))
                     acc[key] = acc.get(key, 0.0) + z.T @ z
@@ -270,13 +285,101 @@ def level_specs(
     ]
 
 
+def _merged(parts: DataFrame) -> DataFrame:
+    """Scores of each fit from the sums of the tasks; the moments of a task are about its own means."""
+    total = parts.groupBy("fit").agg(F.sum("n").alias("_n"), *[(F.sum(F.col("n") * F.col(m)) / F.nullif(F.sum("n"), F.lit(0.0))).alias(f"_{m}") for m in ("mx", "my")])
+    dx, dy = F.col("mx") - F.col("_mx"), F.col("my") - F.col("_my")
+    flat = lambda v: F.min(f"lo{v}") == F.max(f"hi{v}")
+    sums = parts.join(total, "fit").groupBy("fit").agg(
+        F.max("_n").alias("n"), F.sum(F.col("sxy") + F.coalesce(F.col("n") * dx * dy, F.lit(0.0))).alias("sxy"),
+        *[F.when(flat(v), F.lit(0.0)).otherwise(F.sum(F.col(f"s{v}{v}") + F.coalesce(F.col("n") * d * d, F.lit(0.0)))).alias(f"s{v}{v}") for v, d in (("x", dx), ("y", dy))],
+        *[F.sum(c).alias(c) for c in ("pairs", "right", "base", "hits")],
+    )
+    r = F.when(F.col("n") > 1, F.col("sxy") / F.sqrt(F.col("sxx") * F.col("syy")))
+    return sums.select(
+        "fit", F.pow(r, F.lit(2.0)).alias("r2"), (F.col("right") / F.nullif(F.col("pairs"), F.lit(0.0))).alias("accuracy"),
+        (F.col("hits") / F.nullif(F.col("base"), F.lit(0.0))).alias("recall"), F.col("pairs").cast("long").alias("pairs"),
+    )
+
+
+def _ranks(x: np.ndarray, measure: str) -> np.ndarray:
+    """Class numbers as ``class_rank`` gives them, 0 outside the bins."""
+    low, bins = CUTS[measure]
+    rank = np.searchsorted([high for _, high in bins[:-1]], x) + 1
+    return np.where(np.isnan(x) | (x <= low if low > -math.inf else False), 0, rank)
+
+
+def score_fits(df: DataFrame, fits: Sequence[OlsFit]) -> DataFrame:
+    """r2, accuracy, recall and pairs of each fit on these rows, as ``predict`` and ``score_measures`` have them.
+
+    A task predicts a batch by all fits at once and sums up what the scores need, so that no
+    row is made for a fit. A fit's ``y`` is its measure.
+    """
+    xs = list(dict.fromkeys(t for f in fits for t in (*f.coef, *f.dropped) if t != "intercept"))
+    beta = np.array([[f.coef.get(x, 0.0) for f in fits] for x in xs]).reshape(len(xs), len(fits))
+    start = np.array([f.coef["intercept"] for f in fits])
+    needs = np.array([[x in f.coef or x in f.dropped for f in fits] for x in xs], dtype=bool).reshape(len(xs), len(fits))
+    ys = list(dict.fromkeys(f.spec.y for f in fits))
+    of = {y: np.array([k for k, f in enumerate(fits) if f.spec.y == y]) for y in ys}
+    secure_up = dict(HIGH_IS_SECURE)
+    names = ["n", "mx", "my", "sxx", "syy", "sxy", "lox", "hix", "loy", "hiy", "pairs", "right", "base", "hits"]
+
+    def batch_sums(values: np.ndarray, null: np.ndarray, y: str, pred: np.ndarray, absent: np.ndarray) -> np.ndarray:
+        both = ~absent & ~null[:, None]
+        n, a = both.sum(axis=0).astype(float), np.broadcast_to(values[:, None], both.shape)
+        some = np.maximum(n, 1.0)
+        mx, my = np.where(both, pred, 0.0).sum(axis=0) / some, np.where(both, a, 0.0).sum(axis=0) / some
+        dx, dy = np.where(both, pred - mx, 0.0), np.where(both, a - my, 0.0)
+        ends = [e(np.where(both, v, far), axis=0) for v in (pred, a) for e, far in ((np.min, math.inf), (np.max, -math.inf))]
+        p, q = np.where(absent, 0, _ranks(pred, y)), np.where(null, 0, _ranks(values, y))[:, None]
+        known = (p > 0) & (q > 0)
+        base = known & (q == 2) & ((p == 2) | (p == (3 if secure_up[y] else 1)))
+        return np.array([n, mx, my, (dx * dx).sum(axis=0), (dy * dy).sum(axis=0), (dx * dy).sum(axis=0), *ends,
+                         known.sum(axis=0), (known & (p == q)).sum(axis=0), base.sum(axis=0), (base & (p == 2)).sum(axis=0)])
+
+    def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out, n = a + b, np.maximum(a[0] + b[0], 1.0)
+        d = np.where((a[0] > 0) & (b[0] > 0), b[1:3] - a[1:3], 0.0)
+        out[1:3] = (a[0] * a[1:3] + b[0] * b[1:3]) / n
+        out[3:6] += np.array([d[0] * d[0], d[1] * d[1], d[0] * d[1]]) * a[0] * b[0] / n
+        out[[6, 8]], out[[7, 9]] = np.minimum(a, b)[[6, 8]], np.maximum(a, b)[[7, 9]]
+        return out
+
+    def task(batches):
+        acc: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            # Arrow tells null, which has no prediction, from NaN, which has one.
+            null = np.array([c.is_null().to_numpy(zero_copy_only=False) for c in batch.columns])
+            data = np.array([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = data[: len(xs)].T
+            with np.errstate(all="ignore"):
+                if np.isfinite(x).all():
+                    pred = x @ beta + start
+                else:
+                    pred = np.column_stack([x[:, needs[:, k]] @ beta[needs[:, k], k] + start[k] for k in range(len(fits))])
+                gaps = null[: len(xs)]
+                absent = gaps.T.astype(np.float32) @ needs.astype(np.float32) > 0 if gaps.any() else np.zeros(pred.shape, dtype=bool)
+                for j, y in enumerate(ys, len(xs)):
+                    new = batch_sums(data[j], null[j], y, pred[:, of[y]], absent[:, of[y]])
+                    acc[y] = add(acc[y], new) if y in acc else new
+        for y, sums in acc.items():
+            yield pa.RecordBatch.from_arrays([pa.array(of[y].astype("int32")), *[pa.array(v.astype(float)) for v in sums]], ["fit", *names])
+
+    cols = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate([*xs, *ys])])
+    # A row for each task and fit, read twice.
+    scores = _merged(cut_lineage(cols.mapInArrow(task, "fit int, " + ", ".join(f"{n} double" for n in names))))
+    named = df.sparkSession.createDataFrame([(k, f.spec.name, f.spec.y) for k, f in enumerate(fits)], "fit int, model string, y string")
+    return scores.join(F.broadcast(named), "fit").select("model", "y", "r2", "accuracy", "recall", "pairs")
+
+
 def sweep(splits: dict[str, tuple[DataFrame, DataFrame]], sets: dict[str, Sequence[str]], measures: Sequence[str], keys: list[str]) -> DataFrame:
     """R2, accuracy and recall per split, variable set and measure."""
     parts = []
     for split, (train, test) in splits.items():
         specs = [ModelSpec(n, y, tuple(xs)) for y in measures for n, xs in sets.items()]
-        pairs = predict(test, fit_all(train, specs), keys)
-        parts.append(score_measures(pairs, "predict", "actual", "y", ["model"], measures).withColumn("split", F.lit(split)))
+        parts.append(score_fits(test, fit_all(train, specs)).withColumn("split", F.lit(split)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -32,10 +32,14 @@ GROUPS = {
 }
 
 
-def staged(spark, sf, *cols):
-    """The cluster panel, or these of its columns, as a written stage; every fit reads it several times."""
+def staged(spark, sf, *cols, number=None):
+    """The cluster panel, or these of its columns, as a written stage; every fit reads it several times.
+
+    ``number`` names a column that tells its rows apart.
+    """
     panel_rows = clusters(spark, sf, cols)
-    return cut_lineage(panel_rows.select(*dict.fromkeys(cols)) if cols else panel_rows)
+    panel_rows = panel_rows.select(*dict.fromkeys(cols)) if cols else panel_rows
+    return cut_lineage(panel_rows.withColumn(number, F.monotonically_increasing_id()) if number else panel_rows)
 
 
 def levelled(spark, sf):
@@ -269,16 +273,23 @@ SETS = dict(variable_set(*choice) for choice in CHOICES)
 
 @query("spec_sweep")
 def spec_sweep(spark, sf):
-    df = staged(spark, sf).withColumn("trend", (F.col("FS_year") - FIRST_TEST) * 12 + F.col("FS_month"))
-    stations = station_frame(spark, sf).select(
+    made = ("trend", *PRICES["station"], *PRICES["station_lagged"])
+    panel_cols = ["ea_id", "FS_year", "FS_month", "region", *MEASURES, *(x for xs in SETS.values() for x in xs if x not in made)]
+    df = staged(spark, sf, *panel_cols, number="_row")
+    # Stations and the random split are found beside the few columns that they need, and the wide rows move once.
+    narrow = df.select("_row", "ea_id", "HDDS", F.make_date("FS_year", F.col("FS_month").cast("int"), F.lit(1)).alias("month"))
+    stations = station_frame(spark, sf, narrow.select(F.col("ea_id").alias("c_custkey"), "month")).select(
         F.col("c_custkey").alias("ea_id"), "month", F.col("price").alias("station_current"), F.col("price_lag").alias("station_lag"))
-    df = df.withColumn("month", F.make_date("FS_year", F.col("FS_month").cast("int"), F.lit(1)))
-    df = cut_lineage(df.join(stations, ["ea_id", "month"], "left"))
-    tagged = md.stratified_split(df.filter("HDDS IS NOT NULL"), "HDDS", "ea_id", 0.7, 7)
+    narrow = cut_lineage(narrow.join(stations, ["ea_id", "month"], "left"))
+    found = ["_row", "station_current", "station_lag"]
+    tagged = md.stratified_split(narrow.filter("HDDS IS NOT NULL"), "HDDS", "ea_id", 0.7, 7).select(*found, "train")
+    tagged = tagged.unionByName(narrow.filter("HDDS IS NULL").select(*found, F.lit(None).cast("boolean").alias("train")))
+    df = df.withColumn("trend", (F.col("FS_year") - FIRST_TEST) * 12 + F.col("FS_month"))
+    df = cut_lineage(df.join(tagged, "_row").drop("_row"))
     splits = {
         "year": panel.split_year(df, "FS_year", FIRST_TEST),
         "region": panel.split_region(df, "region", "EUROPE"),
-        "random": (tagged.filter("train"), tagged.filter("NOT train")),
+        "random": (df.filter("train"), df.filter("NOT train")),
     }
     return md.sweep(splits, SETS, MEASURES, ["ea_id", "FS_year"])
 
